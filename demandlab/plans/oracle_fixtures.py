@@ -191,3 +191,21 @@ basic_dataset AS (
     LEFT JOIN unavailability unav ON sk.key_article = unav.key_article AND sk.key_date = unav.key_date
     LEFT JOIN weather ON sk.key_date = weather.key_date
   WHERE sk.ppl <> '{cfg.default_line}')"""
+
+
+def regression_cte() -> str:
+    return f"""
+reg AS (
+  SELECT p_brand, p_type, week, ppl,
+         CASE WHEN qty > 0 THEN ln(qty) END AS y,
+         CASE WHEN unit_price > 0 THEN ln(unit_price) END AS d,
+         CASE WHEN ext_price > 0 THEN ln(ext_price) END AS z,
+         x, 1.0 AS const, CAST(n_lines AS DOUBLE) AS n_lines,
+         CAST(((date_diff('day', DATE '{fx.FOLD_ORIGIN}', week) // 7) * 31 + min_size * 17) % 5 AS INTEGER) AS fold,
+         CAST(((date_diff('day', DATE '{fx.FOLD_ORIGIN}', week) // 7) * 31 + min_size * 17 + 13) % 100 < 20 AS INTEGER) AS is_test
+  FROM (SELECT p_brand, p_type, CAST(date_trunc('week', o_orderdate) AS DATE) AS week, o_orderpriority AS ppl,
+               sum(l_quantity) AS qty, avg(l_extendedprice / NULLIF(l_quantity, 0)) AS unit_price,
+               avg(l_extendedprice) AS ext_price, avg(l_discount) AS x, min(p_size) AS min_size,
+               count(*) AS n_lines
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
+        GROUP BY ALL))"""

@@ -154,10 +154,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    from demandlab.plans import registry_models
+    out = dict(QUERIES)
+    out.update(registry_models.QUERIES)
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
+    from demandlab.plans import registry_models
     out = {}
     out.update(_panel_sql())
-    return {k: v for k, v in out.items() if k in QUERIES}
+    out.update(registry_models.oracle_sql())
+    return {k: v for k, v in out.items() if k in queries()}

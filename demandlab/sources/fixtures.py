@@ -172,3 +172,33 @@ class Warehouse:
     def ft_warehouse_article_daily(self): return ft_warehouse_article_daily(self.t)
     @property
     def dm_weather_daily(self): return dm_weather_daily(self.t)
+
+
+# ---------------------------------------------------------------- regression panel
+# (brand, type, week, priority) cells: y = ln sum quantity, d = ln avg unit price,
+# z = ln avg extended price (instrument), x = avg discount; fold and split from
+# integer arithmetic on the cell key, so other engines reproduce them exactly.
+FOLD_ORIGIN = "1990-01-01"
+
+
+def regression_panel(t: Tables) -> DataFrame:
+    li = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount")
+    o = t.orders.select("o_orderkey", "o_orderdate", "o_orderpriority")
+    p = t.part.select("p_partkey", "p_brand", "p_type", "p_size")
+    j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
+    week = F.to_date(F.date_trunc("week", F.col("o_orderdate")))
+    g = j.groupBy("p_brand", "p_type", week.alias("week"), F.col("o_orderpriority").alias("ppl")).agg(
+        F.sum("l_quantity").alias("qty"),
+        F.avg(F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))).alias("unit_price"),
+        F.avg("l_extendedprice").alias("ext_price"),
+        F.avg("l_discount").alias("x"),
+        F.min("p_size").alias("min_size"),
+        F.count(F.lit(1)).alias("n_lines"))
+    weeks = (F.datediff(F.col("week"), F.lit(FOLD_ORIGIN).cast("date")) / 7).cast("long")
+    from demandlab.functions.scalar import ln_pos
+    return g.select(
+        "p_brand", "p_type", "week", "ppl",
+        ln_pos("qty").alias("y"), ln_pos("unit_price").alias("d"), ln_pos("ext_price").alias("z"),
+        "x", F.lit(1.0).alias("const"), F.col("n_lines").cast("double").alias("n_lines"),
+        F.pmod(weeks * 31 + F.col("min_size") * 17, F.lit(5)).cast("int").alias("fold"),
+        (F.pmod(weeks * 31 + F.col("min_size") * 17 + F.lit(13), F.lit(100)) < 20).cast("int").alias("is_test"))
