@@ -149,13 +149,13 @@ IV_SQL = _w(_r("""SELECT * FROM (WITH
 r0 AS (SELECT * FROM reg WHERE y IS NOT NULL AND d IS NOT NULL AND z IS NOT NULL),
 s AS (SELECT p_type, count(*) AS n, sum(d) AS sd, sum(y) AS sy, sum(z) AS sz, sum(z*z) AS szz,
              sum(z*d) AS szd, sum(z*y) AS szy FROM r0 GROUP BY p_type),
-c AS (SELECT *, szz - sz*sz/n AS Szz, szd - sz*sd/n AS Szd, szy - sz*sy/n AS Szy FROM s),
-f AS (SELECT *, Szy/Szd AS b1, (sy - Szy/Szd*sd)/n AS b0 FROM c),
+c AS (SELECT *, szz - sz*sz/n AS czz, szd - sz*sd/n AS czd, szy - sz*sy/n AS czy FROM s),
+f AS (SELECT *, czy/czd AS b1, (sy - czy/czd*sd)/n AS b0 FROM c),
 m AS (SELECT r0.p_type, sum(power(y - b0 - b1*d, 2)) AS m00,
-             sum(power(y - b0 - b1*d, 2) * (sd/n + Szd/Szz*(z - sz/n))) AS m01,
-             sum(power(y - b0 - b1*d, 2) * power(sd/n + Szd/Szz*(z - sz/n), 2)) AS m11
+             sum(power(y - b0 - b1*d, 2) * (sd/n + czd/czz*(z - sz/n))) AS m01,
+             sum(power(y - b0 - b1*d, 2) * power(sd/n + czd/czz*(z - sz/n), 2)) AS m11
       FROM r0 JOIN f ON r0.p_type = f.p_type GROUP BY r0.p_type),
-v AS (SELECT f.*, m.m00, m.m01, m.m11, n*Szd*Szd/Szz AS det, n*power(sd/n, 2) + Szd*Szd/Szz AS sdh2
+v AS (SELECT f.*, m.m00, m.m01, m.m11, n*czd*czd/czz AS det, n*power(sd/n, 2) + czd*czd/czz AS sdh2
       FROM f JOIN m ON f.p_type = m.p_type),
 vv AS (SELECT *, (sdh2*sdh2*m00 - 2*sdh2*sd*m01 + sd*sd*m11)/(det*det) AS v00,
               (sd*sd*m00 - 2*sd*n*m01 + n*n*m11)/(det*det) AS v11 FROM v)
