@@ -62,8 +62,11 @@ def out_of_fold(df: DataFrame, x: Sequence[str], targets: dict, fold: str = "fol
 def _ml_out_of_fold(df: DataFrame, x, target, estimator, out_col, fold, keys) -> DataFrame:
     """Refit a Spark ML regressor per fold (and group) and predict the held-out fold."""
     from pyspark.ml.feature import VectorAssembler
+    from demandlab.session import ensure_checkpoint_dir
     va = VectorAssembler(inputCols=list(x), outputCol="_features", handleInvalid="keep")
-    base = va.transform(df.where(F.col(target).isNotNull()) if False else df)
+    ensure_checkpoint_dir(df.sparkSession)
+    # every fold refit re-reads the same rows: cut the lineage once (shared checkpoint folder)
+    base = va.transform(df).checkpoint(eager=True)
     folds = [r[0] for r in df.select(fold).distinct().limit(1001).collect()]
     groups = [tuple(r) for r in df.select(*keys).distinct().limit(MAX_CELLS + 1).collect()] if keys else [()]
     if len(groups) > MAX_CELLS or len(folds) > 1000:

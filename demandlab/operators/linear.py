@@ -190,6 +190,11 @@ def fold_coefficients(grams: Grams, learner, features: Sequence[str], target: st
         raise ValueError("too many cells")
     for g in grams.groups():
         T = grams.total(g)
-        for f in grams.folds():
-            out[(g, f)] = learner.coefficients(T - grams.fold(g, f), ix, iy, features)
+        folds = grams.folds()
+        for f in folds:
+            if getattr(learner, "fit_grams", None) is not None:
+                inner = [grams.fold(g, h) for h in folds if h != f]
+                out[(g, f)] = learner.coefficients(T - grams.fold(g, f), ix, iy, features, fold_grams=inner)
+            else:
+                out[(g, f)] = learner.coefficients(T - grams.fold(g, f), ix, iy, features)
     return out

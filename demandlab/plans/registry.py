@@ -154,9 +154,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from demandlab.plans import registry_models
+    from demandlab.plans import registry_learners, registry_models
     out = dict(QUERIES)
     out.update(registry_models.QUERIES)
+    out.update(registry_learners.QUERIES)
     return out
 
 
