@@ -133,7 +133,7 @@ def _orderlines_in_period(ft_orderline: DataFrame, dm_order: DataFrame, cfg: Pan
 
 
 def aor(ft_orderline: DataFrame, dm_order: DataFrame, cfg: PanelConfig,
-        n_lines: int | None = None) -> DataFrame:
+        n_lines: int | None = None, articles: DataFrame | None = None) -> DataFrame:
     """Article order rate per (article, day, line).
 
     sum_regular_art_sales_ppl = IFF(SUM(regular) > 0, SUM(regular), 0)
@@ -144,11 +144,14 @@ def aor(ft_orderline: DataFrame, dm_order: DataFrame, cfg: PanelConfig,
     other totals row has detail rows by construction. The totals side holds at
     most period days x (lines + 1) rows and is broadcast when that bound is small.
     Detail is aggregated before the join (map-side combine takes hot keys).
+    ``articles`` (key_article) restricts the detail rows only: the totals always
+    count every order of the day and line.
     """
     j = _orderlines_in_period(ft_orderline, dm_order, cfg)
     totals = j.groupBy("key_order_date", "order_price_line_type").agg(
         F.count_distinct("key_order").alias("nr_orders_day_ppl"))
-    detail = j.groupBy("key_article", "key_order_date", "order_price_line_type").agg(
+    dj = j.join(articles, "key_article", "left_semi") if articles is not None else j
+    detail = dj.groupBy("key_article", "key_order_date", "order_price_line_type").agg(
         F.sum("orig_regular_sales_qty").alias("_s"))
     bound = cfg.period_days * ((n_lines if n_lines is not None else cfg.max_lines) + 1)
     matched = detail.join(_bounded_broadcast(totals, bound),
@@ -181,14 +184,18 @@ def _explode_days(df: DataFrame, start: str, end: str, cfg: PanelConfig) -> Data
               .select("*", F.explode(F.sequence(lo, hi)).alias("date")))
 
 
-def latest_price_per_day(ft_price: DataFrame, cfg: PanelConfig) -> DataFrame:
+def latest_price_per_day(ft_price: DataFrame, cfg: PanelConfig,
+                         articles: DataFrame | None = None) -> DataFrame:
     """Price in force per (article, line, day): the entry with the latest end
     time, ties broken by later start, then higher price (W1, L2, decision D7).
 
     Reduced by an aggregate over exploded validity days, so one hot
-    (article, line) never pairs every entry with every day.
+    (article, line) never pairs every entry with every day. ``articles``
+    (key_article) drops other articles' entries before the days are exploded.
     """
     p = ft_price.where(F.col("price_type") == F.lit(cfg.price_type))
+    if articles is not None:
+        p = p.join(articles, "key_article", "left_semi")
     days = _explode_days(p, "price_start_date_time", "price_end_date_time", cfg)
     best = F.max(F.struct(F.col("price_end_date_time").alias("e"),
                           F.col("price_start_date_time").alias("s"),
@@ -197,13 +204,14 @@ def latest_price_per_day(ft_price: DataFrame, cfg: PanelConfig) -> DataFrame:
                 .agg(best.c.alias("price_in_cents")))
 
 
-def prices(skel: DataFrame, ft_price: DataFrame, cfg: PanelConfig) -> DataFrame:
+def prices(skel: DataFrame, ft_price: DataFrame, cfg: PanelConfig,
+           articles: DataFrame | None = None) -> DataFrame:
     """Skeleton rows with the line price in force.
 
     price_in_cents_ppl = line price (NULL on the default line);
     price_in_cents_default = the default line's own price on default rows.
     """
-    lp = latest_price_per_day(ft_price, cfg)
+    lp = latest_price_per_day(ft_price, cfg, articles)
     j = skel.join(lp, ["key_article", "ppl", "date"], "left")
     is_def = F.col("ppl") == F.lit(cfg.default_line)
     return j.select(
@@ -212,9 +220,10 @@ def prices(skel: DataFrame, ft_price: DataFrame, cfg: PanelConfig) -> DataFrame:
         F.when(is_def, F.col("price_in_cents")).otherwise(F.lit(None).cast("long")).alias("price_in_cents_default"))
 
 
-def default_prices(skel: DataFrame, ft_price: DataFrame, cfg: PanelConfig) -> DataFrame:
+def default_prices(skel: DataFrame, ft_price: DataFrame, cfg: PanelConfig,
+                   articles: DataFrame | None = None) -> DataFrame:
     """Skeleton rows with the default line's price in force, whatever the row's line."""
-    lp = (latest_price_per_day(ft_price, cfg).where(F.col("ppl") == F.lit(cfg.default_line))
+    lp = (latest_price_per_day(ft_price, cfg, articles).where(F.col("ppl") == F.lit(cfg.default_line))
           .select("key_article", "date", F.col("price_in_cents").alias("price_in_cents_default")))
     return skel.join(lp, ["key_article", "date"], "left").select(
         *[F.col(c) for c in skel.columns], "price_in_cents_default")
@@ -298,8 +307,9 @@ def daily_features(wh, cfg: PanelConfig, lines: list[str] | None = None) -> Data
     dense = _days_of(attrs, cfg, cal)
 
     # sparse side, (article, day, line) grain: order rate and line price in force
-    a = aor(wh.ft_orderline, wh.dm_order, cfg, len(lines)).where(F.col("key_article").isNotNull())
-    lp = latest_price_per_day(wh.ft_price, cfg)
+    keys = arts.select("key_article")
+    a = aor(wh.ft_orderline, wh.dm_order, cfg, len(lines), keys).where(F.col("key_article").isNotNull())
+    lp = latest_price_per_day(wh.ft_price, cfg, keys)
     cal_keys = period_dates(wh.dm_date, cfg).select("key_date", "date")
     cal_b = _bounded_broadcast(cal_keys, cfg.period_days)
     lp = lp.join(cal_b, "date").drop("date")

@@ -55,13 +55,13 @@ def q_aor(spark, d):
 def q_prices(spark, d):
     wh = warehouse(spark, d)
     sk = P.skeleton(wh.dm_article, wh.dm_date, P.price_lines(wh.ft_price, CFG), CFG)
-    return P.prices(sk, wh.ft_price, CFG)
+    return P.prices(sk, wh.ft_price, CFG, P.select_articles(wh.dm_article, CFG))
 
 
 def q_default_prices(spark, d):
     wh = warehouse(spark, d)
     sk = P.skeleton(wh.dm_article, wh.dm_date, P.price_lines(wh.ft_price, CFG), CFG)
-    return P.default_prices(sk, wh.ft_price, CFG)
+    return P.default_prices(sk, wh.ft_price, CFG, P.select_articles(wh.dm_article, CFG))
 
 
 def q_promo_days(spark, d):
