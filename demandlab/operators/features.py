@@ -214,17 +214,38 @@ STUDY_HOLIDAY_WEEKS = (
 )
 
 
+def easter_sunday(y: int) -> date:
+    """Gregorian Easter Sunday (anonymous Gregorian algorithm)."""
+    a, b, c = y % 19, y // 100, y % 100
+    d, e = b // 4, b % 4
+    f = (b + 8) // 25
+    g = (b - f + 1) // 3
+    h = (19 * a + b - d - g + 15) % 30
+    i, k = c // 4, c % 4
+    l_ = (32 + 2 * e + 2 * i - h - k) % 7
+    m = (a + 11 * h + 22 * l_) // 451
+    month = (h + l_ - 7 * m + 114) // 31
+    day = (h + l_ - 7 * m + 114) % 31 + 1
+    return date(y, month, day)
+
+
 def holiday_weeks(years: Iterable[int]) -> list[date]:
-    """Holiday week starts by rule for any years: the Mondays of the weeks holding
-    Dec 25 and Jan 1, and the four summer weeks from the last Monday of July."""
+    """Holiday week starts (Mondays) by rule for any years: the week before Easter,
+    the first week of May, four summer weeks from the last Monday of July, and two
+    Christmas weeks from the first Monday on or after Dec 26. For 2020-2022 this
+    gives ``STUDY_HOLIDAY_WEEKS`` inside the study period."""
     from datetime import timedelta
     out = set()
     for y in years:
-        for d in (date(y, 12, 25), date(y, 1, 1)):
-            out.add(d - timedelta(days=d.weekday()))
-        last_jul = date(y, 7, 31)
-        m = last_jul - timedelta(days=last_jul.weekday())
-        out.update(m + timedelta(weeks=k) for k in range(4))
+        out.add(easter_sunday(y) - timedelta(days=6))
+        may1 = date(y, 5, 1)
+        out.add(may1 + timedelta(days=(7 - may1.weekday()) % 7))
+        jul31 = date(y, 7, 31)
+        last_jul = jul31 - timedelta(days=jul31.weekday())
+        out.update(last_jul + timedelta(weeks=k) for k in range(4))
+        dec26 = date(y, 12, 26)
+        xmas = dec26 + timedelta(days=(7 - dec26.weekday()) % 7)
+        out.update((xmas, xmas + timedelta(weeks=1)))
     return sorted(out)
 
 

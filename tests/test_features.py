@@ -50,10 +50,10 @@ def test_logs_const_rename(spark):
     assert FE.rename(df, prefix="l_").columns == ["l_x"]
 
 
-def test_holiday_weeks_rule():
-    hw = FE.holiday_weeks([2021])
-    assert date(2020, 12, 28) in hw and date(2021, 12, 27) in hw and date(2021, 7, 26) in hw
-    assert all(d.weekday() == 0 for d in hw)
+def test_holiday_weeks_rule_reproduces_study_list():
+    hw = [d for d in FE.holiday_weeks([2020, 2021, 2022]) if date(2020, 12, 28) <= d <= date(2022, 12, 26)]
+    assert [d.isoformat() for d in hw] == list(FE.STUDY_HOLIDAY_WEEKS)
+    assert all(d.weekday() == 0 for d in FE.holiday_weeks(range(1995, 2002)))
 
 
 def test_regime_dummies(spark):
