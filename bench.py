@@ -41,6 +41,9 @@ def main() -> None:
         ("dml_pliv_lasso", registry_learners.QUERIES["dml_pliv_lasso"], collect),
         ("bootstrap", registry_learners.QUERIES["bootstrap"], collect),
     ]
+    # warm-up (JVM, class loading, parquet footers): not timed
+    from demandlab.plans.panel_plan import warehouse
+    warehouse(spark, sf_dir).dm_article.count()
     only = [q for q in os.environ.get("BENCH_ONLY", "").split(",") if q]
     times = {}
     for name, q, act in plan:

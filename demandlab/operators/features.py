@@ -251,13 +251,16 @@ def holiday_weeks(years: Iterable[int]) -> list[date]:
 
 def prepare(weekly: DataFrame, cfg: PrepConfig = PrepConfig(),
             encoder: FrozenDummies | None = None,
-            holidays: Iterable[date] = ()) -> tuple[DataFrame, FrozenDummies]:
+            holidays: Iterable[date] = (), checkpoint: bool = True) -> tuple[DataFrame, FrozenDummies]:
     """Weekly panel -> regression-ready design matrix.
 
     fill 0 -> lags -> keep rows with the longest lag -> drop zero demand ->
     dummies (frozen encoder, fitted here unless given) -> week number ->
     unavailability in percent -> logs -> holiday flag -> constant.
     Returns the matrix and the encoder (reuse it on a later period, E7).
+    With ``checkpoint`` the filtered rows are written once to the shared
+    checkpoint folder: the encoder fit and the final projection read them
+    instead of recomputing the panel lineage.
     """
     df = fill_zero(weekly, cfg.fill_zero)
     df = add_lags(df, cfg.lag_cols, cfg.n_lags, cfg.keys, cfg.order)
@@ -266,6 +269,10 @@ def prepare(weekly: DataFrame, cfg: PrepConfig = PrepConfig(),
         df = drop_zero_demand(df, cfg.lag_cols[0])
     if cfg.outlier_weeks:
         df = drop_weeks(df, "week_start_date", cfg.outlier_weeks)
+    if checkpoint:
+        from demandlab.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     enc = encoder or FrozenDummies.fit(df, cfg.dummy_cols)
     df = enc.transform(df)
     df = add_week_number(df, "week_start_date", cfg.week_origin)

@@ -212,6 +212,7 @@ def prices(skel: DataFrame, ft_price: DataFrame, cfg: PanelConfig,
     price_in_cents_default = the default line's own price on default rows.
     """
     lp = latest_price_per_day(ft_price, cfg, articles)
+    lp = lp.repartition(_partitions(lp), "key_article").hint("shuffle_hash")
     j = skel.join(lp, ["key_article", "ppl", "date"], "left")
     is_def = F.col("ppl") == F.lit(cfg.default_line)
     return j.select(
@@ -225,6 +226,7 @@ def default_prices(skel: DataFrame, ft_price: DataFrame, cfg: PanelConfig,
     """Skeleton rows with the default line's price in force, whatever the row's line."""
     lp = (latest_price_per_day(ft_price, cfg, articles).where(F.col("ppl") == F.lit(cfg.default_line))
           .select("key_article", "date", F.col("price_in_cents").alias("price_in_cents_default")))
+    lp = lp.repartition(_partitions(lp), "key_article").hint("shuffle_hash")
     return skel.join(lp, ["key_article", "date"], "left").select(
         *[F.col(c) for c in skel.columns], "price_in_cents_default")
 
@@ -382,17 +384,29 @@ def _shift_key(cfg: PanelConfig) -> int:
 # ---------------------------------------------------------------- weekly
 
 WEEKLY_KEYS = ["key_article", "key_week", "ppl"]
+# article attributes: functionally dependent on key_article, carried as grouping
+# keys (hash aggregate, no string max buffers, no extra shuffle)
+WEEKLY_ATTRS = ["article_name", "article_tier", "article_cat_1", "article_cat_2", "article_cat_3",
+                "article_cat_4", "article_id", "art_content_volume", "art_is_multipack"]
 
 
-def weekly(daily: DataFrame) -> DataFrame:
+def weekly(daily: DataFrame, cfg: PanelConfig | None = None, checkpoint: bool = True) -> DataFrame:
     """Day -> week roll-up per (article, week, line) (A8; rules are ours, §2.12).
 
     product_order_amt  sum of regular sales        total_order_amt  sum of daily orders
     avg_sell_price     avg price in force          avg_purchase_price avg default-line price
     averages of unavailability and temperature, promo_dummy = max,
     nr_articles_in_cat(_2): distinct priced articles per (week, category level 1 / 2).
+
+    The daily table comes partitioned by ``key_article``, so the roll-up needs
+    no shuffle. With ``cfg`` the level-1 counts (one category: at most the
+    weeks of the period) are broadcast; the level-2 join is left to AQE.
+    The weekly aggregate feeds three consumers (rows and two counts); with
+    ``checkpoint`` it is written once to the shared checkpoint folder (this
+    also cuts the long panel lineage), else the daily side is recomputed per
+    consumer.
     """
-    agg = daily.groupBy(*WEEKLY_KEYS).agg(
+    agg = daily.groupBy(*WEEKLY_KEYS, *WEEKLY_ATTRS).agg(
         F.sum("sum_regular_art_sales_ppl").alias("product_order_amt"),
         F.sum("nr_orders_day_ppl").alias("total_order_amt"),
         F.avg("price_in_cents").alias("avg_sell_price"),
@@ -401,20 +415,21 @@ def weekly(daily: DataFrame) -> DataFrame:
         F.avg("avg_high_temp").alias("avg_high_temp"),
         F.max("promo_dummy").alias("promo_dummy"),
         F.min("date").alias("_d0"),
-        F.max("article_name").alias("article_name"),
-        F.max("article_tier").alias("article_tier"),
-        F.max("article_cat_1").alias("article_cat_1"),
-        F.max("article_cat_2").alias("article_cat_2"),
-        F.max("article_cat_3").alias("article_cat_3"),
-        F.max("article_cat_4").alias("article_cat_4"),
-        F.max("article_id").alias("article_id"),
-        F.max("art_content_volume").alias("art_content_volume"),
-        F.max("art_is_multipack").alias("art_is_multipack"))
-    priced = daily.where(F.col("price_in_cents").isNotNull())
+        F.count("price_in_cents").alias("_np"))
+    if checkpoint:
+        from demandlab.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(agg.sparkSession)
+        agg = agg.checkpoint(eager=True)
+    # distinct priced articles per (week, category): counted on the weekly rows
+    # (an article counts when any of its days that week has a price), so the
+    # daily table is read once; the two counts reuse the weekly aggregate.
+    priced = agg.where(F.col("_np") > 0)
     n1 = priced.groupBy("key_week", "article_cat_1").agg(
         F.count_distinct("key_article").alias("nr_articles_in_cat"))
     n2 = priced.groupBy("key_week", "article_cat_2").agg(
         F.count_distinct("key_article").alias("nr_articles_in_cat_2"))
+    if cfg is not None:
+        n1 = _bounded_broadcast(n1, cfg.period_days // 7 + 2)
     ws = F.to_date(F.date_trunc("week", F.col("_d0")))
     out = (agg.join(n1, ["key_week", "article_cat_1"], "left")
               .join(n2, ["key_week", "article_cat_2"], "left"))

@@ -84,7 +84,7 @@ def q_daily_features(spark, d):
 
 
 def q_weekly(spark, d):
-    return rounded(P.weekly(P.daily_features(warehouse(spark, d), CFG)))
+    return rounded(P.weekly(P.daily_features(warehouse(spark, d), CFG), CFG))
 
 
 WEEKLY_SQL = """

@@ -113,7 +113,7 @@ DESIGN_COLS = ["key_article", "key_week", "ppl", "week_start_date", "article_cat
 def design_matrix(spark, d, cfg=PREP):
     from demandlab.plans.panel_plan import warehouse
     from demandlab.plans.registry import CFG
-    w = weekly(daily_features(warehouse(spark, d), CFG))
+    w = weekly(daily_features(warehouse(spark, d), CFG), CFG)
     years = range(CFG.start.year, CFG.end.year + 1)
     mat, enc = FE.prepare(w, cfg, holidays=FE.holiday_weeks(years))
     return mat, enc
