@@ -67,3 +67,11 @@ class PrepConfig:
     week_origin: date = date(1995, 1, 2)   # first Monday of the panel
     drop_zero_demand: bool = True
     outlier_weeks: tuple[date, ...] = field(default_factory=tuple)
+    # price-line x regime dummies (pre_<line>, post_<line>) after this week start
+    shift_date: date | None = date(1998, 6, 29)
+    regime_lines: tuple[str, ...] = ("1-URGENT", "2-HIGH", "3-MEDIUM")
+    # per-column polynomial degrees on design columns, e.g. {"l_week_nr": 2}
+    powers: tuple[tuple[str, int], ...] = (("l_week_nr", 2), ("avg_unavailability_perc", 2))
+    # columns imputed into "<col>_m" with the max (or mean) of their valid values
+    impute: tuple[tuple[str, str], ...] = (("l_product_order_amt_t_1", "max"),
+                                            ("l_product_order_amt_t_2", "max"))

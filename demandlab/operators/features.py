@@ -105,14 +105,15 @@ def add_powers(df: DataFrame, degrees: Mapping[str, int]) -> DataFrame:
                            for c, d in degrees.items() for k in range(2, d + 1)})
 
 
-def impute(df: DataFrame, cols: Sequence[str], how: str = "max") -> DataFrame:
-    """NULL -> the column's max (or mean) over the valid values.
+def impute(df: DataFrame, cols: Sequence[str], how: str = "max", suffix: str = "") -> DataFrame:
+    """NULL -> the column's max (or mean) over the valid values (E6); written to
+    ``<col><suffix>`` (in place when the suffix is empty).
 
     One aggregate pass; the per-column statistics (one number each) become literals.
     """
     fn = {"max": F.max, "mean": F.avg, "min": F.min}[how]
     stats = df.agg(*[fn(c).alias(c) for c in cols]).first().asDict()
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(stats[c])) for c in cols})
+    return df.withColumns({c + suffix: F.coalesce(F.col(c), F.lit(stats[c]).cast("double")) for c in cols})
 
 
 def add_week_number(df: DataFrame, week_col: str, origin: date, name: str = "week_nr") -> DataFrame:
@@ -133,15 +134,19 @@ def add_holiday(df: DataFrame, week_col: str, holidays: Iterable[date], name: st
 def regime_dummies(df: DataFrame, week_col: str, shift: date, line_col: str,
                    lines: Sequence[str]) -> DataFrame:
     """Price-line x regime dummies: ``post<l>`` after the shift, ``<l>`` before it."""
-    post = (F.col(week_col) > F.lit(shift)).cast("int")
+    post = F.coalesce((F.col(week_col) > F.lit(shift)).cast("int"), F.lit(0))
     cols = {}
     for ln in lines:
-        is_l = (F.col(line_col) == F.lit(ln)).cast("int")
-        cols["post" + _safe(ln)] = post * is_l
-        cols[_safe(ln)] = is_l - post * is_l
+        is_l = F.coalesce((F.col(line_col) == F.lit(ln)).cast("int"), F.lit(0))
+        cols[regime_name("pre", ln)] = is_l - post * is_l
+        cols[regime_name("post", ln)] = post * is_l
     return df.withColumns(cols)
 
 
+def regime_name(kind: str, line: str) -> str:
+    return f"{kind}_{_safe(line)}"
+
+
 def _safe(s: str) -> str:
     return re.sub(r"[^0-9A-Za-z]+", "_", str(s)).strip("_")
 
@@ -256,7 +261,8 @@ def prepare(weekly: DataFrame, cfg: PrepConfig = PrepConfig(),
 
     fill 0 -> lags -> keep rows with the longest lag -> drop zero demand ->
     dummies (frozen encoder, fitted here unless given) -> week number ->
-    unavailability in percent -> logs -> holiday flag -> constant.
+    unavailability in percent -> logs -> regime dummies -> powers -> imputed
+    lag logs -> holiday flag -> constant.
     Returns the matrix and the encoder (reuse it on a later period, E7).
     With ``checkpoint`` the filtered rows are written once to the shared
     checkpoint folder: the encoder fit and the final projection read them
@@ -278,6 +284,22 @@ def prepare(weekly: DataFrame, cfg: PrepConfig = PrepConfig(),
     df = add_week_number(df, "week_start_date", cfg.week_origin)
     df = df.withColumn("avg_unavailability_perc", to_percent("avg_unavailability_perc"))
     df = add_logs(df, cfg.log_cols)
+    if cfg.shift_date is not None:
+        df = regime_dummies(df, "week_start_date", cfg.shift_date, "ppl", cfg.regime_lines)
+    if cfg.powers:
+        df = add_powers(df, dict(cfg.powers))
+    for how in sorted({h for _, h in cfg.impute}):
+        df = impute(df, [c for c, h in cfg.impute if h == how], how, suffix="_m")
     df = add_holiday(df, "week_start_date", holidays)
     df = add_const(df)
     return df, enc
+
+
+def design_columns(cfg: PrepConfig) -> list[str]:
+    """Names of the derived design columns ``prepare`` adds besides dummies and logs."""
+    out = []
+    if cfg.shift_date is not None:
+        out += [regime_name(k, ln) for ln in cfg.regime_lines for k in ("pre", "post")]
+    out += [power_name(c, k) for c, d in cfg.powers for k in range(2, d + 1)]
+    out += [c + "_m" for c, _ in cfg.impute]
+    return out

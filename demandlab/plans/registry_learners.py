@@ -132,3 +132,40 @@ QUERIES = {
     "residual_histogram": q_residual_histogram,
     "holdout_scores": q_holdout_scores,
 }
+
+
+def q_holdout_design(spark, d):
+    """Out-of-time holdout on the design matrix (R3, E7): the encoder is fitted on
+    the training weeks and frozen; the holdout weeks are prepared with it and
+    aligned to the training columns; linear first stages fitted on the training
+    Gram are scored on the holdout. Errors per target (y, d)."""
+    from demandlab.config import PrepConfig
+    from demandlab.operators.panel import daily_features, weekly
+    from demandlab.plans.panel_plan import warehouse
+    from demandlab.plans.registry import CFG
+    prep = PrepConfig()
+    w = weekly(daily_features(warehouse(spark, d), CFG), CFG)
+    cut = F.lit(CFG.holdout_start)
+    hol = FE.holiday_weeks(range(CFG.start.year, CFG.end.year + 1))
+    train, enc = FE.prepare(w.where(F.col("week_start_date") < cut), prep, holidays=hol)
+    hold, _ = FE.prepare(w.where(F.col("week_start_date") >= cut), prep, encoder=enc, holidays=hol)
+    hold = FE.align(hold, train.columns)
+    regime = [FE.regime_name(k, ln) for ln in prep.regime_lines for k in ("pre", "post")]
+    ppl_other = [c for c in enc.columns if c.startswith("ppl_") and
+                 not any(c == f"ppl_{FE._safe(ln)}" for ln in prep.regime_lines)]
+    xs = ([c for c in enc.columns if not c.startswith("ppl_")] + ppl_other + regime[1:] +
+          ["promo_dummy", "l_avg_high_temp", "avg_unavailability_perc", "week_nr", "holiday"])
+    g = gram(train, xs + ["l_product_order_amt", "l_avg_sell_price"])
+    ix = g.index(xs)
+    out = None
+    for t in ("l_product_order_amt", "l_avg_sell_price"):
+        b = linear.LinearLearner().coefficients(g.total(()), ix, g.index([t])[0], xs)
+        ct = spark.createDataFrame([tuple(float(v) for v in b)],
+                                   ", ".join(f"b_{i} double" for i in range(len(xs) + 1)))
+        sc = linear.apply_linear(hold, [], ct, xs, "_pred")
+        e = stats.errors(sc, t, "_pred").withColumn("target", F.lit(t))
+        out = e if out is None else out.unionByName(e)
+    return out
+
+
+QUERIES["holdout_design"] = q_holdout_design

@@ -121,7 +121,7 @@ def design_matrix(spark, d, cfg=PREP):
 
 def q_design_matrix(spark, d):
     mat, enc = design_matrix(spark, d)
-    return _round(mat.select(*DESIGN_COLS, *enc.columns))
+    return _round(mat.select(*DESIGN_COLS, *FE.design_columns(PREP), *enc.columns))
 
 
 # ------------------------------------------------------------------ oracles
@@ -165,7 +165,7 @@ SELECT p_type, 'd' AS term, b1 AS coef, sqrt(v11) AS se, b1/sqrt(v11) AS t, n FR
                ["coef", "se", "t"]))
 
 
-def _dml_chain(iv: bool) -> str:
+def _dml_chain(iv: bool, src: str = "reg", g: str = "p_type") -> str:
     tz = "AND z IS NOT NULL" if iv else ""
     zs = ", sum(z) AS sz, sum(x*z) AS sxz" if iv else ""
     ztot = ", sum(sz) OVER w - sz AS Tz, sum(sxz) OVER w - sxz AS Txz" if iv else ""
@@ -174,23 +174,23 @@ def _dml_chain(iv: bool) -> str:
     what = "z - (az + bz*x)" if iv else "d - (ad + bd*x)"
     mhat = "az + bz*x" if iv else "NULL"
     return f"""
-r0 AS (SELECT * FROM reg WHERE y IS NOT NULL AND d IS NOT NULL AND x IS NOT NULL {tz}),
-sf AS (SELECT p_type, fold, count(*) AS nf, sum(x) AS sx, sum(x*x) AS sxx, sum(y) AS sy, sum(x*y) AS sxy,
+r0 AS (SELECT * FROM {src} WHERE y IS NOT NULL AND d IS NOT NULL AND x IS NOT NULL {tz}),
+sf AS (SELECT {g}, fold, count(*) AS nf, sum(x) AS sx, sum(x*x) AS sxx, sum(y) AS sy, sum(x*y) AS sxy,
               sum(d) AS sd, sum(x*d) AS sxd {zs}
-       FROM r0 GROUP BY p_type, fold),
-lo AS (SELECT p_type, fold, sum(nf) OVER w - nf AS N, sum(sx) OVER w - sx AS Tx, sum(sxx) OVER w - sxx AS Txx,
+       FROM r0 GROUP BY {g}, fold),
+lo AS (SELECT {g}, fold, sum(nf) OVER w - nf AS N, sum(sx) OVER w - sx AS Tx, sum(sxx) OVER w - sxx AS Txx,
               sum(sy) OVER w - sy AS Ty, sum(sxy) OVER w - sxy AS Txy, sum(sd) OVER w - sd AS Td,
               sum(sxd) OVER w - sxd AS Txd {ztot}
-       FROM sf WINDOW w AS (PARTITION BY p_type)),
-cf AS (SELECT p_type, fold,
+       FROM sf WINDOW w AS (PARTITION BY {g})),
+cf AS (SELECT {g}, fold,
               (N*Txy - Tx*Ty)/(N*Txx - Tx*Tx) AS by_, (Ty - (N*Txy - Tx*Ty)/(N*Txx - Tx*Tx)*Tx)/N AS ay,
               (N*Txd - Tx*Td)/(N*Txx - Tx*Tx) AS bd, (Td - (N*Txd - Tx*Td)/(N*Txx - Tx*Tx)*Tx)/N AS ad {zfit}
        FROM lo),
 res AS (SELECT r0.*, ay + by_*x AS lhat, ad + bd*x AS rhat, {mhat} AS mhat,
                y - (ay + by_*x) AS u, d - (ad + bd*x) AS v, {what} AS w
-        FROM r0 JOIN cf ON r0.p_type = cf.p_type AND r0.fold = cf.fold),
-agg AS (SELECT p_type, count(*) AS n, sum(u*w) AS suw, sum(v*w) AS svw, sum(u*u*w*w) AS suuww,
-               sum(u*v*w*w) AS suvww, sum(v*v*w*w) AS svvww FROM res GROUP BY p_type),
+        FROM r0 JOIN cf ON r0.{g} = cf.{g} AND r0.fold = cf.fold),
+agg AS (SELECT {g}, count(*) AS n, sum(u*w) AS suw, sum(v*w) AS svw, sum(u*u*w*w) AS suuww,
+               sum(u*v*w*w) AS suvww, sum(v*v*w*w) AS svvww FROM res GROUP BY {g}),
 th AS (SELECT *, suw/svw AS theta,
               sqrt(((suuww - 2*(suw/svw)*suvww + (suw/svw)*(suw/svw)*svvww)/n) / (n*(svw/n)*(svw/n))) AS se
        FROM agg)"""
@@ -204,6 +204,44 @@ SELECT p_type, '{name}' AS learner, theta, se, theta/se AS t, theta - {dml.Z975}
     return _w(_r(body, ["theta", "se", "t", "ci_lo", "ci_hi"]))
 
 
+EXCLUDED = "PROMO"
+
+
+def _dml_excluding_sql() -> str:
+    body = f"""SELECT * FROM (WITH reg2 AS (SELECT *, 'all' AS grp FROM reg WHERE p_type <> '{EXCLUDED}'),
+{_dml_chain(True, "reg2", "grp")}
+SELECT 'pliv[linear,linear,linear]' AS learner, theta, se, theta/se AS t, theta - {dml.Z975}*se AS ci_lo,
+       theta + {dml.Z975}*se AS ci_hi, n FROM th) q0"""
+    return _w(_r(body, ["theta", "se", "t", "ci_lo", "ci_hi"]))
+
+
+def q_dml_pliv_excluding(spark, d):
+    """PLIV on all categories but one (P10), one pooled estimate."""
+    df = FE.exclude(_reg(spark, d), BY, EXCLUDED)
+    return _round(dml.dml_pliv(df, "y", "d", "z", X, fold="fold").table.drop("p"))
+
+
+def q_profile(spark, d):
+    """Row and column count of the regression panel."""
+    df = _reg(spark, d)
+    return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_cols", F.lit(len(df.columns)))
+
+
+def q_weekly_csv(spark, d):
+    """Weekly panel through the CSV sink and source (S5, S6): written with a
+    header under the shared checkpoint folder, read back with an explicit schema."""
+    import os
+    import uuid
+    from demandlab.plans.panel_plan import warehouse
+    from demandlab.plans.registry import CFG, rounded
+    from demandlab.session import ensure_checkpoint_dir
+    from demandlab.sources.io import read_panel_csv, write_panel
+    w = rounded(weekly(daily_features(warehouse(spark, d), CFG), CFG))
+    path = os.path.join(ensure_checkpoint_dir(spark), "csv", uuid.uuid4().hex)
+    write_panel(w, path, fmt="csv")
+    return read_panel_csv(spark, path, w.schema)
+
+
 FIRST_STAGE_SQL = _w(_r(f"""SELECT * FROM (WITH {_dml_chain(True)}
 SELECT p_type, count(*) AS n, avg(power(y - lhat, 2)) AS mse, sqrt(avg(power(y - lhat, 2))) AS rmse,
        sqrt(avg(power(y - lhat, 2))) / avg(y) AS rel_rmse, 'l' AS slot FROM res GROUP BY p_type
@@ -253,6 +291,14 @@ def _design_sql() -> str:
             dummies.append(f"CAST(coalesce(CAST({col} AS VARCHAR) = '{v}', false) AS INTEGER) AS "
                            f"{FE.dummy_name(col, v)}")
     logs = ", ".join(f"CASE WHEN {c} > 0 THEN ln({c}) END AS l_{c}" for c in PREP.log_cols)
+    post = f"CAST(coalesce(week_start_date > DATE '{PREP.shift_date}', false) AS INTEGER)"
+    extra = []
+    for ln in PREP.regime_lines:
+        is_l = f"CAST(coalesce(ppl = '{ln}', false) AS INTEGER)"
+        extra += [f"{is_l} - {post} * {is_l} AS {FE.regime_name('pre', ln)}",
+                  f"{post} * {is_l} AS {FE.regime_name('post', ln)}"]
+    extra += [f"power({c}, {k}) AS {FE.power_name(c, k)}" for c, dg in PREP.powers for k in range(2, dg + 1)]
+    extra += [f"coalesce({c}, {h}({c}) OVER ()) AS {c}_m" for c, h in PREP.impute]
     body = f"""SELECT * FROM (WITH wk AS ({WEEKLY_SQL}),
 f0 AS (SELECT * REPLACE (coalesce(product_order_amt, 0) AS product_order_amt,
                          coalesce(avg_unavailability_perc, 0) AS avg_unavailability_perc) FROM wk),
@@ -269,10 +315,13 @@ f4 AS (SELECT * REPLACE (avg_unavailability_perc * 100.0 AS avg_unavailability_p
 f5 AS (SELECT *, {logs},
          CAST(coalesce(week_start_date IN ({holidays}), false) AS INTEGER) AS holiday, 1.0 AS const,
          {", ".join(dummies)}
-       FROM f4)
-SELECT {", ".join(DESIGN_COLS)}, {", ".join(d.split(" AS ")[-1] for d in dummies)} FROM f5) q0"""
+       FROM f4),
+f6 AS (SELECT *, {", ".join(extra)} FROM f5)
+SELECT {", ".join(DESIGN_COLS)}, {", ".join(FE.design_columns(PREP))},
+       {", ".join(d.split(" AS ")[-1] for d in dummies)} FROM f6) q0"""
     dbl = [c for c in DESIGN_COLS if c.startswith("l_")] + ["avg_unavailability_perc", "art_content_volume",
-                                                            "week_nr", "const"]
+                                                            "week_nr", "const"] + \
+        [c for c in FE.design_columns(PREP) if not c.startswith(("pre_", "post_"))]
     return with_panel(_r(body, dbl))
 
 
@@ -291,6 +340,9 @@ QUERIES = {
     "non_finite": q_non_finite,
     "split": q_split,
     "design_matrix": q_design_matrix,
+    "dml_pliv_excluding": q_dml_pliv_excluding,
+    "profile": q_profile,
+    "weekly_csv": q_weekly_csv,
 }
 
 
@@ -310,4 +362,12 @@ def oracle_sql() -> dict[str, str]:
         "non_finite": NONFINITE_SQL,
         "split": _w("SELECT p_brand, p_type, week, ppl, fold, is_test FROM reg"),
         "design_matrix": _design_sql(),
+        "dml_pliv_excluding": _dml_excluding_sql(),
+        "profile": _w("SELECT count(*) AS n_rows, 12 AS n_cols FROM reg"),
+        "weekly_csv": _weekly_sql(),
     }
+
+
+def _weekly_sql() -> str:
+    from demandlab.plans.registry import _panel_sql
+    return _panel_sql()["weekly"]

@@ -41,6 +41,7 @@ def test_align_powers_impute(spark):
     assert (p[1].x_pow2, p[1].x_pow3) == (4.0, 8.0)
     assert [r.y for r in FE.impute(df, ["y"], "max").orderBy("x").collect()] == [4.0, 4.0]
     assert [r.y for r in FE.impute(df, ["y"], "mean").orderBy("x").collect()] == [4.0, 4.0]
+    assert [r.y_m for r in FE.impute(df, ["y"], "max", suffix="_m").orderBy("x").collect()] == [4.0, 4.0]
 
 
 def test_logs_const_rename(spark):
@@ -60,4 +61,4 @@ def test_regime_dummies(spark):
     df = spark.createDataFrame([(date(2021, 1, 4), "P1"), (date(2021, 7, 5), "P1"), (date(2021, 7, 5), "P2")],
                                "w date, p string")
     out = FE.regime_dummies(df, "w", date(2021, 6, 20), "p", ["P1", "P2"]).collect()
-    assert [(r.P1, r.postP1, r.P2, r.postP2) for r in out] == [(1, 0, 0, 0), (0, 1, 0, 0), (0, 0, 0, 1)]
+    assert [(r.pre_P1, r.post_P1, r.pre_P2, r.post_P2) for r in out] == [(1, 0, 0, 0), (0, 1, 0, 0), (0, 0, 0, 1)]
