@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -30,15 +30,26 @@ def unique_values(df: DataFrame, col: str) -> DataFrame:
 
 def describe_by(df: DataFrame, cols: Sequence[str], by=None) -> DataFrame:
     """count, mean, std (sample), min, 25/50/75 % (exact, linear), max per group
-    and column (A11). Long output: (by..., column, statistic...)."""
+    and column (A11). Long output: (by..., column, statistic...).
+
+    Moments come from one aggregate pass; the quartiles from ``exact_quantiles``
+    (bracketing rounds), so no group is ever gathered in one task.
+    """
     keys = _by(by)
     stacked = df.select(*keys, F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])).alias("s"))
-    v = F.col("s.v")
-    return stacked.groupBy(*keys, F.col("s.column").alias("column")).agg(
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])).alias("s")) \
+        .select(*keys, F.col("s.column").alias("column"), F.col("s.v").alias("v"))
+    v = F.col("v")
+    moments = stacked.groupBy(*keys, "column").agg(
         F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"), F.percentile(v, 0.25).alias("p25"), F.percentile(v, 0.5).alias("p50"),
-        F.percentile(v, 0.75).alias("p75"), F.max(v).alias("max"))
+        F.min(v).alias("min"), F.max(v).alias("max"))
+    qk = keys + ["column"]
+    qt = exact_quantiles(stacked, "v", [0.25, 0.5, 0.75], by=qk)
+    wide = qt.groupBy(*qk).agg(*[F.max(F.when(F.col("q") == q, F.col("value"))).alias(n)
+                                 for q, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
+    m = moments.select(*[F.col(k).cast("string").alias(k) for k in qk], "count", "mean", "std", "min", "max")
+    out = m.join(wide, qk, "left")
+    return out.select(*qk, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def non_finite(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -88,3 +99,115 @@ def column_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """max / min / mean per column, the inputs of imputation."""
     return df.agg(*[f(c).alias(f"{n}_{c}") for c in cols
                     for n, f in (("max", F.max), ("min", F.min), ("mean", F.avg))])
+
+
+# ---------------------------------------------------------------- exact quantiles
+
+MAX_GROUPS = 100_000
+
+
+def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], by=None, grid: int = 100,
+                    accuracy: int = 10_000, max_bracket: int = 20_000, max_rounds: int = 30) -> DataFrame:
+    """Exact quantiles with linear interpolation (the pandas / SQL ``quantile_cont``
+    rule, h = (n - 1) q) per group, without gathering a group in one task.
+
+    Each (group, q) keeps a value bracket that provably holds the order
+    statistics it needs (exact counts below / inside). A round sketches the
+    rows inside the brackets at a fixed probability grid (``percentile_approx``,
+    bounded memory), then counts the rows of every sub-bracket exactly and keeps
+    the sub-brackets holding the target ranks: each round shrinks a bracket by
+    about grid / 2, whatever the value distribution. When at most
+    ``max_bracket`` distinct values remain, the (value, count) pairs are ranked
+    in a window bounded by that size. Output: (by..., q, value).
+    """
+    keys = _by(by)
+    spark = df.sparkSession
+    base = (df.select(*keys, F.col(col).cast("double").alias("_v"))
+              .where(F.col("_v").isNotNull() & ~F.isnan("_v")))
+    gk = [F.col(k).cast("string").alias(f"_g{i}") for i, k in enumerate(keys)]
+    gcols = [f"_g{i}" for i in range(len(keys))]
+    base = base.select(*gk, "_v")
+    counts = base.groupBy(*gcols).agg(F.count(F.lit(1)).alias("n")).limit(MAX_GROUPS + 1).collect()
+    if len(counts) > MAX_GROUPS:
+        raise ValueError("too many groups")
+    # bracket state per (group, q): [a, b] inclusive, below = rows < a, inside = rows in [a, b]
+    state = {}
+    for r in counts:
+        g = tuple(r[c] for c in gcols)
+        for qi, q in enumerate(qs):
+            h = (r.n - 1) * q
+            lo = int(h // 1)
+            state[(g, qi)] = dict(a=float("-inf"), b=float("inf"), below=0, inside=r.n,
+                                  lo=lo, hi=min(lo + 1, r.n - 1) if h > lo else lo, frac=h - lo, n=r.n)
+    probs = [i / grid for i in range(grid + 1)]
+    schema = ", ".join([f"{g} string" for g in gcols] + ["_q int", "_a double", "_b double"])
+    for _ in range(max_rounds):
+        open_ = {k: s for k, s in state.items() if s["inside"] > max_bracket}
+        if not open_:
+            break
+        br = spark.createDataFrame([(*g, qi, s["a"], s["b"]) for (g, qi), s in open_.items()], schema)
+        inside = _in_brackets(base, br, gcols)
+        sk = inside.groupBy(*gcols, "_q").agg(F.percentile_approx("_v", probs, accuracy).alias("_p")).collect()
+        cuts = {(tuple(r[c] for c in gcols), r["_q"]): sorted(set(r["_p"])) for r in sk}
+        # exact counts per sub-bracket: index = number of cuts strictly below the value
+        cut_rows = [(*g, qi, [float(x) for x in cuts.get((g, qi), [])]) for (g, qi) in open_]
+        cdf = spark.createDataFrame(cut_rows, ", ".join([f"{g} string" for g in gcols] + ["_q int", "_cuts array<double>"]))
+        sub = (inside.join(F.broadcast(cdf), gcols + ["_q"])
+               .select(*gcols, "_q", "_v", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))).alias("_i")))
+        hist = sub.groupBy(*gcols, "_q", "_i").agg(F.count(F.lit(1)).alias("c"), F.min("_v").alias("vmin"),
+                                                   F.max("_v").alias("vmax")).collect()
+        per = {}
+        for r in hist:
+            per.setdefault((tuple(r[c] for c in gcols), r["_q"]), []).append((r["_i"], r["c"], r["vmin"], r["vmax"]))
+        progressed = False
+        for k, s in open_.items():
+            parts = sorted(per.get(k, []))
+            run, pick = s["below"], []
+            for i, c, vmin, vmax in parts:
+                first, last = run, run + c - 1
+                if last >= s["lo"] and first <= s["hi"]:
+                    pick.append((i, c, vmin, vmax, first))
+                run += c
+            if not pick:
+                continue
+            new_inside = sum(p[1] for p in pick)
+            if new_inside < s["inside"]:
+                progressed = True
+            s.update(a=pick[0][2], b=pick[-1][3], below=pick[0][4], inside=new_inside)
+            if pick[0][2] == pick[-1][3]:
+                s["inside"] = 0   # one distinct value: done
+                s["value_lo"] = s["value_hi"] = pick[0][2]
+        if not progressed:
+            break
+    # final selection on (value, count) pairs inside each bracket, bounded window
+    todo = {k: s for k, s in state.items() if "value_lo" not in s}
+    out_rows = {k: (s["value_lo"], s["value_hi"]) for k, s in state.items() if "value_lo" in s}
+    if todo:
+        br = spark.createDataFrame([(*g, qi, s["a"], s["b"]) for (g, qi), s in todo.items()], schema)
+        pairs = _in_brackets(base, br, gcols).groupBy(*gcols, "_q", "_v").agg(F.count(F.lit(1)).alias("c"))
+        w = Window.partitionBy(*gcols, "_q").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+        ranked = pairs.withColumn("_cum", F.sum("c").over(w))
+        tgt = spark.createDataFrame([(*g, qi, int(s["below"]), int(s["lo"]), int(s["hi"])) for (g, qi), s in todo.items()],
+                                    ", ".join([f"{g} string" for g in gcols] + ["_q int", "_below long", "_lo long", "_hi long"]))
+        r = ranked.join(F.broadcast(tgt), gcols + ["_q"])
+        start = F.col("_below") + F.col("_cum") - F.col("c")          # rank of the first copy
+        end = F.col("_below") + F.col("_cum") - 1
+        sel = r.groupBy(*gcols, "_q").agg(
+            F.min(F.when((start <= F.col("_lo")) & (end >= F.col("_lo")), F.col("_v"))).alias("vlo"),
+            F.min(F.when((start <= F.col("_hi")) & (end >= F.col("_hi")), F.col("_v"))).alias("vhi")).collect()
+        for row in sel:
+            out_rows[(tuple(row[c] for c in gcols), row["_q"])] = (row["vlo"], row["vhi"])
+    res = []
+    for (g, qi), (vlo, vhi) in out_rows.items():
+        s = state[(g, qi)]
+        val = vlo if vhi is None or s["frac"] == 0 else vlo + s["frac"] * (vhi - vlo)
+        res.append((*g, float(qs[qi]), None if val is None else float(val)))
+    out = spark.createDataFrame(res, ", ".join([f"{g} string" for g in gcols] + ["q double", "value double"]))
+    return out.select(*[F.col(f"_g{i}").alias(k) for i, k in enumerate(keys)], "q", "value")
+
+
+def _in_brackets(base: DataFrame, br: DataFrame, gcols: list[str]) -> DataFrame:
+    """Rows of ``base`` inside their group's brackets, one row per (row, q) hit.
+    The bracket table holds one row per (group, q): bounded, broadcast."""
+    j = base.join(F.broadcast(br), gcols) if gcols else base.crossJoin(F.broadcast(br))
+    return j.where((F.col("_v") >= F.col("_a")) & (F.col("_v") <= F.col("_b"))).select(*gcols, "_q", "_v")

@@ -62,3 +62,13 @@ def test_regime_dummies(spark):
                                "w date, p string")
     out = FE.regime_dummies(df, "w", date(2021, 6, 20), "p", ["P1", "P2"]).collect()
     assert [(r.pre_P1, r.post_P1, r.pre_P2, r.post_P2) for r in out] == [(1, 0, 0, 0), (0, 1, 0, 0), (0, 0, 0, 1)]
+
+
+def test_filters_and_casts(spark):
+    df = spark.createDataFrame([("a", 0.1, 1), ("b", 0.3, 2), (None, 0.2, 3)], "c string, u double, k int")
+    assert FE.below(df, "u", 0.25).count() == 2
+    assert sorted(str(r.c) for r in FE.exclude(df, "c", "a").collect()) == ["None", "b"]
+    assert FE.rename(df, {"u": "unav"}).columns == ["c", "unav", "k"]
+    assert dict(FE.to_string(df, ["k"]).dtypes)["k"] == "string"
+    assert FE.fill_zero(df.withColumn("u", F.lit(None).cast("double")), ["u"]).first().u == 0.0
+    assert FE.week_number_from_log(spark.createDataFrame([(0.6931471805599453,)], "l double"), "l").first().week_nr == 2.0

@@ -44,3 +44,20 @@ def test_value_counts_non_finite(spark):
     assert stats.non_finite(df, ["v"]).first().v == 2
     cs = stats.column_stats(spark.createDataFrame([(1.0,), (3.0,)], "v double"), ["v"]).first()
     assert (cs.max_v, cs.min_v, cs.mean_v) == (3.0, 1.0, 2.0)
+
+
+def test_exact_quantiles_hot_group_ties_and_rounds(spark):
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(0)
+    n = 20000
+    g = np.where(rng.random(n) < 0.34, "hot", np.array(["a", "b"])[rng.integers(0, 2, n)])
+    v = np.concatenate([rng.lognormal(size=n // 2), np.round(rng.normal(size=n - n // 2), 1)])
+    v[rng.random(n) < 0.01] = np.nan
+    pdf = pd.DataFrame({"g": g, "v": v})
+    res = stats.exact_quantiles(spark.createDataFrame(pdf), "v", [0.0, 0.25, 0.5, 0.333, 1.0], by="g",
+                                max_bracket=50).collect()
+    assert len(res) == 15
+    for r in res:
+        ref = pdf[pdf.g == r.g].v.dropna().quantile(r.q)
+        assert r.value == pytest.approx(ref, rel=1e-12, abs=1e-12)
