@@ -161,17 +161,23 @@ def bootstrap(result: DMLResult, key: Sequence[str], n_boot: int = 500, seed: in
     keys = _by(by)
     summ = result.table
     res = result.residuals.where(F.col("_u").isNotNull() & F.col("_v").isNotNull() & F.col("_w").isNotNull())
-    joined = res.join(F.broadcast(summ.select(*keys, "theta", "se", "n")), keys) if keys else \
-        res.crossJoin(F.broadcast(summ.select("theta", "se", "n")))
+    # per-group theta, se, n and J (one row per group, bounded and checked) joined by
+    # broadcast; without groups they are literals
+    jt = res.groupBy(*keys).agg(F.avg(F.col("_v") * F.col("_w")).alias("_J"))
+    par = summ.select(*keys, "theta", "se", "n").join(jt, keys) if keys else None
+    if keys:
+        if par.limit(MAX_CELLS + 1).count() > MAX_CELLS:
+            raise ValueError("too many groups for the bootstrap")
+        joined = res.join(F.broadcast(par), keys)
+    else:
+        s0, j0 = summ.first(), jt.first()
+        joined = res.withColumns({"theta": F.lit(s0["theta"]), "se": F.lit(s0["se"]),
+                                  "n": F.lit(s0["n"]), "_J": F.lit(j0["_J"])})
     scaled = joined.select(
         *[F.col(k).cast("string").alias(f"_g{i}") for i, k in enumerate(keys)],
         F.xxhash64(*[F.col(k) for k in key], F.lit(seed)).alias("_h"),
         ((F.col("_u") - F.col("theta") * F.col("_v")) * F.col("_w")).alias("_psi"),
-        "theta", "se", "n")
-    # J * n * se per group, needed to scale: J = svw / n -> recompute from residual sums
-    jt = res.groupBy(*keys).agg(F.avg(F.col("_v") * F.col("_w")).alias("_J"))
-    scaled = (scaled.join(F.broadcast(jt.select(*[F.col(k).cast("string").alias(f"_g{i}") for i, k in enumerate(keys)], "_J")),
-                          [f"_g{i}" for i in range(len(keys))]) if keys else scaled.crossJoin(F.broadcast(jt)))
+        "theta", "se", "n", "_J")
     gcols = [f"_g{i}" for i in range(len(keys))]
     schema = ", ".join([f"{g} string" for g in gcols] + ["b int", "s double"])
     B = int(n_boot)
@@ -197,7 +203,11 @@ def bootstrap(result: DMLResult, key: Sequence[str], n_boot: int = 500, seed: in
                                   F.percentile(F.abs("t"), 0.95).alias("q95"))
     q = q.select(*[F.col(f"_g{i}").alias(k) for i, k in enumerate(keys)], "n_boot", "q95")
     s2 = summ.select(*[F.col(k).cast("string").alias(k) for k in keys], "learner", "theta", "se")
-    out = s2.join(q, keys) if keys else s2.crossJoin(q)
+    if not keys:
+        s0, q0 = s2.first(), q.first()
+        out = s2.withColumns({"n_boot": F.lit(q0["n_boot"]), "q95": F.lit(q0["q95"])})
+    else:
+        out = s2.join(q, keys)
     return out.select(*keys, "learner", "n_boot", "q95",
                       (F.col("theta") - F.col("q95") * F.col("se")).alias("ci_lo_boot"),
                       (F.col("theta") + F.col("q95") * F.col("se")).alias("ci_hi_boot"))

@@ -45,12 +45,18 @@ def apply_linear(df: DataFrame, by: list[str], coefs: DataFrame, features: Seque
     conds = [F.col(b).cast("string").eqNullSafe(F.col(f"_c._g{i}")) for i, b in enumerate(by)]
     if fold:
         conds.append(F.col(fold) == F.col("_c._fold"))
+    if not conds:
+        # one coefficient row (driver-built, k numbers): plain literals, no join
+        row = coefs.first()
+        pred = F.lit(float(row["b_0"])) if intercept else F.lit(0.0)
+        for i, x in enumerate(features, start=1):
+            pred = pred + F.lit(float(row[f"b_{i}"])) * F.col(x)
+        return df.withColumn(out, pred)
     c = F.broadcast(coefs.alias("_c"))
-    j = df.join(c, on=_and(conds), how="left") if conds else df.crossJoin(c)
+    j = df.join(c, on=_and(conds), how="left")
     pred = F.col("_c.b_0") if intercept else F.lit(0.0)
     for i, x in enumerate(features, start=1):
         pred = pred + F.col(f"_c.b_{i}") * F.col(x)
-    keep = [F.col(f"`{n}`") if "." not in n else F.col(n) for n in df.columns]
     return j.select(*[df[n] for n in df.columns], pred.alias(out))
 
 

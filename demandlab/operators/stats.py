@@ -209,5 +209,11 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], by=None, grid:
 def _in_brackets(base: DataFrame, br: DataFrame, gcols: list[str]) -> DataFrame:
     """Rows of ``base`` inside their group's brackets, one row per (row, q) hit.
     The bracket table holds one row per (group, q): bounded, broadcast."""
-    j = base.join(F.broadcast(br), gcols) if gcols else base.crossJoin(F.broadcast(br))
+    if not gcols:
+        # no groups: the few (q, a, b) brackets become literals, no join
+        lits = [F.struct(F.lit(r["_q"]).alias("_q"), F.lit(r["_a"]).alias("_a"), F.lit(r["_b"]).alias("_b"))
+                for r in br.collect()]
+        j = base.select("_v", F.explode(F.array(*lits)).alias("_br")).select("_v", "_br.*")
+    else:
+        j = base.join(F.broadcast(br), gcols)
     return j.where((F.col("_v") >= F.col("_a")) & (F.col("_v") <= F.col("_b"))).select(*gcols, "_q", "_v")
