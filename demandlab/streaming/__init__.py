@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The modelled workload is batch only: warehouse tables and CSV panels are read
+whole, there is no event stream, watermark, window state or late data anywhere
+in it. Nothing here would correspond to an existing capability, so no
+Structured Streaming operator is provided. Incremental refreshes of the panel
+are plain batch re-runs of ``plans.panel_plan`` over a new period.
+"""
