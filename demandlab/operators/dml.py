@@ -59,29 +59,45 @@ def out_of_fold(df: DataFrame, x: Sequence[str], targets: dict, fold: str = "fol
     return out
 
 
-def _ml_out_of_fold(df: DataFrame, x, target, estimator, out_col, fold, keys) -> DataFrame:
-    """Refit a Spark ML regressor per fold (and group) and predict the held-out fold."""
+ML_PARALLELISM = 4   # concurrent Spark ML fits (each fit is itself distributed)
+
+
+def _ml_out_of_fold(df: DataFrame, x, target, estimator, out_col, fold, keys,
+                    parallelism: int = ML_PARALLELISM) -> DataFrame:
+    """Refit a Spark ML regressor per fold (and group) and predict the held-out fold.
+
+    The input is checkpointed once to the shared folder (every refit re-reads
+    it); the (group, fold) fits are submitted from a bounded thread pool.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
     from pyspark.ml.feature import VectorAssembler
+
     from demandlab.session import ensure_checkpoint_dir
     va = VectorAssembler(inputCols=list(x), outputCol="_features", handleInvalid="keep")
     ensure_checkpoint_dir(df.sparkSession)
-    # every fold refit re-reads the same rows: cut the lineage once (shared checkpoint folder)
     base = va.transform(df).checkpoint(eager=True)
     folds = [r[0] for r in df.select(fold).distinct().limit(1001).collect()]
     groups = [tuple(r) for r in df.select(*keys).distinct().limit(MAX_CELLS + 1).collect()] if keys else [()]
     if len(groups) > MAX_CELLS or len(folds) > 1000:
         raise ValueError("too many groups or folds for per-fold refits")
-    parts = []
-    for g in groups:
-        gcond = F.lit(True)
+
+    def group_frame(g):
+        cond = F.lit(True)
         for k, v in zip(keys, g):
-            gcond = gcond & (F.col(k).eqNullSafe(F.lit(v)))
-        gdf = base.where(gcond)
-        for f in folds:
-            train = gdf.where((F.col(fold) != f) & F.col(target).isNotNull())
-            est = estimator.copy().setFeaturesCol("_features").setLabelCol(target).setPredictionCol(out_col)
-            model = est.fit(train)
-            parts.append(model.transform(gdf.where(F.col(fold) == f)).drop("_features"))
+            cond = cond & (F.col(k).eqNullSafe(F.lit(v)))
+        return base.where(cond)
+
+    def fit_one(gf):
+        g, f = gf
+        gdf = group_frame(g)
+        train = gdf.where((F.col(fold) != f) & F.col(target).isNotNull())
+        est = estimator.copy().setFeaturesCol("_features").setLabelCol(target).setPredictionCol(out_col)
+        return est.fit(train).transform(gdf.where(F.col(fold) == f)).drop("_features")
+
+    tasks = [(g, f) for g in groups for f in sorted(folds)]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        parts = list(pool.map(fit_one, tasks))
     res = parts[0]
     for p in parts[1:]:
         res = res.unionByName(p)

@@ -169,3 +169,13 @@ def q_holdout_design(spark, d):
 
 
 QUERIES["holdout_design"] = q_holdout_design
+
+
+def q_dml_plr_forest_by_category(spark, d):
+    """PLR with forests per category (M11 with tree learners): categories x folds
+    x slots Spark ML fits from a bounded thread pool."""
+    rf = trees.rf(trees=10, frac=0.65, max_depth=4)
+    return dml.dml_plr(_panel(spark, d), "y", "d", XT, rf, rf, fold="fold", by=BY).table
+
+
+QUERIES["dml_plr_forest_by_category"] = q_dml_plr_forest_by_category
