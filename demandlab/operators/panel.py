@@ -38,6 +38,20 @@ def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+# target rows per task on the dense (article x day x line) side
+DENSE_ROWS_PER_PARTITION = 2_000_000
+
+
+def dense_partitions(dm_article: DataFrame, cfg: PanelConfig, n_lines: int) -> int:
+    """Partition count for the generated panel, sized by its row count:
+    assortment articles (one count over the article dimension) x period days
+    x lines / ``DENSE_ROWS_PER_PARTITION``, at least ``spark.sql.shuffle.partitions``.
+    The dense side and every sparse side joined to it use this same count."""
+    n_art = select_articles(dm_article, cfg).count()
+    rows = n_art * cfg.period_days * max(n_lines, 1)
+    return max(_partitions(dm_article), -(-rows // DENSE_ROWS_PER_PARTITION))
+
+
 def _bounded_broadcast(df: DataFrame, bound_rows: int) -> DataFrame:
     """Broadcast only when a proven upper bound on the rows is small; else leave
     the choice to the planner / AQE (which re-plans on measured sizes)."""
@@ -95,9 +109,10 @@ def price_lines(ft_price: DataFrame, cfg: PanelConfig) -> list[str]:
     return sorted(r.ppl for r in rows)
 
 
-def _days_of(articles: DataFrame, cfg: PanelConfig, calendar: DataFrame) -> DataFrame:
+def _days_of(articles: DataFrame, cfg: PanelConfig, calendar: DataFrame,
+             partitions: int | None = None) -> DataFrame:
     """Article rows x calendar days of the period, generated per article."""
-    n = _partitions(articles)
+    n = partitions or _partitions(articles)
     days = F.explode(F.sequence(F.lit(cfg.start), F.lit(cfg.end))).alias("date")
     gen = articles.repartition(n, "key_article").select("*", days)
     cal = _bounded_broadcast(calendar, cfg.period_days)
@@ -105,13 +120,13 @@ def _days_of(articles: DataFrame, cfg: PanelConfig, calendar: DataFrame) -> Data
 
 
 def skeleton(dm_article: DataFrame, dm_date: DataFrame, lines: list[str],
-             cfg: PanelConfig) -> DataFrame:
+             cfg: PanelConfig, partitions: int | None = None) -> DataFrame:
     """Gap-free panel index: assortment articles x period days x price lines.
 
     Columns: key_article, key_date, key_week, date, ppl.
     """
     arts = select_articles(dm_article, cfg)
-    ad = _days_of(arts, cfg, period_dates(dm_date, cfg))
+    ad = _days_of(arts, cfg, period_dates(dm_date, cfg), partitions)
     ppl = F.explode(F.array(*[F.lit(x) for x in lines])).alias("ppl")
     return ad.select("key_article", "key_date", "key_week", "date", ppl)
 
@@ -205,14 +220,14 @@ def latest_price_per_day(ft_price: DataFrame, cfg: PanelConfig,
 
 
 def prices(skel: DataFrame, ft_price: DataFrame, cfg: PanelConfig,
-           articles: DataFrame | None = None) -> DataFrame:
+           articles: DataFrame | None = None, partitions: int | None = None) -> DataFrame:
     """Skeleton rows with the line price in force.
 
     price_in_cents_ppl = line price (NULL on the default line);
     price_in_cents_default = the default line's own price on default rows.
     """
     lp = latest_price_per_day(ft_price, cfg, articles)
-    lp = lp.repartition(_partitions(lp), "key_article").hint("shuffle_hash")
+    lp = lp.repartition(partitions or _partitions(lp), "key_article").hint("shuffle_hash")
     j = skel.join(lp, ["key_article", "ppl", "date"], "left")
     is_def = F.col("ppl") == F.lit(cfg.default_line)
     return j.select(
@@ -222,11 +237,11 @@ def prices(skel: DataFrame, ft_price: DataFrame, cfg: PanelConfig,
 
 
 def default_prices(skel: DataFrame, ft_price: DataFrame, cfg: PanelConfig,
-                   articles: DataFrame | None = None) -> DataFrame:
+                   articles: DataFrame | None = None, partitions: int | None = None) -> DataFrame:
     """Skeleton rows with the default line's price in force, whatever the row's line."""
     lp = (latest_price_per_day(ft_price, cfg, articles).where(F.col("ppl") == F.lit(cfg.default_line))
           .select("key_article", "date", F.col("price_in_cents").alias("price_in_cents_default")))
-    lp = lp.repartition(_partitions(lp), "key_article").hint("shuffle_hash")
+    lp = lp.repartition(partitions or _partitions(lp), "key_article").hint("shuffle_hash")
     return skel.join(lp, ["key_article", "date"], "left").select(
         *[F.col(c) for c in skel.columns], "price_in_cents_default")
 
@@ -299,14 +314,14 @@ def daily_features(wh, cfg: PanelConfig, lines: list[str] | None = None) -> Data
     """
     lines = lines if lines is not None else price_lines(wh.ft_price, cfg)
     sell_lines = [x for x in lines if x != cfg.default_line]
-    n = None
 
     # dense side: assortment articles with attributes x period days, weather on the calendar
     arts = assortment(wh.dm_article, cfg)
     attrs = article_attributes(arts)
     cal = period_dates(wh.dm_date, cfg).join(weather(wh.dm_weather_daily, wh.dm_date, cfg),
                                               "key_date", "left")
-    dense = _days_of(attrs, cfg, cal)
+    n = dense_partitions(wh.dm_article, cfg, len(sell_lines))
+    dense = _days_of(attrs, cfg, cal, n)
 
     # sparse side, (article, day, line) grain: order rate and line price in force
     keys = arts.select("key_article")
@@ -348,7 +363,6 @@ def daily_features(wh, cfg: PanelConfig, lines: list[str] | None = None) -> Data
                                  F.col("unavailability_perc").alias("unav"), nul_l.alias("defp")))
         .unionByName(defp.select("key_article", "key_date", F.lit(None).alias("e"), nul_i.alias("promo"),
                                  nul_d.alias("unav"), F.col("line_price").alias("defp"))))
-    n = _partitions(facts)
     facts = (facts.repartition(n, "key_article")
              .groupBy("key_article", "key_date")
              .agg(F.map_from_entries(F.filter(F.collect_list("e"), lambda x: x.isNotNull())).alias("m"),
@@ -447,6 +461,6 @@ def weekly(daily: DataFrame, cfg: PanelConfig | None = None, checkpoint: bool =
 __all__ = [
     "assortment", "select_articles", "article_attributes", "period_dates", "price_lines",
     "skeleton", "orders_per_line", "aor", "latest_price_per_day", "prices", "default_prices",
-    "promo_days", "unavailability", "weather", "daily_features", "weekly", "DAILY_COLUMNS",
+    "promo_days", "unavailability", "weather", "daily_features", "weekly", "DAILY_COLUMNS", "dense_partitions",
     "presence_flag", "key_of_date",
 ]

@@ -37,9 +37,14 @@ def with_panel(body: str, cfg: PanelConfig = CFG) -> str:
 
 # ------------------------------------------------------------------ panel
 
+def _skel(wh):
+    lines = P.price_lines(wh.ft_price, CFG)
+    n = P.dense_partitions(wh.dm_article, CFG, len(lines))
+    return P.skeleton(wh.dm_article, wh.dm_date, lines, CFG, n), n
+
+
 def q_skeleton(spark: SparkSession, d: str) -> DataFrame:
-    wh = warehouse(spark, d)
-    return P.skeleton(wh.dm_article, wh.dm_date, P.price_lines(wh.ft_price, CFG), CFG)
+    return _skel(warehouse(spark, d))[0]
 
 
 def q_orders_per_line(spark, d):
@@ -54,14 +59,14 @@ def q_aor(spark, d):
 
 def q_prices(spark, d):
     wh = warehouse(spark, d)
-    sk = P.skeleton(wh.dm_article, wh.dm_date, P.price_lines(wh.ft_price, CFG), CFG)
-    return P.prices(sk, wh.ft_price, CFG, P.select_articles(wh.dm_article, CFG))
+    sk, n = _skel(wh)
+    return P.prices(sk, wh.ft_price, CFG, P.select_articles(wh.dm_article, CFG), n)
 
 
 def q_default_prices(spark, d):
     wh = warehouse(spark, d)
-    sk = P.skeleton(wh.dm_article, wh.dm_date, P.price_lines(wh.ft_price, CFG), CFG)
-    return P.default_prices(sk, wh.ft_price, CFG, P.select_articles(wh.dm_article, CFG))
+    sk, n = _skel(wh)
+    return P.default_prices(sk, wh.ft_price, CFG, P.select_articles(wh.dm_article, CFG), n)
 
 
 def q_promo_days(spark, d):
