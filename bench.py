@@ -53,7 +53,11 @@ def main() -> None:
         act(q(spark, sf_dir))
         times[name] = round(time.time() - t0, 3)
         print(f"{name}: {times[name]}s", file=sys.stderr, flush=True)
-    sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    sf_txt = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        sf = float(sf_txt)
+    except ValueError:
+        sf = sf_txt
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf}))
 

@@ -123,7 +123,6 @@ def _summary(res: DataFrame, keys: list[str], learner: str) -> DataFrame:
     psi2 = (F.col("suuww") - 2 * theta * F.col("suvww") + theta * theta * F.col("svvww")) / F.col("n")
     se = F.sqrt(F.try_divide(psi2, F.col("n") * J * J))
     t = F.try_divide(theta, se)
-    p = F.lit(None).cast("double")
     return agg.select(*keys, F.lit(learner).alias("learner"), theta.alias("theta"), se.alias("se"),
                       t.alias("t"), _normal_p(t).alias("p"),
                       (theta - F.lit(Z975) * se).alias("ci_lo"), (theta + F.lit(Z975) * se).alias("ci_hi"),

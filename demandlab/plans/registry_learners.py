@@ -4,7 +4,6 @@ residual extract, out-of-time holdout. Each is also covered by property tests.""
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 

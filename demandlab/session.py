@@ -39,10 +39,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Only when the session names none (local tests) a scratch folder is
     created and registered; on a cluster the configured shared folder wins.
     """
-    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) \
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote (Connect) sessions have no SparkContext
+        sc = None
+    conf = (sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None) \
         or spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
         conf = tempfile.mkdtemp(prefix="demandlab-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", conf)
-    spark.sparkContext.setCheckpointDir(conf)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(conf)
     return conf
