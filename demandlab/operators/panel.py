@@ -318,8 +318,8 @@ def daily_features(wh, cfg: PanelConfig, lines: list[str] | None = None) -> Data
     # dense side: assortment articles with attributes x period days, weather on the calendar
     arts = assortment(wh.dm_article, cfg)
     attrs = article_attributes(arts)
-    cal = period_dates(wh.dm_date, cfg).join(weather(wh.dm_weather_daily, wh.dm_date, cfg),
-                                              "key_date", "left")
+    wx = _bounded_broadcast(weather(wh.dm_weather_daily, wh.dm_date, cfg), cfg.period_days)
+    cal = period_dates(wh.dm_date, cfg).join(wx, "key_date", "left")
     n = dense_partitions(wh.dm_article, cfg, len(sell_lines))
     dense = _days_of(attrs, cfg, cal, n)
 
@@ -414,7 +414,8 @@ def weekly(daily: DataFrame, cfg: PanelConfig | None = None, checkpoint: bool =
 
     The daily table comes partitioned by ``key_article``, so the roll-up needs
     no shuffle. With ``cfg`` the level-1 counts (one category: at most the
-    weeks of the period) are broadcast; the level-2 join is left to AQE.
+    weeks of the period) are broadcast; the level-2 counts too when weeks x
+    level-2 categories (counted on the written weekly rows) is small, else AQE decides.
     The weekly aggregate feeds three consumers (rows and two counts); with
     ``checkpoint`` it is written once to the shared checkpoint folder (this
     also cuts the long panel lineage), else the daily side is recomputed per
@@ -443,7 +444,12 @@ def weekly(daily: DataFrame, cfg: PanelConfig | None = None, checkpoint: bool =
     n2 = priced.groupBy("key_week", "article_cat_2").agg(
         F.count_distinct("key_article").alias("nr_articles_in_cat_2"))
     if cfg is not None:
-        n1 = _bounded_broadcast(n1, cfg.period_days // 7 + 2)
+        weeks = cfg.period_days // 7 + 2
+        n1 = _bounded_broadcast(n1, weeks)
+        if checkpoint:
+            # level-2 categories: one distinct over the written weekly rows bounds n2
+            levels = agg.select("article_cat_2").distinct().limit(BROADCAST_ROW_LIMIT + 1).count()
+            n2 = _bounded_broadcast(n2, weeks * levels)
     ws = F.to_date(F.date_trunc("week", F.col("_d0")))
     out = (agg.join(n1, ["key_week", "article_cat_1"], "left")
               .join(n2, ["key_week", "article_cat_2"], "left"))
