@@ -19,6 +19,16 @@ def test_csv_round_trip_and_materialize(spark, tmp_path):
     assert prof["rows"] == 2 and prof["shape"] == (2, 3) and prof["head"][0]["k"] == 1
 
 
+def test_ordered_write(spark, tmp_path):
+    df = spark.range(1000).selectExpr("(id * 7919) % 1000 as k", "id")
+    path = str(tmp_path / "o")
+    io.write_panel(df, path, order_by=["k"], files=4)
+    parts = sorted(p for p in __import__("os").listdir(path) if p.endswith(".parquet"))
+    import pyarrow.parquet as pq
+    ks = [k for p in parts for k in pq.read_table(f"{path}/{p}").column("k").to_pylist()]
+    assert ks == sorted(ks) and len(ks) == 1000
+
+
 def test_checkpoint_dir_is_shared_setting(spark):
     from demandlab.session import ensure_checkpoint_dir
     d = ensure_checkpoint_dir(spark)
