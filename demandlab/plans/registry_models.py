@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from demandlab.config import PrepConfig
 from demandlab.operators import dml, features as FE, linear, stats
+from demandlab.operators.gram import gram
 from demandlab.operators.panel import daily_features, weekly
 from demandlab.plans.oracle_fixtures import regression_cte
 from demandlab.sources.fixtures import regression_panel
@@ -81,6 +82,32 @@ def q_predict_demand(spark, d):
     return _round(e.join(c, BY))
 
 
+def q_predict_demand_holdout(spark, d):
+    """Per-category elasticity on the 80 % training split, demand predicted on the
+    20 % test split with first stages fitted on the whole training split (M16):
+    yhat = l(X) + theta_c (d - r(X)); RMSE and corr(yhat, d) per category."""
+    reg = _reg(spark, d)
+    train, test = reg.where(F.col("is_test") == 0), reg.where(F.col("is_test") == 1)
+    th = dml.dml_pliv(train, "y", "d", "z", X, fold="fold", by=BY).table.select(BY, "theta")
+    g = gram(train, X + ["y", "d", "z"], by=BY)
+    rows = []
+    for grp in g.groups():
+        ix = g.index(X)
+        bl = linear.LinearLearner().coefficients(g.total(grp), ix, g.index(["y"])[0], X)
+        br = linear.LinearLearner().coefficients(g.total(grp), ix, g.index(["d"])[0], X)
+        rows.append((grp[0], *bl.tolist(), *br.tolist()))
+    k = len(X) + 1
+    cschema = ", ".join([f"{BY} string"] + [f"l_{i} double" for i in range(k)] + [f"r_{i} double" for i in range(k)])
+    co = spark.createDataFrame(rows, cschema)        # one row per category: bounded
+    sc = test.join(F.broadcast(co), BY).join(F.broadcast(th), BY)
+    lhat = F.col("l_0") + sum((F.col(f"l_{i + 1}") * F.col(x) for i, x in enumerate(X)), F.lit(0.0))
+    rhat = F.col("r_0") + sum((F.col(f"r_{i + 1}") * F.col(x) for i, x in enumerate(X)), F.lit(0.0))
+    sc = sc.withColumn("yhat", lhat + F.col("theta") * (F.col("d") - rhat))
+    e = stats.errors(sc, "y", "yhat", by=BY)
+    c = sc.groupBy(BY).agg(F.corr("yhat", "d").alias("corr_yhat_d"))
+    return _round(e.join(c, BY).join(th, BY))
+
+
 def q_value_counts(spark, d):
     return stats.value_counts(_reg(spark, d), BY)
 
@@ -341,6 +368,7 @@ QUERIES = {
     "split": q_split,
     "design_matrix": q_design_matrix,
     "dml_pliv_excluding": q_dml_pliv_excluding,
+    "predict_demand_holdout": q_predict_demand_holdout,
     "profile": q_profile,
     "weekly_csv": q_weekly_csv,
 }
@@ -363,11 +391,32 @@ def oracle_sql() -> dict[str, str]:
         "split": _w("SELECT p_brand, p_type, week, ppl, fold, is_test FROM reg"),
         "design_matrix": _design_sql(),
         "dml_pliv_excluding": _dml_excluding_sql(),
+        "predict_demand_holdout": _predict_holdout_sql(),
         "profile": _w("SELECT count(*) AS n_rows, 12 AS n_cols FROM reg"),
         "weekly_csv": _weekly_sql(),
     }
 
 
+def _predict_holdout_sql() -> str:
+    body = f"""SELECT * FROM (WITH reg_tr AS (SELECT * FROM reg WHERE is_test = 0),
+{_dml_chain(True, "reg_tr", "p_type")},
+ftr AS (SELECT p_type, count(*) AS m, sum(x) AS qx, sum(x*x) AS qxx, sum(y) AS qy, sum(x*y) AS qxy,
+               sum(d) AS qd, sum(x*d) AS qxd
+        FROM reg_tr WHERE y IS NOT NULL AND d IS NOT NULL AND z IS NOT NULL AND x IS NOT NULL GROUP BY p_type),
+cof AS (SELECT p_type, (m*qxy - qx*qy)/(m*qxx - qx*qx) AS ly1, (qy - (m*qxy - qx*qy)/(m*qxx - qx*qx)*qx)/m AS ly0,
+               (m*qxd - qx*qd)/(m*qxx - qx*qx) AS rd1, (qd - (m*qxd - qx*qd)/(m*qxx - qx*qx)*qx)/m AS rd0 FROM ftr),
+tst AS (SELECT reg.p_type, reg.y, reg.d, ly0 + ly1*x + th.theta * (d - (rd0 + rd1*x)) AS yhat, th.theta
+        FROM reg JOIN cof ON reg.p_type = cof.p_type JOIN th ON reg.p_type = th.p_type WHERE reg.is_test = 1)
+SELECT p_type, count(CASE WHEN y IS NOT NULL AND yhat IS NOT NULL THEN 1 END) AS n,
+       avg(CASE WHEN y IS NOT NULL AND yhat IS NOT NULL THEN power(y - yhat, 2) END) AS mse,
+       sqrt(avg(CASE WHEN y IS NOT NULL AND yhat IS NOT NULL THEN power(y - yhat, 2) END)) AS rmse,
+       sqrt(avg(CASE WHEN y IS NOT NULL AND yhat IS NOT NULL THEN power(y - yhat, 2) END))
+         / avg(CASE WHEN y IS NOT NULL AND yhat IS NOT NULL THEN y END) AS rel_rmse,
+       corr(yhat, d) AS corr_yhat_d, max(theta) AS theta
+FROM tst GROUP BY p_type) q0"""
+    return _w(_r(body, ["mse", "rmse", "rel_rmse", "corr_yhat_d", "theta"]))
+
+
 def _weekly_sql() -> str:
     from demandlab.plans.registry import _panel_sql
     return _panel_sql()["weekly"]
