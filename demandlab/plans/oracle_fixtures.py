@@ -68,129 +68,106 @@ dm_weather_daily AS (
 
 
 def panel_ctes(cfg: PanelConfig) -> str:
-    """Reference-shaped panel CTEs: skeleton, aor, prices, defprices, promo,
-    unavailability, weather, basic dataset (written as the source queries are)."""
+    """Panel CTEs written independently of the Spark code, straight from the
+    semantics: a full article x day x line grid, validity intervals joined with a
+    BETWEEN condition, latest entry by window rank, outer joins to the grid."""
     s, e = cfg.start_key, cfg.end_key
     shift = date_key(cfg.shift_date)
-    post = "\n".join(f"            WHEN sk.ppl = '{x}' THEN 'post{x}'" for x in cfg.regime_lines)
+    lines = ", ".join(f"'{x}'" for x in cfg.regime_lines)
+    dflt = cfg.default_line
     return f"""
-select_articles AS (
+assort AS (
   SELECT DISTINCT key_article FROM dm_article
-  WHERE CAST(art_in_store_date_last_added AS DATE) <= DATE '{cfg.in_assortment_from}'
-    AND (CAST(art_in_store_date_last_removed AS DATE) > DATE '{cfg.in_assortment_to}'
-         OR art_in_store_date_last_removed IS NULL)
-    AND art_p_cat_lev_1 = '{cfg.category}'),
-dates AS (SELECT key_date, key_week, date FROM dm_date WHERE key_date BETWEEN {s} AND {e}),
-ppls AS (SELECT DISTINCT price_line_type AS ppl FROM ft_price WHERE price_line_type IS NOT NULL),
-skeleton AS (SELECT * FROM select_articles CROSS JOIN dates CROSS JOIN ppls),
-aorppl AS (
-  SELECT ftol.key_order_date, dor.order_price_line_type,
-         COUNT(DISTINCT ftol.key_order) AS nr_orders_day_ppl,
-         SUM(ftol.orig_regular_sales_qty) AS sum_regular_sales,
-         SUM(ftol.orig_promo_qty) AS sum_promo_sales
-  FROM ft_orderline ftol JOIN dm_order dor ON ftol.key_order = dor.key_order
-  WHERE ftol.key_order_date BETWEEN {s} AND {e}
-  GROUP BY ftol.key_order_date, dor.order_price_line_type),
-aor AS (
-  SELECT ftol.key_article, ftol.key_order_date, dor.order_price_line_type AS ppl,
-         aorppl.nr_orders_day_ppl,
-         CASE WHEN SUM(ftol.orig_regular_sales_qty) > 0 THEN SUM(ftol.orig_regular_sales_qty) ELSE 0.0 END
-           AS sum_regular_art_sales_ppl,
-         CASE WHEN aorppl.nr_orders_day_ppl = 0 THEN 0.0
-              ELSE (CASE WHEN SUM(ftol.orig_regular_sales_qty) > 0 THEN SUM(ftol.orig_regular_sales_qty) ELSE 0.0 END)
-                   / aorppl.nr_orders_day_ppl END AS aor
-  FROM ft_orderline ftol JOIN dm_order dor ON ftol.key_order = dor.key_order
-       RIGHT JOIN aorppl ON ftol.key_order_date = aorppl.key_order_date
-                        AND dor.order_price_line_type = aorppl.order_price_line_type
-  GROUP BY ftol.key_article, ftol.key_order_date, dor.order_price_line_type, aorppl.nr_orders_day_ppl),
-prices AS (
-  SELECT * EXCLUDE (rn) FROM (
-    SELECT sk.*,
-           CASE WHEN sk.ppl = '{cfg.default_line}' THEN NULL ELSE ftp.price_in_cents END AS price_in_cents_ppl,
-           CASE WHEN sk.ppl = '{cfg.default_line}' THEN ftp.price_in_cents ELSE NULL END AS price_in_cents_default,
-           ROW_NUMBER() OVER (PARTITION BY sk.key_article, sk.key_date, sk.ppl
-                              ORDER BY ftp.price_end_date_time DESC, ftp.price_start_date_time DESC,
-                                       ftp.price_in_cents DESC) AS rn
-    FROM skeleton sk LEFT JOIN ft_price ftp
-      ON sk.key_article = ftp.key_article
-     AND sk.date BETWEEN CAST(ftp.price_start_date_time AS DATE) AND CAST(ftp.price_end_date_time AS DATE)
-     AND ftp.price_type = '{cfg.price_type}'
-     AND sk.ppl = ftp.price_line_type)
-  WHERE rn = 1),
-defprices AS (
-  SELECT * EXCLUDE (rn) FROM (
-    SELECT sk.*, ftp.price_in_cents AS price_in_cents_default,
-           ROW_NUMBER() OVER (PARTITION BY sk.key_article, sk.key_date, sk.ppl
-                              ORDER BY ftp.price_end_date_time DESC, ftp.price_start_date_time DESC,
-                                       ftp.price_in_cents DESC) AS rn
-    FROM skeleton sk LEFT JOIN ft_price ftp
-      ON sk.key_article = ftp.key_article
-     AND sk.date BETWEEN CAST(ftp.price_start_date_time AS DATE) AND CAST(ftp.price_end_date_time AS DATE)
-     AND ftp.price_type = '{cfg.price_type}'
-     AND ftp.price_line_type = '{cfg.default_line}')
-  WHERE rn = 1),
-promo AS (
-  SELECT dma.key_article, dmd.key_date, dmp.promo_mechanism || '/' || dmp.promo_name AS promo_metadata
-  FROM ft_promotion_article_history fpa
-    JOIN dm_promotion dmp ON dmp.key_promotion = fpa.key_promotion
-    JOIN dm_article dma ON dma.key_article = fpa.key_article AND dma.art_p_cat_lev_1 = '{cfg.category}'
-    JOIN dm_date dmd ON CAST(fpa.promo_art_active_start_date AS DATE) <= dmd.date
-                    AND CAST(fpa.promo_art_active_end_date AS DATE) >= dmd.date
-                    AND dmd.key_date >= {s} AND dmd.key_date <= {e}
-  WHERE fpa.promo_art_is_deleted = 'no'),
-unavailability AS (
-  SELECT dmd.key_date, dma.key_article,
-         SUM(event_date_unavailable_deliveryline_count)
-           / NULLIF(SUM(order_date_orderline_count) + SUM(event_date_unavailable_deliveryline_count), 0)
+  WHERE art_p_cat_lev_1 = '{cfg.category}'
+    AND CAST(art_in_store_date_last_added AS DATE) <= DATE '{cfg.in_assortment_from}'
+    AND coalesce(CAST(art_in_store_date_last_removed AS DATE) > DATE '{cfg.in_assortment_to}', true)),
+period_cal AS (SELECT key_date, key_week, date FROM dm_date WHERE key_date >= {s} AND key_date <= {e}),
+line_levels AS (SELECT price_line_type AS ppl FROM ft_price WHERE price_line_type IS NOT NULL GROUP BY 1),
+grid AS (SELECT a.key_article, c.key_date, c.key_week, c.date, l.ppl FROM assort a, period_cal c, line_levels l),
+ol_in_period AS (
+  SELECT o.key_article, o.key_order, o.key_order_date AS day_key, r.order_price_line_type AS line,
+         o.orig_regular_sales_qty AS qty, o.orig_promo_qty AS promo_qty
+  FROM ft_orderline o JOIN dm_order r ON r.key_order = o.key_order
+  WHERE o.key_order_date >= {s} AND o.key_order_date <= {e}),
+day_line_totals AS (
+  SELECT day_key, line, count(DISTINCT key_order) AS n_orders, sum(qty) AS regular_qty, sum(promo_qty) AS promo_qty
+  FROM ol_in_period GROUP BY 1, 2),
+article_day_line AS (SELECT key_article, day_key, line, sum(qty) AS qty FROM ol_in_period GROUP BY 1, 2, 3),
+order_rate AS (
+  SELECT x.key_article, x.day_key AS key_order_date, x.line AS ppl, t.n_orders AS nr_orders_day_ppl,
+         CASE WHEN x.qty > 0 THEN x.qty ELSE 0.0 END AS sum_regular_art_sales_ppl,
+         CASE WHEN t.n_orders = 0 THEN 0.0 ELSE (CASE WHEN x.qty > 0 THEN x.qty ELSE 0.0 END) / t.n_orders END AS aor
+  FROM article_day_line x RIGHT JOIN day_line_totals t ON x.day_key = t.day_key AND x.line = t.line),
+price_valid AS (
+  SELECT key_article, price_line_type, price_in_cents, price_start_date_time AS t0, price_end_date_time AS t1,
+         CAST(price_start_date_time AS DATE) AS d0, CAST(price_end_date_time AS DATE) AS d1
+  FROM ft_price WHERE price_type = '{cfg.price_type}'),
+line_price_rows AS (
+  SELECT g.*, CASE WHEN g.ppl = '{dflt}' THEN NULL ELSE v.price_in_cents END AS price_in_cents_ppl,
+         CASE WHEN g.ppl = '{dflt}' THEN v.price_in_cents END AS price_in_cents_default
+  FROM grid g LEFT JOIN price_valid v
+    ON v.key_article = g.key_article AND v.price_line_type = g.ppl AND g.date BETWEEN v.d0 AND v.d1
+  QUALIFY row_number() OVER (PARTITION BY g.key_article, g.key_date, g.ppl
+                             ORDER BY v.t1 DESC, v.t0 DESC, v.price_in_cents DESC) = 1),
+default_price_rows AS (
+  SELECT g.*, v.price_in_cents AS price_in_cents_default
+  FROM grid g LEFT JOIN price_valid v
+    ON v.key_article = g.key_article AND v.price_line_type = '{dflt}' AND g.date BETWEEN v.d0 AND v.d1
+  QUALIFY row_number() OVER (PARTITION BY g.key_article, g.key_date, g.ppl
+                             ORDER BY v.t1 DESC, v.t0 DESC, v.price_in_cents DESC) = 1),
+promo_rows AS (
+  SELECT h.key_article, c.key_date, pm.promo_mechanism || '/' || pm.promo_name AS promo_metadata
+  FROM ft_promotion_article_history h
+    JOIN dm_promotion pm ON pm.key_promotion = h.key_promotion
+    JOIN dm_article art ON art.key_article = h.key_article
+    JOIN dm_date c ON c.date BETWEEN CAST(h.promo_art_active_start_date AS DATE) AND CAST(h.promo_art_active_end_date AS DATE)
+  WHERE h.promo_art_is_deleted = 'no' AND art.art_p_cat_lev_1 = '{cfg.category}'
+    AND c.key_date >= {s} AND c.key_date <= {e}),
+unavail AS (
+  SELECT w.key_date, w.key_article,
+         sum(w.event_date_unavailable_deliveryline_count)
+           / NULLIF(sum(w.order_date_orderline_count) + sum(w.event_date_unavailable_deliveryline_count), 0)
            AS unavailability_perc
-  FROM ft_warehouse_article_daily ftwad
-    JOIN dm_date dmd ON ftwad.key_date = dmd.key_date AND dmd.key_date >= {s} AND dmd.key_date <= {e}
-    JOIN dm_article dma ON ftwad.key_article = dma.key_article AND dma.art_p_cat_lev_1 = '{cfg.category}'
-  GROUP BY dmd.key_date, dma.key_article),
-weather_counts AS (
-  SELECT dmd.key_date, dmwd.wthr_dly_icon AS icon, count(*) AS n
-  FROM dm_weather_daily dmwd JOIN dm_date dmd ON dmwd.wthr_dly_date = dmd.date
-       AND dmd.key_date >= {s} AND dmd.key_date <= {e}
-  WHERE dmwd.wthr_dly_icon IS NOT NULL
-  GROUP BY ALL),
-weather AS (
-  SELECT a.key_date, a.avg_high_temp, m.icon AS weather_type
-  FROM (SELECT dmd.key_date, AVG(dmwd.wthr_dly_temperature_high) AS avg_high_temp
-        FROM dm_weather_daily dmwd JOIN dm_date dmd ON dmwd.wthr_dly_date = dmd.date
-             AND dmd.key_date >= {s} AND dmd.key_date <= {e}
-        GROUP BY dmd.key_date) a
-  LEFT JOIN (SELECT key_date, icon FROM (
-               SELECT key_date, icon, row_number() OVER (PARTITION BY key_date ORDER BY n DESC, icon) AS r
-               FROM weather_counts) WHERE r = 1) m ON a.key_date = m.key_date),
-promo_flag AS (SELECT DISTINCT key_article, key_date FROM promo),
-basic_dataset AS (
-  SELECT sk.key_article, sk.key_date, sk.date, dma.art_supply_chain_name AS article_name, sk.ppl,
-         CASE WHEN sk.key_date > {shift} THEN 'post' ELSE 'pre' END AS shift,
-         CASE WHEN sk.key_date > {shift} THEN CASE
-{post}
-            END
-         ELSE sk.ppl END AS ppln,
-         aor.aor,
-         coalesce(fp.price_in_cents_ppl, fdp.price_in_cents_default) AS price_in_cents,
-         CASE WHEN pf.key_article IS NULL THEN 0 ELSE 1 END AS promo_dummy,
-         unav.unavailability_perc, weather.avg_high_temp, weather.weather_type,
-         dma.art_quality_tier AS article_tier, dma.art_p_cat_lev_2 AS article_cat_2,
-         dma.art_p_cat_lev_3 AS article_cat_3, dma.art_p_cat_lev_4 AS article_cat_4,
-         aor.nr_orders_day_ppl, aor.sum_regular_art_sales_ppl, sk.key_week, dma.article_id,
-         dma.art_p_cat_lev_1 AS article_cat_1,
-         CASE WHEN dma.art_content_volume_uom = 'ml' THEN dma.art_content_volume
-              WHEN dma.art_content_volume_uom = 'liter' THEN dma.art_content_volume * 1000 END AS art_content_volume,
-         CASE WHEN dma.art_is_multipack = 'yes' THEN 1 WHEN dma.art_is_multipack = 'no' THEN 0 END AS art_is_multipack,
-         fdp.price_in_cents_default AS price_in_cents_default
-  FROM skeleton sk
-    LEFT JOIN dm_article dma ON sk.key_article = dma.key_article
-    LEFT JOIN aor ON sk.key_article = aor.key_article AND sk.key_date = aor.key_order_date AND sk.ppl = aor.ppl
-    LEFT JOIN prices fp ON sk.key_article = fp.key_article AND sk.date = fp.date AND sk.ppl = fp.ppl
-    LEFT JOIN defprices fdp ON sk.key_article = fdp.key_article AND sk.date = fdp.date AND sk.ppl = fdp.ppl
-    LEFT JOIN promo_flag pf ON sk.key_article = pf.key_article AND sk.key_date = pf.key_date
-    LEFT JOIN unavailability unav ON sk.key_article = unav.key_article AND sk.key_date = unav.key_date
-    LEFT JOIN weather ON sk.key_date = weather.key_date
-  WHERE sk.ppl <> '{cfg.default_line}')"""
+  FROM ft_warehouse_article_daily w
+  WHERE w.key_date IN (SELECT key_date FROM period_cal)
+    AND w.key_article IN (SELECT key_article FROM dm_article WHERE art_p_cat_lev_1 = '{cfg.category}')
+  GROUP BY 1, 2),
+wx_rows AS (
+  SELECT c.key_date, x.wthr_dly_temperature_high AS temp, x.wthr_dly_icon AS icon
+  FROM dm_weather_daily x JOIN period_cal c ON x.wthr_dly_date = c.date),
+wx_mode AS (
+  SELECT key_date, icon FROM (SELECT key_date, icon, count(*) AS k FROM wx_rows WHERE icon IS NOT NULL GROUP BY 1, 2)
+  QUALIFY row_number() OVER (PARTITION BY key_date ORDER BY k DESC, icon) = 1),
+wx AS (
+  SELECT t.key_date, t.avg_high_temp, m.icon AS weather_type
+  FROM (SELECT key_date, avg(temp) AS avg_high_temp FROM wx_rows GROUP BY 1) t
+  LEFT JOIN wx_mode m ON m.key_date = t.key_date),
+promo_flag AS (SELECT DISTINCT key_article, key_date FROM promo_rows),
+daily AS (
+  SELECT g.key_article, g.key_date, g.date, art.art_supply_chain_name AS article_name, g.ppl,
+         CASE WHEN g.key_date > {shift} THEN 'post' ELSE 'pre' END AS shift,
+         CASE WHEN g.key_date <= {shift} THEN g.ppl WHEN g.ppl IN ({lines}) THEN 'post' || g.ppl END AS ppln,
+         r.aor,
+         coalesce(lp.price_in_cents_ppl, dp.price_in_cents_default) AS price_in_cents,
+         CAST(pf.key_article IS NOT NULL AS INTEGER) AS promo_dummy,
+         u.unavailability_perc, wx.avg_high_temp, wx.weather_type,
+         art.art_quality_tier AS article_tier, art.art_p_cat_lev_2 AS article_cat_2,
+         art.art_p_cat_lev_3 AS article_cat_3, art.art_p_cat_lev_4 AS article_cat_4,
+         r.nr_orders_day_ppl, r.sum_regular_art_sales_ppl, g.key_week, art.article_id,
+         art.art_p_cat_lev_1 AS article_cat_1,
+         art.art_content_volume * CASE art.art_content_volume_uom WHEN 'ml' THEN 1 WHEN 'liter' THEN 1000 END
+           AS art_content_volume,
+         CASE art.art_is_multipack WHEN 'yes' THEN 1 WHEN 'no' THEN 0 END AS art_is_multipack,
+         dp.price_in_cents_default
+  FROM grid g
+    LEFT JOIN dm_article art ON art.key_article = g.key_article
+    LEFT JOIN order_rate r ON r.key_article = g.key_article AND r.key_order_date = g.key_date AND r.ppl = g.ppl
+    LEFT JOIN line_price_rows lp ON lp.key_article = g.key_article AND lp.date = g.date AND lp.ppl = g.ppl
+    LEFT JOIN default_price_rows dp ON dp.key_article = g.key_article AND dp.date = g.date AND dp.ppl = g.ppl
+    LEFT JOIN promo_flag pf ON pf.key_article = g.key_article AND pf.key_date = g.key_date
+    LEFT JOIN unavail u ON u.key_article = g.key_article AND u.key_date = g.key_date
+    LEFT JOIN wx ON wx.key_date = g.key_date
+  WHERE g.ppl <> '{dflt}')"""
 
 
 def regression_cte() -> str:

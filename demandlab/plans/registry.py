@@ -115,27 +115,29 @@ FROM (SELECT key_article, key_week, ppl,
              max(article_cat_3) AS article_cat_3, max(article_cat_4) AS article_cat_4,
              max(article_id) AS article_id, max(art_content_volume) AS art_content_volume,
              max(art_is_multipack) AS art_is_multipack
-      FROM basic_dataset GROUP BY key_article, key_week, ppl) w
-LEFT JOIN (SELECT key_week, article_cat_1, count(DISTINCT key_article) AS n FROM basic_dataset
+      FROM daily GROUP BY key_article, key_week, ppl) w
+LEFT JOIN (SELECT key_week, article_cat_1, count(DISTINCT key_article) AS n FROM daily
            WHERE price_in_cents IS NOT NULL GROUP BY ALL) n1
   ON w.key_week = n1.key_week AND w.article_cat_1 = n1.article_cat_1
-LEFT JOIN (SELECT key_week, article_cat_2, count(DISTINCT key_article) AS n FROM basic_dataset
+LEFT JOIN (SELECT key_week, article_cat_2, count(DISTINCT key_article) AS n FROM daily
            WHERE price_in_cents IS NOT NULL GROUP BY ALL) n2
   ON w.key_week = n2.key_week AND w.article_cat_2 = n2.article_cat_2"""
 
 
 def _panel_sql() -> dict[str, str]:
     return {
-        "skeleton": with_panel("SELECT * FROM skeleton"),
-        "orders_per_line": with_panel("SELECT * FROM aorppl"),
-        "aor": with_panel("SELECT * FROM aor"),
-        "prices": with_panel("SELECT * FROM prices"),
-        "default_prices": with_panel("SELECT * FROM defprices"),
-        "promo_days": with_panel("SELECT * FROM promo"),
-        "unavailability": with_panel("SELECT * FROM unavailability"),
-        "weather": with_panel(sql_rounded("SELECT * FROM weather", ["avg_high_temp"])),
+        "skeleton": with_panel("SELECT * FROM grid"),
+        "orders_per_line": with_panel(
+            "SELECT day_key AS key_order_date, line AS order_price_line_type, n_orders AS nr_orders_day_ppl, "
+            "regular_qty AS sum_regular_sales, promo_qty AS sum_promo_sales FROM day_line_totals"),
+        "aor": with_panel("SELECT * FROM order_rate"),
+        "prices": with_panel("SELECT * FROM line_price_rows"),
+        "default_prices": with_panel("SELECT * FROM default_price_rows"),
+        "promo_days": with_panel("SELECT * FROM promo_rows"),
+        "unavailability": with_panel("SELECT * FROM unavail"),
+        "weather": with_panel(sql_rounded("SELECT * FROM wx", ["avg_high_temp"])),
         "daily_features": with_panel(sql_rounded(
-            "SELECT * FROM basic_dataset",
+            "SELECT * FROM daily",
             ["aor", "unavailability_perc", "avg_high_temp", "sum_regular_art_sales_ppl",
              "art_content_volume"])),
         "weekly": with_panel(sql_rounded(
