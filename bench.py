@@ -40,6 +40,7 @@ def main() -> None:
         ("dml_pliv", registry_models.QUERIES["dml_pliv"], collect),
         ("dml_pliv_lasso", registry_learners.QUERIES["dml_pliv_lasso"], collect),
         ("bootstrap", registry_learners.QUERIES["bootstrap"], collect),
+        ("elasticity_end_to_end", registry_learners.QUERIES["elasticity_design"], collect),
     ]
     # warm-up (JVM, class loading, parquet footers): not timed
     from demandlab.plans.panel_plan import warehouse
