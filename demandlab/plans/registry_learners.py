@@ -133,50 +133,30 @@ QUERIES = {
 }
 
 
-def design_covariates(enc, prep) -> list[str]:
-    """Covariates X of the design matrix: tier and brand dummies, the price line as
-    regime dummies (lines outside the regime as plain dummies, first regime dummy
-    left out), promotion, temperature, unavailability, week number, holiday."""
-    regime = [FE.regime_name(k, ln) for ln in prep.regime_lines for k in ("pre", "post")]
-    ppl_other = [c for c in enc.columns if c.startswith("ppl_") and
-                 not any(c == f"ppl_{FE._safe(ln)}" for ln in prep.regime_lines)]
-    return ([c for c in enc.columns if not c.startswith("ppl_")] + ppl_other + regime[1:] +
-            ["promo_dummy", "l_avg_high_temp", "avg_unavailability_perc", "week_nr", "holiday"])
-
-
 def _design(spark, d):
-    from demandlab.config import PrepConfig
-    from demandlab.operators import sampling
-    from demandlab.operators.panel import daily_features, weekly
+    from demandlab.plans.design_plan import build_design, design_covariates
     from demandlab.plans.panel_plan import warehouse
     from demandlab.plans.registry import CFG
-    prep = PrepConfig()
-    w = weekly(daily_features(warehouse(spark, d), CFG), CFG)
-    mat, enc = FE.prepare(w, prep, holidays=FE.holiday_weeks(range(CFG.start.year, CFG.end.year + 1)))
-    mat = sampling.with_fold(mat, ["key_article", "key_week", "ppl"], k=5, salt=11)
-    return mat, design_covariates(enc, prep)
+    mat, enc = build_design(warehouse(spark, d), CFG)
+    return mat, design_covariates(enc)
 
 
 def q_elasticity_design(spark, d):
     """The end-to-end run: warehouse tables -> daily panel -> weekly panel ->
     design matrix -> DML-PLIV with cross-validated Lasso first stages
     (y = log demand, d = log sell price, z = log purchase price)."""
+    from demandlab.plans.estimate_plan import elasticity
     mat, xs = _design(spark, d)
-    lr = lasso.LassoCV(n_alphas=30)
-    return dml.dml_pliv(mat, "l_product_order_amt", "l_avg_sell_price", "l_avg_purchase_price", xs,
-                        lr, lasso.LassoCV(n_alphas=30), lasso.LassoCV(n_alphas=30), fold="fold").table
+    return elasticity(mat, xs, lasso.LassoCV(n_alphas=30), lasso.LassoCV(n_alphas=30),
+                      lasso.LassoCV(n_alphas=30)).table
 
 
 def q_naive_models_design(spark, d):
     """Naive OLS (unadjusted) and 2SLS (robust) of log demand on the design
     covariates and log price, the instrument being log purchase price (M1, M2)."""
+    from demandlab.plans.estimate_plan import naive_models
     mat, xs = _design(spark, d)
-    mat = FE.add_const(mat)
-    o = linear.ols(mat, "l_product_order_amt", ["const"] + xs + ["l_avg_sell_price"])
-    i = linear.iv2sls(mat, "l_product_order_amt", ["const"] + xs, ["l_avg_sell_price"],
-                      ["l_avg_purchase_price"], cov="robust")
-    return (o.withColumn("model", F.lit("ols")).unionByName(i.withColumn("model", F.lit("2sls")))
-             .where(F.col("term") == "l_avg_sell_price"))
+    return naive_models(mat, xs)
 
 
 def q_holdout_design(spark, d):
@@ -195,6 +175,7 @@ def q_holdout_design(spark, d):
     train, enc = FE.prepare(w.where(F.col("week_start_date") < cut), prep, holidays=hol)
     hold, _ = FE.prepare(w.where(F.col("week_start_date") >= cut), prep, encoder=enc, holidays=hol)
     hold = FE.align(hold, train.columns)
+    from demandlab.plans.design_plan import design_covariates
     xs = design_covariates(enc, prep)
     g = gram(train, xs + ["l_product_order_amt", "l_avg_sell_price"])
     ix = g.index(xs)

@@ -56,3 +56,14 @@ def test_diagnostics(small):
     h = DG.residual_histogram(res.residuals, "_w", "_v", bins=5)
     assert h.agg(F.sum("count")).first()[0] == 600 and h.count() <= 25
     assert DG.residual_table(p, "y", "yhat", "linear", ["k"]).columns == ["k", "y", "yhat", "resid", "learner"]
+
+
+def test_estimate_plan_helpers(small):
+    from demandlab.plans import estimate_plan as EP
+    res = EP.elasticity(small, ["x1", "x2"], y="y", d="d", z="z", fold="fold")
+    yhat = EP.predicted_demand(res, d="d")
+    assert yhat.where("yhat is null").count() == 0
+    plr = EP.elasticity(small, ["x1", "x2"], y="y", d="d", z=None, fold="fold")
+    assert plr.table.first().learner.startswith("plr[")
+    nm = {r.model: r.coef for r in EP.naive_models(small, ["x1", "x2"], y="y", d="d", z="z").collect()}
+    assert set(nm) == {"ols", "2sls"} and abs(nm["2sls"] + 1.0) < 0.3
