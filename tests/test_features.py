@@ -28,6 +28,10 @@ def test_dummies_drop_first_and_unseen(spark):
     assert enc.defaults == {"c": "a"} and enc.columns == ["c_b", "c_c"]
     out = enc.transform(df).collect()
     assert [(r.c, r.c_b, r.c_c) for r in out] == [("b", 1, 0), ("a", 0, 0), ("c", 0, 1), (None, 0, 0)]
+    # dummies plus the left-out level sum to one on every non-NULL row
+    for r in out:
+        if r.c is not None:
+            assert r.c_b + r.c_c + (1 if r.c == enc.defaults["c"] else 0) == 1
     later = enc.transform(spark.createDataFrame([("z",)], "c string")).first()
     assert (later.c_b, later.c_c) == (0, 0)
     dec = enc.transform(df).select(enc.decode("c").alias("x")).collect()
