@@ -111,6 +111,8 @@ class DMLResult:
 
 
 def _summary(res: DataFrame, keys: list[str], learner: str) -> DataFrame:
+    from demandlab.session import ship_package
+    ship_package(res.sparkSession)
     u, v, w = F.col("_u"), F.col("_v"), F.col("_w")
     ok = u.isNotNull() & v.isNotNull() & w.isNotNull()
     agg = res.where(ok).groupBy(*keys).agg(
@@ -173,6 +175,8 @@ def bootstrap(result: DMLResult, key: Sequence[str], n_boot: int = 500, seed: in
     ``groupBy`` adds them. Output: by..., n_boot, q95 (|t*| quantile),
     ci_lo_boot, ci_hi_boot.
     """
+    from demandlab.session import ship_package
+    ship_package(result.table.sparkSession)
     keys = _by(by)
     summ = result.table
     res = result.residuals.where(F.col("_u").isNotNull() & F.col("_v").isNotNull() & F.col("_w").isNotNull())

@@ -35,6 +35,8 @@ def gram_frame(df: DataFrame, cols: Sequence[str], by=None, fold: str | None = N
     ``weight`` multiplies each row's outer product (robust covariances).
     Index 0 is the constant, so v[0,0] = n (or sum of weights), v[0,j] = sum x_j.
     """
+    from demandlab.session import ship_package
+    ship_package(df.sparkSession)
     keys = _by(by)
     k = len(cols) + 1
     sel = [F.col(c).cast("string").alias(f"_g{i}") for i, c in enumerate(keys)]

@@ -51,3 +51,40 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(conf)
     return conf
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``demandlab`` importable in the Python workers of every executor.
+
+    Operators that run Python on executors (``mapInPandas`` Gram and bootstrap
+    passes, the p-value pandas UDF) call this once per application: the package
+    is zipped on the driver and distributed with ``addPyFile`` (``addArtifacts``
+    on a remote session), the standard way to ship Python code to a cluster.
+    """
+    import zipfile
+
+    import demandlab
+    try:
+        sc = spark.sparkContext
+        key = sc.applicationId
+    except Exception:  # noqa: BLE001 - remote session
+        sc, key = None, id(spark)
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(demandlab.__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="demandlab-pkg-"), "demandlab.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, root))
+    if sc is not None:
+        sc.addPyFile(out)
+    else:
+        spark.addArtifacts(out, pyfile=True)
+    _SHIPPED.add(key)
