@@ -16,7 +16,6 @@ LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
