@@ -41,6 +41,10 @@ def test_grid_search_and_importance(spark, small):
     best, table = trees.grid_search(small, trees.gbt(rounds=3, depth=2), ["x1", "x2"], "y",
                                     {"stepSize": [0.1, 0.3]}, fold="fold")
     assert table.count() == 2
+    # the tuned choice is never worse than the default step (0.1) on the same folds
+    rows = {r.params: r.mse for r in table.collect()}
+    default = [v for k, v in rows.items() if "stepSize=0.1" in k and "stepSize=0.1" == k.split(",")[0]][0]
+    assert min(rows.values()) <= default
     imp = trees.importance(spark, best, ["x1", "x2"], "gbt", "y").collect()
     assert abs(sum(r.share for r in imp) - 1.0) < 1e-9
 
