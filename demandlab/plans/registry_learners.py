@@ -203,3 +203,17 @@ def q_dml_plr_forest_by_category(spark, d):
 
 
 QUERIES["dml_plr_forest_by_category"] = q_dml_plr_forest_by_category
+
+
+def q_first_stage_forest(spark, d):
+    """First-stage quality of the forest learners (M13, M14): out-of-fold MSE per
+    slot and the instrument's residual correlation against its raw one."""
+    rf = trees.rf(**SMALL_RF)
+    res = dml.dml_pliv(_panel(spark, d), "y", "d", "z", XT, rf, rf, rf, fold="fold").residuals
+    ok = res.where(F.col("_u").isNotNull() & F.col("_v").isNotNull() & F.col("_w").isNotNull())
+    err = DG.first_stage_errors(ok, {"l": ("y", "_lhat"), "m": ("z", "_mhat"), "r": ("d", "_rhat")})
+    st = DG.instrument_strength(ok, "_w", "_v", "z", "d").first()   # one row
+    return err.withColumns({"corr_resid": F.lit(st.corr_resid), "corr_raw": F.lit(st.corr_raw)})
+
+
+QUERIES["first_stage_forest"] = q_first_stage_forest
