@@ -6,7 +6,7 @@ promotions, warehouse counts, weather). This module builds each of them
 as a lazy DataFrame over the driver tables, so every panel query reads
 the whole given tables and its work grows with them.
 
-Mapping (fixed, shared with the DuckDB oracles in ``plans.registry``):
+Mapping (fixed; written again, independently, in SQL in ``plans.oracle_fixtures``):
 
 article            part: key_article = p_partkey, level 1 = p_type, level 2 = p_brand
 price line         order priority; '5-LOW' is the default line
