@@ -71,3 +71,17 @@ def test_exact_quantiles_hot_group_ties_and_rounds(spark):
     for r in res:
         ref = pdf[pdf.g == r.g].v.dropna().quantile(r.q)
         assert r.value == pytest.approx(ref, rel=1e-12, abs=1e-12)
+
+
+def test_exact_quantiles_ungrouped_and_all_null_group(spark):
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(5)
+    v = np.round(rng.normal(size=5000), 2)
+    df = spark.createDataFrame(pd.DataFrame({"v": v}))
+    res = {r.q: r.value for r in stats.exact_quantiles(df, "v", [0.1, 0.5, 0.9], max_bracket=30).collect()}
+    for q, val in res.items():
+        assert val == pytest.approx(pd.Series(v).quantile(q), rel=1e-12, abs=1e-12)
+    g = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", None)], "g string, v double")
+    d = {r.g: r for r in stats.describe_by(g, ["v"], by="g").collect()}
+    assert d["a"].p50 == 2.0 and d["b"].p50 is None and d["b"]["count"] == 0
