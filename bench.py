@@ -17,7 +17,7 @@ from demandlab.session import local_session  # noqa: E402
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_PARTITIONS", "16")),
+    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_PARTITIONS", "32")),
                           driver_memory=os.environ.get("BENCH_MEM", "16g"))
     from demandlab.plans import registry, registry_learners, registry_models
 

@@ -39,7 +39,7 @@ def _partitions(df: DataFrame) -> int:
 
 
 # target rows per task on the dense (article x day x line) side
-DENSE_ROWS_PER_PARTITION = 2_000_000
+DENSE_ROWS_PER_PARTITION = 1_000_000
 
 
 def dense_partitions(dm_article: DataFrame, cfg: PanelConfig, n_lines: int) -> int:
