@@ -173,8 +173,11 @@ def q_holdout_design(spark, d):
     cut = F.lit(CFG.holdout_start)
     hol = FE.holiday_weeks(range(CFG.start.year, CFG.end.year + 1))
     train, enc = FE.prepare(w.where(F.col("week_start_date") < cut), prep, holidays=hol)
-    hold, _ = FE.prepare(w.where(F.col("week_start_date") >= cut), prep, encoder=enc, holidays=hol)
-    hold = FE.align(hold, train.columns)
+    # the later set starts n_lags weeks early so its first weeks have lag history
+    from datetime import timedelta
+    history = F.lit(CFG.holdout_start - timedelta(weeks=prep.n_lags))
+    hold, _ = FE.prepare(w.where(F.col("week_start_date") >= history), prep, encoder=enc, holidays=hol)
+    hold = FE.align(hold.where(F.col("week_start_date") >= cut), train.columns)
     from demandlab.plans.design_plan import design_covariates
     xs = design_covariates(enc, prep)
     g = gram(train, xs + ["l_product_order_amt", "l_avg_sell_price"])
