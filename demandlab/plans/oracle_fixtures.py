@@ -177,7 +177,7 @@ reg AS (
          CASE WHEN qty > 0 THEN ln(qty) END AS y,
          CASE WHEN unit_price > 0 THEN ln(unit_price) END AS d,
          CASE WHEN ext_price > 0 THEN ln(ext_price) END AS z,
-         x, 1.0 AS const, CAST(n_lines AS DOUBLE) AS n_lines,
+         x, CAST(1.0 AS DOUBLE) AS const, CAST(n_lines AS DOUBLE) AS n_lines,
          CAST(((date_diff('day', DATE '{fx.FOLD_ORIGIN}', week) // 7) * 31 + min_size * 17) % 5 AS INTEGER) AS fold,
          CAST(((date_diff('day', DATE '{fx.FOLD_ORIGIN}', week) // 7) * 31 + min_size * 17 + 13) % 100 < 20 AS INTEGER) AS is_test
   FROM (SELECT p_brand, p_type, CAST(date_trunc('week', o_orderdate) AS DATE) AS week, o_orderpriority AS ppl,

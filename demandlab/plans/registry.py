@@ -103,7 +103,7 @@ SELECT w.key_article, w.key_week, w.ppl, w.product_order_amt, w.total_order_amt,
        w.art_is_multipack
 FROM (SELECT key_article, key_week, ppl,
              sum(sum_regular_art_sales_ppl) AS product_order_amt,
-             sum(nr_orders_day_ppl) AS total_order_amt,
+             CAST(sum(nr_orders_day_ppl) AS BIGINT) AS total_order_amt,
              avg(price_in_cents) AS avg_sell_price,
              avg(price_in_cents_default) AS avg_purchase_price,
              avg(unavailability_perc) AS avg_unavailability_perc,

@@ -303,7 +303,7 @@ CORR_SQL = _w(_r("SELECT * FROM (" + "\nUNION ALL\n".join(
     ["corr"]))
 
 NONFINITE_SQL = _w("SELECT " + ", ".join(
-    f"count_if(isnan({c}) OR isinf({c})) AS {c}" for c in _COLS) + " FROM reg")
+    f"CAST(count_if(isnan({c}) OR isinf({c})) AS BIGINT) AS {c}" for c in _COLS) + " FROM reg")
 
 
 def _design_sql() -> str:
@@ -340,7 +340,7 @@ f3 AS (SELECT *, date_diff('day', DATE '{PREP.week_origin}', week_start_date) /
        FROM f2),
 f4 AS (SELECT * REPLACE (avg_unavailability_perc * 100.0 AS avg_unavailability_perc) FROM f3),
 f5 AS (SELECT *, {logs},
-         CAST(coalesce(week_start_date IN ({holidays}), false) AS INTEGER) AS holiday, 1.0 AS const,
+         CAST(coalesce(week_start_date IN ({holidays}), false) AS INTEGER) AS holiday, CAST(1.0 AS DOUBLE) AS const,
          {", ".join(dummies)}
        FROM f4),
 f6 AS (SELECT *, {", ".join(extra)} FROM f5)

@@ -10,6 +10,8 @@ SF = "/root/testdata/sf0.001"
 SF_LEVELS = "/root/testdata/sf0.01"   # every dummy level of the oracle exists from sf0.01 on
 TABLES = "region nation customer supplier part orders lineitem events".split()
 AT_SF001 = {"design_matrix"}
+TYPES = {"LongType()": "BIGINT", "IntegerType()": "INTEGER", "DoubleType()": "DOUBLE",
+         "StringType()": "VARCHAR", "DateType()": "DATE"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 
@@ -38,6 +40,10 @@ def test_query_matches_oracle(spark, name):
         pytest.skip("slow")
     con = _con(sf)
     s = E.queries()[name](spark, sf)
+    # same column types in both engines
+    spark_types = {f.name: TYPES.get(str(f.dataType), str(f.dataType)) for f in s.schema.fields}
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE ({E.oracle_sql()[name]})").fetchall()}
+    assert spark_types == duck_types
     cols = sorted(s.columns)
     got = _canon(s.select(*cols).collect())
     ref = con.execute(f"SELECT {', '.join(chr(34) + c + chr(34) for c in cols)} FROM ({E.oracle_sql()[name]})").fetchall()
