@@ -36,6 +36,12 @@ def q_ols(spark, d):
     return _round(r.drop("p"))
 
 
+def q_ols_multi(spark, d):
+    """OLS with two regressors and a constant, per category (M1, k = 3)."""
+    r = linear.ols(_reg(spark, d), "y", ["const", "d", "x"], by=BY, cov="unadjusted")
+    return _round(r.drop("p"))
+
+
 def q_iv2sls(spark, d):
     r = linear.iv2sls(_reg(spark, d), "y", ["const"], ["d"], ["z"], by=BY, cov="robust")
     return _round(r.drop("p"))
@@ -172,6 +178,23 @@ UNION ALL
 SELECT p_type, 'd' AS term, b1 AS coef, sqrt(sig2/sxx) AS se, b1/sqrt(sig2/sxx) AS t, n FROM f""".lstrip()
     .replace(", s AS", "SELECT * FROM (WITH s AS", 1) + ") q0", ["coef", "se", "t"]))
 
+OLS_MULTI_SQL = _w(_r("""SELECT * FROM (WITH
+r0 AS (SELECT * FROM reg WHERE y IS NOT NULL AND d IS NOT NULL AND x IS NOT NULL),
+s AS (SELECT p_type, count(*) AS n, avg(d) AS md, avg(x) AS mx, avg(y) AS my,
+             sum(d*d) - count(*)*avg(d)*avg(d) AS kdd, sum(x*x) - count(*)*avg(x)*avg(x) AS kxx,
+             sum(d*x) - count(*)*avg(d)*avg(x) AS kdx, sum(d*y) - count(*)*avg(d)*avg(y) AS kdy,
+             sum(x*y) - count(*)*avg(x)*avg(y) AS kxy, sum(y*y) - count(*)*avg(y)*avg(y) AS kyy
+      FROM r0 GROUP BY p_type),
+f AS (SELECT *, kdd*kxx - kdx*kdx AS det FROM s),
+b AS (SELECT *, (kdy*kxx - kxy*kdx)/det AS bd, (kxy*kdd - kdy*kdx)/det AS bx FROM f),
+e AS (SELECT *, my - bd*md - bx*mx AS b0, (kyy - bd*kdy - bx*kxy)/n AS sig2 FROM b)
+SELECT p_type, 'const' AS term, b0 AS coef,
+       sqrt(sig2*(1.0/n + (md*md*kxx - 2*md*mx*kdx + mx*mx*kdd)/det)) AS se,
+       b0/sqrt(sig2*(1.0/n + (md*md*kxx - 2*md*mx*kdx + mx*mx*kdd)/det)) AS t, n FROM e
+UNION ALL SELECT p_type, 'd', bd, sqrt(sig2*kxx/det), bd/sqrt(sig2*kxx/det), n FROM e
+UNION ALL SELECT p_type, 'x', bx, sqrt(sig2*kdd/det), bx/sqrt(sig2*kdd/det), n FROM e) q0""",
+                     ["coef", "se", "t"]))
+
 IV_SQL = _w(_r("""SELECT * FROM (WITH
 r0 AS (SELECT * FROM reg WHERE y IS NOT NULL AND d IS NOT NULL AND z IS NOT NULL),
 s AS (SELECT p_type, count(*) AS n, sum(d) AS sd, sum(y) AS sy, sum(z) AS sz, sum(z*z) AS szz,
@@ -356,6 +379,7 @@ QUERIES = {
     "regression_panel": q_regression_panel,
     "ols": q_ols,
     "iv2sls": q_iv2sls,
+    "ols_multi": q_ols_multi,
     "dml_plr": q_dml_plr,
     "dml_pliv": q_dml_pliv,
     "first_stage_errors": q_first_stage_errors,
@@ -379,6 +403,7 @@ def oracle_sql() -> dict[str, str]:
         "regression_panel": _w(_r("SELECT * FROM reg", ["y", "d", "z", "x", "const", "n_lines"])),
         "ols": OLS_SQL,
         "iv2sls": IV_SQL,
+        "ols_multi": OLS_MULTI_SQL,
         "dml_plr": _dml_sql(False),
         "dml_pliv": _dml_sql(True),
         "first_stage_errors": FIRST_STAGE_SQL,
