@@ -42,6 +42,12 @@ def q_ols_multi(spark, d):
     return _round(r.drop("p"))
 
 
+def q_iv2sls_multi(spark, d):
+    """2SLS with an exogenous covariate besides the constant (M2, k = 3), price term."""
+    r = linear.iv2sls(_reg(spark, d), "y", ["const", "x"], ["d"], ["z"], by=BY, cov="unadjusted")
+    return _round(r.where(F.col("term") == "d").drop("p"))
+
+
 def q_iv2sls(spark, d):
     r = linear.iv2sls(_reg(spark, d), "y", ["const"], ["d"], ["z"], by=BY, cov="robust")
     return _round(r.drop("p"))
@@ -195,6 +201,22 @@ UNION ALL SELECT p_type, 'd', bd, sqrt(sig2*kxx/det), bd/sqrt(sig2*kxx/det), n F
 UNION ALL SELECT p_type, 'x', bx, sqrt(sig2*kdd/det), bx/sqrt(sig2*kdd/det), n FROM e) q0""",
                      ["coef", "se", "t"]))
 
+IV_MULTI_SQL = _w(_r("""SELECT * FROM (WITH
+r0 AS (SELECT * FROM reg WHERE y IS NOT NULL AND d IS NOT NULL AND z IS NOT NULL AND x IS NOT NULL),
+s AS (SELECT p_type, count(*) AS n,
+             covar_pop(x, x) * count(*) AS kxx, covar_pop(x, y) * count(*) AS kxy,
+             covar_pop(x, d) * count(*) AS kxd, covar_pop(x, z) * count(*) AS kxz,
+             covar_pop(z, y) * count(*) AS kzy, covar_pop(z, d) * count(*) AS kzd,
+             covar_pop(z, z) * count(*) AS kzz, covar_pop(y, y) * count(*) AS kyy,
+             covar_pop(d, d) * count(*) AS kdd, covar_pop(d, y) * count(*) AS kdy
+      FROM r0 GROUP BY p_type),
+b AS (SELECT *, (kzy - kxz*kxy/kxx) / (kzd - kxz*kxd/kxx) AS bd,
+             kzz - kxz*kxz/kxx AS zz, kzd - kxz*kxd/kxx AS zd FROM s),
+c AS (SELECT *, (kxy - bd*kxd)/kxx AS bx FROM b),
+e AS (SELECT *, (kyy + bd*bd*kdd + bx*bx*kxx - 2*bd*kdy - 2*bx*kxy + 2*bd*bx*kxd)/n AS sig2 FROM c)
+SELECT p_type, 'd' AS term, bd AS coef, sqrt(sig2*zz/(zd*zd)) AS se, bd/sqrt(sig2*zz/(zd*zd)) AS t, n FROM e) q0""",
+                     ["coef", "se", "t"]))
+
 IV_SQL = _w(_r("""SELECT * FROM (WITH
 r0 AS (SELECT * FROM reg WHERE y IS NOT NULL AND d IS NOT NULL AND z IS NOT NULL),
 s AS (SELECT p_type, count(*) AS n, sum(d) AS sd, sum(y) AS sy, sum(z) AS sz, sum(z*z) AS szz,
@@ -380,6 +402,7 @@ QUERIES = {
     "ols": q_ols,
     "iv2sls": q_iv2sls,
     "ols_multi": q_ols_multi,
+    "iv2sls_multi": q_iv2sls_multi,
     "dml_plr": q_dml_plr,
     "dml_pliv": q_dml_pliv,
     "first_stage_errors": q_first_stage_errors,
@@ -404,6 +427,7 @@ def oracle_sql() -> dict[str, str]:
         "ols": OLS_SQL,
         "iv2sls": IV_SQL,
         "ols_multi": OLS_MULTI_SQL,
+        "iv2sls_multi": IV_MULTI_SQL,
         "dml_plr": _dml_sql(False),
         "dml_pliv": _dml_sql(True),
         "first_stage_errors": FIRST_STAGE_SQL,
