@@ -58,6 +58,15 @@ def q_dml_plr(spark, d):
     return _round(res.table.drop("p"))
 
 
+X2 = ["x", "n_lines"]
+
+
+def q_dml_plr_multi(spark, d):
+    """DML-PLR with two covariates per category (linear learners, 5 folds)."""
+    res = dml.dml_plr(_reg(spark, d), "y", "d", X2, fold="fold", by=BY)
+    return _round(res.table.drop("p"))
+
+
 def q_dml_pliv(spark, d):
     res = dml.dml_pliv(_reg(spark, d), "y", "d", "z", X, fold="fold", by=BY)
     return _round(res.table.drop("p"))
@@ -276,6 +285,39 @@ SELECT p_type, '{name}' AS learner, theta, se, theta/se AS t, theta - {dml.Z975}
     return _w(_r(body, ["theta", "se", "t", "ci_lo", "ci_hi"]))
 
 
+def _dml2_sql() -> str:
+    """PLR with covariates (x, n_lines): leave-fold-out 2 x 2 solves in SQL."""
+    def fit(t):
+        c11, c22, c12 = "(T11 - T1*T1/N)", "(T22 - T2*T2/N)", "(T12 - T1*T2/N)"
+        c1t, c2t = f"(T1{t} - T1*T{t}/N)", f"(T2{t} - T2*T{t}/N)"
+        det = f"({c11}*{c22} - {c12}*{c12})"
+        b1 = f"(({c1t}*{c22} - {c2t}*{c12})/{det})"
+        b2 = f"(({c2t}*{c11} - {c1t}*{c12})/{det})"
+        b0 = f"((T{t} - {b1}*T1 - {b2}*T2)/N)"
+        return b0, b1, b2
+    y0, y1, y2 = fit("y")
+    d0, d1, d2 = fit("d")
+    names = ["nf", "s1", "s2", "s11", "s22", "s12", "sy", "s1y", "s2y", "sd", "s1d", "s2d"]
+    tot = ["N", "T1", "T2", "T11", "T22", "T12", "Ty", "T1y", "T2y", "Td", "T1d", "T2d"]
+    body = f"""SELECT * FROM (WITH
+r0 AS (SELECT *, n_lines AS w2 FROM reg WHERE y IS NOT NULL AND d IS NOT NULL AND x IS NOT NULL AND n_lines IS NOT NULL),
+sf AS (SELECT p_type, fold, count(*) AS nf, sum(x) AS s1, sum(w2) AS s2, sum(x*x) AS s11, sum(w2*w2) AS s22,
+              sum(x*w2) AS s12, sum(y) AS sy, sum(x*y) AS s1y, sum(w2*y) AS s2y, sum(d) AS sd,
+              sum(x*d) AS s1d, sum(w2*d) AS s2d FROM r0 GROUP BY p_type, fold),
+lo AS (SELECT p_type, fold, {", ".join(f"sum({a}) OVER w - {a} AS {b}" for a, b in zip(names, tot))}
+       FROM sf WINDOW w AS (PARTITION BY p_type)),
+cf AS (SELECT p_type, fold, {y0} AS ay, {y1} AS by1, {y2} AS by2, {d0} AS ad, {d1} AS bd1, {d2} AS bd2 FROM lo),
+res AS (SELECT r0.p_type, y - (ay + by1*x + by2*w2) AS u, d - (ad + bd1*x + bd2*w2) AS v
+        FROM r0 JOIN cf ON r0.p_type = cf.p_type AND r0.fold = cf.fold),
+agg AS (SELECT p_type, count(*) AS n, sum(u*v) AS suv, sum(v*v) AS svv, sum(u*u*v*v) AS suuvv,
+               sum(u*v*v*v) AS suvvv, sum(v*v*v*v) AS svvvv FROM res GROUP BY p_type),
+th AS (SELECT *, suv/svv AS theta,
+              sqrt(((suuvv - 2*(suv/svv)*suvvv + (suv/svv)*(suv/svv)*svvvv)/n) / (n*(svv/n)*(svv/n))) AS se FROM agg)
+SELECT p_type, 'plr[linear,linear]' AS learner, theta, se, theta/se AS t, theta - {dml.Z975}*se AS ci_lo,
+       theta + {dml.Z975}*se AS ci_hi, n FROM th) q0"""
+    return _w(_r(body, ["theta", "se", "t", "ci_lo", "ci_hi"]))
+
+
 EXCLUDED = "PROMO"
 
 
@@ -403,6 +445,7 @@ QUERIES = {
     "iv2sls": q_iv2sls,
     "ols_multi": q_ols_multi,
     "iv2sls_multi": q_iv2sls_multi,
+    "dml_plr_multi": q_dml_plr_multi,
     "dml_plr": q_dml_plr,
     "dml_pliv": q_dml_pliv,
     "first_stage_errors": q_first_stage_errors,
@@ -428,6 +471,7 @@ def oracle_sql() -> dict[str, str]:
         "iv2sls": IV_SQL,
         "ols_multi": OLS_MULTI_SQL,
         "iv2sls_multi": IV_MULTI_SQL,
+        "dml_plr_multi": _dml2_sql(),
         "dml_plr": _dml_sql(False),
         "dml_pliv": _dml_sql(True),
         "first_stage_errors": FIRST_STAGE_SQL,
