@@ -67,6 +67,25 @@ def q_dml_plr_multi(spark, d):
     return _round(res.table.drop("p"))
 
 
+HOLDOUT_FROM = "2001-01-01"
+
+
+def q_holdout_errors(spark, d):
+    """Out-of-time check (R3): first stages y, d, z ~ [1, x] fitted on the weeks
+    before the holdout, scored on the holdout weeks; errors per target."""
+    reg = _reg(spark, d)
+    cut = F.lit(HOLDOUT_FROM).cast("date")
+    train, test = reg.where(F.col("week") < cut), reg.where(F.col("week") >= cut)
+    g = gram(train, X + ["y", "d", "z"])
+    out = None
+    for t in ("y", "d", "z"):
+        b = linear.LinearLearner().coefficients(g.total(()), g.index(X), g.index([t])[0], X)
+        pred = F.lit(float(b[0])) + sum((F.lit(float(b[i + 1])) * F.col(x) for i, x in enumerate(X)), F.lit(0.0))
+        e = stats.errors(test.withColumn("_pred", pred), t, "_pred").withColumn("target", F.lit(t))
+        out = e if out is None else out.unionByName(e)
+    return _round(out)
+
+
 def q_dml_pliv(spark, d):
     res = dml.dml_pliv(_reg(spark, d), "y", "d", "z", X, fold="fold", by=BY)
     return _round(res.table.drop("p"))
@@ -318,6 +337,22 @@ SELECT p_type, 'plr[linear,linear]' AS learner, theta, se, theta/se AS t, theta
     return _w(_r(body, ["theta", "se", "t", "ci_lo", "ci_hi"]))
 
 
+def _holdout_sql() -> str:
+    parts = []
+    for t in ("y", "d", "z"):
+        parts.append(f"""SELECT '{t}' AS target, count(CASE WHEN {t} IS NOT NULL AND x IS NOT NULL THEN 1 END) AS n,
+       avg(CASE WHEN {t} IS NOT NULL AND x IS NOT NULL THEN power({t} - (a_{t} + b_{t}*x), 2) END) AS mse,
+       sqrt(avg(CASE WHEN {t} IS NOT NULL AND x IS NOT NULL THEN power({t} - (a_{t} + b_{t}*x), 2) END)) AS rmse,
+       sqrt(avg(CASE WHEN {t} IS NOT NULL AND x IS NOT NULL THEN power({t} - (a_{t} + b_{t}*x), 2) END))
+         / avg(CASE WHEN {t} IS NOT NULL AND x IS NOT NULL THEN {t} END) AS rel_rmse
+FROM reg, fitted WHERE week >= DATE '{HOLDOUT_FROM}'""")
+    fitted = ", ".join(f"regr_slope({t}, x) AS b_{t}, regr_intercept({t}, x) AS a_{t}" for t in ("y", "d", "z"))
+    body = f"""SELECT * FROM (WITH fitted AS (SELECT {fitted} FROM reg
+  WHERE week < DATE '{HOLDOUT_FROM}' AND x IS NOT NULL AND y IS NOT NULL AND d IS NOT NULL AND z IS NOT NULL)
+{" UNION ALL ".join(parts)}) q0"""
+    return _w(_r(body, ["mse", "rmse", "rel_rmse"]))
+
+
 EXCLUDED = "PROMO"
 
 
@@ -446,6 +481,7 @@ QUERIES = {
     "ols_multi": q_ols_multi,
     "iv2sls_multi": q_iv2sls_multi,
     "dml_plr_multi": q_dml_plr_multi,
+    "holdout_errors": q_holdout_errors,
     "dml_plr": q_dml_plr,
     "dml_pliv": q_dml_pliv,
     "first_stage_errors": q_first_stage_errors,
@@ -472,6 +508,7 @@ def oracle_sql() -> dict[str, str]:
         "ols_multi": OLS_MULTI_SQL,
         "iv2sls_multi": IV_MULTI_SQL,
         "dml_plr_multi": _dml2_sql(),
+        "holdout_errors": _holdout_sql(),
         "dml_plr": _dml_sql(False),
         "dml_pliv": _dml_sql(True),
         "first_stage_errors": FIRST_STAGE_SQL,
