@@ -148,6 +148,33 @@ def q_predict_demand_holdout(spark, d):
     return _round(e.join(c, BY).join(th, BY))
 
 
+def q_unique_values(spark, d):
+    return stats.unique_values(_reg(spark, d), "ppl")
+
+
+def q_column_stats(spark, d):
+    return _round(stats.column_stats(_reg(spark, d), ["y", "d", "z", "x"]))
+
+
+TYPES_LEVELS = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+
+
+def q_regression_features(spark, d):
+    """Feature operators on the regression panel: demand lags 1-2 per
+    (brand, type, line) series with incomplete rows dropped (W2, W3), week number
+    (F16), holiday flag (P7), category dummies from a fitted encoder (E1), squared
+    log price (E5)."""
+    from datetime import date as _date
+    reg = _reg(spark, d)
+    df = FE.add_lags(reg, ["y"], 2, ["p_brand", "p_type", "ppl"], "week", dropna=True)
+    df = FE.add_week_number(df, "week", _date(1995, 1, 2))
+    df = FE.add_holiday(df, "week", FE.holiday_weeks(range(1995, 2002)))
+    enc = FE.FrozenDummies.fit(df, ["p_type"])
+    df = FE.add_powers(enc.transform(df), {"d": 2})
+    return _round(df.select("p_brand", "p_type", "week", "ppl", "y", "y_t_1", "y_t_2", "week_nr", "holiday",
+                            "d_pow2", *enc.columns))
+
+
 def q_value_counts(spark, d):
     return stats.value_counts(_reg(spark, d), BY)
 
@@ -353,6 +380,21 @@ FROM reg, fitted WHERE week >= DATE '{HOLDOUT_FROM}'""")
     return _w(_r(body, ["mse", "rmse", "rel_rmse"]))
 
 
+def _features_sql() -> str:
+    hol = ", ".join(f"DATE '{h}'" for h in FE.holiday_weeks(range(1995, 2002)))
+    dums = ", ".join(f"CAST(coalesce(p_type = '{v}', false) AS INTEGER) AS {FE.dummy_name('p_type', v)}"
+                     for v in sorted(TYPES_LEVELS)[1:])
+    body = f"""SELECT * FROM (WITH f AS (
+  SELECT *, lag(y, 1) OVER s AS y_t_1, lag(y, 2) OVER s AS y_t_2 FROM reg
+  WINDOW s AS (PARTITION BY p_brand, p_type, ppl ORDER BY week))
+SELECT p_brand, p_type, week, ppl, y, y_t_1, y_t_2,
+       date_diff('day', DATE '1995-01-02', week) / 7.0 + 1.0 AS week_nr,
+       CAST(coalesce(week IN ({hol}), false) AS INTEGER) AS holiday,
+       power(d, 2) AS d_pow2, {dums}
+FROM f WHERE y_t_1 IS NOT NULL AND y_t_2 IS NOT NULL) q0"""
+    return _w(_r(body, ["y", "y_t_1", "y_t_2", "week_nr", "d_pow2"]))
+
+
 EXCLUDED = "PROMO"
 
 
@@ -482,6 +524,9 @@ QUERIES = {
     "iv2sls_multi": q_iv2sls_multi,
     "dml_plr_multi": q_dml_plr_multi,
     "holdout_errors": q_holdout_errors,
+    "unique_values": q_unique_values,
+    "column_stats": q_column_stats,
+    "regression_features": q_regression_features,
     "dml_plr": q_dml_plr,
     "dml_pliv": q_dml_pliv,
     "first_stage_errors": q_first_stage_errors,
@@ -509,6 +554,11 @@ def oracle_sql() -> dict[str, str]:
         "iv2sls_multi": IV_MULTI_SQL,
         "dml_plr_multi": _dml2_sql(),
         "holdout_errors": _holdout_sql(),
+        "unique_values": _w("SELECT DISTINCT ppl FROM reg"),
+        "column_stats": _w(_r("SELECT " + ", ".join(
+            f"max({c}) AS max_{c}, min({c}) AS min_{c}, avg({c}) AS mean_{c}" for c in _COLS) + " FROM reg",
+            [f"{k}_{c}" for c in _COLS for k in ("max", "min", "mean")])),
+        "regression_features": _features_sql(),
         "dml_plr": _dml_sql(False),
         "dml_pliv": _dml_sql(True),
         "first_stage_errors": FIRST_STAGE_SQL,
