@@ -175,6 +175,25 @@ def q_regression_features(spark, d):
                             "d_pow2", *enc.columns))
 
 
+def q_predict_demand_uncentered(spark, d):
+    """yhat = theta * d + l(X) (M15), errors per category."""
+    from demandlab.operators import diagnostics as DG
+    r = _pliv_resid(spark, d)
+    ok = r.residuals.where(F.col("_u").isNotNull() & F.col("_v").isNotNull() & F.col("_w").isNotNull())
+    sc = DG.predict_demand(ok, r.table.select(BY, "theta"), "d", "_lhat", None, by=BY)
+    return _round(stats.errors(sc, "y", "yhat", by=BY))
+
+
+def q_residual_table(spark, d):
+    """Rows behind the residual plots (M18): key, y, yhat, resid, learner."""
+    from demandlab.operators import diagnostics as DG
+    r = _pliv_resid(spark, d)
+    ok = r.residuals.where(F.col("_u").isNotNull() & F.col("_v").isNotNull() & F.col("_w").isNotNull())
+    sc = DG.predict_demand(ok, r.table.select(BY, "theta"), "d", "_lhat", "_rhat", by=BY)
+    return _round(DG.residual_table(sc, "y", "yhat", "pliv[linear,linear,linear]",
+                                    ["p_brand", "p_type", "week", "ppl"]))
+
+
 def q_value_counts(spark, d):
     return stats.value_counts(_reg(spark, d), BY)
 
@@ -395,6 +414,18 @@ FROM f WHERE y_t_1 IS NOT NULL AND y_t_2 IS NOT NULL) q0"""
     return _w(_r(body, ["y", "y_t_1", "y_t_2", "week_nr", "d_pow2"]))
 
 
+UNCENTERED_SQL = _w(_r(f"""SELECT * FROM (WITH {_dml_chain(True)},
+p AS (SELECT res.*, lhat + th.theta * d AS yhat FROM res JOIN th ON res.p_type = th.p_type)
+SELECT p_type, count(*) AS n, avg(power(y - yhat, 2)) AS mse, sqrt(avg(power(y - yhat, 2))) AS rmse,
+       sqrt(avg(power(y - yhat, 2))) / avg(y) AS rel_rmse FROM p GROUP BY p_type) q0""",
+                        ["mse", "rmse", "rel_rmse"]))
+
+RESIDUAL_SQL = _w(_r(f"""SELECT * FROM (WITH {_dml_chain(True)},
+p AS (SELECT res.*, lhat + th.theta * (d - rhat) AS yhat FROM res JOIN th ON res.p_type = th.p_type)
+SELECT p_brand, p_type, week, ppl, y, yhat, y - yhat AS resid, 'pliv[linear,linear,linear]' AS learner
+FROM p) q0""", ["y", "yhat", "resid"]))
+
+
 EXCLUDED = "PROMO"
 
 
@@ -525,6 +556,8 @@ QUERIES = {
     "dml_plr_multi": q_dml_plr_multi,
     "holdout_errors": q_holdout_errors,
     "unique_values": q_unique_values,
+    "predict_demand_uncentered": q_predict_demand_uncentered,
+    "residual_table": q_residual_table,
     "column_stats": q_column_stats,
     "regression_features": q_regression_features,
     "dml_plr": q_dml_plr,
@@ -555,6 +588,8 @@ def oracle_sql() -> dict[str, str]:
         "dml_plr_multi": _dml2_sql(),
         "holdout_errors": _holdout_sql(),
         "unique_values": _w("SELECT DISTINCT ppl FROM reg"),
+        "predict_demand_uncentered": UNCENTERED_SQL,
+        "residual_table": RESIDUAL_SQL,
         "column_stats": _w(_r("SELECT " + ", ".join(
             f"max({c}) AS max_{c}, min({c}) AS min_{c}, avg({c}) AS mean_{c}" for c in _COLS) + " FROM reg",
             [f"{k}_{c}" for c in _COLS for k in ("max", "min", "mean")])),
