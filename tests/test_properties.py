@@ -1,6 +1,7 @@
 """Property tests (hypothesis) for the NULL rules and the key-hash fold assignment."""
 import math
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -23,7 +24,10 @@ def test_ln_pos_and_clamp(spark, xs):
     df = spark.createDataFrame([(x,) for x in xs], "a double")
     got = df.select(S.ln_pos("a").alias("l"), S.clamp_positive("a").alias("c")).collect()
     for x, r in zip(xs, got):
-        assert r.l == (math.log(x) if x is not None and x > 0 else None)
+        if x is not None and x > 0:
+            assert r.l == pytest.approx(math.log(x), rel=1e-14)   # JVM and libm may differ by an ulp
+        else:
+            assert r.l is None
         assert r.c == (x if x is not None and x > 0 else 0.0)
 
 
