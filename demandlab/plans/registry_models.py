@@ -194,6 +194,15 @@ def q_residual_table(spark, d):
                                     ["p_brand", "p_type", "week", "ppl"]))
 
 
+def q_residual_histogram_linear(spark, d):
+    """2-D histogram (20 x 20 bins) of the instrument and price residuals of the
+    linear PLIV (M18): a size-bounded extract for the residual scatter plots."""
+    from demandlab.operators import diagnostics as DG
+    res = _pliv_resid(spark, d).residuals
+    ok = res.where(F.col("_u").isNotNull() & F.col("_v").isNotNull() & F.col("_w").isNotNull())
+    return DG.residual_histogram(ok, "_w", "_v", bins=20)
+
+
 def q_value_counts(spark, d):
     return stats.value_counts(_reg(spark, d), BY)
 
@@ -426,6 +435,17 @@ SELECT p_brand, p_type, week, ppl, y, yhat, y - yhat AS resid, 'pliv[linear,line
 FROM p) q0""", ["y", "yhat", "resid"]))
 
 
+def _bucket(c: str, lo: str, hi: str, n: int = 20) -> str:
+    return (f"CASE WHEN {c} < {lo} THEN 0 WHEN {c} >= {hi} THEN {n + 1} "
+            f"ELSE CAST(floor({n} * ({c} - {lo}) / ({hi} - {lo})) AS BIGINT) + 1 END")
+
+
+HISTOGRAM_SQL = _w(f"""SELECT * FROM (WITH {_dml_chain(True)},
+lim AS (SELECT min(w) AS lo_w, max(w) + 1e-12 AS hi_w, min(v) AS lo_v, max(v) + 1e-12 AS hi_v FROM res)
+SELECT {_bucket("w", "lo_w", "hi_w")} AS bin_x, {_bucket("v", "lo_v", "hi_v")} AS bin_y, count(*) AS count
+FROM res, lim GROUP BY 1, 2) q0""")
+
+
 EXCLUDED = "PROMO"
 
 
@@ -558,6 +578,7 @@ QUERIES = {
     "unique_values": q_unique_values,
     "predict_demand_uncentered": q_predict_demand_uncentered,
     "residual_table": q_residual_table,
+    "residual_histogram_linear": q_residual_histogram_linear,
     "column_stats": q_column_stats,
     "regression_features": q_regression_features,
     "dml_plr": q_dml_plr,
@@ -590,6 +611,7 @@ def oracle_sql() -> dict[str, str]:
         "unique_values": _w("SELECT DISTINCT ppl FROM reg"),
         "predict_demand_uncentered": UNCENTERED_SQL,
         "residual_table": RESIDUAL_SQL,
+        "residual_histogram_linear": HISTOGRAM_SQL,
         "column_stats": _w(_r("SELECT " + ", ".join(
             f"max({c}) AS max_{c}, min({c}) AS min_{c}, avg({c}) AS mean_{c}" for c in _COLS) + " FROM reg",
             [f"{k}_{c}" for c in _COLS for k in ("max", "min", "mean")])),
