@@ -104,10 +104,11 @@ def column_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 # ---------------------------------------------------------------- exact quantiles
 
 MAX_GROUPS = 100_000
+CELL_BUDGET = 2_000_000   # sketch values / histogram cells brought to the driver per round
 
 
 def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], by=None, grid: int = 100,
-                    accuracy: int = 10_000, max_bracket: int = 20_000, max_rounds: int = 30) -> DataFrame:
+                    accuracy: int = 10_000, max_bracket: int = 20_000, max_rounds: int = 60) -> DataFrame:
     """Exact quantiles with linear interpolation (the pandas / SQL ``quantile_cont``
     rule, h = (n - 1) q) per group, without gathering a group in one task.
 
@@ -139,12 +140,14 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], by=None, grid:
             lo = int(h // 1)
             state[(g, qi)] = dict(a=float("-inf"), b=float("inf"), below=0, inside=r.n,
                                   lo=lo, hi=min(lo + 1, r.n - 1) if h > lo else lo, frac=h - lo, n=r.n)
-    probs = [i / grid for i in range(grid + 1)]
     schema = ", ".join([f"{g} string" for g in gcols] + ["_q int", "_a double", "_b double"])
     for _ in range(max_rounds):
         open_ = {k: s for k, s in state.items() if s["inside"] > max_bracket}
         if not open_:
             break
+        # grid adapted so that (open brackets x grid) driver-side values stay within budget
+        g_eff = max(8, min(grid, CELL_BUDGET // len(open_)))
+        probs = [i / g_eff for i in range(g_eff + 1)]
         br = spark.createDataFrame([(*g, qi, s["a"], s["b"]) for (g, qi), s in open_.items()], schema)
         inside = _in_brackets(base, br, gcols)
         sk = inside.groupBy(*gcols, "_q").agg(F.percentile_approx("_v", probs, accuracy).alias("_p")).collect()
@@ -179,6 +182,15 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], by=None, grid:
                 s["value_lo"] = s["value_hi"] = pick[0][2]
         if not progressed:
             break
+    still = {k: s for k, s in state.items() if s["inside"] > max_bracket and "value_lo" not in s}
+    if still:
+        # many rows but few distinct values (heavy ties) is fine: the final step ranks
+        # (value, count) pairs; only many distinct values would make that window large
+        br = spark.createDataFrame([(*g, qi, s["a"], s["b"]) for (g, qi), s in still.items()], schema)
+        nd = (_in_brackets(base, br, gcols).groupBy(*gcols, "_q")
+              .agg(F.count_distinct("_v").alias("nd")).agg(F.max("nd")).first()[0])
+        if nd is not None and nd > max_bracket:
+            raise RuntimeError("quantile brackets did not narrow below max_bracket; raise max_rounds")
     # final selection on (value, count) pairs inside each bracket, bounded window
     todo = {k: s for k, s in state.items() if "value_lo" not in s}
     out_rows = {k: (s["value_lo"], s["value_hi"]) for k, s in state.items() if "value_lo" in s}
