@@ -85,3 +85,14 @@ def test_exact_quantiles_ungrouped_and_all_null_group(spark):
     g = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", None)], "g string, v double")
     d = {r.g: r for r in stats.describe_by(g, ["v"], by="g").collect()}
     assert d["a"].p50 == 2.0 and d["b"].p50 is None and d["b"]["count"] == 0
+
+
+def test_exact_quantiles_heavy_ties(spark):
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(1)
+    v = np.where(rng.random(5000) < 0.5, 1.0, 2.0)
+    v[:50] = rng.normal(size=50)
+    pdf = pd.DataFrame({"v": v})
+    for r in stats.exact_quantiles(spark.createDataFrame(pdf), "v", [0.25, 0.4999, 0.75], max_bracket=20).collect():
+        assert r.value == pytest.approx(pdf.v.quantile(r.q), rel=1e-12, abs=1e-12)
