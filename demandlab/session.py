@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -34,25 +36,38 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
+    """The shared folder for checkpoints and written intermediate tables.
 
-    Only when the session names none (local tests) a scratch folder is
-    created and registered; on a cluster the configured shared folder wins.
+    In this order: the folder already set on the context, the setting
+    ``spark.checkpoint.dir``, a scratch folder when the master is local
+    (tests). On a cluster without either, this raises: a machine-local folder
+    would not be visible to the other executors.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - remote (Connect) sessions have no SparkContext
         sc = None
+    if sc is not None and sc.getCheckpointDir() is not None:
+        return sc.getCheckpointDir()
     conf = (sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None) \
         or spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="demandlab-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", conf)
-    if sc is not None and sc.getCheckpointDir() is None:
+    if sc is not None:
         sc.setCheckpointDir(conf)
+        return sc.getCheckpointDir()
     return conf
 
 
+def scratch_table(spark: SparkSession, name: str) -> str:
+    """A fresh path for a written intermediate table in the shared folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 _SHIPPED: set = set()
 
 
