@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from demandlab.llm.bloom_lm import lm_scores
+from demandlab.llm.chunk_dedup import chunk_dedup
 from demandlab.llm.decontaminate import decontaminate
 from demandlab.llm.exact_dedup import exact_dedup
+from demandlab.llm.mixing import mix_sources
+from demandlab.llm.ngram_join import ngram_jaccard_join
+from demandlab.llm.quality import quality_scores
 from demandlab.llm.token_counts import token_counts
+from demandlab.llm.token_shards import token_shards
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +28,36 @@ def _tokenizer(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def _remainder(docs: DataFrame, n: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+def op2_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lm_scores(docs, _remainder(docs, 7) == 2)
+
+
+def domain(source: Column) -> Column:
+    """Four domains, told by the number in the source's name."""
+    return F.concat(F.lit("d"), (F.regexp_extract(source, "([0-9]+)", 1).try_cast("int") % 4).cast("string"))
+
+
+#: Target weights of the tree's nodes; sources share their language's budget equally.
+WEIGHTS = [("d0", 4.0), ("d1", 3.0), ("d2", 2.0), ("d3", 1.0),
+           *((f"d{d}/{lang}", w) for d in range(4) for lang, w in (("en", 5.0), ("de", 2.0), ("fr", 2.0), ("es", 1.0)))]
+MIX_SHARE, MIX_EPOCHS, MIX_SEED = 0.8, 3, 7
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    weights = docs.sparkSession.createDataFrame(WEIGHTS, "path string, weight double")
+    levels = {"domain": domain(docs["source"]), "lang": docs["lang"], "source": docs["source"]}
+    return mix_sources(docs, levels, weights, share=MIX_SHARE, max_epochs=MIX_EPOCHS, seed=MIX_SEED)
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(table(spark, sf_dir, "documents")).select("doc_id", "lang", "source", "epoch", "n_tokens", "take_tokens")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows whose crc32(doc_id) is even are the history, all others are new."""
     docs = table(spark, sf_dir, "documents")
@@ -32,13 +68,38 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard_join(table(spark, sf_dir, "documents"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_scores(docs, table(spark, sf_dir, "labels"), _remainder(docs, 4) == 2)
+
+
+def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_shards(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op9_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_bloom_lm": op2_bloom_lm,
+    "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_decontaminate": op5_decontaminate,
+    "op6_ngram_join": op6_ngram_join,
+    "op7_quality": op7_quality,
+    "op8_token_shards": op8_token_shards,
+    "op9_chunk_dedup": op9_chunk_dedup,
     "op10_token_counts": op10_token_counts,
 }
 

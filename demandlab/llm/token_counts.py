@@ -121,6 +121,36 @@ def split_rows(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return _low[cp], coffs, safe
 
 
+class KeyCache:
+    """A bounded map of 64-bit keys to values: a sorted table and a small sorted one of late keys."""
+
+    def __init__(self):
+        self.keys, self.values = np.empty(0, U64), np.empty(0, np.int64)
+        self.late, self.late_values = np.empty(0, U64), np.empty(0, np.int64)
+
+    def get(self, key: np.ndarray) -> np.ndarray:
+        out = np.full(len(key), -1, np.int64)
+        for keys, values in ((self.keys, self.values), (self.late, self.late_values)):
+            at = in_sorted(keys, key)
+            out[at >= 0] = values[at[at >= 0]]
+        return out
+
+    def full(self, more: int) -> bool:
+        return len(self.keys) + len(self.late) + more > CACHE
+
+    def put(self, key: np.ndarray, value: np.ndarray) -> None:
+        """Add keys that are not there yet."""
+        key, value = np.concatenate([self.late, key]), np.concatenate([self.late_values, value])
+        if len(key) > 50_000 + len(self.keys) // 4:
+            key, value = np.concatenate([self.keys, key]), np.concatenate([self.values, value])
+            self.late, self.late_values = np.empty(0, U64), np.empty(0, np.int64)
+            order = np.argsort(key, kind="stable")
+            self.keys, self.values = key[order], value[order]
+        else:
+            order = np.argsort(key, kind="stable")
+            self.late, self.late_values = key[order], value[order]
+
+
 class Encoder:
     """Token counts of pre-tokens and texts by the library, loaded once per worker."""
 
@@ -131,7 +161,7 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.keys, self.sizes = np.empty(0, U64), np.empty(0, np.int32)
+        self.cache = KeyCache()
 
     def text(self, text: str) -> int:
         return len(self.tok.encode(text, add_special_tokens=False).ids)
@@ -148,13 +178,6 @@ class Encoder:
             out[i:i + len(part)] = n
         return out
 
-    def remember(self, keys: np.ndarray, sizes: np.ndarray) -> None:
-        if len(self.keys) + len(keys) > CACHE:
-            self.keys, self.sizes = np.empty(0, U64), np.empty(0, np.int32)
-        keys, sizes = np.concatenate([self.keys, keys]), np.concatenate([self.sizes, sizes])
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.sizes = keys[order], sizes[order]
-
 
 _encoders: dict[str, Encoder] = {}
 
@@ -165,7 +188,7 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def _strings(cp: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[str]:
+def strings_of(cp: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[str]:
     text = cp.tobytes().decode("utf-32-le")
     return [text[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
 
@@ -218,13 +241,14 @@ def _count(path: str, table, limit: int):
             miss = np.flatnonzero(at < 0)
             if len(miss):
                 key, one, back = np.unique(h[miss], return_index=True, return_inverse=True)
-                got = in_sorted(enc.keys, key)
-                size = np.where(got >= 0, enc.sizes[got] if len(enc.sizes) else 0, 0).astype(np.int32)
-                new = np.flatnonzero(got < 0)
+                size = enc.cache.get(key)
+                new = np.flatnonzero(size < 0)
                 if len(new):
                     i = miss[one[new]]
-                    size[new] = enc.pieces(_strings(cp, s[i], e[i]))
-                    enc.remember(key[new], size[new])
+                    size[new] = enc.pieces(strings_of(cp, s[i], e[i]))
+                    if enc.cache.full(len(new)):
+                        enc.cache = KeyCache()
+                    enc.cache.put(key[new], size[new])
                 n[miss] = size[back]
             total = np.concatenate([[0], np.cumsum(n)])
             ends = np.searchsorted(s, coffs)
