@@ -130,8 +130,9 @@ def fit(sample: DataFrame) -> tuple[np.ndarray, float] | None:
     weights = model.coefficients.toArray()
     scored = sample.select("quality", F.aggregate(
         F.zip_with("x", F.array(*[F.lit(float(w)) for w in weights]), lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v).alias("s"))
-    worse = scored.agg(F.avg(1 - F.col("quality"))).first()[0]
-    return weights, float(scored.agg(F.percentile("s", F.lit(float(worse)))).first()[0])
+    n, worse = scored.agg(F.count("s"), F.sum(1 - F.col("quality"))).first()
+    below, above = scored.agg(F.percentile("s", F.lit((worse - 1) / (n - 1))), F.percentile("s", F.lit(worse / (n - 1)))).first()
+    return weights, (below + above) / 2
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text",
