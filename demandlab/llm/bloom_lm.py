@@ -12,6 +12,8 @@ each token's probability comes from such probes, Witten-Bell smoothed:
 
 The filter is a set of segments, an n-gram's segment follows from its hash, so
 a segment is built in one task from the rows shuffled to it and nothing else.
+Inside a segment a pair is told by 40 bits of its hash, as is its first word:
+a collision is far rarer than the filter's own false positives.
 Segments grow with the counts up to ``filter_bytes`` in all (the bound of the
 broadcast); beyond it a segment leaves out its lowest count classes, the usual
 count cut-off, which only sends more tokens to the smoothed estimate.
@@ -43,7 +45,9 @@ HASHES, BITS_PER_EVENT = 5, 8
 #: Base of the count classes: fine for words and followers, coarser for pairs.
 WORD_BASE, PAIR_BASE = 1.25, 1.6
 TOKENS_PER_SEGMENT = 1_500_000
-COMBINE = 1_000_000
+COMBINE = 1_500_000
+#: Bits of a hash that a segment doesn't keep.
+SHORT = U64(24)
 
 
 def classes(count: np.ndarray, base: float) -> np.ndarray:
@@ -100,11 +104,10 @@ class Filter:
         out[alive] = True
         return out
 
-    def probe(self, key: np.ndarray) -> np.ndarray:
+    def probe(self, key: np.ndarray, seg: np.ndarray) -> np.ndarray:
         q = np.zeros(len(key), np.int64)
         if not len(self.sizes):
             return q
-        seg = segment(key, len(self.sizes))
         left, event = np.arange(len(key)), 1
         while len(left):
             left = left[self._has(key[left], seg[left], event)]
@@ -165,15 +168,35 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([as_long(key), pa.array(c)], ["h", "c"])
 
 
+def _pack(key: np.ndarray, prev: np.ndarray, c: np.ndarray) -> bytes:
+    """Columns of 40-bit keys, 40-bit first words and 16-bit counts; larger counts take several entries."""
+    parts = -(-c // 0xFFFF)
+    key, prev = np.repeat(key, parts), np.repeat(prev, parts)
+    left = np.repeat(c, parts) - 0xFFFF * (np.arange(len(key)) - np.repeat(np.cumsum(parts) - parts, parts))
+    return b"".join([(key >> U64(8)).astype("<u4").tobytes(), key.astype(np.uint8).tobytes(), (prev >> U64(8)).astype("<u4").tobytes(), prev.astype(np.uint8).tobytes(),
+                     np.minimum(left, 0xFFFF).astype("<u2").tobytes()])
+
+
+def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = len(blob) // 12
+    at = lambda kind, start: np.frombuffer(blob, kind, n, start * n)
+    return at("<u4", 0).astype(U64) << U64(8) | at("u1", 4), at("<u4", 5).astype(U64) << U64(8) | at("u1", 9), at("<u2", 10).astype(np.int64)
+
+
 def _count_pairs(segments: int):
     def out(held):
         key, prev, c = _combined(held)
-        return pa.record_batch([pa.array(segment(key, segments).astype(np.int32)), as_long(key), as_long(prev), pa.array(c)], ["seg", "h", "v", "c"])
+        seg = segment(key, segments)
+        order = np.argsort(seg, kind="stable")
+        parts = np.split(order, np.flatnonzero(np.diff(seg[order])) + 1)
+        return pa.record_batch([pa.array([int(seg[x[0]]) for x in parts], pa.int32()), pa.array([_pack(key[x] >> SHORT, prev[x] >> SHORT, c[x]) for x in parts], pa.binary())], ["seg", "pairs"])
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for _, buf, offs in text_slices(batches):
             h, toffs = tokens(buf, offs)
+            if not len(h):
+                continue
             prev = before(h, toffs)
             key, first, c = np.unique(_pairs(prev, h), return_index=True, return_counts=True)
             held.append((key, prev[first], c))
@@ -186,6 +209,23 @@ def _count_pairs(segments: int):
     return kernel
 
 
+def _pair_segments(most_bytes: int):
+    """Per segment: its bits, and for each first word the different followers seen here."""
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got: dict[int, list] = {}
+        for b in batches:
+            for seg, blob in zip(b.column("seg").to_pylist(), b.column("pairs").to_pylist(), strict=True):
+                got.setdefault(seg, []).append(blob)
+        for s in list(got):
+            key, prev, c = _combined([_unpack(blob) for blob in got.pop(s)])
+            bits = build_segment(key, classes(c, PAIR_BASE), most_bytes)
+            word, follow = np.unique(prev, return_counts=True)
+            yield pa.record_batch([pa.array([s], pa.int32()), pa.array([bits.tobytes()]), pa.array([None], pa.int64()), pa.array([None], pa.int64())], ["seg", "bits", "v", "t"])
+            m = len(word)
+            yield pa.record_batch([pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()), as_long(word), pa.array(follow)], ["seg", "bits", "v", "t"])
+    return kernel
+
+
 def _by_segment(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[int, list[np.ndarray]]]:
     """All rows of each segment of the task."""
     got: dict[int, list] = {}
@@ -199,19 +239,6 @@ def _by_segment(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator
         yield s, [np.concatenate(x) for x in zip(*got.pop(s), strict=True)]
 
 
-def _pair_segments(most_bytes: int):
-    """Per segment: its bits, and for each first word the different followers seen here."""
-    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s, (h, v, c) in _by_segment(batches, ["h", "v", "c"]):
-            key, prev, c = _combined([(h.view(U64), v.view(U64), c)])
-            bits = build_segment(key, classes(c, PAIR_BASE), most_bytes)
-            word, follow = np.unique(prev, return_counts=True)
-            yield pa.record_batch([pa.array([s], pa.int32()), pa.array([bits.tobytes()]), pa.array([None], pa.int64()), pa.array([None], pa.int64())], ["seg", "bits", "v", "t"])
-            m = len(word)
-            yield pa.record_batch([pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()), as_long(word), pa.array(follow)], ["seg", "bits", "v", "t"])
-    return kernel
-
-
 def _word_segments(most_bytes: int):
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s, (h, c) in _by_segment(batches, ["h", "c"]):
@@ -224,12 +251,13 @@ def log_probability(h: np.ndarray, offs: np.ndarray, model: dict) -> np.ndarray:
     """log10 P of each token given the one before it, by probes of the filter."""
     prev = before(h, offs)
     word, back = np.unique(np.concatenate([h, prev]), return_inverse=True)
-    count = class_value(model["words"].probe(word), WORD_BASE)
-    follow = class_value(model["words"].probe(word * FOLLOW), WORD_BASE)
+    short = (word >> SHORT) * FOLLOW
+    count = class_value(model["words"].probe(word, segment(word, model["few"])), WORD_BASE)
+    follow = class_value(model["words"].probe(short, segment(short, model["few"])), WORD_BASE)
     single = (count + 1) / (model["n"] + model["v"] + 1)
     here, there = back[:len(h)], back[len(h):]
     pair, where = np.unique(_pairs(prev, h), return_inverse=True)
-    both = class_value(model["pairs"].probe(pair), PAIR_BASE)[where]
+    both = class_value(model["pairs"].probe(pair >> SHORT, segment(pair, model["segments"])), PAIR_BASE)[where]
     t, c = follow[there], np.maximum(count[there], both)
     p = np.where(t > 0, (both + t * single[here]) / np.maximum(c + t, 1), single[here])
     return np.log10(np.minimum(p, 1.0))
@@ -238,12 +266,11 @@ def log_probability(h: np.ndarray, offs: np.ndarray, model: dict) -> np.ndarray:
 def _score(shared):
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        model = m | {"words": Filter(m["word_segments"]), "pairs": Filter(m["pair_segments"])}
         for rows, buf, offs in text_slices(batches):
             h, toffs = tokens(buf, offs)
             n = rows.num_rows
             row = row_of(toffs, np.arange(len(h)))
-            score = np.bincount(row, log_probability(h, toffs, model), n).astype(np.float64)
+            score = np.bincount(row, log_probability(h, toffs, m), n).astype(np.float64)
             at = in_sorted(m["keys"], h)
             known = at >= 0
             base = np.bincount(row[known], np.log10(m["counts"][at[known]] + 1.0), n).astype(np.float64)
@@ -264,7 +291,7 @@ def train(docs: DataFrame, filter_bytes: int, exact_entries: int) -> tuple[dict,
 
     segments = n // TOKENS_PER_SEGMENT + 1
     pairs = scratch_table(spark, "pairs")
-    texts.mapInArrow(_count_pairs(segments), "seg int, h long, v long, c long").repartition(segments, "seg") \
+    texts.mapInArrow(_count_pairs(segments), "seg int, pairs binary").repartition(segments, "seg") \
         .mapInArrow(_pair_segments(filter_bytes * 3 // 4 // segments), "seg int, bits binary, v long, t long").write.parquet(pairs)
     made = spark.read.parquet(pairs)
     follow = made.where("v is not null").groupBy("v").agg(F.sum("t").alias("c"))
@@ -279,8 +306,8 @@ def train(docs: DataFrame, filter_bytes: int, exact_entries: int) -> tuple[dict,
     top = counts.where(F.col("c") >= least).toPandas()
     keys = top["h"].to_numpy(np.int64).view(U64)
     order = np.argsort(keys)
-    model = {"n": n, "v": v, "least": least, "keys": keys[order], "counts": top["c"].to_numpy(np.int64)[order].astype(np.float64),
-             "pair_segments": _segments(made.where("bits is not null").select("seg", "bits"), segments), "word_segments": _segments(word_segments, few)}
+    model = {"n": n, "v": v, "segments": segments, "few": few, "least": least, "keys": keys[order], "counts": top["c"].to_numpy(np.int64)[order].astype(np.float64),
+             "pairs": _segments(made.where("bits is not null").select("seg", "bits"), segments), "words": _segments(word_segments, few)}
     return model, counts
 
 
@@ -292,11 +319,12 @@ def _keyed(n: int, salt: np.uint64):
     return kernel
 
 
-def _segments(made: DataFrame, n: int) -> list[np.ndarray]:
+def _segments(made: DataFrame, n: int) -> Filter:
+    """The segments on the driver; together at most the bound they were built under."""
     parts = [np.zeros(8, np.uint8)] * n
     for r in made.toLocalIterator():
         parts[r["seg"]] = np.frombuffer(r["bits"], np.uint8)
-    return parts
+    return Filter(parts)
 
 
 def _least_count(per_count: DataFrame, entries: int) -> int:
@@ -312,7 +340,7 @@ def _least_count(per_count: DataFrame, entries: int) -> int:
 
 
 def lm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text",
-              filter_bytes: int = 1 << 26, exact_entries: int = 1_000_000) -> DataFrame:
+              filter_bytes: int = 96 << 20, exact_entries: int = 250_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row."""
     spark = docs.sparkSession
     ship_package(spark)

@@ -171,12 +171,17 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([rows.column("doc_id"), rows.column("key"), pa.array(np.diff(woffs))], ["doc_id", "key", "n_words"])
 
 
+def _hits(docs: DataFrame, windows: DataFrame, lengths: list[int]) -> DataFrame:
+    """key, start, n, item of every occurrence, by joins on fingerprints and then on windows."""
+    scan = docs.mapInArrow(_scan(lengths), "key binary, start long, n int, window long, fp long")
+    near = scan.join(windows.select("fp", "n").distinct(), ["fp", "n"], "left_semi").drop("fp").distinct()
+    return near.join(windows.drop("fp").distinct(), ["window", "n"])
+
+
 def _shuffled(docs: DataFrame, windows: DataFrame, lengths: list[int]) -> DataFrame:
     """The same result by joins, for a benchmark too large to broadcast."""
     docs = docs.withColumn("key", row_key())
-    scan = docs.mapInArrow(_scan(lengths), "key binary, start long, n int, window long, fp long")
-    near = scan.join(windows.select("fp", "n").distinct(), ["fp", "n"], "left_semi").drop("fp").distinct()
-    hits = near.join(windows.drop("fp").distinct(), ["window", "n"])
+    hits = _hits(docs, windows, lengths)
     items = hits.select("key", "item").distinct().groupBy("key").agg(F.sort_array(F.collect_list("item")).alias("items"))
     hit_words = hits.select("key", F.explode(F.sequence("start", F.col("start") + F.col("n") - 1)).alias("w")).distinct() \
         .groupBy("key").agg(F.count("w").alias("n_hit"))
@@ -188,6 +193,30 @@ def _shuffled(docs: DataFrame, windows: DataFrame, lengths: list[int]) -> DataFr
                       F.col("n_hit").isNotNull().alias("contaminated"))
 
 
+def _clean(table: dict, text_col: str):
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, buf, offs in text_slices(batches, text_col):
+            h, woffs = words(buf, offs, ALNUM)
+            start, length, _ = _found(h, woffs, table.value)
+            yield rows.filter(pa.array(_counts(woffs, start, length) == 0))
+    return kernel
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               item_col: str = "item_id", item_text: str = "text", broadcast_windows: int = 1_000_000) -> DataFrame:
+    """The rows of ``docs``, all columns, that hold no window of the benchmark."""
+    spark = docs.sparkSession
+    ship_package(spark)
+    small_batches(spark)
+    windows = item_windows(benchmark, item_col, item_text)
+    if windows.count() <= broadcast_windows:
+        return docs.mapInArrow(_clean(spark.sparkContext.broadcast(_table(windows)), text_col), docs.schema)
+    lengths = sorted(r["n"] for r in windows.select("n").distinct().collect() if r["n"] < WINDOW)
+    text, ident = F.coalesce(docs[text_col].cast("string"), F.lit("")), docs[id_col].cast("long")
+    hit = _hits(id_and_text(docs, id_col, text_col).withColumn("key", row_key()), windows, lengths).select(F.col("key").alias("__key")).distinct()
+    return docs.withColumn("__key", row_key(ident, text)).join(hit, "__key", "left_anti").select(*docs.columns)
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text: str = "text", broadcast_windows: int = 1_000_000) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""

@@ -31,11 +31,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlab.llm.textcols import U64, id_and_text, in_sorted, list_array, mix, row_key, row_of, shingles, small_batches, text_slices, words
+from demandlab.llm.textcols import U64, id_and_text, in_sorted, list_array, mix, row_key, row_of, shingles, small, small_batches, text_slices, words
 from demandlab.session import scratch_table, ship_package
 
 SKETCH = 16
 BAND = 1.12
+BROADCAST = 1_000_000
 
 
 def prefix_size(n, num: int, den: int):
@@ -78,17 +79,52 @@ def _digest(part: np.ndarray) -> bytes:
     return hashlib.blake2b(part.tobytes(), digest_size=16).digest()
 
 
-def _read_sets(k: int, num: int, den: int):
-    """Per row: size, digest, bitmap and the smallest hashes (twice the prefix, or all)."""
+def _read_sets(k: int):
+    """Per row: size and digest of its set."""
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, buf, offs in text_slices(batches):
+            key, soffs = shingle_sets(buf, offs, k)
+            sid = pa.array([_digest(key[a:b]) for a, b in zip(soffs[:-1], soffs[1:], strict=True)], pa.binary())
+            yield pa.record_batch([rows.column("doc_id"), rows.column("key"), pa.array(np.diff(soffs)), sid], ["doc_id", "key", "n", "sid"])
+    return kernel
+
+
+def _firsts(offs: np.ndarray, take: np.ndarray) -> np.ndarray:
+    """Positions of the first entries of each row."""
+    return np.repeat(offs[:-1], take) + np.arange(take.sum()) - np.repeat(np.cumsum(take) - take, take)
+
+
+def _with_sid(k: int, num: int, den: int):
+    """Per distinct set: digest, size, bitmap and the smallest hashes (twice the prefix, or all)."""
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, buf, offs in text_slices(batches):
             key, soffs = shingle_sets(buf, offs, k)
             n = np.diff(soffs)
             take = np.minimum(n, 2 * prefix_size(n, num, den) + 8)
-            at = np.repeat(soffs[:-1], take) + np.arange(take.sum()) - np.repeat(np.cumsum(take) - take, take)
             sid = pa.array([_digest(key[a:b]) for a, b in zip(soffs[:-1], soffs[1:], strict=True)], pa.binary())
-            yield pa.record_batch([rows.column("doc_id"), rows.column("key"), pa.array(n), sid, list_array(pa.array(_sketches(key, soffs)), np.full(len(n), SKETCH)),
-                                   list_array(pa.array(key[at].view(np.int64)), take)], ["doc_id", "key", "n", "sid", "sketch", "head"])
+            yield pa.record_batch([sid, rows.column("key"), pa.array(n), list_array(pa.array(_sketches(key, soffs)), np.full(len(n), SKETCH)),
+                                   list_array(pa.array(key[_firsts(soffs, take)].view(np.int64)), take)], ["sid", "key", "n", "sketch", "head"])
+    return kernel
+
+
+def _other_counts(k: int, frequent):
+    """Shingles that are not known as frequent, with the number of these texts that hold them."""
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+
+        def out():
+            h, c = np.unique(np.concatenate(held), return_counts=True)
+            return pa.record_batch([pa.array(h.view(np.int64)), pa.array(c)], ["h", "c"])
+
+        for _, buf, offs in text_slices(batches):
+            key, _ = shingle_sets(buf, offs, k)
+            held.append(key[in_sorted(frequent.value, key) < 0])
+            n += len(held[-1])
+            if n > 1_000_000:
+                yield out()
+                held, n = [], 0
+        if held:
+            yield out()
     return kernel
 
 
@@ -126,18 +162,13 @@ def _whole(k: int, num: int, den: int, frequent):
                 continue
             key, _ = _ordered(key, soffs, frequent.value)
             p = np.minimum(n, prefix_size(n, num, den))
-            at = np.repeat(soffs[:-1], p) + np.arange(p.sum()) - np.repeat(np.cumsum(p) - p, p)
-            yield pa.record_batch([rows.column("sid"), list_array(pa.array(key[at].view(np.int64)), p)], ["sid", "prefix"])
+            yield pa.record_batch([rows.column("sid"), list_array(pa.array(key[_firsts(soffs, p)].view(np.int64)), p)], ["sid", "prefix"])
     return kernel
 
 
-def _texts_of(docs: DataFrame, wanted: DataFrame, most: int = 500_000) -> DataFrame:
+def _texts_of(docs: DataFrame, wanted: DataFrame, most: int = BROADCAST) -> DataFrame:
     """Texts of the wanted rows (key, sid); broadcast below a checked number of keys."""
-    wanted = wanted.select("key", "sid")
-    if wanted.count() <= most:
-        wanted = F.broadcast(wanted)
-    one = docs.join(wanted, "key").select("sid", "text")
-    return one
+    return docs.join(small(wanted.select("key", "sid"), most), "key").select("sid", "text")
 
 
 def _save(df: DataFrame, name: str) -> DataFrame:
@@ -164,29 +195,46 @@ def components(links: DataFrame) -> DataFrame:
 class GroupedPrefixJoin:
     """One run of the join: ``links`` and ``components`` over the distinct sets."""
 
-    def __init__(self, docs: DataFrame, k: int, num: int, den: int, list_most: int, frequent_most: int):
+    def __init__(self, docs: DataFrame, k: int, num: int, den: int, list_most: int, frequent_least: int, frequent_most: int):
         self.spark: SparkSession = docs.sparkSession
-        self.k, self.num, self.den, self.list_most = k, num, den, list_most
+        self.k, self.num, self.den = k, num, den
+        self.list_most, self.frequent_least, self.frequent_most = list_most, frequent_least, frequent_most
         self.docs = docs.withColumn("key", row_key())
-        self.rows = _save(self.docs.select("doc_id", "key", "text").mapInArrow(
-            _read_sets(k, num, den), "doc_id long, key binary, n long, sid binary, sketch array<long>, head array<long>"), "sets")
-        self.sets = _save(self._with_prefix(frequent_most), "prefixes")
+        self.rows = _save(self.docs.select("doc_id", "key", "text").mapInArrow(_read_sets(k), "doc_id long, key binary, n long, sid binary"), "sets")
+        self.sets = _save(self._with_prefix(), "prefixes")
         self.members = self.sets.select("sid", "n", "gid")
         self.linked = self._links()
 
     # -- prefixes and groups
 
-    def _with_prefix(self, frequent_most: int) -> DataFrame:
-        one = _save(self.rows.where("n > 0").groupBy("sid").agg(
-            F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("key").alias("key"), F.first("head").alias("head")), "distinct")
-        counts = one.select(F.explode("head").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("c"))
-        often = _save(counts.where(F.col("c") >= self.list_most), "frequent")
-        least = self.list_most
-        while often.where(F.col("c") >= least).count() > frequent_most:
+    def _distinct(self) -> DataFrame:
+        """One row per distinct set, read from one of its texts."""
+        lead = self.rows.where("n > 0").groupBy("sid").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("c"))
+        drop = self.rows.select("sid", "key").join(lead.where("c > 1").select("sid", F.col("key").alias("lead")), "sid").where("key <> lead").select("key")
+        drop = drop.union(self.rows.where("n = 0").select("key")).distinct()
+        texts = self.docs.join(small(drop, BROADCAST), "key", "left_anti")
+        again = self.rows.where("n > 0").groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").limit(1).count()
+        if again:  # rows that agree in id and text
+            texts = texts.dropDuplicates(["key"])
+        return _save(texts.select("key", "text").mapInArrow(_with_sid(self.k, self.num, self.den), "sid binary, key binary, n long, sketch array<long>, head array<long>"), "distinct")
+
+    def _frequent(self, counts: DataFrame) -> np.ndarray:
+        """Shingles of many sets; the threshold rises until the table is within its bound."""
+        often, least = _save(counts.where(F.col("c") >= self.frequent_least), "frequent"), self.frequent_least
+        while often.where(F.col("c") >= least).count() > self.frequent_most:
             least *= 2
-        table = np.sort(often.where(F.col("c") >= least).select("h").toPandas()["h"].to_numpy(np.int64).view(U64))
-        frequent = self.spark.sparkContext.broadcast(table)
-        near = _save(one.mapInArrow(_prefixes(frequent, self.num, self.den), "sid binary, n long, sketch array<long>, key binary, prefix array<long>"), "near")
+        return np.sort(often.where(F.col("c") >= least).select("h").toPandas()["h"].to_numpy(np.int64).view(U64))
+
+    def _with_prefix(self) -> DataFrame:
+        one = self._distinct()
+        share = self.spark.sparkContext.broadcast
+        first = share(self._frequent(one.select(F.explode("head").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("c"))))
+        schema = "sid binary, n long, sketch array<long>, key binary, prefix array<long>"
+        # texts made of frequent shingles: their other shingles are counted too
+        plain = one.mapInArrow(_prefixes(first, self.num, self.den), schema).where("prefix is null")
+        more = _texts_of(self.docs, plain).mapInArrow(_other_counts(self.k, first), "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+        frequent = share(np.union1d(first.value, self._frequent(more)))
+        near = _save(one.mapInArrow(_prefixes(frequent, self.num, self.den), schema), "near")
         far = near.where("prefix is null").select("sid", "n", "sketch", "key")
         texts = _texts_of(self.docs, far).mapInArrow(_whole(self.k, self.num, self.den, frequent), "sid binary, prefix array<long>").dropDuplicates(["sid"])
         all_ = near.where("prefix is not null").union(far.join(texts, "sid").select("sid", "n", "sketch", "key", "prefix"))
@@ -303,8 +351,30 @@ class GroupedPrefixJoin:
         return _save(links.union(self._verified(pairs)), "links")
 
 
+def one_per_component(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10, id_col: str = "doc_id", text_col: str = "text",
+                      list_most: int = 16, frequent_least: int = 6, frequent_most: int = 2_000_000, broadcast_most: int = 1_000_000) -> DataFrame:
+    """The rows of ``docs``, all columns: of linked rows the one with the smallest id stays (NULL ids last).
+
+    Rows that agree in id and text are linked if they have words; one of them
+    stays. Rows without words are never linked and all stay.
+    """
+    ship_package(docs.sparkSession)
+    small_batches(docs.sparkSession)
+    run = GroupedPrefixJoin(id_and_text(docs, id_col, text_col), k, num, den, list_most, frequent_least, frequent_most)
+    rows = run.rows.where("n > 0").join(components(run.linked), "sid", "left").select("doc_id", "key", F.coalesce("comp", "sid").alias("comp"))
+    lead = rows.groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("lead"))
+    keys = rows.groupBy("comp", "key").agg(F.count(F.lit(1)).alias("c")).join(lead, "comp")
+    dropped = _save(keys.where(F.col("key") != F.col("lead.key")).select(F.col("key").alias("__key")), "dropped")
+    twice = _save(keys.where((F.col("key") == F.col("lead.key")) & (F.col("c") > 1)).select(F.col("key").alias("__key")), "twice")
+    text, ident = F.coalesce(docs[text_col].cast("string"), F.lit("")), docs[id_col].cast("long")
+    keyed = docs.withColumn("__key", row_key(ident, text)).join(small(dropped, broadcast_most), "__key", "left_anti")
+    twice = small(twice, broadcast_most)
+    once = keyed.join(twice, "__key", "left_anti")
+    return once.union(keyed.join(twice, "__key", "left_semi").dropDuplicates(["__key"])).select(*docs.columns)
+
+
 def ngram_jaccard_join(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10, id_col: str = "doc_id", text_col: str = "text",
-                       list_most: int = 16, frequent_most: int = 2_000_000) -> DataFrame:
+                       list_most: int = 16, frequent_least: int = 6, frequent_most: int = 2_000_000) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links for every row; a link is Jaccard >= num / den.
 
     ``n_links`` counts verified links between a row's set and other sets; inside
@@ -312,7 +382,7 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10,
     """
     ship_package(docs.sparkSession)
     small_batches(docs.sparkSession)
-    run = GroupedPrefixJoin(id_and_text(docs, id_col, text_col), k, num, den, list_most, frequent_most)
+    run = GroupedPrefixJoin(id_and_text(docs, id_col, text_col), k, num, den, list_most, frequent_least, frequent_most)
     links = run.linked
     ends = links.select(F.col("a").alias("sid")).union(links.select(F.col("b").alias("sid")))
     degree = ends.groupBy("sid").agg(F.count(F.lit(1)).alias("n_links"))

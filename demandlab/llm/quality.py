@@ -135,9 +135,8 @@ def fit(sample: DataFrame) -> tuple[np.ndarray, float] | None:
     return weights, (below + above) / 2
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text",
-                   label_col: str = "quality", max_labels: int = 20_000) -> DataFrame:
-    """doc_id, held_out, score, predicted for every row; rows that are held out never teach."""
+def _rated(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str, text_col: str, label_col: str, max_labels: int) -> tuple[DataFrame, tuple | None]:
+    """The written features of every row and the model fitted on them."""
     spark = docs.sparkSession
     ship_package(spark)
     small_batches(spark)
@@ -148,10 +147,29 @@ def quality_scores(docs: DataFrame, labels: DataFrame, held_out: Column, id_col:
     marks = labels.select(labels[id_col].cast("long").alias("doc_id"), labels[label_col].cast("int").alias("quality")) \
         .where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     usable = rows.where(~F.col("held_out")).join(marks, "doc_id").withColumn("pick", F.xxhash64("doc_id"))
-    sample = usable.orderBy("pick", "doc_id").limit(max_labels)
     taught = scratch_table(spark, "labelled")
-    sample.write.parquet(taught)
-    got = fit(spark.read.parquet(taught))
+    usable.orderBy("pick", "doc_id").limit(max_labels).write.parquet(taught)
+    return rows, fit(spark.read.parquet(taught))
+
+
+def _good(weights: np.ndarray, cut: float, text_col: str):
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, buf, offs in text_slices(batches, text_col):
+            yield rows.filter(pa.array(features(buf, offs).astype(np.float64) @ weights >= cut))
+    return kernel
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text",
+              label_col: str = "quality", max_labels: int = 20_000) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score reaches the cut; all of them if nothing can be learnt."""
+    _, model = _rated(docs, labels, held_out, id_col, text_col, label_col, max_labels)
+    return docs if model is None else docs.mapInArrow(_good(*model, text_col), docs.schema)
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text",
+                   label_col: str = "quality", max_labels: int = 20_000) -> DataFrame:
+    """doc_id, held_out, score, predicted for every row; rows that are held out never teach."""
+    rows, got = _rated(docs, labels, held_out, id_col, text_col, label_col, max_labels)
     if got is None:
         out = rows.select("doc_id", "held_out", F.lit(0.5).alias("score"))
     else:

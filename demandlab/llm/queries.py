@@ -14,6 +14,7 @@ from demandlab.llm.exact_dedup import exact_dedup
 from demandlab.llm.mixing import mix_sources
 from demandlab.llm.ngram_join import ngram_jaccard_join
 from demandlab.llm.quality import quality_scores
+from demandlab.llm.suffix_dedup import suffix_dedup
 from demandlab.llm.token_counts import token_counts
 from demandlab.llm.token_shards import token_shards
 
@@ -32,6 +33,10 @@ def _remainder(docs: DataFrame, n: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op2_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return lm_scores(docs, _remainder(docs, 7) == 2)
@@ -77,10 +82,15 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(docs, table(spark, sf_dir, "labels"), _remainder(docs, 4) == 2)
 
 
-def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+def byte_bpe() -> tuple[str, str]:
+    """Rank file and pattern of the byte-level BPE."""
     import public_tokenizers
 
-    return token_shards(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return _tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards(table(spark, sf_dir, "documents"), *byte_bpe())
 
 
 def op9_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,6 +102,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_bloom_lm": op2_bloom_lm,
     "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
@@ -103,7 +114,52 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_counts": op10_token_counts,
 }
 
+def _mix_level(i: int) -> str:
+    """One level of the tree: the parent's budget shared among its children, full ones first."""
+    own = ", ".join(f"l{k}" for k in range(1, i + 1))
+    up = ", ".join(f"l{k}" for k in range(1, i))
+    path = " || '/' || ".join(f"l{k}" for k in range(1, i + 1))
+    given = f"(SELECT {MIX_SHARE} * sum(tokens) FROM leaf)" if i == 1 else "p.given"
+    parent = "" if i == 1 else f"JOIN n{i - 1} p USING ({up})"
+    over = f"PARTITION BY {up}" if up else "PARTITION BY 1"
+    return f"""
+c{i} AS (
+  SELECT c.*, {given} AS budget, coalesce(w.weight, 1.0) AS weight, {path} AS path
+  FROM (SELECT {own}, sum(tokens) * {float(MIX_EPOCHS)} AS cap FROM leaf GROUP BY ALL) c {parent} LEFT JOIN w ON w.path = {path}),
+f{i} AS (
+  SELECT *, cap * sum(weight) OVER (up ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+            <= weight * (budget - (sum(cap) OVER (up ROWS UNBOUNDED PRECEDING) - cap)) AS is_full
+  FROM c{i} WINDOW up AS ({over} ORDER BY cap / weight, path)),
+n{i} AS (
+  SELECT {own}, CASE WHEN is_full THEN cap
+    ELSE least(cap, (budget - sum(CASE WHEN is_full THEN cap ELSE 0 END) OVER par) * weight / sum(CASE WHEN is_full THEN 0 ELSE weight END) OVER par) END AS given
+  FROM f{i} WINDOW par AS ({over}))"""
+
+
+def _mix_sql() -> str:
+    weights = ", ".join(f"('{p}', {w})" for p, w in WEIGHTS)
+    return rf"""
+WITH d AS (
+  SELECT *, coalesce('d' || CAST(TRY_CAST(regexp_extract(source, '([0-9]+)', 1) AS INTEGER) % 4 AS VARCHAR), '') AS l1,
+         coalesce(lang, '') AS l2, coalesce(source, '') AS l3, coalesce(CAST(doc_id AS VARCHAR), '') AS k,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS BIGINT) AS n
+  FROM documents),
+w(path, weight) AS (VALUES {weights}),
+leaf AS (SELECT l1, l2, l3, CAST(sum(n) AS DOUBLE) AS tokens FROM d GROUP BY ALL),{_mix_level(1)},{_mix_level(2)},{_mix_level(3)},
+q AS (
+  SELECT l1, l2, l3, CAST(floor(floor(given + 1e-6) / tokens) AS BIGINT) AS whole, floor(given + 1e-6) - floor(floor(given + 1e-6) / tokens) * tokens AS more
+  FROM n3 JOIN leaf USING (l1, l2, l3) WHERE tokens > 0),
+o AS (
+  SELECT d.*, whole, more, sum(n) OVER (PARTITION BY l1, l2, l3 ORDER BY md5('{MIX_SEED}:' || whole || ':' || k), k, n ROWS UNBOUNDED PRECEDING) - n AS had
+  FROM d JOIN q USING (l1, l2, l3) WHERE n > 0)
+SELECT doc_id, lang, source, CAST(e AS INTEGER) AS epoch, n AS n_tokens, n AS take_tokens
+FROM (SELECT *, unnest(range(0, whole)) AS e FROM o)
+UNION ALL
+SELECT doc_id, lang, source, CAST(whole AS INTEGER), n, CAST(least(n, more - had) AS BIGINT) FROM o WHERE had < more"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op3_mixing": _mix_sql(),
     "op4_exact_dedup": r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS cp,

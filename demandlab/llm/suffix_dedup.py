@@ -44,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandlab.llm.textcols import U64, SpanHash, as_long, id_and_text, in_sorted, list_array, mix, row_of, runs, small_batches, text_slices
+from demandlab.llm.textcols import U64, SpanHash, as_long, id_and_text, in_sorted, list_array, mix, row_of, runs, small, small_batches, text_slices
 from demandlab.session import scratch_table, ship_package
 
 GRAM, NEAR = 16, 24
@@ -491,11 +491,6 @@ def _strings_of(one: DataFrame, names_most: int) -> DataFrame:
     return s.where("any").select("id", F.col("x.v").alias("s")).join(one.select("id", "sizes"), "id")
 
 
-def _small(df: DataFrame, most: int, weight: str = "1") -> DataFrame:
-    """Marked for broadcast if its checked size allows it."""
-    return F.broadcast(df) if (df.agg(F.sum(F.expr(weight))).first()[0] or 0) <= most else df
-
-
 def suffix_dedup(docs: DataFrame, window: int = 400, id_col: str = "doc_id", text_col: str = "text",
                  names_most: int = 4_000_000, broadcast_most: int = 1_000_000) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
@@ -512,7 +507,7 @@ def suffix_dedup(docs: DataFrame, window: int = 400, id_col: str = "doc_id", tex
     table = spark.read.parquet(path)
     # equal texts are one text that occurs several times
     twice = _save(table.groupBy("tid").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("first")).where("c > 1").select("tid", "first"), "copies")
-    one = table.join(_small(twice, broadcast_most), "tid", "left").where("first is null or id = first") \
+    one = table.join(small(twice, broadcast_most), "tid", "left").where("first is null or id = first") \
         .select("id", "tid", F.col("doc_id").alias("lead"), F.col("first").isNotNull().alias("whole"), "names", "sizes")
 
     strings = _save(_strings_of(one, names_most), "strings")
@@ -525,7 +520,7 @@ def suffix_dedup(docs: DataFrame, window: int = 400, id_col: str = "doc_id", tex
                  .withColumn("t", F.monotonically_increasing_id()), "plan")
 
     ranges = plan.where("size(hash_a) > 0").select("tid", "lead", "whole", "t", "hash_a", "hash_b", "open_a", "open_b")
-    ranges = _small(ranges, broadcast_most, "size(hash_a) + size(open_a)")
+    ranges = small(ranges, broadcast_most, "size(hash_a) + size(open_a)")
     texts = docs.join(ranges, "tid").where(F.col("doc_id").eqNullSafe(F.col("lead")))
     again = texts.select("text", "whole", "hash_a", "hash_b").mapInArrow(_hashes(window), "h long, c long") \
         .groupBy("h").agg(F.sum("c").alias("c")).where("c > 1").select("h")
@@ -533,5 +528,5 @@ def suffix_dedup(docs: DataFrame, window: int = 400, id_col: str = "doc_id", tex
     more = open_.join(again, "h").groupBy("t").agg(F.collect_list("p").alias("more"))
     cover = _save(plan.select("tid", "t", "sure_a", "sure_b").join(more, "t", "left").where("size(sure_a) > 0 or more is not null")
                   .select("tid", "sure_a", "sure_b", F.coalesce("more", F.array().cast("array<int>")).alias("more")), "cover")
-    cover = _small(cover, broadcast_most, "size(sure_a) + size(more)")
+    cover = small(cover, broadcast_most, "size(sure_a) + size(more)")
     return docs.join(cover, "tid", "left").select("doc_id", "text", "sure_a", "sure_b", "more").mapInArrow(_result(window), RESULT)

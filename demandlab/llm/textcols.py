@@ -45,10 +45,15 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                        F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
 
 
-def row_key() -> Column:
+def row_key(ident: Column | None = None, text: Column | None = None) -> Column:
     """128-bit key of a row by its id and text: equal rows share it, whatever their order."""
-    return F.unhex(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")),
-                                  F.lit(":"), F.col("text"))))
+    ident, text = (F.col("doc_id"), F.col("text")) if text is None else (ident, text)
+    return F.unhex(F.md5(F.concat(F.coalesce(ident.cast("string"), F.lit("-")), F.lit(":"), text)))
+
+
+def small(df: DataFrame, most: int, weight: str = "1") -> DataFrame:
+    """Marked for broadcast if its checked size (the sum of ``weight``) allows it."""
+    return F.broadcast(df) if (df.agg(F.sum(F.expr(weight))).first()[0] or 0) <= most else df
 
 
 def buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
