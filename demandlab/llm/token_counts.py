@@ -34,6 +34,7 @@ SAFE = 0x180
 LETTER, DIGIT, BLANK, OTHER = 1, 2, 0, 3
 RESULT = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 CACHE = 2_000_000
+FRONT = 20  # bits of the front table
 
 _cls = np.full(SAFE, OTHER, np.uint8)
 _low = np.arange(SAFE, dtype=np.uint32)
@@ -122,9 +123,13 @@ def split_rows(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 class KeyCache:
-    """A bounded map of 64-bit keys to values: a sorted table and a small sorted one of late keys."""
+    """A bounded map of 64-bit keys to values: a sorted table and a small sorted one of late keys.
+
+    A direct-mapped table in front of them answers most lookups with one access.
+    """
 
     def __init__(self):
+        self.front, self.front_values = np.zeros(1 << FRONT, U64), np.zeros(1 << FRONT, np.int64)
         self.keys, self.values = np.empty(0, U64), np.empty(0, np.int64)
         self.late, self.late_values = np.empty(0, U64), np.empty(0, np.int64)
 
@@ -135,6 +140,20 @@ class KeyCache:
             out[at >= 0] = values[at[at >= 0]]
         return out
 
+    def quick(self, key: np.ndarray) -> np.ndarray:
+        """Values of the keys that the front table holds, -1 for others."""
+        at = key >> U64(64 - FRONT)
+        return np.where(self.front[at] == key, self.front_values[at], -1)
+
+    def show(self, key: np.ndarray, value: np.ndarray) -> None:
+        """Let the front table hold these keys."""
+        at = key >> U64(64 - FRONT)
+        self.front_values[at] = value
+        self.front[at] = key
+        wrong = self.front[at] != key  # of keys for one place the last one stays, with its own value
+        if wrong.any():
+            self.front[at[wrong]] = 0
+
     def full(self, more: int) -> bool:
         return len(self.keys) + len(self.late) + more > CACHE
 
@@ -236,12 +255,14 @@ def _count(path: str, table, limit: int):
             cp, coffs, safe = split_rows(buf, offs)
             s, e = pre_tokens(cp, coffs)
             h = span_hashes(cp, s, e)
-            at = in_sorted(keys, h)
-            n = np.where(at >= 0, sizes[at] if len(sizes) else 0, 0).astype(np.int64)
-            miss = np.flatnonzero(at < 0)
+            n = enc.cache.quick(h)
+            miss = np.flatnonzero(n < 0)
             if len(miss):
                 key, one, back = np.unique(h[miss], return_index=True, return_inverse=True)
-                size = enc.cache.get(key)
+                at = in_sorted(keys, key)
+                size = np.where(at >= 0, sizes[at] if len(sizes) else 0, -1).astype(np.int64)
+                late = np.flatnonzero(size < 0)
+                size[late] = enc.cache.get(key[late])
                 new = np.flatnonzero(size < 0)
                 if len(new):
                     i = miss[one[new]]
@@ -249,6 +270,7 @@ def _count(path: str, table, limit: int):
                     if enc.cache.full(len(new)):
                         enc.cache = KeyCache()
                     enc.cache.put(key[new], size[new])
+                enc.cache.show(key, size)
                 n[miss] = size[back]
             total = np.concatenate([[0], np.cumsum(n)])
             ends = np.searchsorted(s, coffs)

@@ -108,36 +108,60 @@ class Ids:
         self.cache = KeyCache()
         self.pool = np.empty(0, np.uint16)
 
-    def rows(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all rows, each closed by the end id, and the row offsets."""
+    def _values(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Place and number of the ids of each piece of the safe rows, the pieces' ends by row, which rows are safe."""
         cp, coffs, safe = code_points(buf, offs)
         s, e = gpt_pieces(cp, coffs)
-        key, one, back = np.unique(span_hashes(cp, s, e), return_index=True, return_inverse=True)
-        value = self.cache.get(key)
-        new = np.flatnonzero(value < 0)
-        if len(new) and (self.cache.full(len(new)) or len(self.pool) > POOL):
-            self.cache, self.pool = KeyCache(), np.empty(0, np.uint16)
-            value[:] = -1
-            new = np.arange(len(key))
-        if len(new):
-            got = [self.enc.encode_ordinary(x) for x in strings_of(cp, s[one[new]], e[one[new]])]
-            sizes = np.array([len(g) for g in got], np.int64)
-            value[new] = (len(self.pool) + np.cumsum(sizes) - sizes) << 24 | sizes
-            self.cache.put(key[new], value[new])
-            self.pool = np.concatenate([self.pool, np.array([i for g in got for i in g], np.uint16)])
-        return self._join(buf, offs, safe, s, coffs, (value >> 24)[back], (value & 0xFFFFFF)[back], self.pool)
-
-    def _join(self, buf, offs, safe, s, coffs, place, sizes, pool):
-        ends = np.searchsorted(s, coffs)
+        h = span_hashes(cp, s, e)
+        value = self.cache.quick(h)
+        miss = np.flatnonzero(value < 0)
+        if len(miss):
+            key, one, back = np.unique(h[miss], return_index=True, return_inverse=True)
+            got = self.cache.get(key)
+            new = np.flatnonzero(got < 0)
+            if len(new) and len(self.pool) and (self.cache.full(len(new)) or len(self.pool) > POOL):
+                self.cache, self.pool = KeyCache(), np.empty(0, np.uint16)
+                return self._values(buf, offs)
+            if len(new):
+                at = miss[one[new]]
+                ids = [self.enc.encode_ordinary(x) for x in strings_of(cp, s[at], e[at])]
+                sizes = np.array([len(x) for x in ids], np.int64)
+                got[new] = (len(self.pool) + np.cumsum(sizes) - sizes) << 24 | sizes
+                self.cache.put(key[new], got[new])
+                self.pool = np.concatenate([self.pool, np.array([i for x in ids for i in x], np.uint16)])
+            self.cache.show(key, got)
+            value[miss] = got[back]
+        return value, np.searchsorted(s, coffs), safe
+
+    def sizes(self, buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
+        """Number of ids of each row, the end id included."""
+        value, ends, safe = self._values(buf, offs)
+        total = np.concatenate([[0], np.cumsum(value & 0xFFFFFF)])
+        count = total[ends[1:]] - total[ends[:-1]] + 1
+        for i in np.flatnonzero(~safe):
+            count[i] = len(self.enc.encode_ordinary(buf[offs[i]:offs[i + 1]].tobytes().decode())) + 1
+        return count
+
+    def rows(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows, each closed by the end id, and the row offsets."""
+        value, ends, safe = self._values(buf, offs)
+        place, sizes = value >> 24, value & 0xFFFFFF
         total = np.concatenate([[0], np.cumsum(sizes)])
-        ids = pool[np.repeat(place - total[:-1], sizes) + np.arange(total[-1])]
-        parts, count = [], np.zeros(len(offs) - 1, np.int64)
-        stop = np.array([END_ID], np.uint16)
-        for i, (a, b) in enumerate(pairwise(total[ends].tolist())):
+        ids = self.pool[np.repeat(place - total[:-1], sizes) + np.arange(total[-1])]
+        at = total[ends]
+        if safe.all():
+            out = np.empty(len(ids) + len(safe), np.uint16)
+            stops = at[1:] + np.arange(len(safe))
+            text = np.ones(len(out), bool)
+            text[stops] = False
+            out[text], out[stops] = ids, END_ID
+            return out, np.concatenate([[0], stops + 1])
+        parts, count = [], np.zeros(len(safe), np.int64)
+        for i, (a, b) in enumerate(pairwise(at.tolist())):
             own = ids[a:b] if safe[i] else np.array(self.enc.encode_ordinary(buf[offs[i]:offs[i + 1]].tobytes().decode()), np.uint16)
-            parts += [own, stop]
+            parts += [own, np.array([END_ID], np.uint16)]
             count[i] = len(own) + 1
-        return np.concatenate(parts) if parts else ids, np.concatenate([[0], np.cumsum(count)])
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum(count)])
 
 
 def code_points(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -168,7 +192,7 @@ def _count(path: str, pattern: str, length: int):
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, n = _encoder(path, pattern), 0
         for _, buf, offs in text_slices(batches):
-            n += int((-(-np.diff(enc.rows(buf, offs)[1]) // length)).sum())
+            n += int((-(-enc.sizes(buf, offs) // length)).sum())
         if n:
             yield pa.record_batch([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([n], pa.int64())], ["part", "n"])
     return kernel
