@@ -5,12 +5,13 @@ linear IV (PLIV) with cross-fitting (M8, M9, M9a, M10, M11).
     theta = sum u w / sum v w
     psi_i = (u_i - theta v_i) w_i,  J = mean(v w),  se = sqrt(mean(psi^2) / (n J^2))
 
-Plan: (1) out-of-fold nuisance predictions: Gram learners (linear, Lasso) get
-all slots, folds and groups from ONE Gram pass (model for fold f = fit on
-Gram(total) - Gram(f), no refits); Spark ML learners are refitted per fold
-(and group) on the executors. (2) ONE aggregate pass over the residuals gives
-theta, se and CI per group: sum (u - theta v)^2 w^2 expands into sums that do
-not need theta first.
+Plan: the used columns are written once and read by every later pass. (1)
+Out-of-fold nuisance predictions: learners on cross-product cells (linear,
+Lasso) get all slots, folds and groups from ONE pass (the model of fold f is
+fitted on the merged cells of the other folds, no refits); Spark ML learners
+are refitted per fold (and group). (2) Two aggregates over the residuals: theta
+per group, then its score variance. A group without an estimate keeps its row,
+with NULLs and the reason.
 """
 
 from __future__ import annotations
@@ -24,8 +25,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandlab.operators.gram import MAX_CELLS, _by, gram
-from demandlab.operators.linear import LinearLearner, apply_linear, coef_table, fold_coefficients
+from demandlab.functions.scalar import finite_or_null
+from demandlab.operators.gram import _by, _none
+from demandlab.operators.lasso import INNER, LassoCV, with_inner
+from demandlab.operators.linear import LinearLearner, _same, apply_linear, coefficients
+from demandlab.session import scratch_table
 
 Z975 = 1.959963984540054
 
@@ -38,66 +42,66 @@ def _learner_name(lr) -> str:
     return getattr(lr, "name", None) or type(lr).__name__
 
 
-def out_of_fold(df: DataFrame, x: Sequence[str], targets: dict, fold: str = "fold", by=None) -> DataFrame:
+def _written(df: DataFrame, name: str, fold: str | None = None) -> DataFrame:
+    """The frame as a written table in the shared folder, by fold if given."""
+    path = scratch_table(df.sparkSession, name)
+    w = df.write.partitionBy(fold) if fold else df.write
+    w.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def out_of_fold(df: DataFrame, x: Sequence[str], targets: dict, fold: str = "fold", by=None,
+                inner: str | None = None) -> DataFrame:
     """Add one out-of-fold prediction column per slot: ``targets`` maps an output
-    column name to (target column, learner)."""
+    column name to (target column, learner). ``inner`` names the inner-fold column
+    of the Lasso; without one it is a key bucket of the row's own values."""
     keys = _by(by)
-    gram_slots = {o: (t, lr) for o, (t, lr) in targets.items() if _is_gram_learner(lr)}
+    cell_slots = {o: (t, lr) for o, (t, lr) in targets.items() if _is_gram_learner(lr)}
     ml_slots = {o: (t, lr) for o, (t, lr) in targets.items() if not _is_gram_learner(lr)}
     out = df
-    if gram_slots:
-        tcols = list(dict.fromkeys(t for t, _ in gram_slots.values()))
-        grams = gram(df, list(x) + tcols, keys or None, fold=fold)
-        spark = df.sparkSession
-        for o, (t, lr) in gram_slots.items():
-            coefs = fold_coefficients(grams, lr, x, t)
-            rows = [(*[None if v is None else str(v) for v in g], f, *b.tolist()) for (g, f), b in coefs.items()]
-            ct = coef_table(spark, keys, rows, [f"b_{i}" for i in range(len(x) + 1)], fold=True)
-            out = apply_linear(out, keys, ct, x, o, fold=fold)
-    for o, (t, lr) in ml_slots.items():
-        out = _ml_out_of_fold(out, x, t, lr, o, fold, keys)
-    return out
+    if cell_slots:
+        src = df
+        if inner is None and any(isinstance(lr, LassoCV) for _, lr in cell_slots.values()):
+            src, inner = with_inner(df, list(dict.fromkeys([*keys, fold, *x, *(t for t, _ in cell_slots.values())]))), INNER
+        coefs = coefficients(src, x, cell_slots, keys or None, fold, inner)
+        out = apply_linear(out, coefs, x, list(cell_slots), keys or None, fold)
+    return _ml_out_of_fold(out, x, ml_slots, fold, keys) if ml_slots else out
 
 
 ML_PARALLELISM = 4   # concurrent Spark ML fits (each fit is itself distributed)
+MAX_REFITS = 10_000  # documented bound: Spark ML has no grouped fit, each (group, fold) is a job of its own
 
 
-def _ml_out_of_fold(df: DataFrame, x, target, estimator, out_col, fold, keys,
-                    parallelism: int = ML_PARALLELISM) -> DataFrame:
-    """Refit a Spark ML regressor per fold (and group) and predict the held-out fold.
+def _ml_out_of_fold(df: DataFrame, x, slots: dict, fold, keys, parallelism: int = ML_PARALLELISM) -> DataFrame:
+    """Refit Spark ML regressors per fold (and group) and predict the held-out fold.
 
-    The input is checkpointed once to the shared folder (every refit re-reads
-    it); the (group, fold) fits are submitted from a bounded thread pool.
+    The input is written once, by fold, so a refit reads its own folds only;
+    the (group, fold) fits are submitted from a bounded thread pool and all
+    slots of a fold are predicted together.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     from pyspark.ml.feature import VectorAssembler
 
-    from demandlab.session import ensure_checkpoint_dir
     va = VectorAssembler(inputCols=list(x), outputCol="_features", handleInvalid="keep")
-    ensure_checkpoint_dir(df.sparkSession)
-    base = va.transform(df).checkpoint(eager=True)
-    folds = [r[0] for r in df.select(fold).distinct().limit(1001).collect()]
-    groups = [tuple(r) for r in df.select(*keys).distinct().limit(MAX_CELLS + 1).collect()] if keys else [()]
-    if len(groups) > MAX_CELLS or len(folds) > 1000:
-        raise ValueError("too many groups or folds for per-fold refits")
-
-    def group_frame(g):
+    base = _written(va.transform(df), "folds", fold)
+    parts_of = [tuple(r) for r in base.select(*keys, fold).distinct().limit(MAX_REFITS + 1).collect()]
+    if len(parts_of) > MAX_REFITS:
+        raise ValueError(f"more than {MAX_REFITS} (group, fold) refits")
+
+    def fit_one(part):
+        *g, f = part
         cond = F.lit(True)
-        for k, v in zip(keys, g):
-            cond = cond & (F.col(k).eqNullSafe(F.lit(v)))
-        return base.where(cond)
-
-    def fit_one(gf):
-        g, f = gf
-        gdf = group_frame(g)
-        train = gdf.where((F.col(fold) != f) & F.col(target).isNotNull())
-        est = estimator.copy().setFeaturesCol("_features").setLabelCol(target).setPredictionCol(out_col)
-        return est.fit(train).transform(gdf.where(F.col(fold) == f)).drop("_features")
-
-    tasks = [(g, f) for g in groups for f in sorted(folds)]
+        for k, v in zip(keys, g, strict=True):
+            cond = cond & F.col(k).eqNullSafe(F.lit(v))
+        out = base.where(cond & F.col(fold).eqNullSafe(F.lit(f)))
+        for o, (t, estimator) in slots.items():
+            train = base.where(cond & (F.col(fold) != f) & F.col(t).isNotNull())
+            out = estimator.copy().setFeaturesCol("_features").setLabelCol(t).setPredictionCol(o).fit(train).transform(out)
+        return out.drop("_features")
+
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        parts = list(pool.map(fit_one, tasks))
+        parts = list(pool.map(fit_one, sorted(parts_of, key=str)))
     res = parts[0]
     for p in parts[1:]:
         res = res.unionByName(p)
@@ -115,119 +119,122 @@ def _summary(res: DataFrame, keys: list[str], learner: str) -> DataFrame:
     ship_package(res.sparkSession)
     u, v, w = F.col("_u"), F.col("_v"), F.col("_w")
     ok = u.isNotNull() & v.isNotNull() & w.isNotNull()
-    agg = res.where(ok).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(u * w).alias("suw"), F.sum(v * w).alias("svw"),
-        F.sum(u * u * w * w).alias("suuww"), F.sum(u * v * w * w).alias("suvww"),
-        F.sum(v * v * w * w).alias("svvww"))
-    theta = F.try_divide(F.col("suw"), F.col("svw"))
-    J = F.col("svw") / F.col("n")
-    psi2 = (F.col("suuww") - 2 * theta * F.col("suvww") + theta * theta * F.col("svvww")) / F.col("n")
-    se = F.sqrt(F.try_divide(psi2, F.col("n") * J * J))
-    t = F.try_divide(theta, se)
-    return agg.select(*keys, F.lit(learner).alias("learner"), theta.alias("theta"), se.alias("se"),
+    first = res.groupBy(*keys).agg(
+        F.count_if(ok).alias("n"), F.sum(F.when(ok, u * w)).alias("suw"), F.sum(F.when(ok, v * w)).alias("svw")) \
+        .select(*[F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)], "n", F.try_divide("suw", "svw").alias("theta"),
+                F.try_divide(F.col("svw"), F.col("n").cast("double")).alias("J"))
+    scored = res.where(ok).join(first, _same(keys, [f"_t{i}" for i in range(len(keys))]), "right")
+    psi = (u - F.col("theta") * v) * w
+    agg = scored.groupBy(*[f"_t{i}" for i in range(len(keys))], "n", "theta", "J").agg(F.avg(psi * psi).alias("psi2"))
+    theta = F.col("theta")
+    se = F.sqrt(F.try_divide(F.col("psi2"), F.col("n") * F.col("J") * F.col("J")))
+    out = agg.select(*[F.col(f"_t{i}").alias(k) for i, k in enumerate(keys)], theta, se.alias("se"), "n")
+    t = F.try_divide(theta, F.col("se"))
+    return out.select(*keys, F.lit(learner).alias("learner"), theta, "se",
                       t.alias("t"), _normal_p(t).alias("p"),
-                      (theta - F.lit(Z975) * se).alias("ci_lo"), (theta + F.lit(Z975) * se).alias("ci_hi"),
-                      F.col("n").cast("long").alias("n"))
+                      (theta - F.lit(Z975) * F.col("se")).alias("ci_lo"), (theta + F.lit(Z975) * F.col("se")).alias("ci_hi"),
+                      F.col("n").cast("long").alias("n"),
+                      F.when(theta.isNotNull(), "ok").when(F.col("n") == 0, "no complete rows or a singular first stage")
+                       .otherwise("the residual instrument does not move the price").alias("status"))
 
 
 def _normal_p(t):
     """Two-sided normal p-value erfc(|t|/sqrt 2) via a vectorised pandas UDF (tiny table)."""
     @F.pandas_udf("double")
     def erfc_p(s: pd.Series) -> pd.Series:
-        return s.map(lambda v: math.erfc(abs(v) / math.sqrt(2.0)) if v is not None and np.isfinite(v) else np.nan)
+        return s.map(lambda v: math.erfc(abs(v) / math.sqrt(2.0)) if v is not None and np.isfinite(v) else None)
     return erfc_p(t)
 
 
 def dml_plr(df: DataFrame, y: str, d: str, x: Sequence[str], ml_l=None, ml_m=None,
-            fold: str = "fold", by=None) -> DMLResult:
+            fold: str = "fold", by=None, inner: str | None = None) -> DMLResult:
     """PLR, partialling-out score. l: y ~ X, m: d ~ X (M8)."""
     ml_l = ml_l or LinearLearner()
     ml_m = ml_m or LinearLearner()
     keys = _by(by)
-    res = out_of_fold(df, x, {"_lhat": (y, ml_l), "_mhat": (d, ml_m)}, fold, keys or None)
-    res = res.withColumns({"_u": F.col(y) - F.col("_lhat"), "_v": F.col(d) - F.col("_mhat")})
+    res = out_of_fold(_written(df, "dml"), x, {"_lhat": (y, ml_l), "_mhat": (d, ml_m)}, fold, keys or None, inner)
+    res = res.withColumns({"_u": finite_or_null(F.col(y) - F.col("_lhat")), "_v": finite_or_null(F.col(d) - F.col("_mhat"))})
     res = res.withColumn("_w", F.col("_v"))
     name = f"plr[{_learner_name(ml_l)},{_learner_name(ml_m)}]"
     return DMLResult(_summary(res, keys, name), res)
 
 
 def dml_pliv(df: DataFrame, y: str, d: str, z: str, x: Sequence[str], ml_l=None, ml_m=None,
-             ml_r=None, fold: str = "fold", by=None) -> DMLResult:
+             ml_r=None, fold: str = "fold", by=None, inner: str | None = None) -> DMLResult:
     """PLIV, partialling-out score. l: y ~ X, m: z ~ X, r: d ~ X."""
     ml_l, ml_m, ml_r = ml_l or LinearLearner(), ml_m or LinearLearner(), ml_r or LinearLearner()
     keys = _by(by)
-    res = out_of_fold(df, x, {"_lhat": (y, ml_l), "_mhat": (z, ml_m), "_rhat": (d, ml_r)},
-                      fold, keys or None)
-    res = res.withColumns({"_u": F.col(y) - F.col("_lhat"), "_v": F.col(d) - F.col("_rhat"),
-                           "_w": F.col(z) - F.col("_mhat")})
+    res = out_of_fold(_written(df, "dml"), x, {"_lhat": (y, ml_l), "_mhat": (z, ml_m), "_rhat": (d, ml_r)},
+                      fold, keys or None, inner)
+    res = res.withColumns({"_u": finite_or_null(F.col(y) - F.col("_lhat")), "_v": finite_or_null(F.col(d) - F.col("_rhat")),
+                           "_w": finite_or_null(F.col(z) - F.col("_mhat"))})
     name = f"pliv[{_learner_name(ml_l)},{_learner_name(ml_m)},{_learner_name(ml_r)}]"
     return DMLResult(_summary(res, keys, name), res)
 
 
-def bootstrap(result: DMLResult, key: Sequence[str], n_boot: int = 500, seed: int = 1,
-              by=None) -> DataFrame:
-    """Gaussian multiplier bootstrap of the score.
+GROUPS_HELD = 2_000  # groups whose partial sums a task holds before it passes them on
 
-    t*_b = sum_i xi_ib psi_i / (n J se); xi_ib ~ N(0, 1) is a function of
-    (row key, b, seed) only, so results do not depend on partitioning or
-    retries. Each task sums its rows into n_boot partial sums per group; one
-    ``groupBy`` adds them. Output: by..., n_boot, q95 (|t*| quantile),
-    ci_lo_boot, ci_hi_boot.
+
+def bootstrap(result: DMLResult, key: Sequence[str], n_boot: int = 500, seed: int = 1, by=None,
+              key_hash=None) -> DataFrame:
+    """Multiplier bootstrap of the score.
+
+    t*_b = sum_i xi_ib psi_i / (n J se). xi_ib ~ N(0, 1) is a function of (row key,
+    b, seed) only, so results do not depend on partitioning or retries. With
+    ``key_hash`` (a non-negative long expression of the row) the multipliers are
+    signs, xi_ib = +1 if (key_hash (2b + 1) div 64) is odd else -1, which other
+    engines can reproduce. Each task sums its rows into n_boot partial sums per
+    group; one ``groupBy`` adds them. Output: by..., learner, n_boot, q95
+    (|t*| quantile), ci_lo_boot, ci_hi_boot; a group without an estimate has NULLs.
     """
     from demandlab.session import ship_package
     ship_package(result.table.sparkSession)
     keys = _by(by)
-    summ = result.table
+    summ = result.table.select(*[F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)], "learner", "theta", "se", "n")
+    tcols = [f"_t{i}" for i in range(len(keys))]
     res = result.residuals.where(F.col("_u").isNotNull() & F.col("_v").isNotNull() & F.col("_w").isNotNull())
-    # per-group theta, se, n and J (one row per group, bounded and checked) joined by
-    # broadcast; without groups they are literals
-    jt = res.groupBy(*keys).agg(F.avg(F.col("_v") * F.col("_w")).alias("_J"))
-    par = summ.select(*keys, "theta", "se", "n").join(jt, keys) if keys else None
-    if keys:
-        if par.limit(MAX_CELLS + 1).count() > MAX_CELLS:
-            raise ValueError("too many groups for the bootstrap")
-        joined = res.join(F.broadcast(par), keys)
-    else:
-        s0, j0 = summ.first(), jt.first()
-        joined = res.withColumns({"theta": F.lit(s0["theta"]), "se": F.lit(s0["se"]),
-                                  "n": F.lit(s0["n"]), "_J": F.lit(j0["_J"])})
-    scaled = joined.select(
-        *[F.col(k).cast("string").alias(f"_g{i}") for i, k in enumerate(keys)],
-        F.xxhash64(*[F.col(k) for k in key], F.lit(seed)).alias("_h"),
-        ((F.col("_u") - F.col("theta") * F.col("_v")) * F.col("_w")).alias("_psi"),
-        "theta", "se", "n", "_J")
+    j = res.join(summ.drop("learner"), _same(keys, tcols))
+    # n J = sum v w cancels in t*: psi / (sum v w) is scaled once per group below
+    scaled = j.select(*[F.col(k).cast("string").alias(f"_g{i}") for i, k in enumerate(keys)],
+                      (key_hash.cast("long") if key_hash is not None else F.xxhash64(*[F.col(k) for k in key], F.lit(seed))).alias("_h"),
+                      (((F.col("_u") - F.col("theta") * F.col("_v")) * F.col("_w")) / F.col("se")).alias("_psi"),
+                      (F.col("_v") * F.col("_w")).alias("_vw"))
     gcols = [f"_g{i}" for i in range(len(keys))]
     schema = ", ".join([f"{g} string" for g in gcols] + ["b int", "s double"])
-    B = int(n_boot)
+    B, signs = int(n_boot), key_hash is not None
+
+    def frame(acc):
+        rows = [(*k, b, float(v)) for k, vec in acc.items() for b, v in enumerate(vec, start=-1)]
+        return pd.DataFrame(rows, columns=[*gcols, "b", "s"])
 
     def partial(batches):
         acc = {}
         bidx = np.arange(B, dtype=np.uint64)
         for pdf in batches:
-            if pdf.empty:
-                continue
-            h = pdf["_h"].to_numpy().astype(np.int64).view(np.uint64)
-            xi = _normals(h[:, None], bidx[None, :], np.uint64(seed))
-            w = (pdf["_psi"] / (pdf["n"] * pdf["_J"] * pdf["se"])).to_numpy(dtype=float)
-            for key, idx in (pdf.groupby(gcols, sort=False).indices.items() if gcols else [((), np.arange(len(pdf)))]):
-                key = key if isinstance(key, tuple) else (key,)
-                acc[key] = acc.get(key, 0) + w[idx] @ xi[idx]
-        rows = [(*k, int(b), float(v)) for k, vec in acc.items() for b, v in enumerate(vec)]
-        yield pd.DataFrame(rows, columns=gcols + ["b", "s"]) if rows else pd.DataFrame(
-            {**{g: pd.Series(dtype=object) for g in gcols}, "b": pd.Series(dtype="int32"), "s": pd.Series(dtype=float)})
-
-    draws = scaled.mapInPandas(partial, schema).groupBy(*gcols, "b").agg(F.sum("s").alias("t"))
-    q = draws.groupBy(*gcols).agg(F.count(F.lit(1)).alias("n_boot"),
-                                  F.percentile(F.abs("t"), 0.95).alias("q95"))
-    q = q.select(*[F.col(f"_g{i}").alias(k) for i, k in enumerate(keys)], "n_boot", "q95")
-    s2 = summ.select(*[F.col(k).cast("string").alias(k) for k in keys], "learner", "theta", "se")
-    if not keys:
-        s0, q0 = s2.first(), q.first()
-        out = s2.withColumns({"n_boot": F.lit(q0["n_boot"]), "q95": F.lit(q0["q95"])})
-    else:
-        out = s2.join(q, keys)
-    return out.select(*keys, "learner", "n_boot", "q95",
+            for lo in range(0, len(pdf), 4096):
+                part = pdf.iloc[lo:lo + 4096]
+                h = part["_h"].to_numpy().astype(np.int64)
+                if signs:
+                    xi = (h[:, None] * (2 * np.arange(B)[None, :] + 1) // 64 % 2 * 2 - 1).astype(float)
+                else:
+                    xi = _normals(h.view(np.uint64)[:, None], bidx[None, :], np.uint64(seed))
+                psi, vw = part["_psi"].to_numpy(dtype=float), part["_vw"].to_numpy(dtype=float)
+                groups = part.groupby(gcols, sort=False, dropna=False).indices.items() if gcols else [((), np.arange(len(part)))]
+                for g, idx in groups:
+                    g = tuple(_none(v) for v in (g if isinstance(g, tuple) else (g,)))
+                    acc[g] = acc.get(g, 0) + np.concatenate([[vw[idx].sum()], psi[idx] @ xi[idx]])
+                if len(acc) > GROUPS_HELD:
+                    yield frame(acc)
+                    acc = {}
+        yield frame(acc)
+
+    sums = scaled.mapInPandas(partial, schema).groupBy(*gcols, "b").agg(F.sum("s").alias("s"))
+    scale = sums.where("b = -1").select(*[F.col(g).alias(f"_s{i}") for i, g in enumerate(gcols)], F.col("s").alias("svw"))
+    draws = sums.where("b >= 0").join(scale, _same(gcols, [f"_s{i}" for i in range(len(gcols))]))
+    q = draws.groupBy(*gcols).agg(F.count(F.lit(1)).alias("n_boot"), F.percentile(F.abs(F.col("s") / F.col("svw")), 0.95).alias("q95"))
+    named = summ.select("*", *[F.col(t).cast("string").alias(f"_k{i}") for i, t in enumerate(tcols)])
+    out = named.join(q, _same([f"_k{i}" for i in range(len(keys))], gcols), "left")
+    return out.select(*[F.col(t).alias(k) for t, k in zip(tcols, keys, strict=True)], "learner", "n_boot", "q95",
                       (F.col("theta") - F.col("q95") * F.col("se")).alias("ci_lo_boot"),
                       (F.col("theta") + F.col("q95") * F.col("se")).alias("ci_hi_boot"))
 

@@ -1,25 +1,31 @@
-"""Gram (cross-product) aggregation: the building block of every linear
-estimator (M0).
-
-Each Spark task reduces its Arrow batches to one k x k matrix per
-(group, fold) with numpy; a ``groupBy(...).sum`` then adds the partial
-matrices. Only k x k numbers per group and fold ever reach the driver, so
-the row count does not matter, and a hot group is already summed map-side.
-Rows with a NULL in any used column are left out (complete cases).
+"""Cross-product cells: the building block of every linear estimator (M0).
+
+A cell holds the row count, the means and the centred cross products of some
+columns; two cells merge exactly (no cancellation between large sums). Each
+Spark task reduces its rows to one cell per (group, fold, inner fold); cells are
+merged in two steps (first in a bounded number of buckets, so a hot group never
+sends one row per task to one place) and solved on the executors, group by
+group. Nothing reaches the driver, so neither rows nor groups are limited.
+
+Rows with a NULL, NaN or infinite value in any used column are left out
+(complete cases).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
+
+from demandlab.functions.scalar import finite_or_null
 
-ONE = "_one"
-MAX_CELLS = 100_000   # checked bound on (groups x folds) cells brought to the driver
+BUCKETS = 256
+CELL = "_fold int, _inner int, n double, mean array<double>, m array<double>"
 
 
 def _by(by) -> list[str]:
@@ -28,99 +34,136 @@ def _by(by) -> list[str]:
     return [by] if isinstance(by, str) else list(by)
 
 
-def gram_frame(df: DataFrame, cols: Sequence[str], by=None, fold: str | None = None,
-               weight: Column | None = None) -> DataFrame:
-    """Long Gram table (by..., fold, i, j, v) of [1, cols...], summed over rows.
+@dataclass(frozen=True)
+class Cell:
+    """n rows, their means and centred cross products."""
+    n: float
+    mean: np.ndarray
+    m: np.ndarray
 
-    ``weight`` multiplies each row's outer product (robust covariances).
-    Index 0 is the constant, so v[0,0] = n (or sum of weights), v[0,j] = sum x_j.
-    """
+    @staticmethod
+    def of(X: np.ndarray) -> Cell:
+        mean = X.mean(axis=0)
+        Xc = X - mean
+        return Cell(float(len(X)), mean, Xc.T @ Xc)
+
+    def __add__(self, other: Cell) -> Cell:
+        n = self.n + other.n
+        if not self.n or not other.n:
+            return self if self.n else other
+        d = other.mean - self.mean
+        return Cell(n, self.mean + d * (other.n / n), self.m + other.m + np.outer(d, d) * (self.n * other.n / n))
+
+    def constant(self) -> np.ndarray:
+        """Which columns do not vary."""
+        return np.diag(self.m) <= self.n * (1e-9 * np.abs(self.mean)) ** 2
+
+    def raw(self) -> np.ndarray:
+        """Uncentred cross products."""
+        return self.m + self.n * np.outer(self.mean, self.mean)
+
+
+def merged(cells: Sequence[Cell]) -> Cell | None:
+    out = None
+    for c in cells:
+        out = c if out is None else out + c
+    return out
+
+
+def _none(v):
+    return None if v is None or v != v else v
+
+
+def key_columns(keys: Sequence[str]) -> list[str]:
+    return [f"_g{i}" for i in range(len(keys))]
+
+
+def key_types(df: DataFrame, keys: Sequence[str]) -> list[DataType]:
+    return [df.schema[k].dataType for k in keys]
+
+
+def with_types(out: DataFrame, keys: Sequence[str], types: Sequence[DataType]) -> DataFrame:
+    """Group columns under their own names and types again."""
+    rest = [c for c in out.columns if not c.startswith("_g")]
+    return out.select(*[F.col(f"_g{i}").cast(t).alias(k) for i, (k, t) in enumerate(zip(keys, types, strict=True))], *rest)
+
+
+def _reader(gcols: list[str]) -> Callable:
+    """Merge the cells of a task by (group..., fold, inner fold[, bucket])."""
+    def read(batches: Iterator[pd.DataFrame]) -> dict:
+        acc: dict = {}
+        for pdf in batches:
+            for row in pdf.to_dict("records"):
+                k = len(row["mean"])
+                key = tuple(_none(row[g]) for g in gcols), int(row["_fold"]), int(row["_inner"])
+                cell = Cell(float(row["n"]), np.asarray(row["mean"], float), np.asarray(row["m"], float).reshape(k, k))
+                acc[key] = acc[key] + cell if key in acc else cell
+        return acc
+    return read
+
+
+def _frame(acc: dict, gcols: list[str]) -> pd.DataFrame:
+    rows = [(*g, f, i, c.n, c.mean.tolist(), c.m.ravel().tolist()) for (g, f, i), c in acc.items()]
+    return pd.DataFrame(rows, columns=[*gcols, "_fold", "_inner", "n", "mean", "m"])
+
+
+def cells(df: DataFrame, cols: Sequence[str], by=None, fold: str | None = None, inner: str | None = None) -> DataFrame:
+    """One cell per (group, fold, inner fold) of the columns ``cols``; group columns as strings _g0, _g1, ..."""
     from demandlab.session import ship_package
     ship_package(df.sparkSession)
     keys = _by(by)
-    k = len(cols) + 1
-    sel = [F.col(c).cast("string").alias(f"_g{i}") for i, c in enumerate(keys)]
-    sel.append((F.col(fold).cast("int") if fold else F.lit(0)).alias("_fold"))
-    sel += [F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)]
-    sel.append((weight.cast("double") if weight is not None else F.lit(1.0)).alias("_w"))
-    need = [F.col(f"_x{i}").isNotNull() for i in range(len(cols))] + [F.col("_w").isNotNull()]
-    cond = need[0]
-    for c in need[1:]:
-        cond = cond & c
-    data = df.select(*sel).where(cond)
-    gcols = [f"_g{i}" for i in range(len(keys))]
+    gcols = key_columns(keys)
     xcols = [f"_x{i}" for i in range(len(cols))]
-    schema = ", ".join([f"{g} string" for g in gcols] + ["_fold int", "i int", "j int", "v double"])
-
-    def partial(batches):
+    data = df.select(*[F.col(c).cast("string").alias(g) for c, g in zip(keys, gcols, strict=True)],
+                     (F.col(fold).cast("int") if fold else F.lit(0)).alias("_fold"),
+                     (F.col(inner).cast("int") if inner else F.lit(0)).alias("_inner"),
+                     *[finite_or_null(F.col(c).cast("double")).alias(x) for c, x in zip(cols, xcols, strict=True)])
+    data = data.dropna(subset=[*xcols, "_fold", "_inner"])
+    schema = ", ".join([f"{g} string" for g in gcols] + [CELL])
+    read = _reader(gcols)
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         acc: dict = {}
         for pdf in batches:
             if pdf.empty:
                 continue
-            X = np.column_stack([np.ones(len(pdf))] + [pdf[c].to_numpy(dtype=float) for c in xcols])
-            w = pdf["_w"].to_numpy(dtype=float)
-            gkeys = gcols + ["_fold"]
-            for key, idx in pdf.groupby(gkeys, sort=False, dropna=False).indices.items():
-                key = key if isinstance(key, tuple) else (key,)
-                Xi = X[idx]
-                G = (Xi * w[idx, None]).T @ Xi
-                acc[key] = acc.get(key, 0) + G
-        rows = []
-        for key, G in acc.items():
-            for i in range(k):
-                for j in range(i, k):
-                    rows.append((*key, i, j, float(G[i, j])))
-        cols_out = gcols + ["_fold", "i", "j", "v"]
-        yield pd.DataFrame(rows, columns=cols_out) if rows else pd.DataFrame(
-            {c: pd.Series(dtype="object" if c in gcols else ("int32" if c in ("_fold", "i", "j") else "float64"))
-             for c in cols_out})
-
-    part = data.mapInPandas(partial, schema)
-    return part.groupBy(*gcols, "_fold", "i", "j").agg(F.sum("v").alias("v"))
-
-
-@dataclass
-class Grams:
-    """Gram matrices per (group, fold) on the driver; names = ['1', cols...]."""
-    names: list[str]
-    cells: dict  # (group tuple, fold) -> k x k ndarray
-
-    def groups(self) -> list[tuple]:
-        return sorted({g for g, _ in self.cells}, key=lambda t: tuple("" if x is None else str(x) for x in t))
-
-    def folds(self) -> list[int]:
-        return sorted({f for _, f in self.cells})
-
-    def total(self, group: tuple) -> np.ndarray:
-        return sum(G for (g, _), G in self.cells.items() if g == group)
-
-    def fold(self, group: tuple, f: int) -> np.ndarray:
-        return self.cells.get((group, f), np.zeros((len(self.names), len(self.names))))
-
-    def index(self, cols: Sequence[str]) -> list[int]:
-        return [self.names.index(c) for c in cols]
-
-
-def gram(df: DataFrame, cols: Sequence[str], by=None, fold: str | None = None,
-         weight: Column | None = None) -> Grams:
-    """Collect the (small) Gram table; raises if groups x folds exceed ``MAX_CELLS``."""
-    keys = _by(by)
-    gf = gram_frame(df, cols, by, fold, weight)
-    k = len(cols) + 1
-    rows = gf.limit(MAX_CELLS * k * (k + 1) // 2 + 1).collect()
-    cells: dict = {}
-    for r in rows:
-        key = (tuple(r[f"_g{i}"] for i in range(len(keys))), r["_fold"])
-        G = cells.setdefault(key, np.zeros((k, k)))
-        G[r["i"], r["j"]] = r["v"]
-        G[r["j"], r["i"]] = r["v"]
-    if len(cells) > MAX_CELLS:
-        raise ValueError("too many (group, fold) cells for driver-side solves")
-    return Grams(["1"] + list(cols), cells)
+            X = pdf[xcols].to_numpy(dtype=float)
+            for key, idx in pdf.groupby([*gcols, "_fold", "_inner"], sort=False, dropna=False).indices.items():
+                key = tuple(_none(k) for k in key[:-2]), int(key[-2]), int(key[-1])
+                cell = Cell.of(X[idx])
+                acc[key] = acc[key] + cell if key in acc else cell
+        yield _frame(acc, gcols)
+
+    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield _frame(read(batches), gcols)
+
+    part = data.mapInPandas(partial, schema).withColumn("_b", F.pmod(F.spark_partition_id(), F.lit(BUCKETS)))
+    return part.repartition(*gcols, "_fold", "_inner", "_b").drop("_b").mapInPandas(merge, schema)
+
+
+def solve_groups(table: DataFrame, fn: Callable, schema: str) -> DataFrame:
+    """Solve group by group on the executors.
+
+    ``fn(group, {(fold, inner): Cell})`` yields result tuples without the group;
+    the result has the columns _g0, ... and those of ``schema``.
+    """
+    gcols = [c for c in table.columns if c.startswith("_g")]
+    read = _reader(gcols)
+    names = [*gcols, *(x.split()[0] for x in schema.split(", "))]
+
+    def solve_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        groups: dict = {}
+        for (g, f, i), c in read(batches).items():
+            groups.setdefault(g, {})[f, i] = c
+        rows = [(*g, *r) for g, own in groups.items() for r in fn(g, own)]
+        yield pd.DataFrame(rows, columns=names)
+
+    table = table.repartition(*gcols) if gcols else table.repartition(1)
+    return table.mapInPandas(solve_all, ", ".join([f"{g} string" for g in gcols] + [schema]))
 
 
 def solve(A: np.ndarray, b: np.ndarray, names: Sequence[str] | None = None, rcond: float = 1e-12) -> np.ndarray:
-    """Solve A x = b; raise on a (near) singular system, naming the columns."""
+    """Solve A x = b on the scaled system; raise on a (near) singular one, naming the columns."""
     A = np.asarray(A, dtype=float)
     if A.size == 0:
         return np.zeros(np.shape(b))
@@ -128,6 +171,6 @@ def solve(A: np.ndarray, b: np.ndarray, names: Sequence[str] | None = None, rcon
     As = A / np.outer(scale, scale)
     s = np.linalg.svd(As, compute_uv=False)
     if s.size and (s[-1] <= rcond * s[0]):
-        raise np.linalg.LinAlgError(f"rank-deficient design: {list(names) if names else ''}")
+        raise np.linalg.LinAlgError(f"rank-deficient design: {', '.join(names) if names else ''}")
     x = np.linalg.solve(As, (b.T / scale).T if b.ndim > 1 else b / scale)
     return (x.T / scale).T if x.ndim > 1 else x / scale

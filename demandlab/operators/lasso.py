@@ -1,10 +1,13 @@
-"""Lasso with a cross-validated penalty, solved on Gram matrices.
+"""Lasso with a cross-validated penalty, solved on cross-product cells.
 
 Objective (the common one): (1 / 2n) ||y - b0 - X b||^2 + alpha ||b||_1, with
-an unpenalised intercept. Coordinate descent runs on the centred k x k
-moments, so a fit costs nothing on the cluster once the fold Grams exist:
-model for fold f = Gram(total) - Gram(f); its held-out MSE comes from
-Gram(f) alone. Constant columns get coefficient 0 (decision D9).
+an unpenalised intercept. Coordinate descent runs on the centred k x k moments,
+so a fit costs nothing on the cluster once the cells exist. The penalty comes
+from the learner's own inner folds (ten by default, a key bucket gathered in the same
+pass), 100 penalties from the largest useful one down to its thousandth.
+Empty inner folds are skipped, folds count by their rows; with fewer than two
+non-empty ones there is no estimate. Constant columns get coefficient 0 (D9).
+Learners hold parameters only: a fit returns a value.
 """
 
 from __future__ import annotations
@@ -13,17 +16,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark.sql import Column, DataFrame
 
-from demandlab.operators.gram import Grams
+from demandlab.operators.gram import Cell, _by, cells, key_types, merged, solve_groups, with_types
+from demandlab.operators.sampling import key_bucket
 
-
-def _moments(G: np.ndarray, ix: Sequence[int], iy: int):
-    n = G[0, 0]
-    mx = G[0, ix] / n
-    my = G[0, iy] / n
-    Sxx = G[np.ix_(ix, ix)] / n - np.outer(mx, mx)
-    Sxy = G[ix, iy] / n - mx * my
-    return n, mx, my, Sxx, Sxy
+INNER = "_cv"
+INNER_FOLDS = 10
 
 
 def _cd(Sxx: np.ndarray, Sxy: np.ndarray, alpha: float, beta0: np.ndarray | None = None,
@@ -48,67 +47,87 @@ def _cd(Sxx: np.ndarray, Sxy: np.ndarray, alpha: float, beta0: np.ndarray | None
     return b, it
 
 
-def lasso_fit(G: np.ndarray, ix: Sequence[int], iy: int, alpha: float):
-    n, mx, my, Sxx, Sxy = _moments(G, ix, iy)
-    b, it = _cd(Sxx, Sxy, alpha)
-    return np.concatenate([[my - mx @ b], b]), it
+def _moments(cell: Cell, ix: Sequence[int], iy: int):
+    return cell.m[np.ix_(ix, ix)] / cell.n, cell.m[ix, iy] / cell.n
+
+
+def lasso_fit(cell: Cell, ix: Sequence[int], iy: int, alpha: float) -> tuple[np.ndarray, int]:
+    """[b_0, b...] and the number of sweeps for one penalty."""
+    b, it = _cd(*_moments(cell, ix, iy), alpha)
+    return np.concatenate([[cell.mean[iy] - cell.mean[list(ix)] @ b], b]), it
+
 
+def heldout_sse(cell: Cell, ix: Sequence[int], iy: int, coef: np.ndarray) -> float:
+    """Squared error of a fit on the rows of a cell."""
+    b = coef[1:]
+    off = cell.mean[iy] - coef[0] - cell.mean[list(ix)] @ b
+    return float(cell.m[iy, iy] - 2 * b @ cell.m[ix, iy] + b @ cell.m[np.ix_(ix, ix)] @ b + cell.n * off * off)
 
-def heldout_mse(G: np.ndarray, ix: Sequence[int], iy: int, coef: np.ndarray) -> float:
-    idx = [0] + list(ix)
-    A = G[np.ix_(idx, idx)]
-    c = G[idx, iy]
-    n = G[0, 0]
-    return float((G[iy, iy] - 2 * coef @ c + coef @ A @ coef) / n) if n > 0 else float("nan")
 
+def alpha_grid(cell: Cell, ix: Sequence[int], iy: int, n_alphas: int = 100, eps: float = 1e-3) -> np.ndarray:
+    _, Sxy = _moments(cell, ix, iy)
+    top = float(np.max(np.abs(Sxy))) if len(Sxy) else 0.0
+    top = top if top > 0 else 1.0
+    return np.logspace(np.log10(top), np.log10(top * eps), n_alphas)
 
-def alpha_grid(G: np.ndarray, ix: Sequence[int], iy: int, n_alphas: int = 100, eps: float = 1e-3):
-    _, _, _, _, Sxy = _moments(G, ix, iy)
-    amax = float(np.max(np.abs(Sxy))) if len(Sxy) else 1.0
-    amax = amax if amax > 0 else 1.0
-    return np.logspace(np.log10(amax), np.log10(amax * eps), n_alphas)
 
+@dataclass(frozen=True)
+class LassoFit:
+    coef: np.ndarray
+    alpha: float
+    n_iter: int
 
-@dataclass
+
+@dataclass(frozen=True)
 class LassoCV:
-    """Gram learner: penalty chosen by K-fold CV over the given fold Grams."""
+    """Lasso learner; ``inner`` names the inner-fold column when it isn't the default bucket."""
     n_alphas: int = 100
     eps: float = 1e-3
     name: str = "lasso"
-    alpha_: float | None = None
-    n_iter_: int | None = None
-
-    def choose(self, fold_grams: list[np.ndarray], ix, iy) -> float:
-        T = sum(fold_grams)
-        grid = alpha_grid(T, ix, iy, self.n_alphas, self.eps)
-        scores = np.zeros(len(grid))
-        for Gf in fold_grams:
-            train = T - Gf
-            n, mx, my, Sxx, Sxy = _moments(train, ix, iy)
+
+    def fit(self, folds: Sequence[Cell], ix: Sequence[int], iy: int) -> LassoFit | None:
+        """Penalty by cross-validation over the folds, then a fit on all of them; None with fewer than two."""
+        ix = list(ix)
+        folds = [c for c in folds if c.n > 0]
+        if len(folds) < 2:
+            return None
+        total = merged(folds)
+        grid = alpha_grid(total, ix, iy, self.n_alphas, self.eps)
+        sse = np.zeros(len(grid))
+        for k, out in enumerate(folds):
+            train = merged(folds[:k] + folds[k + 1:])
+            Sxx, Sxy = _moments(train, ix, iy)
             b = np.zeros(len(ix))
-            for a_i, a in enumerate(grid):
+            for i, a in enumerate(grid):
                 b, _ = _cd(Sxx, Sxy, a, b)
-                coef = np.concatenate([[my - mx @ b], b])
-                scores[a_i] += heldout_mse(Gf, ix, iy, coef) / len(fold_grams)
-        return float(grid[int(np.argmin(scores))])
-
-    def fit_grams(self, fold_grams: list[np.ndarray], ix, iy) -> np.ndarray:
-        self.alpha_ = self.choose(fold_grams, ix, iy)
-        coef, self.n_iter_ = lasso_fit(sum(fold_grams), ix, iy, self.alpha_)
-        return coef
-
-    def coefficients(self, G, ix, iy, names=None, fold_grams=None):
-        """Used by cross-fitting: inner CV over the training folds when given."""
-        if fold_grams and len(fold_grams) > 1:
-            return self.fit_grams(fold_grams, ix, iy)
-        a = self.alpha_ if self.alpha_ is not None else alpha_grid(G, ix, iy, self.n_alphas, self.eps)[-1]
-        return lasso_fit(G, ix, iy, a)[0]
-
-
-def lasso_cv(grams: Grams, features: Sequence[str], target: str, group: tuple = (),
-             n_alphas: int = 100) -> tuple[np.ndarray, LassoCV]:
-    """Fit LassoCV for one group from per-fold Grams; returns ([b0, b...], fitted learner)."""
-    ix, iy = grams.index(features), grams.index([target])[0]
-    fg = [grams.fold(group, f) for f in grams.folds()]
-    m = LassoCV(n_alphas=n_alphas)
-    return m.fit_grams(fg, ix, iy), m
+                sse[i] += heldout_sse(out, ix, iy, np.concatenate([[train.mean[iy] - train.mean[ix] @ b], b]))
+        alpha = float(grid[int(np.argmin(sse))])
+        coef, it = lasso_fit(total, ix, iy, alpha)
+        return LassoFit(coef, alpha, it)
+
+    def coefficients(self, train: Cell, ix: Sequence[int], iy: int, inner: Sequence[Cell] = ()) -> list[float] | None:
+        """Used by cross-fitting: inner folds of the training rows choose the penalty."""
+        got = self.fit(inner, ix, iy)
+        return None if got is None else got.coef.tolist()
+
+
+def with_inner(df: DataFrame, keys: Sequence[str] = (), bucket: Column | None = None, k: int = INNER_FOLDS, salt: int = 11) -> DataFrame:
+    """Tag rows with an inner fold: a bucket of the row key, or the given expression."""
+    return df.withColumn(INNER, (bucket if bucket is not None else key_bucket(keys, salt, k)).cast("int"))
+
+
+def lasso_cv(df: DataFrame, features: Sequence[str], targets: Sequence[str], by=None, inner: str = INNER,
+             learner: LassoCV = LassoCV()) -> DataFrame:
+    """by..., target, term, coef, alpha, n_iter: one cross-validated fit per group and target."""
+    keys = _by(by)
+    names = [*features, *targets]
+    ix = list(range(len(features)))
+
+    def fn(_, own):
+        for t in targets:
+            got = learner.fit(list(own.values()), ix, names.index(t))
+            for i, term in enumerate(["intercept", *features]):
+                yield (t, term, None, None, None) if got is None else (t, term, float(got.coef[i]), got.alpha, got.n_iter)
+
+    table = solve_groups(cells(df, names, keys or None, inner=inner), fn, "target string, term string, coef double, alpha double, n_iter int")
+    return with_types(table, keys, key_types(df, keys))

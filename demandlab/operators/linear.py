@@ -1,142 +1,206 @@
-"""OLS, two-stage least squares and plain linear learners on the Gram (M1, M2,
-M2a, M6, M11).
+"""OLS, two-stage least squares and plain linear learners on cross-product cells
+(M1, M2, M2a, M6, M11).
 
 No intercept is added silently: pass a constant column in ``x`` / ``exog``
 (``features.add_const``) to get one (decision D8). Grouped fits (``by``) are
-one more Gram key, not a loop over filtered frames. Robust (White, no
-small-sample correction) covariances take a second pass weighted by e².
+one more cell key, not a loop over filtered frames. Groups are solved on the
+executors: a column that is constant inside a group (beyond the intercept) is
+left out there and named in ``status``; a group that cannot be solved gives rows
+with NULL estimates and the reason. Robust (White, no small-sample correction)
+covariances take a second pass weighted by e^2.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+import pickle
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandlab.operators.gram import MAX_CELLS, Grams, _by, gram, solve
+from demandlab.functions.scalar import finite_or_null
+from demandlab.operators.gram import Cell, _by, _none, cells, key_columns, key_types, merged, solve, solve_groups, with_types
+from demandlab.session import scratch_table
 
-RESULT_SCHEMA_TAIL = "term string, coef double, se double, t double, p double, n long"
-
-
-def _sub(G: np.ndarray, idx_r: Sequence[int], idx_c: Sequence[int]) -> np.ndarray:
-    return G[np.ix_(list(idx_r), list(idx_c))]
+TERMS = "term string, coef double, se double, t double, p double, n long, status string"
 
 
 def _pvalue(t: float) -> float:
-    return math.erfc(abs(t) / math.sqrt(2.0)) if np.isfinite(t) else float("nan")
-
-
-def coef_table(spark: SparkSession, by: list[str], rows: list[tuple], value_cols: Sequence[str],
-               fold: bool = False) -> DataFrame:
-    """Small driver-built table (group cols as strings [, fold], values)."""
-    schema = ", ".join([f"_g{i} string" for i in range(len(by))] + (["_fold int"] if fold else [])
-                       + [f"{c} double" for c in value_cols])
-    return spark.createDataFrame(rows, schema)
-
-
-def apply_linear(df: DataFrame, by: list[str], coefs: DataFrame, features: Sequence[str],
-                 out: str, fold: str | None = None, intercept: bool = True) -> DataFrame:
-    """Add ``out`` = b_0 + sum b_i * x_i using the coefficient row of the row's
-    (group[, fold]). The coefficient table is bounded by groups x folds (checked
-    when it was built) and broadcast."""
-    conds = [F.col(b).cast("string").eqNullSafe(F.col(f"_c._g{i}")) for i, b in enumerate(by)]
-    if fold:
-        conds.append(F.col(fold) == F.col("_c._fold"))
-    if not conds:
-        # one coefficient row (driver-built, k numbers): plain literals, no join
-        row = coefs.first()
-        pred = F.lit(float(row["b_0"])) if intercept else F.lit(0.0)
-        for i, x in enumerate(features, start=1):
-            pred = pred + F.lit(float(row[f"b_{i}"])) * F.col(x)
-        return df.withColumn(out, pred)
-    c = F.broadcast(coefs.alias("_c"))
-    j = df.join(c, on=_and(conds), how="left")
-    pred = F.col("_c.b_0") if intercept else F.lit(0.0)
-    for i, x in enumerate(features, start=1):
-        pred = pred + F.col(f"_c.b_{i}") * F.col(x)
-    return j.select(*[df[n] for n in df.columns], pred.alias(out))
-
-
-def _and(conds):
-    out = conds[0]
-    for c in conds[1:]:
-        out = out & c
-    return out
-
-
-# ------------------------------------------------------------------ OLS
-
-def _ols_from_gram(G: np.ndarray, ix: list[int], iy: int, names: list[str]):
-    XtX = _sub(G, ix, ix)
-    Xty = G[ix, iy]
-    beta = solve(XtX, Xty, names)
-    n = G[0, 0]
-    ee = G[iy, iy] - 2 * beta @ Xty + beta @ XtX @ beta
-    return beta, XtX, ee, n
-
-
-def ols(df: DataFrame, y: str, x: Sequence[str], by=None, cov: str = "unadjusted") -> DataFrame:
-    """y on x (no automatic intercept). Returns (by..., term, coef, se, t, p, n)."""
+    return math.erfc(abs(t) / math.sqrt(2.0))
+
+
+# ------------------------------------------------------------------ OLS and 2SLS
+
+class Fit:
+    """One group's solution in the basis [intercept, centred columns] (or raw columns without intercept)."""
+
+    def __init__(self, cell: Cell, x: Sequence[str], z: Sequence[str], y: str, cols: Sequence[str]):
+        at = {c: i for i, c in enumerate(cols)}
+        constant = cell.constant()
+        self.x, self.n = list(x), cell.n
+        flat = [c for c in x if constant[at[c]]]
+        self.one = next((c for c in flat if cell.mean[at[c]] != 0), None)
+        self.left_out = [c for c in flat if c != self.one]
+        self.xs = [c for c in x if not constant[at[c]]]
+        self.zs = [c for c in z if not constant[at[c]]]
+        self.level = cell.mean[at[self.one]] if self.one else 1.0
+        ix, iz, iy = [at[c] for c in self.xs], [at[c] for c in self.zs], at[y]
+        G = cell.m if self.one else cell.raw()
+        self.mean_x, self.mean_z = (cell.mean[ix], cell.mean[iz]) if self.one else (np.zeros(len(ix)), np.zeros(len(iz)))
+        if cell.n <= len(ix) + bool(self.one):
+            raise np.linalg.LinAlgError("not more rows than terms")
+        ZX = G[np.ix_(iz, ix)]
+        self.proj = solve(G[np.ix_(iz, iz)], ZX, self.zs)
+        self.bread = solve(ZX.T @ self.proj, np.eye(len(ix)), self.xs) if ix else np.zeros((0, 0))
+        self.beta = self.bread @ (self.proj.T @ G[iz, iy])
+        XX, Xy = G[np.ix_(ix, ix)], G[ix, iy]
+        self.ee = max(0.0, float(G[iy, iy] - 2 * self.beta @ Xy + self.beta @ XX @ self.beta))
+        self.b0 = (cell.mean[iy] - self.mean_x @ self.beta) / self.level
+
+    def coefficients(self) -> list[float]:
+        """By term of ``x``, 0 where left out."""
+        got = dict(zip(self.xs, self.beta.tolist(), strict=True)) | ({self.one: float(self.b0)} if self.one else {})
+        return [got.get(c, 0.0) for c in self.x]
+
+    def unadjusted(self) -> tuple[float, np.ndarray]:
+        """Variance of the intercept in the centred basis, covariance of the others."""
+        s2 = self.ee / self.n
+        return s2 / self.n, s2 * self.bread, np.zeros(len(self.xs))
+
+    def robust(self, S: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """From sums of e^2 [1, z][1, z]' with z centred."""
+        P = np.zeros((len(self.xs) + 1, len(self.zs) + 1))
+        P[0, 0] = 1.0
+        P[1:, 1:] = self.proj.T
+        M = P @ S @ P.T
+        return M[0, 0] / self.n**2, self.bread @ M[1:, 1:] @ self.bread, self.bread @ M[1:, 0] / self.n
+
+    def rows(self, var: tuple[float, np.ndarray, np.ndarray]) -> Iterator[tuple]:
+        v0, V, c = var
+        by_term = {x: (float(self.beta[i]), float(V[i, i])) for i, x in enumerate(self.xs)}
+        if self.one:
+            by_term[self.one] = float(self.b0), float((v0 - 2 * self.mean_x @ c + self.mean_x @ V @ self.mean_x) / self.level**2)
+        for x in self.x:
+            if x in self.left_out:
+                yield x, None, None, None, None, int(self.n), "constant in the group: left out"
+                continue
+            b, v = by_term[x]
+            se = math.sqrt(v) if v >= 0 else None
+            t = b / se if se else None
+            yield x, b, se, t, _pvalue(t) if t is not None else None, int(self.n), "ok" if not self.left_out else "without " + ", ".join(self.left_out)
+
+
+def _failed(x: Sequence[str], n: float, why: str) -> Iterator[tuple]:
+    for c in x:
+        yield c, None, None, None, None, int(n), why
+
+
+def _estimate(df: DataFrame, y: str, x: Sequence[str], z: Sequence[str], by, cov: str) -> DataFrame:
     keys = _by(by)
-    cols = list(x) + [y]
-    grams = gram(df, cols, by)
-    ix = grams.index(x)
-    iy = grams.index([y])[0]
-    fits = {}
-    for g in grams.groups():
-        G = grams.total(g)
-        fits[g] = _ols_from_gram(G, ix, iy, list(x))
-    if cov == "robust":
-        meat = _robust_meat(df, keys, fits, x, y, x)
-    rows = []
-    for g, (beta, XtX, ee, n) in fits.items():
-        inv = np.linalg.inv(XtX)
-        if cov == "robust":
-            V = inv @ meat[g] @ inv
-        else:
-            V = (ee / n) * inv
-        rows += _rows(g, x, beta, V, n)
-    return _result(df.sparkSession, keys, rows)
-
-
-def _robust_meat(df: DataFrame, keys: list[str], fits: dict, x: Sequence[str], y: str,
-                 zcols: Sequence[str], proj=None) -> dict:
-    """Sum e_i^2 * q_i q_i' per group, q = the regressors (or instruments, then
-    projected by ``proj[g]``). One weighted Gram pass with broadcast coefficients."""
-    spark = df.sparkSession
-    rows = [(*[None if v is None else str(v) for v in g], *beta.tolist()) for g, (beta, *_rest) in fits.items()]
-    names = [f"b_{i + 1}" for i in range(len(x))]
-    coefs = coef_table(spark, keys, rows, names).withColumn("b_0", F.lit(0.0))
-    scored = apply_linear(df, keys, coefs, x, "_xb")
-    e2 = (F.col(y) - F.col("_xb")) * (F.col(y) - F.col("_xb"))
-    wg = gram(scored, list(zcols), keys or None, weight=e2)
-    out = {}
-    for g in fits:
-        S = wg.total(g)[np.ix_(range(1, len(zcols) + 1), range(1, len(zcols) + 1))] \
-            if isinstance(wg.total(g), np.ndarray) else np.zeros((len(zcols), len(zcols)))
-        out[g] = S if proj is None else proj[g].T @ S @ proj[g]
+    cols = list(dict.fromkeys([*x, *z, y]))
+    types = key_types(df, keys)
+    table = cells(df, cols, keys or None)
+
+    def unadjusted(_, own):
+        cell = merged(list(own.values()))
+        try:
+            fit = Fit(cell, x, z, y, cols)
+            yield from fit.rows(fit.unadjusted())
+        except np.linalg.LinAlgError as e:
+            yield from _failed(x, cell.n, str(e))
+
+    if cov != "robust":
+        return with_types(solve_groups(table, unadjusted, TERMS), keys, types)
+
+    def fitted(_, own):
+        cell = merged(list(own.values()))
+        try:
+            fit = Fit(cell, x, z, y, cols)
+            full = dict(zip(fit.zs, fit.mean_z.tolist(), strict=True))
+            yield pickle.dumps(fit), fit.coefficients(), [full.get(c, 0.0) for c in z], int(cell.n), None
+        except np.linalg.LinAlgError as e:
+            yield None, None, None, int(cell.n), str(e)
+
+    path = scratch_table(df.sparkSession, "fits")
+    solve_groups(table, fitted, "fit binary, coef array<double>, mean array<double>, n long, why string").write.parquet(path)
+    fits = df.sparkSession.read.parquet(path)
+    meat = _weighted(df, keys, fits, x, z, y)
+    gcols = key_columns(keys)
+    joined = fits.alias("f").join(meat.alias("s"), _same([f"f.{g}" for g in gcols], [f"s.{g}" for g in gcols]), "left") \
+        .select(*[f"f.{g}" for g in gcols], "fit", "f.n", "why", "s.s")
+
+    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for r in pdf.to_dict("records"):
+                g = [_none(r[c]) for c in gcols]
+                if r["fit"] is None:
+                    out += [(*g, *row) for row in _failed(x, r["n"], r["why"])]
+                    continue
+                fit = pickle.loads(r["fit"])
+                k = len(z) + 1
+                use = [0, *(1 + list(z).index(c) for c in fit.zs)]
+                S = np.asarray(r["s"], float).reshape(k, k)[np.ix_(use, use)]
+                out += [(*g, *row) for row in fit.rows(fit.robust(S))]
+            yield pd.DataFrame(out, columns=[*gcols, *(t.split()[0] for t in TERMS.split(", "))])
+
+    done = joined.mapInPandas(finish, ", ".join([f"{g} string" for g in gcols] + [TERMS]))
+    return with_types(done, keys, types)
+
+
+def _same(left: Sequence[str], right: Sequence[str]):
+    out = F.lit(True)
+    for a, b in zip(left, right, strict=True):
+        out = out & F.col(a).eqNullSafe(F.col(b))
     return out
 
 
-def _rows(g, terms, beta, V, n):
-    out = []
-    for i, t in enumerate(terms):
-        se = float(np.sqrt(V[i, i])) if V[i, i] >= 0 else float("nan")
-        tt = float(beta[i] / se) if se > 0 else float("nan")
-        out.append((*[None if v is None else str(v) for v in g], t, float(beta[i]), se, tt,
-                    _pvalue(tt), int(round(n))))
-    return out
-
+def _weighted(df: DataFrame, keys: list[str], fits: DataFrame, x: Sequence[str], z: Sequence[str], y: str) -> DataFrame:
+    """_g..., s: per group the sum of e^2 [1, z - mean][1, z - mean]' (one pass, summed in the tasks first)."""
+    gcols = key_columns(keys)
+    used = list(dict.fromkeys([*x, *z, y]))
+    rows = df.select(*[F.col(k).cast("string").alias(f"_k{i}") for i, k in enumerate(keys)], *[finite_or_null(F.col(c).cast("double")).alias(c) for c in used]).dropna(subset=used)
+    j = rows.join(fits.select(*gcols, "coef", "mean"), _same([f"_k{i}" for i in range(len(keys))], gcols)).where("coef is not null")
+    fit = sum((F.col("coef")[i] * F.col(c) for i, c in enumerate(x)), F.lit(0.0))
+    e = F.col(y) - fit
+    zc = [(F.col(c) - F.col("mean")[i]).alias(f"_z{i}") for i, c in enumerate(z)]
+    data = j.select(*gcols, (e * e).alias("_w"), *zc)
+    k = len(z) + 1
+    schema = ", ".join([f"{g} string" for g in gcols] + ["s array<double>"])
+
+    def total(acc: dict) -> pd.DataFrame:
+        return pd.DataFrame([(*g, S.ravel().tolist()) for g, S in acc.items()], columns=[*gcols, "s"])
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        acc: dict = {}
+        for pdf in batches:
+            Z = np.column_stack([np.ones(len(pdf)), *(pdf[f"_z{i}"].to_numpy(float) for i in range(k - 1))])
+            w = pdf["_w"].to_numpy(float)
+            parts = pdf.groupby(gcols, sort=False, dropna=False).indices.items() if gcols else [((), np.arange(len(pdf)))]
+            for g, idx in parts:
+                g = tuple(_none(v) for v in (g if isinstance(g, tuple) else (g,)))
+                acc[g] = acc.get(g, 0.0) + (Z[idx] * w[idx, None]).T @ Z[idx]
+        yield total(acc)
+
+    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        acc: dict = {}
+        for pdf in batches:
+            for r in pdf.to_dict("records"):
+                g = tuple(_none(r[c]) for c in gcols)
+                acc[g] = acc.get(g, 0.0) + np.asarray(r["s"], float).reshape(k, k)
+        yield total(acc)
+
+    part = data.mapInPandas(partial, schema)
+    return (part.repartition(*gcols) if gcols else part.repartition(1)).mapInPandas(merge, schema)
 
-def _result(spark: SparkSession, keys: list[str], rows: list[tuple]) -> DataFrame:
-    schema = ", ".join([f"`{k}` string" for k in keys] + [RESULT_SCHEMA_TAIL])
-    return spark.createDataFrame(rows, schema)
 
+def ols(df: DataFrame, y: str, x: Sequence[str], by=None, cov: str = "unadjusted") -> DataFrame:
+    """y on x (no automatic intercept): by..., term, coef, se, t, p, n, status."""
+    return _estimate(df, y, list(x), list(x), by, cov)
 
-# ------------------------------------------------------------------ 2SLS
 
 def iv2sls(df: DataFrame, y: str, exog: Sequence[str], endog: Sequence[str], instr: Sequence[str],
            by=None, cov: str = "robust") -> DataFrame:
@@ -146,61 +210,64 @@ def iv2sls(df: DataFrame, y: str, exog: Sequence[str], endog: Sequence[str], ins
     robust V = (X'PX)^-1 (sum e^2 xhat xhat') (X'PX)^-1, xhat = P x. With no
     endogenous column this is OLS.
     """
-    keys = _by(by)
-    xs = list(exog) + list(endog)
-    zs = list(exog) + list(instr)
-    cols = list(dict.fromkeys(xs + zs + [y]))
-    grams = gram(df, cols, by)
-    ix, iz, iy = grams.index(xs), grams.index(zs), grams.index([y])[0]
-    fits, proj = {}, {}
-    for g in grams.groups():
-        G = grams.total(g)
-        ZZ, ZX, Zy = _sub(G, iz, iz), _sub(G, iz, ix), G[iz, iy]
-        Pi = solve(ZZ, ZX, zs)                       # first-stage coefficients, Z'Z^-1 Z'X
-        XPX = ZX.T @ Pi
-        XPy = Pi.T @ Zy
-        beta = solve(XPX, XPy, xs)
-        XX, Xy = _sub(G, ix, ix), G[ix, iy]
-        ee = G[iy, iy] - 2 * beta @ Xy + beta @ XX @ beta
-        fits[g] = (beta, XPX, ee, G[0, 0])
-        proj[g] = Pi
-    if cov == "robust":
-        meat = _robust_meat(df, keys, fits, xs, y, zs, proj)
-    rows = []
-    for g, (beta, XPX, ee, n) in fits.items():
-        inv = np.linalg.inv(XPX)
-        V = inv @ meat[g] @ inv if cov == "robust" else (ee / n) * inv
-        rows += _rows(g, xs, beta, V, n)
-    return _result(df.sparkSession, keys, rows)
+    return _estimate(df, y, [*exog, *endog], [*exog, *instr], by, cov)
 
 
 # ------------------------------------------------------------------ learners
 
 class LinearLearner:
-    """Least squares with intercept fitted from Gram sums (M6). ``alpha`` > 0
-    gives the Lasso (``operators.lasso``)."""
+    """Least squares with intercept (M6); columns constant in the sample get 0."""
     name = "linear"
 
-    def coefficients(self, G: np.ndarray, ix: list[int], iy: int, names=None) -> np.ndarray:
-        """[b_0, b...] for y on [1, x] from a Gram over [1, ...]."""
-        idx = [0] + list(ix)
-        return solve(_sub(G, idx, idx), G[idx, iy], ["1"] + list(names or []))
-
-
-def fold_coefficients(grams: Grams, learner, features: Sequence[str], target: str) -> dict:
-    """Cross-fitting without refits: the model for fold f is fitted on
-    Gram(total) - Gram(f), per group. Returns {(group, fold): [b_0, b...]}."""
-    ix, iy = grams.index(features), grams.index([target])[0]
-    out = {}
-    if len(grams.cells) > MAX_CELLS:
-        raise ValueError("too many cells")
-    for g in grams.groups():
-        T = grams.total(g)
-        folds = grams.folds()
-        for f in folds:
-            if getattr(learner, "fit_grams", None) is not None:
-                inner = [grams.fold(g, h) for h in folds if h != f]
-                out[(g, f)] = learner.coefficients(T - grams.fold(g, f), ix, iy, features, fold_grams=inner)
-            else:
-                out[(g, f)] = learner.coefficients(T - grams.fold(g, f), ix, iy, features)
-    return out
+    def coefficients(self, train: Cell, ix: Sequence[int], iy: int, inner: Sequence[Cell] = ()) -> list[float] | None:
+        """[b_0, b...] of y on [1, x]; None where the sample can't be solved."""
+        use = [i for i in ix if not train.constant()[i]]
+        if train.n <= len(use) + 1:
+            return None
+        try:
+            b = solve(train.m[np.ix_(use, use)], train.m[use, iy])
+        except np.linalg.LinAlgError:
+            return None
+        beta = dict(zip(use, b.tolist(), strict=True))
+        return [float(train.mean[iy] - sum(train.mean[i] * v for i, v in beta.items())), *(beta.get(i, 0.0) for i in ix)]
+
+
+def coefficients(df: DataFrame, features: Sequence[str], targets: dict, by=None, fold: str | None = None,
+                 inner: str | None = None) -> DataFrame:
+    """Coefficient arrays [b_0, b...] per group and, with ``fold``, per left-out fold.
+
+    ``targets`` maps an output name to (target column, learner). The model of
+    fold f is fitted on the merged cells of all other folds (no refits); a
+    learner with an inner cross-validation sees the cells of the inner folds.
+    Columns: _g..., _fold, one array per output (NULL where not estimable).
+    """
+    names = list(dict.fromkeys([*features, *(t for t, _ in targets.values())]))
+    ix = [names.index(f) for f in features]
+    slots = [(names.index(t), learner) for t, learner in targets.values()]
+
+    def fn(_, own):
+        folds = sorted({f for f, _ in own})
+        for f in folds if fold else [None]:
+            parts: dict[int, Cell] = {}
+            for (g, i), c in own.items():
+                if g != f:
+                    parts[i] = parts[i] + c if i in parts else c
+            train = merged(list(parts.values()))
+            yield (-1 if f is None else f, *(None if train is None else learner.coefficients(train, ix, iy, list(parts.values())) for iy, learner in slots))
+
+    schema = ", ".join(["_fold int", *(f"{o} array<double>" for o in targets)])
+    return solve_groups(cells(df, names, by, fold, inner), fn, schema)
+
+
+def apply_linear(df: DataFrame, coefs: DataFrame, features: Sequence[str], outs: Sequence[str], by=None,
+                 fold: str | None = None) -> DataFrame:
+    """Add each output's prediction b_0 + sum b_i x_i from the row's (group, fold) arrays; NULL without one."""
+    keys = _by(by)
+    renamed = coefs.select(*[F.col(g).alias(f"_c{i}") for i, g in enumerate(key_columns(keys))], F.col("_fold").alias("_cf"),
+                           *[F.col(o).alias(f"_b_{o}") for o in outs])
+    on = _same([f"_k{i}" for i in range(len(keys))], [f"_c{i}" for i in range(len(keys))])
+    on = on & (F.col(fold).eqNullSafe(F.col("_cf")) if fold else F.col("_cf") == -1)
+    keyed = df.withColumns({f"_k{i}": F.col(k).cast("string") for i, k in enumerate(keys)}) if keys else df
+    j = keyed.join(renamed, on, "left")
+    value = {o: sum((F.col(f"_b_{o}")[i + 1] * F.col(c) for i, c in enumerate(features)), F.col(f"_b_{o}")[0]) for o in outs}
+    return j.select(*[F.col(c) for c in df.columns], *[v.alias(o) for o, v in value.items()])

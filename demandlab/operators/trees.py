@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def rf(trees: int = 500, frac: float = 0.65, max_depth: int = 10, seed: int = 42) -> RandomForestRegressor:
+def rf(trees: int = 500, frac: float = 0.65, max_depth: int = 30, seed: int = 42) -> RandomForestRegressor:
     """Random forest; ``frac`` of the features considered per split (M4)."""
     return RandomForestRegressor(numTrees=trees, featureSubsetStrategy=str(frac), maxDepth=max_depth,
                                  seed=seed)
@@ -31,11 +31,6 @@ def gbt(rounds: int = 500, lr: float = 0.2, depth: int = 6, colsample: float = 1
                         minInfoGain=min_info_gain, seed=seed)
 
 
-# presets with the study's settings
-RF_STUDY = dict(trees=500, frac=0.65)
-GBT_STUDY = dict(rounds=500, lr=0.2, colsample=1.0)
-
-
 def with_missing_indicators(df: DataFrame, cols: Sequence[str], fill: float = 0.0,
                             suffix: str = "_missing") -> tuple[DataFrame, list[str]]:
     """NULL-tolerant features for learners that reject missing values (M5a):
@@ -46,7 +41,8 @@ def with_missing_indicators(df: DataFrame, cols: Sequence[str], fill: float = 0.
 
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="skip").transform(df)
+    """Feature vector; rows with missing values stay (see ``with_missing_indicators``)."""
+    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep").transform(df)
 
 
 def grid_search(df: DataFrame, estimator, features: Sequence[str], label: str, grid: dict,

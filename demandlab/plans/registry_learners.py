@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandlab.operators import diagnostics as DG
-from demandlab.operators import dml, features as FE, lasso, linear, stats, trees
-from demandlab.operators.gram import gram
+from demandlab.operators import dml, features as FE, lasso, linear, trees
 from demandlab.sources.fixtures import regression_panel
 from demandlab.sources.io import Tables
 
@@ -29,22 +28,14 @@ def _panel(spark, d) -> DataFrame:
 
 
 def q_lasso_cv(spark, d):
-    """LassoCV (5 folds on the fold column) of y, d, z on the covariates, per category."""
-    p = _panel(spark, d)
-    g = gram(p, XT + ["y", "d", "z"], by=BY, fold="fold")
-    rows = []
-    for grp in g.groups():
-        for t in ("y", "d", "z"):
-            coef, m = lasso.lasso_cv(g, XT, t, grp, n_alphas=50)
-            for name, v in zip(["intercept"] + XT, coef):
-                rows.append((grp[0], t, name, float(v), float(m.alpha_), int(m.n_iter_)))
-    return spark.createDataFrame(rows, "p_type string, target string, term string, coef double, "
-                                       "alpha double, n_iter int")
+    """LassoCV (ten key-bucket folds, 100 penalties) of y, d, z on the covariates, per category."""
+    p = lasso.with_inner(_panel(spark, d), ["p_brand", "p_type", "week", "ppl"])
+    return lasso.lasso_cv(p, XT, ["y", "d", "z"], by=BY)
 
 
 def q_dml_pliv_lasso(spark, d):
-    res = dml.dml_pliv(_panel(spark, d), "y", "d", "z", XT, lasso.LassoCV(n_alphas=30),
-                       lasso.LassoCV(n_alphas=30), lasso.LassoCV(n_alphas=30), fold="fold", by=BY)
+    res = dml.dml_pliv(_panel(spark, d), "y", "d", "z", XT, lasso.LassoCV(),
+                       lasso.LassoCV(), lasso.LassoCV(), fold="fold", by=BY)
     return res.table
 
 
@@ -103,20 +94,10 @@ def q_holdout_scores(spark, d):
     p = _panel(spark, d)
     train = p.where(F.col("week") < F.lit("2001-01-01").cast("date"))
     test = p.where(F.col("week") >= F.lit("2001-01-01").cast("date"))
-    g = gram(train, XT + ["y", "d", "z"])
-    ix = g.index(XT)
-    rows = []
-    for t in ("y", "d", "z"):
-        b = linear.LinearLearner().coefficients(g.total(()), ix, g.index([t])[0], XT)
-        rows.append((t, *b.tolist()))
-    names = [f"b_{i}" for i in range(len(XT) + 1)]
-    out = None
-    for t, *b in rows:
-        ct = spark.createDataFrame([tuple(b)], ", ".join(f"{n} double" for n in names))
-        sc = linear.apply_linear(test, [], ct, XT, "_pred")
-        e = stats.errors(sc, t, "_pred").withColumn("target", F.lit(t))
-        out = e if out is None else out.unionByName(e)
-    return out
+    lin = linear.LinearLearner()
+    slots = {f"_{t}hat": (t, lin) for t in ("y", "d", "z")}
+    scored = linear.apply_linear(test, linear.coefficients(train, XT, slots), XT, list(slots))
+    return DG.first_stage_errors(scored, {t: (t, f"_{t}hat") for t in ("y", "d", "z")}).withColumnRenamed("slot", "target")
 
 
 QUERIES = {
@@ -147,8 +128,8 @@ def q_elasticity_design(spark, d):
     (y = log demand, d = log sell price, z = log purchase price)."""
     from demandlab.plans.estimate_plan import elasticity
     mat, xs = _design(spark, d)
-    return elasticity(mat, xs, lasso.LassoCV(n_alphas=30), lasso.LassoCV(n_alphas=30),
-                      lasso.LassoCV(n_alphas=30)).table
+    return elasticity(mat, xs, lasso.LassoCV(), lasso.LassoCV(),
+                      lasso.LassoCV()).table
 
 
 def q_naive_models_design(spark, d):
@@ -180,17 +161,10 @@ def q_holdout_design(spark, d):
     hold = FE.align(hold.where(F.col("week_start_date") >= cut), train.columns)
     from demandlab.plans.design_plan import design_covariates
     xs = design_covariates(enc, prep)
-    g = gram(train, xs + ["l_product_order_amt", "l_avg_sell_price"])
-    ix = g.index(xs)
-    out = None
-    for t in ("l_product_order_amt", "l_avg_sell_price"):
-        b = linear.LinearLearner().coefficients(g.total(()), ix, g.index([t])[0], xs)
-        ct = spark.createDataFrame([tuple(float(v) for v in b)],
-                                   ", ".join(f"b_{i} double" for i in range(len(xs) + 1)))
-        sc = linear.apply_linear(hold, [], ct, xs, "_pred")
-        e = stats.errors(sc, t, "_pred").withColumn("target", F.lit(t))
-        out = e if out is None else out.unionByName(e)
-    return out
+    lin = linear.LinearLearner()
+    slots = {f"_{t}": (t, lin) for t in ("l_product_order_amt", "l_avg_sell_price")}
+    scored = linear.apply_linear(hold, linear.coefficients(train, xs, slots), xs, list(slots))
+    return DG.first_stage_errors(scored, {t: (t, f"_{t}") for t, _ in slots.values()}).withColumnRenamed("slot", "target")
 
 
 QUERIES["holdout_design"] = q_holdout_design

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandlab.config import PrepConfig
-from demandlab.operators import dml, features as FE, linear, stats
-from demandlab.operators.gram import gram
+from demandlab.operators import diagnostics as DG
+from demandlab.operators import dml, features as FE, lasso, linear, sampling, stats
 from demandlab.operators.panel import daily_features, weekly
 from demandlab.plans.oracle_fixtures import regression_cte
 from demandlab.sources.fixtures import regression_panel
@@ -33,29 +33,29 @@ def q_regression_panel(spark, d):
 
 def q_ols(spark, d):
     r = linear.ols(_reg(spark, d), "y", ["const", "d"], by=BY, cov="unadjusted")
-    return _round(r.drop("p"))
+    return _round(r.drop("p", "status"))
 
 
 def q_ols_multi(spark, d):
     """OLS with two regressors and a constant, per category (M1, k = 3)."""
     r = linear.ols(_reg(spark, d), "y", ["const", "d", "x"], by=BY, cov="unadjusted")
-    return _round(r.drop("p"))
+    return _round(r.drop("p", "status"))
 
 
 def q_iv2sls_multi(spark, d):
     """2SLS with an exogenous covariate besides the constant (M2, k = 3), price term."""
     r = linear.iv2sls(_reg(spark, d), "y", ["const", "x"], ["d"], ["z"], by=BY, cov="unadjusted")
-    return _round(r.where(F.col("term") == "d").drop("p"))
+    return _round(r.where(F.col("term") == "d").drop("p", "status"))
 
 
 def q_iv2sls(spark, d):
     r = linear.iv2sls(_reg(spark, d), "y", ["const"], ["d"], ["z"], by=BY, cov="robust")
-    return _round(r.drop("p"))
+    return _round(r.drop("p", "status"))
 
 
 def q_dml_plr(spark, d):
     res = dml.dml_plr(_reg(spark, d), "y", "d", X, fold="fold", by=BY)
-    return _round(res.table.drop("p"))
+    return _round(res.table.drop("p", "status"))
 
 
 X2 = ["x", "n_lines"]
@@ -64,7 +64,7 @@ X2 = ["x", "n_lines"]
 def q_dml_plr_multi(spark, d):
     """DML-PLR with two covariates per category (linear learners, 5 folds)."""
     res = dml.dml_plr(_reg(spark, d), "y", "d", X2, fold="fold", by=BY)
-    return _round(res.table.drop("p"))
+    return _round(res.table.drop("p", "status"))
 
 
 HOLDOUT_FROM = "2001-01-01"
@@ -74,80 +74,122 @@ def q_holdout_errors(spark, d):
     """Out-of-time check (R3): first stages y, d, z ~ [1, x] fitted on the weeks
     before the holdout, scored on the holdout weeks; errors per target."""
     reg = _reg(spark, d)
-    cut = F.lit(HOLDOUT_FROM).cast("date")
-    train, test = reg.where(F.col("week") < cut), reg.where(F.col("week") >= cut)
-    g = gram(train, X + ["y", "d", "z"])
-    out = None
-    for t in ("y", "d", "z"):
-        b = linear.LinearLearner().coefficients(g.total(()), g.index(X), g.index([t])[0], X)
-        pred = F.lit(float(b[0])) + sum((F.lit(float(b[i + 1])) * F.col(x) for i, x in enumerate(X)), F.lit(0.0))
-        e = stats.errors(test.withColumn("_pred", pred), t, "_pred").withColumn("target", F.lit(t))
-        out = e if out is None else out.unionByName(e)
-    return _round(out)
+    train = reg.where(F.col("week") < F.lit(HOLDOUT_FROM).cast("date"))
+    test = sampling.holdout(reg, "week", F.lit(HOLDOUT_FROM).cast("date"), F.lit("9999-12-31").cast("date"))
+    lin = linear.LinearLearner()
+    slots = {f"_{t}hat": (t, lin) for t in ("y", "d", "z")}
+    scored = linear.apply_linear(test, linear.coefficients(train, X, slots), X, list(slots))
+    return _round(DG.first_stage_errors(scored, {t: (t, f"_{t}hat") for t in ("y", "d", "z")}).withColumnRenamed("slot", "target"))
 
 
 def q_dml_pliv(spark, d):
     res = dml.dml_pliv(_reg(spark, d), "y", "d", "z", X, fold="fold", by=BY)
-    return _round(res.table.drop("p"))
+    return _round(res.table.drop("p", "status"))
 
 
 def _pliv_resid(spark, d):
     return dml.dml_pliv(_reg(spark, d), "y", "d", "z", X, fold="fold", by=BY)
 
 
+def _ok(res: DataFrame) -> DataFrame:
+    return res.where(F.col("_u").isNotNull() & F.col("_v").isNotNull() & F.col("_w").isNotNull())
+
+
 def q_first_stage_errors(spark, d):
     res = _pliv_resid(spark, d).residuals
-    parts = [stats.errors(res, t, h, by=BY).withColumn("slot", F.lit(s))
-             for s, t, h in (("l", "y", "_lhat"), ("m", "z", "_mhat"), ("r", "d", "_rhat"))]
-    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return _round(out)
+    return _round(DG.first_stage_errors(res, {"l": ("y", "_lhat"), "m": ("z", "_mhat"), "r": ("d", "_rhat")}, by=BY))
 
 
 def q_instrument_strength(spark, d):
-    res = _pliv_resid(spark, d).residuals.where(
-        F.col("_u").isNotNull() & F.col("_v").isNotNull() & F.col("_w").isNotNull())
-    out = res.groupBy(BY).agg(F.corr("_w", "_v").alias("corr_resid"), F.corr("z", "d").alias("corr_raw"))
-    return _round(out)
+    return _round(DG.instrument_strength(_ok(_pliv_resid(spark, d).residuals), "_w", "_v", "z", "d", by=BY))
 
 
 def q_predict_demand(spark, d):
     r = _pliv_resid(spark, d)
-    th = r.table.select(BY, "theta")
-    sc = r.residuals.join(F.broadcast(th), BY)   # one row per category: bounded
-    sc = sc.withColumn("yhat", F.col("_lhat") + F.col("theta") * (F.col("d") - F.col("_rhat")))
-    e = stats.errors(sc.where(F.col("_u").isNotNull() & F.col("_v").isNotNull() & F.col("_w").isNotNull()),
-                     "y", "yhat", by=BY)
-    c = sc.where(F.col("_u").isNotNull() & F.col("_w").isNotNull()).groupBy(BY).agg(
-        F.corr("yhat", "d").alias("corr_yhat_d"))
-    return _round(e.join(c, BY))
+    sc = DG.predict_demand(_ok(r.residuals), r.table.select(BY, "theta"), "d", "_lhat", "_rhat", by=BY)
+    e = stats.errors(sc, "y", "yhat", by=BY)
+    return _round(e.join(stats.pair_corr(sc, "yhat", "d", by=BY).withColumnRenamed("corr", "corr_yhat_d"), BY))
+
+
+def q_predict_demand_missing_theta(spark, d):
+    """Rows of a category without an estimate stay, with a NULL prediction."""
+    r = _pliv_resid(spark, d)
+    theta = r.table.select(BY, "theta").where(F.col(BY) != EXCLUDED)
+    sc = DG.predict_demand(_ok(r.residuals), theta, "d", "_lhat", "_rhat", by=BY)
+    return _round(sc.groupBy(BY).agg(F.count(F.lit(1)).alias("n_rows"), F.count("yhat").alias("n_predicted"), F.avg("yhat").alias("mean_yhat")))
 
 
 def q_predict_demand_holdout(spark, d):
     """Per-category elasticity on the 80 % training split, demand predicted on the
     20 % test split with first stages fitted on the whole training split (M16):
     yhat = l(X) + theta_c (d - r(X)); RMSE and corr(yhat, d) per category."""
-    reg = _reg(spark, d)
-    train, test = reg.where(F.col("is_test") == 0), reg.where(F.col("is_test") == 1)
+    train, test = sampling.train_test(_reg(spark, d))
     th = dml.dml_pliv(train, "y", "d", "z", X, fold="fold", by=BY).table.select(BY, "theta")
-    g = gram(train, X + ["y", "d", "z"], by=BY)
-    rows = []
-    for grp in g.groups():
-        ix = g.index(X)
-        bl = linear.LinearLearner().coefficients(g.total(grp), ix, g.index(["y"])[0], X)
-        br = linear.LinearLearner().coefficients(g.total(grp), ix, g.index(["d"])[0], X)
-        rows.append((grp[0], *bl.tolist(), *br.tolist()))
-    k = len(X) + 1
-    cschema = ", ".join([f"{BY} string"] + [f"l_{i} double" for i in range(k)] + [f"r_{i} double" for i in range(k)])
-    co = spark.createDataFrame(rows, cschema)        # one row per category: bounded
-    sc = test.join(F.broadcast(co), BY).join(F.broadcast(th), BY)
-    lhat = F.col("l_0") + sum((F.col(f"l_{i + 1}") * F.col(x) for i, x in enumerate(X)), F.lit(0.0))
-    rhat = F.col("r_0") + sum((F.col(f"r_{i + 1}") * F.col(x) for i, x in enumerate(X)), F.lit(0.0))
-    sc = sc.withColumn("yhat", lhat + F.col("theta") * (F.col("d") - rhat))
+    lin = linear.LinearLearner()
+    slots = {"_lhat": ("y", lin), "_rhat": ("d", lin), "_mhat": ("z", lin)}
+    sc = linear.apply_linear(test, linear.coefficients(train, X, slots, BY), X, list(slots), BY)
+    sc = DG.predict_demand(sc, th, "d", "_lhat", "_rhat", by=BY)
     e = stats.errors(sc, "y", "yhat", by=BY)
-    c = sc.groupBy(BY).agg(F.corr("yhat", "d").alias("corr_yhat_d"))
+    c = stats.pair_corr(sc, "yhat", "d", by=BY).withColumnRenamed("corr", "corr_yhat_d")
     return _round(e.join(c, BY).join(th, BY))
 
 
+def _planted(spark, d) -> DataFrame:
+    """The panel with NaN in d and +inf in y on rows told by arithmetic on their values."""
+    k = F.pmod(F.col("n_lines").cast("long") * 7 + F.col("fold"), F.lit(11))
+    return _reg(spark, d).withColumns({"d": F.when(k == 3, F.lit(float("nan"))).otherwise(F.col("d")),
+                                       "y": F.when(k == 4, F.lit(float("inf"))).otherwise(F.col("y"))})
+
+
+def q_ols_non_finite(spark, d):
+    """OLS leaves rows with NaN or infinite values out."""
+    return _round(linear.ols(_planted(spark, d), "y", ["const", "d"], by=BY).drop("p", "status"))
+
+
+def q_non_finite_planted(spark, d):
+    return stats.non_finite(_planted(spark, d), ["y", "d", "z", "x"])
+
+
+DEGENERATE, EMPTY = "PROMO", "SMALL"
+
+
+def q_dml_pliv_degenerate_category(spark, d):
+    """One category with a constant covariate (left out there) and one without any
+    complete row (a row with NULLs and the reason) among ordinary ones (M11)."""
+    df = _reg(spark, d).withColumns({"x": F.when(F.col(BY) == DEGENERATE, 0.0).otherwise(F.col("x")),
+                                     "y": F.when(F.col(BY) != EMPTY, F.col("y"))})
+    return _round(dml.dml_pliv(df, "y", "d", "z", X, fold="fold", by=BY).table.select(BY, "theta", "se", "n", (F.col("status") == "ok").cast("int").alias("estimated")))
+
+
+LASSO_FOLDS = 10
+
+
+def _inner_folds(df: DataFrame) -> DataFrame:
+    return lasso.with_inner(df, bucket=F.pmod(F.col("n_lines").cast("long") * 3 + F.datediff("week", F.lit("1990-01-01").cast("date")) / 7, F.lit(LASSO_FOLDS)))
+
+
+def q_lasso_cv_single(spark, d):
+    """Lasso with ten inner folds and 100 penalties, one covariate, per category."""
+    got = lasso.lasso_cv(_inner_folds(_reg(spark, d)), X, ["y", "d"], by=BY)
+    return _round(got.drop("n_iter"))
+
+
+def q_dml_plr_lasso_single(spark, d):
+    """PLR with cross-validated Lasso first stages, one covariate (M3, M8)."""
+    res = dml.dml_plr(_inner_folds(_reg(spark, d)), "y", "d", X, lasso.LassoCV(), lasso.LassoCV(), by=BY, inner=lasso.INNER)
+    return _round(res.table.drop("p", "status"))
+
+
+N_SIGNS = 40
+
+
+def q_bootstrap_signs(spark, d):
+    """Multiplier bootstrap with sign multipliers from an arithmetic key hash."""
+    res = _pliv_resid(spark, d)
+    h = F.datediff("week", F.lit("1990-01-01").cast("date")) * 37 + F.col("n_lines").cast("long") * 101 + F.length("p_brand") * 7 + F.ascii(F.col("ppl")) * 13
+    return _round(dml.bootstrap(res, key=[], n_boot=N_SIGNS, by=BY, key_hash=h))
+
+
 def q_unique_values(spark, d):
     return stats.unique_values(_reg(spark, d), "ppl")
 
@@ -177,7 +219,6 @@ def q_regression_features(spark, d):
 
 def q_predict_demand_uncentered(spark, d):
     """yhat = theta * d + l(X) (M15), errors per category."""
-    from demandlab.operators import diagnostics as DG
     r = _pliv_resid(spark, d)
     ok = r.residuals.where(F.col("_u").isNotNull() & F.col("_v").isNotNull() & F.col("_w").isNotNull())
     sc = DG.predict_demand(ok, r.table.select(BY, "theta"), "d", "_lhat", None, by=BY)
@@ -186,7 +227,6 @@ def q_predict_demand_uncentered(spark, d):
 
 def q_residual_table(spark, d):
     """Rows behind the residual plots (M18): key, y, yhat, resid, learner."""
-    from demandlab.operators import diagnostics as DG
     r = _pliv_resid(spark, d)
     ok = r.residuals.where(F.col("_u").isNotNull() & F.col("_v").isNotNull() & F.col("_w").isNotNull())
     sc = DG.predict_demand(ok, r.table.select(BY, "theta"), "d", "_lhat", "_rhat", by=BY)
@@ -197,7 +237,6 @@ def q_residual_table(spark, d):
 def q_residual_histogram_linear(spark, d):
     """2-D histogram (20 x 20 bins) of the instrument and price residuals of the
     linear PLIV (M18): a size-bounded extract for the residual scatter plots."""
-    from demandlab.operators import diagnostics as DG
     res = _pliv_resid(spark, d).residuals
     ok = res.where(F.col("_u").isNotNull() & F.col("_v").isNotNull() & F.col("_w").isNotNull())
     return DG.residual_histogram(ok, "_w", "_v", bins=20)
@@ -460,13 +499,24 @@ SELECT 'pliv[linear,linear,linear]' AS learner, theta, se, theta/se AS t, theta
 def q_dml_pliv_excluding(spark, d):
     """PLIV on all categories but one (P10), one pooled estimate."""
     df = FE.exclude(_reg(spark, d), BY, EXCLUDED)
-    return _round(dml.dml_pliv(df, "y", "d", "z", X, fold="fold").table.drop("p"))
+    return _round(dml.dml_pliv(df, "y", "d", "z", X, fold="fold").table.drop("p", "status"))
 
 
 def q_profile(spark, d):
     """Row and column count of the regression panel."""
-    df = _reg(spark, d)
-    return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_cols", F.lit(len(df.columns)))
+    from demandlab.sources.io import profile
+    got = profile(_reg(spark, d))
+    return spark.createDataFrame([(got["rows"], len(got["columns"]))], "n_rows long, n_cols int")
+
+
+PANEL_KEY = ["p_brand", "p_type", "week", "ppl"]
+
+
+def q_profile_head(spark, d):
+    """First rows of the panel in key order."""
+    from demandlab.sources.io import profile
+    df = _reg(spark, d).select(*PANEL_KEY, "n_lines")
+    return spark.createDataFrame(profile(df, 5, PANEL_KEY)["head"], df.schema)
 
 
 def q_weekly_csv(spark, d):
@@ -567,6 +617,78 @@ SELECT {", ".join(DESIGN_COLS)}, {", ".join(FE.design_columns(PREP))},
     return with_panel(_r(body, dbl))
 
 
+_PLANT = "((CAST(n_lines AS BIGINT) * 7 + fold) % 11)"
+
+
+def _degenerate_sql() -> str:
+    """A constant covariate leaves the mean as first stage; a category without rows has NULLs."""
+    src = f"""reg3 AS (SELECT * REPLACE (CASE WHEN p_type = '{DEGENERATE}' THEN 0.0 ELSE x END AS x, CASE WHEN p_type <> '{EMPTY}' THEN y END AS y) FROM reg)"""
+    chain = _dml_chain(True, "reg3")
+    for t in ("y", "d", "z"):
+        slope = f"(N*Tx{t} - Tx*T{t})/(N*Txx - Tx*Tx)"
+        chain = chain.replace(slope, f"coalesce((N*Tx{t} - Tx*T{t})/nullif(N*Txx - Tx*Tx, 0), 0)")
+    body = f"""SELECT * FROM (WITH {src}, {chain}
+SELECT c.p_type, theta, se, coalesce(n, 0) AS n, CAST(theta IS NOT NULL AS INTEGER) AS estimated
+FROM (SELECT DISTINCT p_type FROM reg) c LEFT JOIN th ON th.p_type = c.p_type) q0"""
+    return _w(_r(body, ["theta", "se"]))
+
+
+_INNER = f"CAST((CAST(n_lines AS BIGINT) * 3 + date_diff('day', DATE '1990-01-01', week) // 7) % {LASSO_FOLDS} AS INTEGER)"
+
+
+def _lasso_ctes(grp: str, src: str, targets: tuple[str, ...]) -> str:
+    """Cross-validated one-covariate Lasso of each target on x, by group ``grp``: the fit is
+    soft-thresholding, so the whole search over 100 penalties and ten folds is plain SQL."""
+    stacked = " UNION ALL ".join(f"SELECT {grp}, k, '{t}' AS target, x, {t} AS v FROM {src}" for t in targets)
+    st = "sign(cxv) * greatest(abs(cxv) - a, 0) / cxx"
+    return f"""
+st AS ({stacked}),
+pf AS (SELECT {grp}, target, k, count(*) AS n, sum(x) AS sx, sum(v) AS sv, sum(x*x) AS sxx, sum(x*v) AS sxv, sum(v*v) AS svv FROM st GROUP BY ALL),
+tot AS (SELECT {grp}, target, sum(n) AS n, sum(sx)/sum(n) AS mx, sum(sv)/sum(n) AS mv, sum(sxx)/sum(n) - (sum(sx)/sum(n))*(sum(sx)/sum(n)) AS cxx,
+               sum(sxv)/sum(n) - (sum(sx)/sum(n))*(sum(sv)/sum(n)) AS cxv FROM pf GROUP BY ALL),
+grid AS (SELECT {grp}, target, i, power(10, log10(abs(cxv)) + i * (log10(abs(cxv) * 1e-3) - log10(abs(cxv))) / 99) AS a
+         FROM tot, (SELECT unnest(range(0, 100)) AS i)),
+trs AS (SELECT pf.*, sum(n) OVER g - n AS tn, sum(sx) OVER g - sx AS tx, sum(sv) OVER g - sv AS tv, sum(sxx) OVER g - sxx AS txx, sum(sxv) OVER g - sxv AS txv
+        FROM pf WINDOW g AS (PARTITION BY {grp}, target)),
+tr AS (SELECT *, tx/tn AS mx, tv/tn AS mv, txx/tn - (tx/tn)*(tx/tn) AS cxx, txv/tn - (tx/tn)*(tv/tn) AS cxv FROM trs),
+cvb AS (SELECT tr.*, i, a, {st} AS b FROM tr JOIN grid USING ({grp}, target)),
+cv AS (SELECT {grp}, target, i, a, sum(svv - 2*(mv - b*mx)*sv - 2*b*sxv + n*(mv - b*mx)*(mv - b*mx) + 2*b*(mv - b*mx)*sx + b*b*sxx) AS sse FROM cvb GROUP BY ALL),
+best AS (SELECT {grp}, target, arg_min(a, {{'s': sse, 'i': i}}) AS a FROM cv GROUP BY ALL),
+fitted AS (SELECT {grp}, target, a AS alpha, {st} AS b, mv - {st} * mx AS b0 FROM tot JOIN best USING ({grp}, target))"""
+
+
+def _lasso_sql() -> str:
+    body = f"""SELECT * FROM (WITH src AS (SELECT *, {_INNER} AS k FROM reg WHERE y IS NOT NULL AND d IS NOT NULL AND x IS NOT NULL),
+{_lasso_ctes("p_type", "src", ("y", "d"))}
+SELECT p_type, target, 'intercept' AS term, b0 AS coef, alpha FROM fitted
+UNION ALL SELECT p_type, target, 'x', b, alpha FROM fitted) q0"""
+    return _w(_r(body, ["coef", "alpha"]))
+
+
+def _dml_lasso_sql() -> str:
+    body = f"""SELECT * FROM (WITH r0 AS (SELECT *, {_INNER} AS k FROM reg WHERE y IS NOT NULL AND d IS NOT NULL AND x IS NOT NULL),
+src AS (SELECT r0.* REPLACE (f.fold AS fold), r0.p_type || '|' || f.fold AS g FROM r0 JOIN (SELECT DISTINCT fold FROM r0) f ON f.fold <> r0.fold),
+{_lasso_ctes("g", "src", ("y", "d"))},
+res AS (SELECT r0.p_type, r0.y - (l.b0 + l.b * r0.x) AS u, r0.d - (m.b0 + m.b * r0.x) AS v
+        FROM r0 JOIN fitted l ON l.g = r0.p_type || '|' || r0.fold AND l.target = 'y'
+                JOIN fitted m ON m.g = r0.p_type || '|' || r0.fold AND m.target = 'd'),
+t0 AS (SELECT p_type, count(*) AS n, sum(u*v)/sum(v*v) AS theta, avg(v*v) AS j FROM res GROUP BY p_type),
+th AS (SELECT p_type, t0.n, theta, sqrt(avg(power((u - theta*v)*v, 2)) / (t0.n*j*j)) AS se FROM res JOIN t0 USING (p_type) GROUP BY ALL, j)
+SELECT p_type, 'plr[lasso,lasso]' AS learner, theta, se, theta/se AS t, theta - {dml.Z975}*se AS ci_lo, theta + {dml.Z975}*se AS ci_hi, n FROM th) q0"""
+    return _w(_r(body.replace("GROUP BY ALL, j", "GROUP BY p_type, t0.n, theta, j"), ["theta", "se", "t", "ci_lo", "ci_hi"]))
+
+
+def _signs_sql() -> str:
+    h = "(date_diff('day', DATE '1990-01-01', week) * 37 + CAST(n_lines AS BIGINT) * 101 + length(p_brand) * 7 + ascii(ppl) * 13)"
+    body = f"""SELECT * FROM (WITH {_dml_chain(True)},
+dr AS (SELECT res.p_type, b, sum(((({h} * (2*b + 1)) // 64) % 2 * 2 - 1) * (u - theta*v)*w / se) / sum(v*w) AS t
+       FROM res JOIN th ON res.p_type = th.p_type, (SELECT unnest(range(0, {N_SIGNS})) AS b) GROUP BY res.p_type, b),
+q AS (SELECT p_type, count(*) AS n_boot, quantile_cont(abs(t), 0.95) AS q95 FROM dr GROUP BY p_type)
+SELECT q.p_type, 'pliv[linear,linear,linear]' AS learner, n_boot, q95, theta - q95*se AS ci_lo_boot, theta + q95*se AS ci_hi_boot
+FROM q JOIN th ON q.p_type = th.p_type) q0"""
+    return _w(_r(body, ["q95", "ci_lo_boot", "ci_hi_boot"]))
+
+
 QUERIES = {
     "regression_panel": q_regression_panel,
     "ols": q_ols,
@@ -596,6 +718,14 @@ QUERIES = {
     "predict_demand_holdout": q_predict_demand_holdout,
     "profile": q_profile,
     "weekly_csv": q_weekly_csv,
+    "ols_non_finite": q_ols_non_finite,
+    "non_finite_planted": q_non_finite_planted,
+    "dml_pliv_degenerate_category": q_dml_pliv_degenerate_category,
+    "predict_demand_missing_theta": q_predict_demand_missing_theta,
+    "lasso_cv_single": q_lasso_cv_single,
+    "dml_plr_lasso_single": q_dml_plr_lasso_single,
+    "bootstrap_signs": q_bootstrap_signs,
+    "profile_head": q_profile_head,
 }
 
 
@@ -631,6 +761,18 @@ def oracle_sql() -> dict[str, str]:
         "predict_demand_holdout": _predict_holdout_sql(),
         "profile": _w("SELECT count(*) AS n_rows, 12 AS n_cols FROM reg"),
         "weekly_csv": _weekly_sql(),
+        "ols_non_finite": OLS_SQL.replace("FROM reg WHERE y IS NOT NULL AND d IS NOT NULL",
+                                          f"FROM reg WHERE y IS NOT NULL AND d IS NOT NULL AND {_PLANT} NOT IN (3, 4)"),
+        "non_finite_planted": _w(f"SELECT CAST(count(CASE WHEN {_PLANT} = 4 THEN 1 END) AS BIGINT) AS y, "
+                                 f"CAST(count(CASE WHEN {_PLANT} = 3 THEN 1 END) AS BIGINT) AS d, CAST(0 AS BIGINT) AS z, CAST(0 AS BIGINT) AS x FROM reg"),
+        "dml_pliv_degenerate_category": _degenerate_sql(),
+        "predict_demand_missing_theta": _w(_r(f"""SELECT * FROM (WITH {_dml_chain(True)},
+p AS (SELECT res.*, CASE WHEN res.p_type <> '{EXCLUDED}' THEN lhat + th.theta * (d - rhat) END AS yhat FROM res JOIN th ON res.p_type = th.p_type)
+SELECT p_type, count(*) AS n_rows, count(yhat) AS n_predicted, avg(yhat) AS mean_yhat FROM p GROUP BY p_type) q0""", ["mean_yhat"])),
+        "lasso_cv_single": _lasso_sql(),
+        "dml_plr_lasso_single": _dml_lasso_sql(),
+        "bootstrap_signs": _signs_sql(),
+        "profile_head": _w("SELECT p_brand, p_type, week, ppl, n_lines FROM reg ORDER BY 1, 2, 3, 4 LIMIT 5"),
     }
 
 

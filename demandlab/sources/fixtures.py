@@ -196,9 +196,13 @@ def regression_panel(t: Tables) -> DataFrame:
         F.count(F.lit(1)).alias("n_lines"))
     weeks = (F.datediff(F.col("week"), F.lit(FOLD_ORIGIN).cast("date")) / 7).cast("long")
     from demandlab.functions.scalar import ln_pos
-    return g.select(
+    from demandlab.operators import sampling
+    bucket = F.col("_bucket")
+    panel = g.select(
         "p_brand", "p_type", "week", "ppl",
         ln_pos("qty").alias("y"), ln_pos("unit_price").alias("d"), ln_pos("ext_price").alias("z"),
         "x", F.lit(1.0).alias("const"), F.col("n_lines").cast("double").alias("n_lines"),
-        F.pmod(weeks * 31 + F.col("min_size") * 17, F.lit(5)).cast("int").alias("fold"),
-        (F.pmod(weeks * 31 + F.col("min_size") * 17 + F.lit(13), F.lit(100)) < 20).cast("int").alias("is_test"))
+        (weeks * 31 + F.col("min_size") * 17).alias("_bucket"))
+    tagged = sampling.with_fold(panel, fold=F.pmod(bucket, F.lit(5)))
+    tagged = sampling.split(tagged, test_pct=20, bucket=F.pmod(bucket + F.lit(13), F.lit(100)))
+    return tagged.drop("_bucket")
