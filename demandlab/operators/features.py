@@ -9,9 +9,11 @@ encoder fit (one small ``distinct`` per column, size-checked).
 
 from __future__ import annotations
 
+import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace, replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
@@ -111,9 +113,17 @@ def impute(df: DataFrame, cols: Sequence[str], how: str = "max", suffix: str = "
 
     One aggregate pass; the per-column statistics (one number each) become literals.
     """
+    return fill_values(df, impute_values(df, cols, how), suffix)
+
+
+def impute_values(df: DataFrame, cols: Sequence[str], how: str = "max") -> dict[str, float]:
+    """The values ``impute`` would use; keep them to treat a later set alike."""
     fn = {"max": F.max, "mean": F.avg, "min": F.min}[how]
-    stats = df.agg(*[fn(c).alias(c) for c in cols]).first().asDict()
-    return df.withColumns({c + suffix: F.coalesce(F.col(c), F.lit(stats[c]).cast("double")) for c in cols})
+    return df.agg(*[fn(c).alias(c) for c in cols]).first().asDict()
+
+
+def fill_values(df: DataFrame, values: Mapping[str, float], suffix: str = "") -> DataFrame:
+    return df.withColumns({c + suffix: F.coalesce(F.col(c), F.lit(v).cast("double")) for c, v in values.items()})
 
 
 def add_week_number(df: DataFrame, week_col: str, origin: date, name: str = "week_nr") -> DataFrame:
@@ -165,6 +175,16 @@ class FrozenDummies:
     is kept beside its dummies (E2). ``defaults`` reports the left-out levels (L4).
     """
     levels: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
+    #: Imputation values found when the encoder was fitted: {column: value}.
+    fills: Mapping[str, float] = field(default_factory=dict)
+
+    @property
+    def names(self) -> dict[tuple[str, str], str]:
+        """Dummy name of each (column, level); names that would agree, upper and lower
+        case alike, get a digest of the level."""
+        plain = {(c, v): dummy_name(c, v) for c, lv in self.levels.items() for v in lv[1:]}
+        seen = Counter(n.lower() for n in plain.values())
+        return {k: n if seen[n.lower()] == 1 else f"{n}_{hashlib.md5(k[1].encode()).hexdigest()[:6]}" for k, n in plain.items()}
 
     @staticmethod
     def fit(df: DataFrame, cols: Sequence[str], max_levels: int = MAX_LEVELS) -> "FrozenDummies":
@@ -188,19 +208,19 @@ class FrozenDummies:
 
     @property
     def columns(self) -> list[str]:
-        return [dummy_name(c, v) for c, lv in self.levels.items() for v in lv[1:]]
+        return list(self.names.values())
 
     def transform(self, df: DataFrame) -> DataFrame:
         return df.withColumns({
-            dummy_name(c, v): F.coalesce((F.col(c).cast("string") == F.lit(v)).cast("int"), F.lit(0))
-            for c, lv in self.levels.items() for v in lv[1:]})
+            name: F.coalesce((F.col(c).cast("string") == F.lit(v)).cast("int"), F.lit(0))
+            for (c, v), name in self.names.items()})
 
     def decode(self, col: str) -> Column:
         """Dummies of ``col`` -> its label; the left-out level when none is set."""
         lv = self.levels[col]
         out = None
         for v in lv[1:]:
-            cond = F.col(dummy_name(col, v)) == 1
+            cond = F.col(self.names[col, v]) == 1
             out = F.when(cond, F.lit(v)) if out is None else out.when(cond, F.lit(v))
         return F.lit(lv[0]) if out is None else out.otherwise(F.lit(lv[0]))
 
@@ -264,8 +284,8 @@ def prepare(weekly: DataFrame, cfg: PrepConfig = PrepConfig(),
     unavailability in percent -> logs -> regime dummies -> powers -> imputed
     lag logs -> holiday flag -> constant.
     Returns the matrix and the encoder (reuse it on a later period, E7).
-    With ``checkpoint`` the filtered rows are written once to the shared
-    checkpoint folder: the encoder fit and the final projection read them
+    With ``checkpoint`` the filtered rows are written once, as Parquet, to the
+    shared folder: the encoder fit and the final projection read them
     instead of recomputing the panel lineage.
     """
     df = fill_zero(weekly, cfg.fill_zero)
@@ -276,9 +296,10 @@ def prepare(weekly: DataFrame, cfg: PrepConfig = PrepConfig(),
     if cfg.outlier_weeks:
         df = drop_weeks(df, "week_start_date", cfg.outlier_weeks)
     if checkpoint:
-        from demandlab.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
+        from demandlab.session import scratch_table
+        path = scratch_table(df.sparkSession, "prepared")
+        df.write.parquet(path)
+        df = df.sparkSession.read.schema(df.schema).parquet(path)
     enc = encoder or FrozenDummies.fit(df, cfg.dummy_cols)
     df = enc.transform(df)
     df = add_week_number(df, "week_start_date", cfg.week_origin)
@@ -288,8 +309,13 @@ def prepare(weekly: DataFrame, cfg: PrepConfig = PrepConfig(),
         df = regime_dummies(df, "week_start_date", cfg.shift_date, "ppl", cfg.regime_lines)
     if cfg.powers:
         df = add_powers(df, dict(cfg.powers))
-    for how in sorted({h for _, h in cfg.impute}):
-        df = impute(df, [c for c, h in cfg.impute if h == how], how, suffix="_m")
+    if cfg.impute:
+        if not enc.fills:  # fitted here; a later set gets the values of the first
+            fills: dict[str, float] = {}
+            for how in sorted({h for _, h in cfg.impute}):
+                fills |= impute_values(df, [c for c, h in cfg.impute if h == how], how)
+            enc = replace(enc, fills=fills)
+        df = fill_values(df, enc.fills, "_m")
     df = add_holiday(df, "week_start_date", holidays)
     df = add_const(df)
     return df, enc

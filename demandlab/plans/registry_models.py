@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandlab.config import PrepConfig
+from demandlab.functions.scalar import finite_or_null
+from demandlab.functions.scalar import finite_or_null
 from demandlab.operators import diagnostics as DG
 from demandlab.operators import dml, features as FE, lasso, linear, sampling, stats
 from demandlab.operators.panel import daily_features, weekly
@@ -689,7 +691,53 @@ FROM q JOIN th ON q.p_type = th.p_type) q0"""
     return _w(_r(body, ["q95", "ci_lo_boot", "ci_hi_boot"]))
 
 
+def q_panel_csv_dirty(spark, d):
+    """A CSV with inf, -inf, NaN and empty entries, read with inferred types."""
+    from demandlab.session import scratch_table
+    from demandlab.sources.io import read_panel_csv, write_panel
+    k = F.pmod(F.col("n_lines").cast("long") * 7 + F.col("fold"), F.lit(11))
+    text = F.when(k == 1, "inf").when(k == 2, "-inf").when(k == 3, "NaN").when(k == 4, "").otherwise(F.col("n_lines").cast("string"))
+    path = scratch_table(spark, "dirty")
+    write_panel(_reg(spark, d).select(*PANEL_KEY, text.alias("lines"), "fold"), path, fmt="csv")
+    return read_panel_csv(spark, path).withColumn("fold", F.col("fold").cast("int"))
+
+
+LEVELS = ("B C", "B&C", "b-c", "other")
+
+
+def q_dummies_colliding_levels(spark, d):
+    """Levels whose plain names would agree get distinct dummies (E1), decoded again."""
+    k = F.pmod(F.col("n_lines").cast("long") + F.col("fold"), F.lit(4))
+    df = _reg(spark, d).select(*PANEL_KEY, F.element_at(F.array(*map(F.lit, LEVELS)), (k + 1).cast("int")).alias("c"))
+    enc = FE.FrozenDummies.fit(df, ["c"])
+    out = enc.transform(df)
+    return out.withColumn("label", enc.decode("c"))
+
+
+DROPPED = "1996-01-01"
+
+
+def q_feature_filters(spark, d):
+    """Week and threshold filters, renaming, text cast, finite values, week number from its log
+    (P8, P11, P13, P15, F12, F15)."""
+    from datetime import date as _date
+    df = FE.drop_weeks(_planted(spark, d), "week", [_date.fromisoformat(DROPPED)])
+    df = FE.below(df, "x", 0.06)
+    df = FE.add_week_number(df, "week", _date(1990, 1, 1)).withColumn("l_week", F.ln("week_nr"))
+    df = FE.week_number_from_log(df.drop("week_nr"), "l_week")
+    df = df.withColumns({"y": finite_or_null(F.col("y")), "d": finite_or_null(F.col("d"))})
+    df = FE.to_string(FE.rename(df, {"n_lines": "lines"}), ["fold"])
+    return _round(df.select(*PANEL_KEY, "y", "d", "x", "lines", "fold", "week_nr"))
+
+
+_DUMMY_SQL = f"""SELECT *, CAST(c = 'B&C' AS INTEGER) AS c_B_C, CAST(c = 'b-c' AS INTEGER) AS c_b_c_x, CAST(c = 'other' AS INTEGER) AS c_other, c AS label
+FROM (SELECT p_brand, p_type, week, ppl, (['{"', '".join(LEVELS)}'])[(CAST(n_lines AS BIGINT) + fold) % 4 + 1] AS c FROM reg)"""
+
+
 QUERIES = {
+    "panel_csv_dirty": q_panel_csv_dirty,
+    "dummies_colliding_levels": q_dummies_colliding_levels,
+    "feature_filters": q_feature_filters,
     "regression_panel": q_regression_panel,
     "ols": q_ols,
     "iv2sls": q_iv2sls,
@@ -761,6 +809,11 @@ def oracle_sql() -> dict[str, str]:
         "predict_demand_holdout": _predict_holdout_sql(),
         "profile": _w("SELECT count(*) AS n_rows, 12 AS n_cols FROM reg"),
         "weekly_csv": _weekly_sql(),
+        "panel_csv_dirty": _w(f"SELECT p_brand, p_type, week, ppl, CASE WHEN {_PLANT} NOT IN (1, 2, 3, 4) THEN CAST(n_lines AS DOUBLE) END AS lines, fold FROM reg"),
+        "dummies_colliding_levels": _w(_DUMMY_SQL.replace("c_B_C", "c_B_C_da1c10").replace("c_b_c_x", "c_b_c_a21f57")),
+        "feature_filters": _w(_r(f"""SELECT p_brand, p_type, week, ppl, CASE WHEN {_PLANT} <> 4 THEN y END AS y, CASE WHEN {_PLANT} <> 3 THEN d END AS d, x,
+       n_lines AS lines, CAST(fold AS VARCHAR) AS fold, round_even(date_diff('day', DATE '1990-01-01', week) / 7.0 + 1, 0) AS week_nr
+FROM reg WHERE week <> DATE '{DROPPED}' AND x < 0.06""", ["y", "d", "x", "week_nr"])),
         "ols_non_finite": OLS_SQL.replace("FROM reg WHERE y IS NOT NULL AND d IS NOT NULL",
                                           f"FROM reg WHERE y IS NOT NULL AND d IS NOT NULL AND {_PLANT} NOT IN (3, 4)"),
         "non_finite_planted": _w(f"SELECT CAST(count(CASE WHEN {_PLANT} = 4 THEN 1 END) AS BIGINT) AS y, "

@@ -6,7 +6,8 @@ import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from demandlab.session import ensure_checkpoint_dir
 
@@ -34,12 +35,35 @@ class Tables:
         return self._cache[name]
 
 
+MISSING = ("", "nan", "inf", "-inf", "+inf", "infinity", "-infinity", "null", "none", "na")
+
+
+MISSING = ("", "nan", "inf", "-inf", "+inf", "infinity", "-infinity", "null", "none", "na")
+
+
 def read_panel_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """CSV with a header (S5). Pass an explicit schema on large inputs: inference scans twice."""
-    r = spark.read.option("header", True)
+    """CSV panel with a header (S5). Empty, NaN and infinite entries are missing.
+
+    Columns are read as text and cast, so one ``inf`` does not turn a number
+    column into text. With a schema the casts are its types; without one, a pass
+    over the file finds the columns whose known entries are all whole numbers
+    (long), numbers (double) or ISO dates (date); others stay text.
+    """
+    raw = spark.read.option("header", True).csv(path)
+    known = {c: F.when(~F.lower(F.trim(F.col(f"`{c}`"))).isin(*MISSING), F.trim(F.col(f"`{c}`"))) for c in raw.columns}
     if schema is not None:
-        return r.schema(schema).csv(path)
-    return r.option("inferSchema", True).csv(path)
+        wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        return raw.select(*[(F.col(f"`{c}`") if isinstance(f.dataType, StringType) else known[c].try_cast(f.dataType)).alias(f.name)
+                            for c, f in zip(raw.columns, wanted.fields, strict=True)])
+    kinds = (("long", r"^[+-]?[0-9]{1,18}$"), ("double", None), ("date", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"))
+    bad = raw.agg(*[F.count_if(v.isNotNull() & ((v.try_cast(k).isNull()) | (~v.rlike(p) if p else F.lit(False)))).alias(f"{k}|{i}")
+                    for i, v in enumerate(known.values()) for k, p in kinds],
+                  *[F.count(v).alias(f"n|{i}") for i, v in enumerate(known.values())]).first()
+    out = []
+    for i, (c, v) in enumerate(known.items()):
+        kind = next((k for k, _ in kinds if bad[f"n|{i}"] and bad[f"{k}|{i}"] == 0), None)
+        out.append((v.try_cast(kind) if kind else F.col(f"`{c}`")).alias(c))
+    return raw.select(*out)
 
 
 def write_panel(df: DataFrame, path: str, fmt: str = "parquet",
