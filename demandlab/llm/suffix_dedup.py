@@ -105,8 +105,8 @@ def _cumulate(keys: list[str], counts: list[str]):
     return kernel
 
 
-def counts_before(rows: DataFrame, keys: list[str], counts: list[str]) -> DataFrame:
-    """Distinct keys with, for each count, its sum over all strictly smaller keys."""
+def counts_before(rows: DataFrame, keys: list[str], counts: list[str], order: str | None = None) -> DataFrame:
+    """Distinct keys with, for each count, its sum over all strictly smaller keys (of the same ``order``)."""
     spark = rows.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     distinct = rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in counts])
@@ -117,7 +117,11 @@ def counts_before(rows: DataFrame, keys: list[str], counts: list[str]) -> DataFr
     up = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     parts = got.groupBy("part").agg(*[F.sum(c).alias(f"{c}_sum") for c in counts]) \
         .select("part", *[(F.sum(f"{c}_sum").over(up) - F.col(f"{c}_sum")).alias(f"{c}_base") for c in counts])
-    return got.join(F.broadcast(parts), "part").select(*keys, *[(F.col(f"{c}_before") + F.col(f"{c}_base")).alias(f"{c}_before") for c in counts])
+    out = got.join(F.broadcast(parts), "part").select(*keys, *[(F.col(f"{c}_before") + F.col(f"{c}_base")).alias(f"{c}_before") for c in counts])
+    if order is None:
+        return out
+    first = out.groupBy(order).agg(*[F.min(f"{c}_before").alias(f"{c}_first") for c in counts])  # a row for each of three orders
+    return out.join(F.broadcast(first), order).select(*keys, *[(F.col(f"{c}_before") - F.col(f"{c}_first")).alias(f"{c}_before") for c in counts])
 
 
 def _padded(s: np.ndarray, more: int = 3) -> np.ndarray:
@@ -169,10 +173,16 @@ def _next_level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _merge_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per suffix: its class mod 3, (symbol, rank of the next) and (symbol, symbol, rank after them), own rank if sampled."""
-    for b in batches:
+    """Two keys per suffix, each in one of three orders, by its position i mod 3.
+
+    Order 1, (symbol, rank of the next), compares positions 0 and 1 mod 3; order 2,
+    (symbol, symbol, rank after them), positions 0 and 2; order 3, the own rank,
+    positions 1 and 2. ``a`` counts positions 0, ``b`` the others; ``want`` tells
+    which of the smaller ones count for this suffix (1: a, 2: b, 3: both).
+    """
+    for batch in batches:
         own, cols = [], []
-        for i, r in enumerate(b.to_pylist()):
+        for i, r in enumerate(batch.to_pylist()):
             s = _padded(np.array(r["s"], np.int64))
             n = len(s) - 3
             rank = np.zeros(n + 3, np.int64)
@@ -180,12 +190,15 @@ def _merge_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 got = np.array(x["rank"], np.int64)
                 rank[3 * np.arange(len(got)) + x["code"] % 3] = got
             p = np.flatnonzero(s[:n])
-            own.append(np.full(len(p), i))
-            cols.append(np.stack([p, p % 3, s[p], rank[p + 1], s[p + 1], rank[p + 2], rank[p]], 1))
+            for k, order, want in ((0, 1, 3), (0, 2, 2), (1, 3, 2), (1, 1, 1), (2, 3, 2), (2, 2, 1)):
+                q = p[p % 3 == k]
+                key = {1: (s[q], rank[q + 1], 0 * q), 2: (s[q], s[q + 1], rank[q + 2]), 3: (rank[q], 0 * q, 0 * q)}[order]
+                own.append(np.full(len(q), i))
+                cols.append(np.stack([q, np.full(len(q), order), *key, np.full(len(q), want), np.full(len(q), int(k == 0)), np.full(len(q), int(k > 0))], 1))
         if own:
             own, cols = pa.array(np.concatenate(own)), np.concatenate(cols)
-            yield pa.record_batch([b.column("id").take(own), b.column("code").take(own), *(pa.array(np.ascontiguousarray(cols[:, k])) for k in range(7))],
-                                  ["id", "code", "i", "m", "x", "rx", "y", "ry", "r"])
+            yield pa.record_batch([batch.column("id").take(own), batch.column("code").take(own), *(pa.array(np.ascontiguousarray(cols[:, k])) for k in range(8))],
+                                  ["id", "code", "i", "o", "k1", "k2", "k3", "want", "a", "b"])
 
 
 def _filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,15 +232,12 @@ def suffix_ranks(strings: DataFrame, depth: int) -> DataFrame:
     below = suffix_ranks(_save(named.mapInArrow(_next_level, "id long, code long, s array<long>"), "level"), depth - 1)
     parts = below.groupBy("id", F.expr("code div 3").alias("code")).agg(F.collect_list(F.struct("code", "rank")).alias("parts"))
     keys = _save(strings.join(parts, ["id", "code"], "left").mapInArrow(
-        _merge_keys, "id long, code long, i long, m long, x long, rx long, y long, ry long, r long"), "merge")
-    zero, one, two = (F.when(F.col("m") == k, 1).otherwise(0) for k in range(3))
-    by_next = counts_before(keys.where("m < 2").select("x", "rx", zero.alias("n0"), one.alias("n1")), ["x", "rx"], ["n0", "n1"])
-    by_two = counts_before(keys.where("m <> 1").select("x", "y", "ry", zero.alias("z0"), two.alias("n2")), ["x", "y", "ry"], ["z0", "n2"])
-    sampled = counts_before(keys.where("m > 0").select("r", F.lit(1).alias("n")), ["r"], ["n"])
-    base = keys.where("m = 0").join(by_next, ["x", "rx"]).join(by_two, ["x", "y", "ry"]).select("id", "code", "i", (F.col("n0_before") + F.col("n1_before") + F.col("n2_before") + 1).alias("rank"))
-    first = keys.where("m = 1").join(sampled, "r").join(by_next, ["x", "rx"]).select("id", "code", "i", (F.col("n_before") + F.col("n0_before") + 1).alias("rank"))
-    second = keys.where("m = 2").join(sampled, "r").join(by_two, ["x", "y", "ry"]).select("id", "code", "i", (F.col("n_before") + F.col("z0_before") + 1).alias("rank"))
-    return base.union(first).union(second).groupBy("id", "code").agg(F.collect_list(F.struct("i", "rank")).alias("pairs")) \
+        _merge_keys, "id long, code long, i long, o long, k1 long, k2 long, k3 long, want long, a long, b long"), "merge")
+    on = ["o", "k1", "k2", "k3"]
+    before = counts_before(keys, on, ["a", "b"], "o")
+    part = F.when(F.col("want") == 1, F.col("a_before")).when(F.col("want") == 2, F.col("b_before")).otherwise(F.col("a_before") + F.col("b_before"))
+    ranks = keys.select("id", "code", "i", "want", *on).join(before, on).groupBy("id", "code", "i").agg((F.sum(part) + 1).alias("rank"))
+    return ranks.groupBy("id", "code").agg(F.collect_list(F.struct("i", "rank")).alias("pairs")) \
         .mapInArrow(_filled, "id long, code long, rank array<long>")
 
 
@@ -465,27 +475,49 @@ def _result(window: int):
 
 # -- the operator
 
-def _mark(names):
-    """Strings with terminators for phrases that occur once; texts without a repeated phrase drop out."""
+def useful(again: np.ndarray, sizes: np.ndarray, window: int) -> np.ndarray:
+    """Which phrases of one text lie, with only repeated ones, inside some window; no other can lie in a repeat."""
+    at = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    inner, last = at[1:-1], int(at[-1]) - window
+    if last < 0 or len(inner) < 2:
+        return np.zeros(len(sizes), bool)
+    # the inner phrases of a window change only where a boundary comes in or goes out
+    p = np.concatenate([[0, last], inner - BEFORE, inner - BEFORE + 1, inner + AFTER - window, inner + AFTER - window - 1])
+    p = np.unique(p[(p >= 0) & (p <= last)])
+    lo = np.searchsorted(inner, p + BEFORE) + 1
+    hi = np.searchsorted(inner, p + window - AFTER, "right")
+    seen = np.concatenate([[0], np.cumsum(again)])
+    good = (hi > lo) & (seen[np.maximum(hi, lo)] - seen[lo] == np.maximum(hi, lo) - lo)
+    edge = np.zeros(len(sizes) + 1, np.int64)
+    np.add.at(edge, lo[good], 1)
+    np.add.at(edge, hi[good], -1)
+    return np.cumsum(edge[:-1]) > 0
+
+
+def _mark(names, window: int):
+    """Strings with terminators for phrases that lie in no repeat; texts without other phrases drop out."""
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = names.value
         for b in batches:
             flat = b.column("names").flatten().to_numpy()
-            flat = np.where(in_sorted(table, flat) >= 0, flat, 0)
             count = b.column("names").value_lengths().to_numpy()
+            sizes, ends = b.column("sizes").flatten().to_numpy(), np.cumsum(count)
+            again = in_sorted(table, flat) >= 0
+            keep = np.concatenate([np.zeros(0, bool), *(useful(again[e - c:e], sizes[e - c:e], window) for e, c in zip(ends, count, strict=True))])
+            flat = np.where(keep, flat, 0)
             row = np.repeat(np.arange(len(count)), count)
             out = pa.record_batch([b.column("id"), list_array(pa.array(flat), count), b.column("sizes")], ["id", "s", "sizes"])
             yield out.filter(pa.array(np.bincount(row, flat != 0, len(count)) > 0))
     return kernel
 
 
-def _strings_of(one: DataFrame, names_most: int) -> DataFrame:
+def _strings_of(one: DataFrame, window: int, names_most: int) -> DataFrame:
     """id, s, sizes of the texts with repeated phrases."""
     spark = one.sparkSession
     name = _save(one.select(F.explode("names").alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("name"), "names")
     if name.count() <= names_most:
         table = spark.sparkContext.broadcast(np.sort(name.toPandas()["name"].to_numpy(np.int64)))
-        return one.select("id", "names", "sizes").mapInArrow(_mark(table), "id long, s array<long>, sizes array<int>")
+        return one.select("id", "names", "sizes").mapInArrow(_mark(table, window), "id long, s array<long>, sizes array<int>")
     flat = one.select("id", F.posexplode("names").alias("i", "name")).join(name.withColumn("twice", F.lit(True)), "name", "left")
     s = flat.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("i", F.when(F.col("twice"), F.col("name")).otherwise(0).alias("v")))).alias("x"), F.max("twice").alias("any"))
     return s.where("any").select("id", F.col("x.v").alias("s")).join(one.select("id", "sizes"), "id")
@@ -510,7 +542,7 @@ def suffix_dedup(docs: DataFrame, window: int = 400, id_col: str = "doc_id", tex
     one = table.join(small(twice, broadcast_most), "tid", "left").where("first is null or id = first") \
         .select("id", "tid", F.col("doc_id").alias("lead"), F.col("first").isNotNull().alias("whole"), "names", "sizes")
 
-    strings = _save(_strings_of(one, names_most), "strings")
+    strings = _save(_strings_of(one, window, names_most), "strings")
     found = reaches(strings, window, depth).groupBy("id").agg(F.collect_list(F.struct("i", "reach", "skip")).alias("found"))
     known = _save(one.join(found, "id", "left"), "reaches")
     cells = _save(known.where("not whole").select("names", "sizes", "found").mapInArrow(_open_cells(window), "cell long").distinct(), "cells")
