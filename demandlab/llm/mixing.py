@@ -26,6 +26,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from demandlab.llm.textcols import small
+from demandlab.session import scratch_table
+
 CELLS = 3  # hexadecimal digits
 
 
@@ -66,8 +69,15 @@ def budgets(leaves: DataFrame, weights: DataFrame | None, budget: float, levels:
     return tree.join(given, names).select(*names, "tokens", F.floor(F.col("given") + F.lit(1e-6)).cast("long").alias("quota"))
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_table(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def mix_sources(docs: DataFrame, levels: dict[str, Column], weights: DataFrame | None, budget: float | None = None, share: float = 1.0,
-                max_epochs: int = 3, seed: int = 7, tokens: Column | None = None, key: Column | None = None) -> DataFrame:
+                max_epochs: int = 3, seed: int = 7, tokens: Column | None = None, key: Column | None = None,
+                broadcast_leaves: int = 200_000) -> DataFrame:
     """The rows taken, one per epoch that takes them.
 
     ``budget`` counts tokens; without it the budget is ``share`` times the tokens of
@@ -84,16 +94,17 @@ def mix_sources(docs: DataFrame, levels: dict[str, Column], weights: DataFrame |
         budget = share * (leaves.agg(F.sum("tokens")).first()[0] or 0)
     quota = budgets(leaves, weights, budget, len(names), max_epochs).where("quota > 0 and tokens > 0") \
         .select(*names, F.floor(F.col("quota") / F.col("tokens")).cast("int").alias("whole"), (F.col("quota") % F.col("tokens")).alias("more"))
-    rows = part.where("n > 0").join(quota, names)
+    quota = small(_written(quota, "quotas"), broadcast_leaves)
     order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole"), "key"))
-    rows = rows.withColumn("o", order).withColumn("cell", F.substring("o", 1, CELLS))
-
-    cells = rows.where("more > 0").groupBy(*names, "cell", "more").agg(F.sum("n").alias("m"))
+    cells = part.where("n > 0").select(*names, "key", "n").join(quota.where("more > 0"), names).withColumn("cell", F.substring(order, 1, CELLS)) \
+        .groupBy(*names, "cell", "more").agg(F.sum("n").alias("m"))
     run = Window.partitionBy(*names).orderBy("cell")
     ends = cells.withColumn("to", F.sum("m").over(run)).where((F.col("to") - F.col("m") < F.col("more"))) \
         .groupBy(*names).agg(F.max(F.struct("cell", (F.col("to") - F.col("m")).alias("before"))).alias("e")) \
         .select(*names, F.col("e.cell").alias("last"), F.col("e.before").alias("before"))
-    rows = rows.join(ends, names, "left")
+    # one row per leaf, written once: the rows themselves are not shuffled to meet it
+    plan = small(_written(quota.join(ends, names, "left"), "leaves"), broadcast_leaves)
+    rows = part.where("n > 0").join(plan, names).withColumn("o", order).withColumn("cell", F.substring("o", 1, CELLS))
     upto = F.when(F.col("last").isNotNull() & (F.col("cell") < F.col("last")), F.col("whole")).otherwise(F.col("whole") - 1)
     sure = rows.where(upto >= 0).withColumn("epoch", F.explode(F.sequence(F.lit(0), upto))).withColumn("take", F.col("n"))
     here = Window.partitionBy(*names).orderBy("o", "key", "n").rowsBetween(Window.unboundedPreceding, Window.currentRow)

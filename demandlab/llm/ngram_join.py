@@ -234,7 +234,7 @@ class GroupedPrefixJoin:
         plain = one.mapInArrow(_prefixes(first, self.num, self.den), schema).where("prefix is null")
         more = _texts_of(self.docs, plain).mapInArrow(_other_counts(self.k, first), "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
         frequent = share(np.union1d(first.value, self._frequent(more)))
-        near = _save(one.mapInArrow(_prefixes(frequent, self.num, self.den), schema), "near")
+        near = one.mapInArrow(_prefixes(frequent, self.num, self.den), schema)
         far = near.where("prefix is null").select("sid", "n", "sketch", "key")
         texts = _texts_of(self.docs, far).mapInArrow(_whole(self.k, self.num, self.den, frequent), "sid binary, prefix array<long>").dropDuplicates(["sid"])
         all_ = near.where("prefix is not null").union(far.join(texts, "sid").select("sid", "n", "sketch", "key", "prefix"))
