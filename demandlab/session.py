@@ -47,10 +47,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - remote (Connect) sessions have no SparkContext
         sc = None
-    if sc is not None and sc.getCheckpointDir() is not None:
-        return sc.getCheckpointDir()
     conf = (sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None) \
         or spark.conf.get("spark.checkpoint.dir", None)
+    held = sc.getCheckpointDir() if sc is not None else None
+    if held is not None:
+        # Spark keeps a folder of its own inside the one it was given
+        return conf if conf and _plain(held).startswith(_plain(conf) + "/") else held
     if not conf:
         master = sc.master if sc is not None else spark.conf.get("spark.master", "")
         if not re.match(r"local(\[|$)", master):
@@ -59,10 +61,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", conf)
     if sc is not None:
         sc.setCheckpointDir(conf)
-        return sc.getCheckpointDir()
     return conf
 
 
+def _plain(path: str) -> str:
+    return re.sub(r"^file:/*", "/", path).rstrip("/")
+
+
 def scratch_table(spark: SparkSession, name: str) -> str:
     """A fresh path for a written intermediate table in the shared folder."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

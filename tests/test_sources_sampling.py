@@ -96,3 +96,45 @@ def test_exact_quantiles_heavy_ties(spark):
     pdf = pd.DataFrame({"v": v})
     for r in stats.exact_quantiles(spark.createDataFrame(pdf), "v", [0.25, 0.4999, 0.75], max_bracket=20).collect():
         assert r.value == pytest.approx(pdf.v.quantile(r.q), rel=1e-12, abs=1e-12)
+
+
+class _Conf(dict):
+    def set(self, k, v):
+        self[k] = v
+
+
+class _Context:
+    def __init__(self, held=None, setting=None, master="local[2]"):
+        self.held, self.setting, self.master = held, setting, master
+
+    def getCheckpointDir(self):
+        return self.held
+
+    def setCheckpointDir(self, d):
+        self.held = d + "/inner"
+
+    def getConf(self):
+        return {"spark.checkpoint.dir": self.setting} if self.setting else {}
+
+
+class _Session:
+    def __init__(self, **kw):
+        self.sparkContext, self.conf = _Context(**kw), _Conf()
+
+
+def test_checkpoint_folder_order(tmp_path, monkeypatch):
+    import pytest
+
+    from demandlab.session import ensure_checkpoint_dir, scratch_table
+    assert ensure_checkpoint_dir(_Session(held="/user/chose")) == "/user/chose"
+    assert ensure_checkpoint_dir(_Session(held="/user/chose", setting="/shared")) == "/user/chose"
+    assert ensure_checkpoint_dir(_Session(held="file:/shared/1-2", setting="file:///shared")) == "file:///shared"
+    s = _Session(setting="hdfs://x/shared", master="yarn")
+    assert ensure_checkpoint_dir(s) == "hdfs://x/shared" and s.sparkContext.held == "hdfs://x/shared/inner"
+    monkeypatch.setenv("TMPDIR", str(tmp_path))
+    assert ensure_checkpoint_dir(_Session()).startswith(str(tmp_path))
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1024]"):
+        with pytest.raises(ValueError):
+            ensure_checkpoint_dir(_Session(master=master))
+    a, b = (scratch_table(_Session(held="/d/"), "t") for _ in range(2))
+    assert a != b and a.startswith("/d/t-")
