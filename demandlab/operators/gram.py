@@ -158,7 +158,9 @@ def solve_groups(table: DataFrame, fn: Callable, schema: str) -> DataFrame:
         rows = [(*g, *r) for g, own in groups.items() for r in fn(g, own)]
         yield pd.DataFrame(rows, columns=names)
 
-    table = table.repartition(*gcols) if gcols else table.repartition(1)
+    # a stated number of partitions: few rows, but each may take long to solve
+    n = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    table = table.repartition(n, *gcols) if gcols else table.repartition(1)
     return table.mapInPandas(solve_all, ", ".join([f"{g} string" for g in gcols] + [schema]))
 
 
