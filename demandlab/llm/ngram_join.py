@@ -35,7 +35,8 @@ from demandlab.llm.textcols import U64, id_and_text, in_sorted, list_array, mix,
 from demandlab.session import scratch_table, ship_package
 
 SKETCH = 16
-BAND = 1.12
+#: Ratio of the sizes of a band, as a multiple of 1 / t: linked sets are at most one band apart.
+BAND = 1.008
 BROADCAST = 1_000_000
 
 
@@ -276,7 +277,7 @@ class GroupedPrefixJoin:
         groups = self.sets.where("sid = gid").select("gid", "n", "prefix")
         index = groups.select("gid", "n", F.posexplode("prefix").alias("i", "token"))
         shared = index.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
-        band = F.floor(F.log("n") / F.lit(float(np.log(BAND)))).cast("int")
+        band = F.floor(F.log("n") / F.lit(float(np.log(BAND * self.den / self.num)))).cast("int")
         live = _save(index.join(shared, "token").withColumn("band", band), "index")
         # a set meets sets of its own size or larger in its own band and the next
         lists = live.withColumn("at", F.explode(F.array("band", F.col("band") - 1)))

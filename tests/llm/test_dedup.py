@@ -72,6 +72,37 @@ def test_ngram_join_near_copies(spark, seed, most, near):
     assert _got(nj.ngram_jaccard_join(frame(spark, rows), list_most=most)) == _components(rows)
 
 
+def _linked(rows, k, num, den):
+    """Component and number of links (other sets of this similarity) of each id, by brute force."""
+    sets = _sets(rows, k)
+    near = [[bool(a & b) and den * len(a & b) >= num * len(a | b) for b in sets] for a in sets]
+    out = {}
+    for i, (d, _) in enumerate(rows):
+        seen, todo = {i}, [i]
+        while todo:
+            new = {b for b in range(len(rows)) if near[todo[-1]][b]} - seen
+            todo.pop()
+            seen |= new
+            todo += new
+        out[d] = (min(rows[b][0] for b in seen), len({frozenset(sets[b]) for b in range(len(rows)) if near[i][b] and sets[b] != sets[i]}))
+    return out
+
+
+@pytest.mark.parametrize("most", [16, 2])
+def test_ngram_join_finds_copies_of_other_sizes(spark, most):
+    """Copies that are 13-25 % longer than their original, at thresholds down to 1/2, all against brute force."""
+    rows = []
+    for f, n in enumerate([60, 80, 100, 130, 177, 240]):
+        base = [f"f{f}w{i}" for i in range(n + 4)]
+        rows += [(len(rows), " ".join(base)), (len(rows) + 1, " ".join(base + [f"f{f}x{i}" for i in range(n * (13 + 2 * f) // 100)])),
+                 (len(rows) + 2, " ".join(base + [f"f{f}y{i}" for i in range(n // 4 + f % 2)])), (len(rows) + 3, " ".join([f"f{f}z{i}" for i in range(n * 7 // 10)] + base))]
+    for num, den in [(4, 5), (1, 2)]:
+        got = nj.ngram_jaccard_join(frame(spark, rows), k=5, num=num, den=den, list_most=most).collect()
+        assert {r.doc_id: r.component_id for r in got} == {d: c for d, (c, _) in _linked(rows, 5, num, den).items()}
+    kept = {r.doc_id for r in nj.one_per_component(frame(spark, rows), k=5, num=4, den=5, list_most=most).collect()}
+    assert kept == {c for c, _ in _linked(rows, 5, 4, 5).values()}
+
+
 def test_ngram_join_empty(empty):
     assert nj.ngram_jaccard_join(empty).count() == 0
 
