@@ -11,10 +11,15 @@ set (a bound on the difference) and verified on the whole sets.
 Hot lists (a shingle with more than ``list_most`` groups in a band of sizes) never
 become all pairs: every group is compared with the list's pivot first, links
 make components, and only groups outside the pivot's component are compared
-with the others, until nothing can add a link between components. The result is
+with the others, until nothing can add a link between components. Components are
 exact: a pair is left out only where a bound excludes it or where both are
 already connected.
 
+The number of links is counted after that: linked sets share a component, so
+the sets of every component that isn't complete already are put in order of
+size, cut into blocks of bounded size, and all pairs of blocks whose sizes
+allow a link are counted whole against whole; only the sums leave a task.
+
 Defined cases: a text of fewer than k words is one shingle; a text without words
 and a NULL text have the empty set and link with nothing; the component of rows
 with NULL ids only is NULL; repeated rows are equal sets; empty tables give no
@@ -28,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from demandlab.llm.textcols import U64, id_and_text, in_sorted, list_array, mix, row_key, row_of, shingles, small, small_batches, text_slices, words
@@ -38,6 +43,9 @@ SKETCH = 16
 #: Ratio of the sizes of a band, as a multiple of 1 / t: linked sets are at most one band apart.
 BAND = 1.008
 BROADCAST = 1_000_000
+#: Shingles of a block of sets that is counted against another; a set weighs SET_WEIGHT more.
+BLOCK, SET_WEIGHT = 2_000_000, 1000
+DENSE_COLUMNS = 2048
 
 
 def prefix_size(n, num: int, den: int):
@@ -167,6 +175,75 @@ def _whole(k: int, num: int, den: int, frequent):
     return kernel
 
 
+def overlaps(x: np.ndarray, xoffs: np.ndarray, y: np.ndarray, yoffs: np.ndarray) -> np.ndarray:
+    """Common items of each set of x with each set of y."""
+    n, m = len(xoffs) - 1, len(yoffs) - 1
+    out = np.zeros((n, m), np.int64)
+    common = np.intersect1d(x, y)
+    at, bt = in_sorted(common, x), in_sorted(common, y)
+    xr, yr = row_of(xoffs, np.arange(len(x)))[at >= 0], row_of(yoffs, np.arange(len(y)))[bt >= 0]
+    at, bt = at[at >= 0], bt[bt >= 0]
+    cx, cy = np.bincount(at, minlength=len(common)), np.bincount(bt, minlength=len(common))
+    # items of many sets by matrix products, the others pair by pair
+    dense = cx * cy * 100 > n * m
+    column = np.cumsum(dense) - 1
+    xd, yd = dense[at], dense[bt]
+    xc, xrd, yc, yrd = column[at[xd]], xr[xd], column[bt[yd]], yr[yd]
+    xo, yo = np.argsort(xc, kind="stable"), np.argsort(yc, kind="stable")
+    xc, xrd, yc, yrd = xc[xo], xrd[xo], yc[yo], yrd[yo]
+    for c in range(0, int(dense.sum()), DENSE_COLUMNS):
+        a, b = np.zeros((n, DENSE_COLUMNS), np.float32), np.zeros((m, DENSE_COLUMNS), np.float32)
+        for mat, col, row in ((a, xc, xrd), (b, yc, yrd)):
+            lo, hi = np.searchsorted(col, [c, c + DENSE_COLUMNS])
+            mat[row[lo:hi], col[lo:hi] - c] = 1
+        out += (a @ b.T).astype(np.int64)
+    order = np.argsort(bt[~yd], kind="stable")
+    yr, cy = yr[~yd][order], np.where(dense, 0, cy)
+    start, at, xr = np.cumsum(cy) - cy, at[~xd], xr[~xd]
+    total = np.cumsum(cy[at])
+    lo = 0
+    while lo < len(at):  # at most about a million pairs, or one item's, at once
+        hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + 1_000_000)))
+        take = cy[at[lo:hi]]
+        held = np.repeat(start[at[lo:hi]], take) + np.arange(take.sum()) - np.repeat(np.cumsum(take) - take, take)
+        pair, c = np.unique(np.repeat(xr[lo:hi], take) * m + yr[held], return_counts=True)
+        out.ravel()[pair] += c
+        lo = hi
+    return out
+
+
+def _degrees(num: int, den: int):
+    """Per pair of blocks (rows sorted by ``task``): how many sets of the other block each set links with."""
+    def count(got: list) -> pa.RecordBatch:
+        sides = []
+        for side in (0, 1):
+            rows = [(sid, items) for sid, which, items in got if which == side]
+            offs = np.concatenate([[0], np.cumsum([len(items) for _, items in rows])]).astype(np.int64)
+            sides.append(([sid for sid, _ in rows], np.concatenate([np.empty(0, np.int64), *(items for _, items in rows)]), offs))
+        (a, x, xo), (b, y, yo) = sides if sides[1][0] else (sides[0], sides[0])
+        linked = overlaps(x, xo, y, yo) * (num + den) >= num * np.add.outer(np.diff(xo), np.diff(yo))
+        if not sides[1][0]:
+            np.fill_diagonal(linked, False)
+            return pa.record_batch([pa.array(a, pa.binary()), pa.array(linked.sum(1))], ["sid", "c"])
+        return pa.record_batch([pa.array(a + b, pa.binary()), pa.array(np.concatenate([linked.sum(1), linked.sum(0)]))], ["sid", "c"])
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, got = None, []
+        for batch in batches:
+            items = batch.column("items")
+            offs = np.concatenate([[0], np.cumsum(items.value_lengths().to_numpy())])
+            flat = items.flatten().to_numpy()
+            for j, (t, sid, side) in enumerate(zip(*(batch.column(x).to_pylist() for x in ("task", "sid", "side")), strict=True)):
+                if t != task and got:
+                    yield count(got)
+                    got = []
+                task = t
+                got.append((sid, side, flat[offs[j]:offs[j + 1]].copy()))
+        if got:
+            yield count(got)
+    return kernel
+
+
 def _texts_of(docs: DataFrame, wanted: DataFrame, most: int = BROADCAST) -> DataFrame:
     """Texts of the wanted rows (key, sid); broadcast below a checked number of keys."""
     return docs.join(small(wanted.select("key", "sid"), most), "key").select("sid", "text")
@@ -214,8 +291,8 @@ class GroupedPrefixJoin:
         drop = self.rows.select("sid", "key").join(lead.where("c > 1").select("sid", F.col("key").alias("lead")), "sid").where("key <> lead").select("key")
         drop = drop.union(self.rows.where("n = 0").select("key")).distinct()
         texts = self.docs.join(small(drop, BROADCAST), "key", "left_anti")
-        again = self.rows.where("n > 0").groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").limit(1).count()
-        if again:  # rows that agree in id and text
+        self.again = self.rows.where("n > 0").groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").limit(1).count()
+        if self.again:  # rows that agree in id and text
             texts = texts.dropDuplicates(["key"])
         return _save(texts.select("key", "text").mapInArrow(_with_sid(self.k, self.num, self.den), "sid binary, key binary, n long, sketch array<long>, head array<long>"), "distinct")
 
@@ -307,6 +384,27 @@ class GroupedPrefixJoin:
         more = self._rest(pairs, comps, sizes_of)
         return self._until_connected(links, more, comps, lists, hot, left, right)
 
+    def degrees(self, comps: DataFrame, block: int = BLOCK) -> DataFrame:
+        """sid, n_links for every linked set: all sets it links with."""
+        ends = self.linked.select(F.col("a").alias("sid")).union(self.linked.select(F.col("b").alias("sid")))
+        found = _save(comps.join(ends.groupBy("sid").agg(F.count(F.lit(1)).alias("n_links")), "sid"), "found")
+        open_ = found.groupBy("comp").agg(F.count(F.lit(1)).alias("m"), F.min("n_links").alias("least")).where("least < m - 1").select("comp")
+        upto = F.sum(F.col("n") + SET_WEIGHT).over(Window.partitionBy("comp").orderBy("n", "sid").rowsBetween(Window.unboundedPreceding, -1))
+        placed = _save(found.join(open_, "comp").join(self.sets.select("sid", "n", "key"), "sid")
+                       .select("comp", "sid", "n", "key", F.floor(F.coalesce(upto, F.lit(0)) / block).alias("block")), "blocks")
+        sizes = placed.groupBy("comp", "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+        i, j = sizes.select("comp", F.col("block").alias("i"), "hi"), sizes.select("comp", F.col("block").alias("j"), "lo")
+        tasks = i.join(j, "comp").where((F.col("i") <= F.col("j")) & (F.col("hi") * self.den >= F.col("lo") * self.num)) \
+            .select("comp", "i", "j", F.concat_ws("-", F.hex("comp"), "i", "j").alias("task"))
+        uses = tasks.select("comp", F.col("i").alias("block"), "task", F.lit(0).alias("side")) \
+            .union(tasks.where("i < j").select("comp", F.col("j").alias("block"), "task", F.lit(1).alias("side")))
+        whole = _texts_of(self.docs, placed).mapInArrow(_whole(self.k, self.num, self.den, None), "sid binary, items array<long>")
+        if self.again:
+            whole = whole.dropDuplicates(["sid"])
+        counted = placed.select("comp", "sid", "block").join(uses, ["comp", "block"]).join(whole, "sid").select("task", "sid", "side", "items") \
+            .repartition("task").sortWithinPartitions("task").mapInArrow(_degrees(self.num, self.den), "sid binary, c long")
+        return found.join(open_, "comp", "left_anti").select("sid", "n_links").union(counted.groupBy("sid").agg(F.sum("c").alias("n_links")))
+
     @staticmethod
     def _pairs(rows: DataFrame) -> DataFrame:
         return rows.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -378,16 +476,13 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10,
                        list_most: int = 16, frequent_least: int = 6, frequent_most: int = 2_000_000) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links for every row; a link is Jaccard >= num / den.
 
-    ``n_links`` counts verified links between a row's set and other sets; inside
-    a hot list that is already connected not every pair is verified.
+    ``n_links`` counts all links between a row's set and other sets.
     """
     ship_package(docs.sparkSession)
     small_batches(docs.sparkSession)
     run = GroupedPrefixJoin(id_and_text(docs, id_col, text_col), k, num, den, list_most, frequent_least, frequent_most)
-    links = run.linked
-    ends = links.select(F.col("a").alias("sid")).union(links.select(F.col("b").alias("sid")))
-    degree = ends.groupBy("sid").agg(F.count(F.lit(1)).alias("n_links"))
-    comp = components(links)
+    comp = components(run.linked)
+    degree = run.degrees(comp)
     sets = run.rows.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("low")).join(comp, "sid", "left") \
         .select("sid", "low", F.coalesce("comp", "sid").alias("comp"))
     lowest = sets.groupBy("comp").agg(F.min("low").alias("component"))

@@ -103,6 +103,33 @@ def test_ngram_join_finds_copies_of_other_sizes(spark, most):
     assert kept == {c for c, _ in _linked(rows, 5, 4, 5).values()}
 
 
+@pytest.mark.parametrize("most,block", [(16, None), (2, 5000)])
+def test_ngram_join_counts_every_link(spark, monkeypatch, most, block):
+    """Families of different near copies of several sizes, above and below the length of a hot list, in one and in many blocks."""
+    if block:
+        monkeypatch.setattr(nj.GroupedPrefixJoin, "degrees", lambda run, comps, whole=nj.GroupedPrefixJoin.degrees: whole(run, comps, block))
+    r, rows = random.Random(5), []
+    for f, copies in enumerate([2, 3, 9, 25, 40]):
+        base = [f"f{f}w{i}" for i in range(90 + 10 * f)]
+        for c in range(copies):
+            w = list(base)
+            for _ in range(r.randint(0, 2)):
+                w[r.randrange(len(w))] = f"e{len(rows)}"
+            rows.append((len(rows), " ".join(w + [f"t{len(rows)}x{j}" for j in range(c % 7)])))
+    rows += [(len(rows) + j, rows[5 + j][1].upper()) for j in range(3)]
+    got = nj.ngram_jaccard_join(frame(spark, rows), list_most=most).collect()
+    assert {g.doc_id: (g.component_id, g.n_links) for g in got} == _linked(rows, 3, 9, 10)
+
+
+def test_overlaps_against_sets():
+    r = np.random.default_rng(2)
+    for n, m, most in [(40, 30, 60), (3, 50, 5000), (200, 150, 40000)]:
+        x, y = ([np.unique(r.integers(0, most, r.integers(1, 90)) * r.integers(0, 2, 1)) for _ in range(c)] for c in (n, m))
+        offs = [np.concatenate([[0], np.cumsum([len(s) for s in z])]) for z in (x, y)]
+        got = nj.overlaps(np.concatenate(x), offs[0], np.concatenate(y), offs[1])
+        assert got.tolist() == [[len(np.intersect1d(a, b)) for b in y] for a in x]
+
+
 def test_ngram_join_empty(empty):
     assert nj.ngram_jaccard_join(empty).count() == 0
 
