@@ -14,9 +14,10 @@ The filter is a set of segments, an n-gram's segment follows from its hash, so
 a segment is built in one task from the rows shuffled to it and nothing else.
 Inside a segment a pair is told by 40 bits of its hash, as is its first word:
 a collision is far rarer than the filter's own false positives.
-Segments grow with the counts up to ``filter_bytes`` in all (the bound of the
-broadcast); beyond it a segment leaves out its lowest count classes, the usual
-count cut-off, which only sends more tokens to the smoothed estimate.
+Segments hold every n-gram and grow with the counts. Up to ``filter_bytes`` in
+all they are broadcast. Beyond it the probes travel instead: each slice of text
+sends its distinct n-grams once to the tasks that hold their segments and gets
+a class for each one back, so scores are the same on both ways.
 
 The base score needs exact counts: words of the ``exact_entries`` most
 frequent ones are looked up in a broadcast table, all others are joined with
@@ -36,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandlab.llm.textcols import U64, as_long, id_and_text, in_sorted, list_array, mix, row_of, small_batches, text_slices, words
+from demandlab.llm.textcols import U64, as_long, buffers, id_and_text, in_sorted, list_array, mix, row_of, small_batches, text_slices, words
 from demandlab.session import scratch_table, ship_package
 
 END, START = U64(0x5BF03635A0C7D1E1), U64(0x3C6EF372FE94F82B)
@@ -48,6 +49,8 @@ TOKENS_PER_SEGMENT = 1_500_000
 COMBINE = 1_500_000
 #: Bits of a hash that a segment doesn't keep.
 SHORT = U64(24)
+#: Where probes travel: text of a slice, and segments that share a task.
+PROBE_BYTES, SEGMENTS_PER_TASK = 4 << 20, 16
 
 
 def classes(count: np.ndarray, base: float) -> np.ndarray:
@@ -68,11 +71,11 @@ def _bits(key: np.ndarray, event: int, size: int) -> Iterator[np.ndarray]:
         h = h + step
 
 
-def build_segment(key: np.ndarray, q: np.ndarray, most_bytes: int) -> np.ndarray:
-    """The packed bits of one segment; classes that don't fit into ``most_bytes`` are left out from below."""
+def build_segment(key: np.ndarray, q: np.ndarray, most_bytes: int | None = None) -> np.ndarray:
+    """The packed bits of one segment; with ``most_bytes``, classes that don't fit are left out from below."""
     per_class = np.bincount(q, minlength=2) * np.arange(max(len(np.bincount(q)), 2))
     least = 1
-    while per_class[least:].sum() * BITS_PER_EVENT > most_bytes * 8 and least < len(per_class):
+    while most_bytes is not None and per_class[least:].sum() * BITS_PER_EVENT > most_bytes * 8 and least < len(per_class):
         least += 1
     key, q = key[q >= least], q[q >= least]
     size = max(64, -(-int(q.sum()) * BITS_PER_EVENT // 64) * 64)
@@ -209,21 +212,19 @@ def _count_pairs(segments: int):
     return kernel
 
 
-def _pair_segments(most_bytes: int):
+def _pair_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per segment: its bits, and for each first word the different followers seen here."""
-    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got: dict[int, list] = {}
-        for b in batches:
-            for seg, blob in zip(b.column("seg").to_pylist(), b.column("pairs").to_pylist(), strict=True):
-                got.setdefault(seg, []).append(blob)
-        for s in list(got):
-            key, prev, c = _combined([_unpack(blob) for blob in got.pop(s)])
-            bits = build_segment(key, classes(c, PAIR_BASE), most_bytes)
-            word, follow = np.unique(prev, return_counts=True)
-            yield pa.record_batch([pa.array([s], pa.int32()), pa.array([bits.tobytes()]), pa.array([None], pa.int64()), pa.array([None], pa.int64())], ["seg", "bits", "v", "t"])
-            m = len(word)
-            yield pa.record_batch([pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()), as_long(word), pa.array(follow)], ["seg", "bits", "v", "t"])
-    return kernel
+    got: dict[int, list] = {}
+    for b in batches:
+        for seg, blob in zip(b.column("seg").to_pylist(), b.column("pairs").to_pylist(), strict=True):
+            got.setdefault(seg, []).append(blob)
+    for s in list(got):
+        key, prev, c = _combined([_unpack(blob) for blob in got.pop(s)])
+        bits = build_segment(key, classes(c, PAIR_BASE))
+        word, follow = np.unique(prev, return_counts=True)
+        yield pa.record_batch([pa.array([s], pa.int32()), pa.array([bits.tobytes()]), pa.array([None], pa.int64()), pa.array([None], pa.int64())], ["seg", "bits", "v", "t"])
+        m = len(word)
+        yield pa.record_batch([pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()), as_long(word), pa.array(follow)], ["seg", "bits", "v", "t"])
 
 
 def _by_segment(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -239,48 +240,147 @@ def _by_segment(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator
         yield s, [np.concatenate(x) for x in zip(*got.pop(s), strict=True)]
 
 
-def _word_segments(most_bytes: int):
-    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s, (h, c) in _by_segment(batches, ["h", "c"]):
-            bits = build_segment(h.view(U64), classes(c, WORD_BASE), most_bytes)
-            yield pa.record_batch([pa.array([s], pa.int32()), pa.array([bits.tobytes()])], ["seg", "bits"])
-    return kernel
+def _word_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for s, (h, c) in _by_segment(batches, ["h", "c"]):
+        bits = build_segment(h.view(U64), classes(c, WORD_BASE))
+        yield pa.record_batch([pa.array([s], pa.int32()), pa.array([bits.tobytes()])], ["seg", "bits"])
 
 
-def log_probability(h: np.ndarray, offs: np.ndarray, model: dict) -> np.ndarray:
-    """log10 P of each token given the one before it, by probes of the filter."""
+def _probes(h: np.ndarray, offs: np.ndarray) -> tuple:
+    """Distinct words, their keys as first words, distinct pairs, and where each token finds its own."""
     prev = before(h, offs)
     word, back = np.unique(np.concatenate([h, prev]), return_inverse=True)
-    short = (word >> SHORT) * FOLLOW
-    count = class_value(model["words"].probe(word, segment(word, model["few"])), WORD_BASE)
-    follow = class_value(model["words"].probe(short, segment(short, model["few"])), WORD_BASE)
-    single = (count + 1) / (model["n"] + model["v"] + 1)
-    here, there = back[:len(h)], back[len(h):]
     pair, where = np.unique(_pairs(prev, h), return_inverse=True)
-    both = class_value(model["pairs"].probe(pair >> SHORT, segment(pair, model["segments"])), PAIR_BASE)[where]
+    return word, (word >> SHORT) * FOLLOW, pair >> SHORT, back[:len(h)], back[len(h):], where
+
+
+def log_probability(h: np.ndarray, offs: np.ndarray, model: dict, read=None) -> np.ndarray:
+    """log10 P of each token given the one before it, by probes of the filter or of the classes ``read``."""
+    word, short, pair, here, there, where = _probes(h, offs)
+    if read is None:
+        read = [model["words"].probe(word, segment(word, model["few"])), model["words"].probe(short, segment(short, model["few"])),
+                model["pairs"].probe(pair, segment(pair, model["segments"]))]
+    count, follow = class_value(read[0], WORD_BASE), class_value(read[1], WORD_BASE)
+    single = (count + 1) / (model["n"] + model["v"] + 1)
+    both = class_value(read[2], PAIR_BASE)[where]
     t, c = follow[there], np.maximum(count[there], both)
     p = np.where(t > 0, (both + t * single[here]) / np.maximum(c + t, 1), single[here])
     return np.log10(np.minimum(p, 1.0))
 
 
+SCORES = "doc_id long, held_out boolean, n_tokens long, known long, base double, score double, rest array<long>"
+
+
+def _scored(ids: pa.Array, held_out: pa.Array, h: np.ndarray, toffs: np.ndarray, m: dict, read=None) -> pa.RecordBatch:
+    n = len(ids)
+    row = row_of(toffs, np.arange(len(h)))
+    score = np.bincount(row, log_probability(h, toffs, m, read), n).astype(np.float64)
+    at = in_sorted(m["keys"], h)
+    known = at >= 0
+    base = np.bincount(row[known], np.log10(m["counts"][at[known]] + 1.0), n).astype(np.float64)
+    return pa.record_batch([ids, held_out, pa.array(np.diff(toffs)), pa.array(np.bincount(row[known], minlength=n)), pa.array(base),
+                            pa.array(score), list_array(as_long(h[~known]), np.bincount(row[~known], minlength=n))], ["doc_id", "held_out", "n_tokens", "known", "base", "score", "rest"])
+
+
 def _score(shared):
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
         for rows, buf, offs in text_slices(batches):
             h, toffs = tokens(buf, offs)
-            n = rows.num_rows
-            row = row_of(toffs, np.arange(len(h)))
-            score = np.bincount(row, log_probability(h, toffs, m), n).astype(np.float64)
-            at = in_sorted(m["keys"], h)
-            known = at >= 0
-            base = np.bincount(row[known], np.log10(m["counts"][at[known]] + 1.0), n).astype(np.float64)
-            yield pa.record_batch([rows.column("doc_id"), rows.column("held_out"), pa.array(np.diff(toffs)), pa.array(np.bincount(row[known], minlength=n)), pa.array(base),
-                                   pa.array(score), list_array(as_long(h[~known]), np.bincount(row[~known], minlength=n))], ["doc_id", "held_out", "n_tokens", "known", "base", "score", "rest"])
+            yield _scored(rows.column("doc_id"), rows.column("held_out"), h, toffs, shared.value)
+    return kernel
+
+
+# -- probes that travel to their segments
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per slice of text: the ids, marks and texts of its rows."""
+    for rows, _, _ in text_slices(batches, most=PROBE_BYTES):
+        one = np.array([rows.num_rows])
+        yield pa.record_batch([list_array(rows.column(x), one) for x in ("doc_id", "held_out", "text")], ["ids", "marks", "texts"])
+
+
+def _slice_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, np.ndarray, np.ndarray]]:
+    for b in batches:
+        for i in range(b.num_rows):
+            yield b, i, *tokens(*buffers(b.column("texts").slice(i, 1).flatten()))
+
+
+def _asked(h: np.ndarray, toffs: np.ndarray, few: int, segments: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(kind, task, positions among the distinct probes, keys): words, first words and pairs of a slice."""
+    for kind, (key, n) in enumerate(zip(_probes(h, toffs)[:3], (few, few, segments), strict=True)):
+        task = segment(key, n) // SEGMENTS_PER_TASK
+        order = np.argsort(task, kind="stable")
+        for part in np.split(order, np.flatnonzero(np.diff(task[order])) + 1) if len(order) else []:
+            yield kind, int(task[part[0]]), part, key[part]
+
+
+def _ask(few: int, segments: int):
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, i, h, toffs in _slice_tokens(batches):
+            got = [(kind, task, key) for kind, task, _, key in _asked(h, toffs, few, segments)]
+            # pairs are 40 bits wide
+            keys = [key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5 if kind == 2 else 8].tobytes() for kind, _, key in got]
+            m = len(got)
+            yield pa.record_batch([pa.array([int(kind == 2) for kind, _, _ in got], pa.int32()), pa.array([t for _, t, _ in got], pa.int32()), pa.nulls(m, pa.int32()), pa.array([b.column("slice")[i].as_py()] * m, pa.int64()),
+                                   pa.array([kind for kind, _, _ in got], pa.int32()), pa.array(keys, pa.binary())], ["pairs", "task", "seg", "slice", "kind", "blob"])
+    return kernel
+
+
+def _answer(few: int, segments: int):
+    """Rows sorted by (pairs, task, slice), segments first: the classes of the keys asked for, in their order."""
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, filt = None, {}, None
+        for b in batches:
+            for which, task, seg, sl, kind, blob in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if (which, task) != at:
+                    at, held, filt = (which, task), {}, None
+                if sl is None:
+                    held[seg % SEGMENTS_PER_TASK] = np.frombuffer(blob, np.uint8)
+                    continue
+                if filt is None:
+                    filt = Filter([held.get(j, np.zeros(8, np.uint8)) for j in range(SEGMENTS_PER_TASK)])
+                width = 5 if kind == 2 else 8
+                wide = np.zeros((len(blob) // width, 8), np.uint8)
+                wide[:, :width] = np.frombuffer(blob, np.uint8).reshape(-1, width)
+                key = wide.view("<u8").ravel().astype(U64)
+                q = filt.probe(key, segment(key, segments if which else few) % SEGMENTS_PER_TASK)
+                yield pa.record_batch([pa.array([sl], pa.int64()), pa.array([kind], pa.int32()), pa.array([task], pa.int32()), pa.array([q.astype("<u2").tobytes()], pa.binary())], ["slice", "kind", "task", "classes"])
+    return kernel
+
+
+def _score_read(shared):
+    """Rows (slice, ids, marks, texts, got): scores by the classes that came back."""
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for b, i, h, toffs in _slice_tokens(batches):
+            back = {(g["kind"], g["task"]): g["classes"] for g in b.column("got")[i].as_py() or []}
+            read = [np.zeros(len(x), np.int64) for x in _probes(h, toffs)[:3]]
+            for kind, task, part, _ in _asked(h, toffs, m["few"], m["segments"]):
+                read[kind][part] = np.frombuffer(back[kind, task], "<u2")
+            yield _scored(b.column("ids").slice(i, 1).flatten(), b.column("marks").slice(i, 1).flatten(), h, toffs, m, read)
     return kernel
 
 
-def train(docs: DataFrame, filter_bytes: int, exact_entries: int) -> tuple[dict, DataFrame]:
-    """The model for broadcasting and the written table of exact word counts (h, c)."""
+def _score_by_shuffle(docs: DataFrame, model: dict, pair_bits: DataFrame, word_bits: DataFrame) -> DataFrame:
+    spark = docs.sparkSession
+    path = scratch_table(spark, "slices")
+    docs.mapInArrow(_slices, "ids array<long>, marks array<boolean>, texts array<string>") \
+        .withColumn("slice", F.monotonically_increasing_id()).write.parquet(path)
+    slices = spark.read.parquet(path)
+    few, segments = model["few"], model["segments"]
+    schema = "pairs int, task int, seg int, slice long, kind int, blob binary"
+    bits = [df.select(F.lit(k).alias("pairs"), F.floor(F.col("seg") / SEGMENTS_PER_TASK).cast("int").alias("task"), "seg", F.lit(None).cast("long").alias("slice"),
+                      F.lit(None).cast("int").alias("kind"), F.col("bits").alias("blob")) for k, df in enumerate((word_bits, pair_bits))]
+    asked = slices.select("slice", "texts").mapInArrow(_ask(few, segments), schema)
+    tasks = segments // SEGMENTS_PER_TASK + few // SEGMENTS_PER_TASK + 2
+    got = bits[0].union(bits[1]).union(asked).repartition(tasks, "pairs", "task").sortWithinPartitions("pairs", "task", F.col("slice").asc_nulls_first()) \
+        .mapInArrow(_answer(few, segments), "slice long, kind int, task int, classes binary")
+    back = got.groupBy("slice").agg(F.collect_list(F.struct("kind", "task", "classes")).alias("got"))
+    return slices.join(back, "slice", "left").select("ids", "marks", "texts", "got").mapInArrow(_score_read(spark.sparkContext.broadcast(model)), SCORES)
+
+
+def train(docs: DataFrame, exact_entries: int) -> tuple[dict, DataFrame, DataFrame, DataFrame]:
+    """The model without its segments, the written table of exact word counts (h, c), the segments (seg, bits) of pairs and of words."""
     spark = docs.sparkSession
     texts = docs.where(~F.col("held_out")).select("text")
     path = scratch_table(spark, "words")
@@ -292,23 +392,23 @@ def train(docs: DataFrame, filter_bytes: int, exact_entries: int) -> tuple[dict,
     segments = n // TOKENS_PER_SEGMENT + 1
     pairs = scratch_table(spark, "pairs")
     texts.mapInArrow(_count_pairs(segments), "seg int, pairs binary").repartition(segments, "seg") \
-        .mapInArrow(_pair_segments(filter_bytes * 3 // 4 // segments), "seg int, bits binary, v long, t long").write.parquet(pairs)
+        .mapInArrow(_pair_segments, "seg int, bits binary, v long, t long").write.parquet(pairs)
     made = spark.read.parquet(pairs)
     follow = made.where("v is not null").groupBy("v").agg(F.sum("t").alias("c"))
 
     few = segments // 4 + 1
     events = counts.union(spark.createDataFrame([(int(START.view(np.int64)), int(starts))], "h long, c long")).where("c > 0").mapInArrow(_keyed(few, U64(1)), "seg int, h long, c long") \
         .union(follow.select(F.col("v").alias("h"), "c").mapInArrow(_keyed(few, FOLLOW), "seg int, h long, c long"))
-    word_segments = events.repartition(few, "seg").mapInArrow(_word_segments(filter_bytes // 4 // few), "seg int, bits binary")
+    path = scratch_table(spark, "word_segments")
+    events.repartition(few, "seg").mapInArrow(_word_segments, "seg int, bits binary").write.parquet(path)
 
     per_count = counts.groupBy("c").agg(F.count("h").alias("m"))
     least = _least_count(per_count, exact_entries)
     top = counts.where(F.col("c") >= least).toPandas()
     keys = top["h"].to_numpy(np.int64).view(U64)
     order = np.argsort(keys)
-    model = {"n": n, "v": v, "segments": segments, "few": few, "least": least, "keys": keys[order], "counts": top["c"].to_numpy(np.int64)[order].astype(np.float64),
-             "pairs": _segments(made.where("bits is not null").select("seg", "bits"), segments), "words": _segments(word_segments, few)}
-    return model, counts
+    model = {"n": n, "v": v, "segments": segments, "few": few, "least": least, "keys": keys[order], "counts": top["c"].to_numpy(np.int64)[order].astype(np.float64)}
+    return model, counts, made.where("bits is not null").select("seg", "bits"), spark.read.parquet(path)
 
 
 def _keyed(n: int, salt: np.uint64):
@@ -320,7 +420,7 @@ def _keyed(n: int, salt: np.uint64):
 
 
 def _segments(made: DataFrame, n: int) -> Filter:
-    """The segments on the driver; together at most the bound they were built under."""
+    """The segments on the driver; their sum has been checked."""
     parts = [np.zeros(8, np.uint8)] * n
     for r in made.toLocalIterator():
         parts[r["seg"]] = np.frombuffer(r["bits"], np.uint8)
@@ -346,11 +446,20 @@ def lm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_co
     ship_package(spark)
     small_batches(spark)
     docs = id_and_text(docs, id_col, text_col).withColumn("held_out", F.coalesce(held_out, F.lit(False)))
-    model, counts = train(docs, filter_bytes, exact_entries)
-    shared = spark.sparkContext.broadcast(model)
+    model, counts, pair_bits, word_bits = train(docs, exact_entries)
+    size = pair_bits.union(word_bits).agg(F.coalesce(F.sum(F.length("bits")), F.lit(0))).first()[0]
     path = scratch_table(spark, "scores")
-    docs.mapInArrow(_score(shared), "doc_id long, held_out boolean, n_tokens long, known long, base double, score double, rest array<long>") \
-        .withColumn("row", F.monotonically_increasing_id()).write.parquet(path)
+    if size <= filter_bytes:
+        model |= {"pairs": _segments(pair_bits, model["segments"]), "words": _segments(word_bits, model["few"])}
+        scored = docs.mapInArrow(_score(spark.sparkContext.broadcast(model)), SCORES)
+    else:
+        scored = _score_by_shuffle(docs, model, pair_bits, word_bits)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows_a_batch = spark.conf.get(key)
+    if size > filter_bytes:
+        small_batches(spark, 16)  # a row holds a slice or a segment
+    scored.withColumn("row", F.monotonically_increasing_id()).write.parquet(path)
+    spark.conf.set(key, rows_a_batch)
     rows = spark.read.parquet(path)
     rare = counts.where(F.col("c") < model["least"])
     more = rows.where(F.size("rest") > 0).select("row", F.explode("rest").alias("h")).join(rare, "h") \

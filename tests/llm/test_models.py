@@ -58,6 +58,17 @@ def test_model_follows_exact_smoothing(docs, rows):
     assert got[got.held_out].score.sum() > got[got.held_out].base_score.sum()
 
 
+@pytest.mark.parametrize("most", [0, 4000])
+def test_scores_do_not_depend_on_the_bound_of_the_broadcast(docs, monkeypatch, most):
+    """Beyond ``filter_bytes`` probes travel to their segments; nothing is left out."""
+    held = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    monkeypatch.setattr(lm, "TOKENS_PER_SEGMENT", 100)
+    order = lambda df: sorted(map(repr, df.collect()))
+    want = order(lm.lm_scores(docs, held))
+    monkeypatch.setattr(lm, "PROBE_BYTES", 3000)
+    assert order(lm.lm_scores(docs, held, filter_bytes=most)) == want
+
+
 def test_counts_are_never_read_too_small():
     r = np.random.default_rng(3)
     key = np.unique(r.integers(0, 2**63, 20000, dtype=np.int64).astype(np.uint64))
