@@ -430,7 +430,7 @@ def _segments(made: DataFrame, n: int) -> Filter:
 def _least_count(per_count: DataFrame, entries: int) -> int:
     """The smallest count c such that at most ``entries`` words have c or more."""
     rows = per_count.withColumn("k", F.floor(F.log2("c") * 8)).groupBy("k").agg(F.min("c").alias("c"), F.sum("m").alias("m")).orderBy(F.desc("k")).collect()
-    total, least = 0, 1
+    total, least = 0, 2**63 - 1
     for r in rows:
         total += r["m"]
         if total > entries:

@@ -69,6 +69,12 @@ def test_scores_do_not_depend_on_the_bound_of_the_broadcast(docs, monkeypatch, m
     assert order(lm.lm_scores(docs, held, filter_bytes=most)) == want
 
 
+def test_least_count_keeps_an_oversized_top_bucket_off_the_driver(spark):
+    per = lambda *rows: spark.createDataFrame(list(rows), "c long, m long")
+    assert lm._least_count(per((1, 100)), 10) > 1 and lm._least_count(per((64, 11), (1, 100)), 10) > 64
+    assert lm._least_count(per((64, 9), (1, 100)), 10) == 64 and lm._least_count(per((64, 9), (1, 1)), 10) == 1
+
+
 def test_counts_are_never_read_too_small():
     r = np.random.default_rng(3)
     key = np.unique(r.integers(0, 2**63, 20000, dtype=np.int64).astype(np.uint64))
