@@ -4,11 +4,11 @@ A text becomes a short vector of shares and rates (case, signs, repeated words,
 kinds of lines) over its whole length. From labelled rows, preference pairs
 (label 1 preferred to label 0) are formed and a logistic loss on feature
 differences is fitted with Spark ML; the weights give every text a score.
-The decision threshold is a quantile of the training scores, at the share of
-label 0, and the logistic curve is moved so that it passes 0.7 there.
+The decision threshold is a quantile of the scores of all usable labelled rows,
+at their share of label 0, and the logistic curve is moved so that it passes 0.7 there.
 
 The fit uses at most ``max_labels`` labelled rows (smallest hashes of the id):
-the only bounded sample here. Features and scores cover every row and text.
+the only bounded sample here. Features, scores and the threshold cover every row.
 
 Defined cases: NULL and empty texts have the zero vector; rows with a NULL id
 are scored and never used for learning; an id labelled twice counts once, with
@@ -121,18 +121,36 @@ def preference_pairs(sample: DataFrame, per_row: int = FIT_PAIRS) -> DataFrame:
     return pairs.select(array_to_vector(diff.cast("array<double>")).alias("features"), (sign > 0).cast("double").alias("label"))
 
 
-def fit(sample: DataFrame) -> tuple[np.ndarray, float] | None:
-    """Weights and the quantile cut, from rows (doc_id, pick, x, quality)."""
+def fit(sample: DataFrame) -> np.ndarray | None:
+    """Weights, from rows (doc_id, pick, x, quality)."""
     pairs = preference_pairs(sample)
     if pairs is None:
         return None
-    model = LogisticRegression(fitIntercept=False, regParam=1e-4, maxIter=60).fit(pairs)
-    weights = model.coefficients.toArray()
-    scored = sample.select("quality", F.aggregate(
-        F.zip_with("x", F.array(*[F.lit(float(w)) for w in weights]), lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v).alias("s"))
-    n, worse = scored.agg(F.count("s"), F.sum(1 - F.col("quality"))).first()
-    below, above = scored.agg(F.percentile("s", F.lit((worse - 1) / (n - 1))), F.percentile("s", F.lit(worse / (n - 1)))).first()
-    return weights, (below + above) / 2
+    return LogisticRegression(fitIntercept=False, regParam=1e-4, maxIter=60).fit(pairs).coefficients.toArray()
+
+
+def value_at(rows: DataFrame, rank: int) -> float:
+    """The value of column s at a rank (from 0) in ascending order, by counts in ever smaller ranges."""
+    low, high = rows.agg(F.min("s"), F.max("s")).first()
+    before = 0
+    while low < high:
+        part = F.least(F.floor((F.col("s") - low) / (high - low) * 1000), F.lit(999))
+        for r in rows.where(F.col("s").between(low, high)).groupBy(part.alias("k")).agg(F.count("s").alias("n"), F.min("s").alias("a"), F.max("s").alias("b")).orderBy("k").collect():
+            if before + r["n"] > rank:
+                low, high = r["a"], r["b"]
+                break
+            before += r["n"]
+    return low
+
+
+def quantile_cut(usable: DataFrame, weights: np.ndarray) -> float:
+    """Midway between the two scores at the share of label 0, over all labelled rows (x, quality)."""
+    path = scratch_table(usable.sparkSession, "labelled_scores")
+    usable.select("quality", F.aggregate(
+        F.zip_with("x", F.array(*[F.lit(float(w)) for w in weights]), lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v).alias("s")).write.parquet(path)
+    scored = usable.sparkSession.read.parquet(path)
+    worse = scored.where("quality = 0").count()
+    return (value_at(scored, worse - 1) + value_at(scored, worse)) / 2
 
 
 def _rated(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str, text_col: str, label_col: str, max_labels: int) -> tuple[DataFrame, tuple | None]:
@@ -149,7 +167,8 @@ def _rated(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str, te
     usable = rows.where(~F.col("held_out")).join(marks, "doc_id").withColumn("pick", F.xxhash64("doc_id"))
     taught = scratch_table(spark, "labelled")
     usable.orderBy("pick", "doc_id").limit(max_labels).write.parquet(taught)
-    return rows, fit(spark.read.parquet(taught))
+    weights = fit(spark.read.parquet(taught))
+    return rows, None if weights is None else (weights, quantile_cut(usable, weights))
 
 
 def _good(weights: np.ndarray, cut: float, text_col: str):

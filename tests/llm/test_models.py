@@ -124,6 +124,23 @@ def test_quality_on_held_out_rows(spark):
     assert [bool(x) for x in got[got.doc_id.isna()].held_out] == [False]
 
 
+def test_quality_cut_covers_all_labelled_rows(spark):
+    """Whatever few rows the fit takes, as many labelled rows are rejected as have label 0."""
+    import random
+    r = random.Random(6)
+    data = [(i, _junk(r, 0), int(i % 10 > 0)) for i in range(300)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in data], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in data], "doc_id long, quality int")
+    got = [q.quality_scores(docs, labels, F.lit(False), max_labels=most).where("predicted = 0").count() for most in (25, 40, 60)]
+    assert got == [30, 30, 30]
+
+
+def test_value_at_every_rank(spark):
+    s = [0.0, -1e9, 3.5, 3.5, 3.5, 3.5 + 1e-12, 1e9, -2.25, 1e-300]
+    rows = spark.createDataFrame([(x,) for x in s], "s double")
+    assert [q.value_at(rows, k) for k in range(len(s))] == sorted(s)
+
+
 def test_quality_without_labels(spark, docs, rows, empty):
     none = spark.createDataFrame([], "doc_id long, quality int")
     got = q.quality_scores(docs, none, F.lit(False)).toPandas()
