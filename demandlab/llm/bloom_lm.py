@@ -258,8 +258,14 @@ def log_probability(h: np.ndarray, offs: np.ndarray, model: dict, read=None) ->
     """log10 P of each token given the one before it, by probes of the filter or of the classes ``read``."""
     word, short, pair, here, there, where = _probes(h, offs)
     if read is None:
-        read = [model["words"].probe(word, segment(word, model["few"])), model["words"].probe(short, segment(short, model["few"])),
-                model["pairs"].probe(pair, segment(pair, model["segments"]))]
+        at = in_sorted(model["keys"], word)
+        known, other = at >= 0, at < 0
+        read = []
+        for key, top in ((word, model["top_words"]), (short, model["top_follow"])):
+            q = np.empty(len(key), np.int64)
+            q[known], q[other] = top[at[known]], model["words"].probe(key[other], segment(key[other], model["few"]))
+            read.append(q)
+        read.append(model["pairs"].probe(pair, segment(pair, model["segments"])))
     count, follow = class_value(read[0], WORD_BASE), class_value(read[1], WORD_BASE)
     single = (count + 1) / (model["n"] + model["v"] + 1)
     both = class_value(read[2], PAIR_BASE)[where]
@@ -451,6 +457,9 @@ def lm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_co
     path = scratch_table(spark, "scores")
     if size <= filter_bytes:
         model |= {"pairs": _segments(pair_bits, model["segments"]), "words": _segments(word_bits, model["few"])}
+        # the most frequent words have the longest chains of probes: they are read once, not in each slice
+        for name, key in (("top_words", model["keys"]), ("top_follow", (model["keys"] >> SHORT) * FOLLOW)):
+            model[name] = model["words"].probe(key, segment(key, model["few"])).astype(np.uint16)
         scored = docs.mapInArrow(_score(spark.sparkContext.broadcast(model)), SCORES)
     else:
         scored = _score_by_shuffle(docs, model, pair_bits, word_bits)
