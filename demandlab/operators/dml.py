@@ -35,7 +35,7 @@ Z975 = 1.959963984540054
 
 
 def _is_gram_learner(lr) -> bool:
-    return hasattr(lr, "coefficients")
+    return hasattr(lr, "coefficients") or hasattr(lr, "paths")
 
 
 def _learner_name(lr) -> str:
@@ -154,7 +154,7 @@ def dml_plr(df: DataFrame, y: str, d: str, x: Sequence[str], ml_l=None, ml_m=Non
     keys = _by(by)
     res = out_of_fold(_written(df, "dml"), x, {"_lhat": (y, ml_l), "_mhat": (d, ml_m)}, fold, keys or None, inner)
     res = res.withColumns({"_u": finite_or_null(F.col(y) - F.col("_lhat")), "_v": finite_or_null(F.col(d) - F.col("_mhat"))})
-    res = res.withColumn("_w", F.col("_v"))
+    res = _written(res.withColumn("_w", F.col("_v")), "residuals")
     name = f"plr[{_learner_name(ml_l)},{_learner_name(ml_m)}]"
     return DMLResult(_summary(res, keys, name), res)
 
@@ -168,6 +168,7 @@ def dml_pliv(df: DataFrame, y: str, d: str, z: str, x: Sequence[str], ml_l=None,
                       fold, keys or None, inner)
     res = res.withColumns({"_u": finite_or_null(F.col(y) - F.col("_lhat")), "_v": finite_or_null(F.col(d) - F.col("_rhat")),
                            "_w": finite_or_null(F.col(z) - F.col("_mhat"))})
+    res = _written(res, "residuals")
     name = f"pliv[{_learner_name(ml_l)},{_learner_name(ml_m)},{_learner_name(ml_r)}]"
     return DMLResult(_summary(res, keys, name), res)
 

@@ -18,12 +18,15 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from demandlab.functions.scalar import finite_or_null
-from demandlab.operators.gram import Cell, _by, _none, cells, key_columns, key_types, merged, solve, solve_groups, with_types
-from demandlab.session import scratch_table
+from demandlab.operators.gram import (BUCKETS, HELD_BYTES, Cell, _by, _none, arrays, batch_groups, cell_schema, cells, key_columns, key_types, matrix,
+                                      merged, numbers, solve, solve_groups, with_types)
+from demandlab.operators.models import with_models
+from demandlab.session import scratch_table, ship_package
 
 TERMS = "term string, coef double, se double, t double, p double, n long, status string"
 
@@ -133,6 +136,7 @@ def _estimate(df: DataFrame, y: str, x: Sequence[str], z: Sequence[str], by, cov
         .select(*[f"f.{g}" for g in gcols], "fit", "f.n", "why", "s.s")
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        k = len(z) + 1
         for pdf in batches:
             out = []
             for r in pdf.to_dict("records"):
@@ -141,7 +145,6 @@ def _estimate(df: DataFrame, y: str, x: Sequence[str], z: Sequence[str], by, cov
                     out += [(*g, *row) for row in _failed(x, r["n"], r["why"])]
                     continue
                 fit = pickle.loads(r["fit"])
-                k = len(z) + 1
                 use = [0, *(1 + list(z).index(c) for c in fit.zs)]
                 S = np.asarray(r["s"], float).reshape(k, k)[np.ix_(use, use)]
                 out += [(*g, *row) for row in fit.rows(fit.robust(S))]
@@ -159,42 +162,50 @@ def _same(left: Sequence[str], right: Sequence[str]):
 
 
 def _weighted(df: DataFrame, keys: list[str], fits: DataFrame, x: Sequence[str], z: Sequence[str], y: str) -> DataFrame:
-    """_g..., s: per group the sum of e^2 [1, z - mean][1, z - mean]' (one pass, summed in the tasks first)."""
+    """_g..., s: per group the sum of e^2 [1, z - mean][1, z - mean]' (one pass, summed in the tasks first, then in buckets)."""
     gcols = key_columns(keys)
-    used = list(dict.fromkeys([*x, *z, y]))
-    rows = df.select(*[F.col(k).cast("string").alias(f"_k{i}") for i, k in enumerate(keys)], *[finite_or_null(F.col(c).cast("double")).alias(c) for c in used]).dropna(subset=used)
-    j = rows.join(fits.select(*gcols, "coef", "mean"), _same([f"_k{i}" for i in range(len(keys))], gcols)).where("coef is not null")
-    fit = sum((F.col("coef")[i] * F.col(c) for i, c in enumerate(x)), F.lit(0.0))
-    e = F.col(y) - fit
-    zc = [(F.col(c) - F.col("mean")[i]).alias(f"_z{i}") for i, c in enumerate(z)]
-    data = j.select(*gcols, (e * e).alias("_w"), *zc)
-    k = len(z) + 1
+    kx, kz = len(x), len(z)
+    rows = df.select(*[F.col(k).cast("string").alias(g) for k, g in zip(keys, gcols, strict=True)], numbers([*x, *z, y]).alias("_x"))
+    data, per_row = with_models(rows, fits, lambda names: _same(gcols, names), gcols, {"coef": kx, "mean": kz})
     schema = ", ".join([f"{g} string" for g in gcols] + ["s array<double>"])
 
-    def total(acc: dict) -> pd.DataFrame:
-        return pd.DataFrame([(*g, S.ravel().tolist()) for g, S in acc.items()], columns=[*gcols, "s"])
+    def total(acc: dict) -> pa.RecordBatch:
+        cols = [pa.array([g[i] for g in acc], pa.string()) for i in range(len(gcols))] + [arrays([S.ravel() for S in acc.values()])]
+        return pa.RecordBatch.from_arrays(cols, names=[*gcols, "s"])
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         acc: dict = {}
-        for pdf in batches:
-            Z = np.column_stack([np.ones(len(pdf)), *(pdf[f"_z{i}"].to_numpy(float) for i in range(k - 1))])
-            w = pdf["_w"].to_numpy(float)
-            parts = pdf.groupby(gcols, sort=False, dropna=False).indices.items() if gcols else [((), np.arange(len(pdf)))]
-            for g, idx in parts:
-                g = tuple(_none(v) for v in (g if isinstance(g, tuple) else (g,)))
-                acc[g] = acc.get(g, 0.0) + (Z[idx] * w[idx, None]).T @ Z[idx]
-        yield total(acc)
-
-    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        acc: dict = {}
-        for pdf in batches:
-            for r in pdf.to_dict("records"):
-                g = tuple(_none(r[c]) for c in gcols)
-                acc[g] = acc.get(g, 0.0) + np.asarray(r["s"], float).reshape(k, k)
-        yield total(acc)
+        for batch in batches:
+            X, B = matrix(batch.column("_x"), kx + kz + 1), per_row(batch, "coef")
+            ok = np.isfinite(X).all(axis=1) & np.isfinite(B).all(axis=1)
+            e = X[:, -1] - (X[:, :kx] * B).sum(axis=1)
+            Z = np.column_stack([np.ones(len(X)), X[:, kx:-1] - per_row(batch, "mean")])
+            for g, idx in batch_groups(batch, gcols, ok):
+                acc[g] = acc.get(g, 0.0) + (Z[idx] * (e[idx] ** 2)[:, None]).T @ Z[idx]
+            if len(acc) * 8 * (kz + 1) ** 2 > HELD_BYTES:
+                yield total(acc)
+                acc = {}
+        if acc:
+            yield total(acc)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, S = None, None
+        for batch in batches:
+            groups = batch.select(gcols).to_pylist() if gcols else [{}] * batch.num_rows
+            for i, r in enumerate(groups):
+                g, part = tuple(r[c] for c in gcols), batch.column("s")[i].values.to_numpy()
+                if g == last:
+                    S = S + part
+                    continue
+                if last is not None:
+                    yield total({last: S})
+                last, S = g, part
+        if last is not None:
+            yield total({last: S})
 
-    part = data.mapInPandas(partial, schema)
-    return (part.repartition(*gcols) if gcols else part.repartition(1)).mapInPandas(merge, schema)
+    part = data.mapInArrow(partial, schema).withColumn("_b", F.pmod(F.spark_partition_id(), F.lit(BUCKETS)))
+    some = part.repartition(*gcols, "_b").sortWithinPartitions(*gcols, "_b").drop("_b").mapInArrow(merge, schema)
+    return (some.repartition(*gcols).sortWithinPartitions(*gcols) if gcols else some.repartition(1)).mapInArrow(merge, schema)
 
 
 def ols(df: DataFrame, y: str, x: Sequence[str], by=None, cov: str = "unadjusted") -> DataFrame:
@@ -219,7 +230,7 @@ class LinearLearner:
     """Least squares with intercept (M6); columns constant in the sample get 0."""
     name = "linear"
 
-    def coefficients(self, train: Cell, ix: Sequence[int], iy: int, inner: Sequence[Cell] = ()) -> list[float] | None:
+    def coefficients(self, train: Cell, ix: Sequence[int], iy: int) -> list[float] | None:
         """[b_0, b...] of y on [1, x]; None where the sample can't be solved."""
         use = [i for i in ix if not train.constant()[i]]
         if train.n <= len(use) + 1:
@@ -238,36 +249,54 @@ def coefficients(df: DataFrame, features: Sequence[str], targets: dict, by=None,
 
     ``targets`` maps an output name to (target column, learner). The model of
     fold f is fitted on the merged cells of all other folds (no refits); a
-    learner with an inner cross-validation sees the cells of the inner folds.
+    learner with an inner cross-validation sees the cells of the inner folds, and
+    its paths are spread over tasks (``lasso.cross_validated``).
     Columns: _g..., _fold, one array per output (NULL where not estimable).
     """
+    from demandlab.operators.lasso import cross_validated
+
     names = list(dict.fromkeys([*features, *(t for t, _ in targets.values())]))
     ix = [names.index(f) for f in features]
-    slots = [(names.index(t), learner) for t, learner in targets.values()]
+    gcols = key_columns(_by(by))
+    path = scratch_table(df.sparkSession, "cells")
+    cells(df, names, by, fold, inner).write.parquet(path)
+    table = df.sparkSession.read.schema(cell_schema(gcols)).parquet(path)
+    plain = {o: (names.index(t), lr) for o, (t, lr) in targets.items() if not hasattr(lr, "paths")}
+    searched = {o: (names.index(t), lr) for o, (t, lr) in targets.items() if hasattr(lr, "paths")}
 
     def fn(_, own):
         folds = sorted({f for f, _ in own})
         for f in folds if fold else [None]:
-            parts: dict[int, Cell] = {}
-            for (g, i), c in own.items():
-                if g != f:
-                    parts[i] = parts[i] + c if i in parts else c
-            train = merged(list(parts.values()))
-            yield (-1 if f is None else f, *(None if train is None else learner.coefficients(train, ix, iy, list(parts.values())) for iy, learner in slots))
+            train = merged([c for (g, _), c in own.items() if g != f])
+            yield (-1 if f is None else f, *(None if train is None else learner.coefficients(train, ix, iy) for iy, learner in plain.values()))
 
-    schema = ", ".join(["_fold int", *(f"{o} array<double>" for o in targets)])
-    return solve_groups(cells(df, names, by, fold, inner), fn, schema)
+    out = solve_groups(table, fn, ", ".join(["_fold int", *(f"{o} array<double>" for o in plain)]))
+    if searched:
+        found = cross_validated(table, ix, list(searched.values()), fold is not None)
+        wide = found.groupBy(*gcols, "_fold").agg(*[F.max_by(F.when(F.col("slot") == i, F.col("coef")), F.when(F.col("slot") == i, F.lit(1))).alias(o) for i, o in enumerate(searched)])
+        wide = wide.select(*[F.col(c).alias(f"_r{c}") for c in [*gcols, "_fold"]], *searched)
+        out = out.join(wide, _same([*gcols, "_fold"], [f"_r{c}" for c in [*gcols, "_fold"]]), "left")
+    return out.select(*gcols, "_fold", *targets)
 
 
 def apply_linear(df: DataFrame, coefs: DataFrame, features: Sequence[str], outs: Sequence[str], by=None,
                  fold: str | None = None) -> DataFrame:
     """Add each output's prediction b_0 + sum b_i x_i from the row's (group, fold) arrays; NULL without one."""
-    keys = _by(by)
-    renamed = coefs.select(*[F.col(g).alias(f"_c{i}") for i, g in enumerate(key_columns(keys))], F.col("_fold").alias("_cf"),
-                           *[F.col(o).alias(f"_b_{o}") for o in outs])
-    on = _same([f"_k{i}" for i in range(len(keys))], [f"_c{i}" for i in range(len(keys))])
-    on = on & (F.col(fold).eqNullSafe(F.col("_cf")) if fold else F.col("_cf") == -1)
-    keyed = df.withColumns({f"_k{i}": F.col(k).cast("string") for i, k in enumerate(keys)}) if keys else df
-    j = keyed.join(renamed, on, "left")
-    value = {o: sum((F.col(f"_b_{o}")[i + 1] * F.col(c) for i, c in enumerate(features)), F.col(f"_b_{o}")[0]) for o in outs}
-    return j.select(*[F.col(c) for c in df.columns], *[v.alias(o) for o, v in value.items()])
+    ship_package(df.sparkSession)
+    keys, k = _by(by), len(features)
+    rows = df.withColumns({f"_k{i}": F.col(c).cast("string") for i, c in enumerate(keys)} | {"_x": numbers(features), "_kf": F.col(fold).cast("int") if fold else F.lit(-1)})
+    keyed, per_row = with_models(rows, coefs, lambda names: _same([*(f"_k{i}" for i in range(len(keys))), "_kf"], names),
+                                 [*key_columns(keys), "_fold"], {o: k + 1 for o in outs})
+    own = list(df.columns)
+
+    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            X, made = matrix(batch.column("_x"), k), []
+            for o in outs:
+                B = per_row(batch, o)
+                value = B[:, 0] + (X * B[:, 1:]).sum(axis=1)
+                made.append(pa.array(value, mask=~np.isfinite(value)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), *made], names=[*own, *outs])
+
+    schema = StructType([*[StructField(f.name, f.dataType, True) for f in df.schema.fields], *[StructField(o, DoubleType()) for o in outs]])
+    return keyed.mapInArrow(predict, schema)
