@@ -16,14 +16,15 @@ Plan shape (see README "Panel plan"):
 * One left join at (article, day) grain, then the lines are exploded.
   With ``spark.sql.requireAllClusterKeysForCoPartition=false`` the dense
   side is never shuffled; otherwise Spark adds one shuffle, same result.
-* Validity intervals (prices, promotions) are clamped to the period and
-  exploded to days, then reduced by an aggregate with map-side combine:
-  linear in the interval days, never a range-condition join.
+* Validity intervals (prices, promotions) are swept: at most one candidate per
+  start day is left by an aggregate with map-side combine, a window over
+  these finds the disjoint spans that count, and only those become days. No
+  range-condition join, and no row that isn't an output day.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandlab.config import PanelConfig
@@ -188,35 +189,55 @@ def aor(ft_orderline: DataFrame, dm_order: DataFrame, cfg: PanelConfig,
 
 # ---------------------------------------------------------------- intervals
 
-def _explode_days(df: DataFrame, start: str, end: str, cfg: PanelConfig) -> DataFrame:
-    """Interval rows -> one row per covered day, clamped to the period.
+def _clamped(start: Column, end: Column, cfg: PanelConfig) -> tuple[Column, Column]:
+    """First and last day of an interval within the period (start::DATE <= day <= end::DATE)."""
+    return F.greatest(F.to_date(start), F.lit(cfg.start)), F.least(F.to_date(end), F.lit(cfg.end))
 
-    start::DATE <= day <= end::DATE; NULL bounds cover nothing.
+
+def _in_period(df: DataFrame, start: str, end: str, cfg: PanelConfig) -> DataFrame:
+    """Interval rows with a day in the period; NULL bounds cover nothing."""
+    lo, hi = _clamped(F.col(start), F.col(end), cfg)
+    return df.where(F.col(start).isNotNull() & F.col(end).isNotNull() & (lo <= hi))
+
+
+def _days(spans: DataFrame, lo: str, hi: str) -> DataFrame:
+    return spans.withColumn("date", F.explode(F.sequence(lo, hi))).drop(lo, hi)
+
+
+def price_spans(ft_price: DataFrame, cfg: PanelConfig, articles: DataFrame | None = None, partitions: int | None = None) -> DataFrame:
+    """Disjoint spans (key_article, ppl, price_in_cents, first_day, last_day) with one price in force each.
+
+    The entry with the latest end time wins, ties by later start, then higher
+    price. Of entries that start on the same day only the best can win anywhere, so an
+    aggregate with map-side combine leaves at most one for each day of
+    the period. Taken in order of priority, all earlier ones end no sooner: what
+    they cover up to an entry's end reaches from their least start day on, so the
+    entry is in force from its start to the day before that.
     """
-    lo = F.greatest(F.to_date(start), F.lit(cfg.start))
-    hi = F.least(F.to_date(end), F.lit(cfg.end))
-    return (df.where(F.col(start).isNotNull() & F.col(end).isNotNull() & (lo <= hi))
-              .select("*", F.explode(F.sequence(lo, hi)).alias("date")))
+    p = ft_price.where(F.col("price_type") == F.lit(cfg.price_type))
+    if articles is not None:
+        p = p.join(articles, "key_article", "left_semi")
+    start, end = F.col("price_start_date_time"), F.col("price_end_date_time")
+    best = F.max(F.struct(end.alias("e"), start.alias("s"), F.col("price_in_cents").alias("c")))
+    first = (_in_period(p, "price_start_date_time", "price_end_date_time", cfg)
+             .groupBy("key_article", F.col("price_line_type").alias("ppl"), _clamped(start, end, cfg)[0].alias("first_day")).agg(best.alias("b")))
+    if partitions:
+        first = first.repartition(partitions, "key_article")
+    w = Window.partitionBy("key_article", "ppl").orderBy(F.desc("b")).rowsBetween(Window.unboundedPreceding, -1)
+    last = F.least(_clamped(F.col("b.s"), F.col("b.e"), cfg)[1], F.date_sub(F.min("first_day").over(w), 1))
+    return (first.select("key_article", "ppl", F.col("b.c").alias("price_in_cents"), "first_day", last.alias("last_day"))
+                 .where(F.col("first_day") <= F.col("last_day")))
 
 
 def latest_price_per_day(ft_price: DataFrame, cfg: PanelConfig,
-                         articles: DataFrame | None = None) -> DataFrame:
+                         articles: DataFrame | None = None, partitions: int | None = None) -> DataFrame:
     """Price in force per (article, line, day): the entry with the latest end
     time, ties broken by later start, then higher price (W1, L2, decision D7).
 
-    Reduced by an aggregate over exploded validity days, so one hot
-    (article, line) never pairs every entry with every day. ``articles``
-    (key_article) drops other articles' entries before the days are exploded.
+    ``articles`` (key_article) drops other articles' entries first; with
+    ``partitions`` the result is partitioned by ``key_article``.
     """
-    p = ft_price.where(F.col("price_type") == F.lit(cfg.price_type))
-    if articles is not None:
-        p = p.join(articles, "key_article", "left_semi")
-    days = _explode_days(p, "price_start_date_time", "price_end_date_time", cfg)
-    best = F.max(F.struct(F.col("price_end_date_time").alias("e"),
-                          F.col("price_start_date_time").alias("s"),
-                          F.col("price_in_cents").alias("c")))
-    return (days.groupBy("key_article", F.col("price_line_type").alias("ppl"), "date")
-                .agg(best.c.alias("price_in_cents")))
+    return _days(price_spans(ft_price, cfg, articles, partitions), "first_day", "last_day")
 
 
 def prices(skel: DataFrame, ft_price: DataFrame, cfg: PanelConfig,
@@ -226,9 +247,8 @@ def prices(skel: DataFrame, ft_price: DataFrame, cfg: PanelConfig,
     price_in_cents_ppl = line price (NULL on the default line);
     price_in_cents_default = the default line's own price on default rows.
     """
-    lp = latest_price_per_day(ft_price, cfg, articles)
-    lp = lp.repartition(partitions or _partitions(lp), "key_article").hint("shuffle_hash")
-    j = skel.join(lp, ["key_article", "ppl", "date"], "left")
+    lp = latest_price_per_day(ft_price, cfg, articles, partitions or _partitions(ft_price))
+    j = skel.join(lp.hint("shuffle_hash"), ["key_article", "ppl", "date"], "left")
     is_def = F.col("ppl") == F.lit(cfg.default_line)
     return j.select(
         *[F.col(c) for c in skel.columns],
@@ -239,10 +259,10 @@ def prices(skel: DataFrame, ft_price: DataFrame, cfg: PanelConfig,
 def default_prices(skel: DataFrame, ft_price: DataFrame, cfg: PanelConfig,
                    articles: DataFrame | None = None, partitions: int | None = None) -> DataFrame:
     """Skeleton rows with the default line's price in force, whatever the row's line."""
-    lp = (latest_price_per_day(ft_price, cfg, articles).where(F.col("ppl") == F.lit(cfg.default_line))
+    own = ft_price.where(F.col("price_line_type") == F.lit(cfg.default_line))
+    lp = (latest_price_per_day(own, cfg, articles, partitions or _partitions(ft_price))
           .select("key_article", "date", F.col("price_in_cents").alias("price_in_cents_default")))
-    lp = lp.repartition(partitions or _partitions(lp), "key_article").hint("shuffle_hash")
-    return skel.join(lp, ["key_article", "date"], "left").select(
+    return skel.join(lp.hint("shuffle_hash"), ["key_article", "date"], "left").select(
         *[F.col(c) for c in skel.columns], "price_in_cents_default")
 
 
@@ -256,13 +276,36 @@ def promo_days(promo_hist: DataFrame, dm_promotion: DataFrame, dm_article: DataF
     h = promo_hist.where(F.col("promo_art_is_deleted") == "no")
     arts = select_articles_in_category(dm_article, cfg)
     h = h.join(arts, "key_article", "left_semi")
-    days = _explode_days(h, "promo_art_active_start_date", "promo_art_active_end_date", cfg)
+    start, end = "promo_art_active_start_date", "promo_art_active_end_date"
+    lo, hi = _clamped(F.col(start), F.col(end), cfg)
+    named = _in_period(h, start, end, cfg).join(dm_promotion, "key_promotion")
+    days = _days(named.withColumns({"first_day": lo, "last_day": hi}), "first_day", "last_day")
     cal = _bounded_broadcast(period_dates(dm_date, cfg).select("date", "key_date"), cfg.period_days)
-    j = days.join(cal, "date").join(dm_promotion, "key_promotion")
+    j = days.join(cal, "date")
     return j.select("key_article", "key_date",
                     F.concat(F.col("promo_mechanism"), F.lit("/"), F.col("promo_name")).alias("promo_metadata"))
 
 
+def promo_flags(promo_hist: DataFrame, dm_promotion: DataFrame, dm_article: DataFrame,
+                dm_date: DataFrame, cfg: PanelConfig) -> DataFrame:
+    """The days on which an article has any promotion: distinct (key_article, key_date).
+
+    Overlapping intervals are merged before days are made: the longest interval
+    for each start day (map-side combine), then a new span wherever an interval starts
+    after the latest end so far.
+    """
+    start, end = "promo_art_active_start_date", "promo_art_active_end_date"
+    h = promo_hist.where(F.col("promo_art_is_deleted") == "no").join(select_articles_in_category(dm_article, cfg), "key_article", "left_semi")
+    h = h.join(dm_promotion.select("key_promotion"), "key_promotion", "left_semi")
+    lo, hi = _clamped(F.col(start), F.col(end), cfg)
+    longest = _in_period(h, start, end, cfg).groupBy("key_article", lo.alias("first_day")).agg(F.max(hi).alias("last_day"))
+    so_far = Window.partitionBy("key_article").orderBy("first_day").rowsBetween(Window.unboundedPreceding, -1)
+    covered = F.date_add(F.max("last_day").over(so_far), 1)
+    own = longest.withColumn("first_day", F.greatest("first_day", covered)).where(F.col("first_day") <= F.col("last_day"))
+    cal = _bounded_broadcast(period_dates(dm_date, cfg).select("date", "key_date"), cfg.period_days)
+    return _days(own, "first_day", "last_day").join(cal, "date").select("key_article", "key_date")
+
+
 def select_articles_in_category(dm_article: DataFrame, cfg: PanelConfig) -> DataFrame:
     """Article keys of the category level 1 (no assortment window)."""
     return dm_article.where(F.col("art_p_cat_lev_1") == F.lit(cfg.category)).select("key_article")
@@ -330,44 +373,28 @@ def daily_features(wh, cfg: PanelConfig, lines: list[str] | None = None) -> Data
     cal_keys = period_dates(wh.dm_date, cfg).select("key_date", "date")
     cal_b = _bounded_broadcast(cal_keys, cfg.period_days)
     lp = lp.join(cal_b, "date").drop("date")
-    per_line = (
-        a.select("key_article", F.col("key_order_date").alias("key_date"), "ppl", "aor",
-                 "nr_orders_day_ppl", "sum_regular_art_sales_ppl",
-                 F.lit(None).cast("long").alias("line_price"))
-        .unionByName(lp.select("key_article", "key_date", "ppl",
-                               F.lit(None).cast("double").alias("aor"),
-                               F.lit(None).cast("long").alias("nr_orders_day_ppl"),
-                               F.lit(None).cast("double").alias("sum_regular_art_sales_ppl"),
-                               F.col("price_in_cents").alias("line_price"))))
-    per_line = per_line.groupBy("key_article", "key_date", "ppl").agg(
-        F.max("aor").alias("aor"), F.max("nr_orders_day_ppl").alias("nr_orders_day_ppl"),
-        F.max("sum_regular_art_sales_ppl").alias("sum_regular_art_sales_ppl"),
-        F.max("line_price").alias("line_price"))
-    line_entry = F.struct("ppl", F.struct("aor", "nr_orders_day_ppl", "sum_regular_art_sales_ppl",
-                                          "line_price").alias("v"))
-
-    # sparse side, (article, day) grain: promotion flag, unavailability, default price
-    promo = promo_days(wh.ft_promotion_article_history, wh.dm_promotion, wh.dm_article,
-                       wh.dm_date, cfg).select("key_article", "key_date").distinct()
+    # sparse side, (article, day) grain: promotion flag and unavailability, as rows without a line
+    promo = promo_flags(wh.ft_promotion_article_history, wh.dm_promotion, wh.dm_article, wh.dm_date, cfg)
     unav = unavailability(wh.ft_warehouse_article_daily, wh.dm_article, wh.dm_date, cfg)
-    defp = per_line.where(F.col("ppl") == F.lit(cfg.default_line))
-    nul_d, nul_l, nul_i = (F.lit(None).cast(t) for t in ("double", "long", "int"))
-    facts = (
-        per_line.where(F.col("ppl") != F.lit(cfg.default_line))
-        .select("key_article", "key_date", line_entry.alias("e"), nul_i.alias("promo"),
-                nul_d.alias("unav"), nul_l.alias("defp"))
-        .unionByName(promo.select("key_article", "key_date", F.lit(None).alias("e"),
-                                  F.lit(1).alias("promo"), nul_d.alias("unav"), nul_l.alias("defp")),
-                     allowMissingColumns=False)
-        .unionByName(unav.select("key_article", "key_date", F.lit(None).alias("e"), nul_i.alias("promo"),
-                                 F.col("unavailability_perc").alias("unav"), nul_l.alias("defp")))
-        .unionByName(defp.select("key_article", "key_date", F.lit(None).alias("e"), nul_i.alias("promo"),
-                                 nul_d.alias("unav"), F.col("line_price").alias("defp"))))
-    facts = (facts.repartition(n, "key_article")
-             .groupBy("key_article", "key_date")
-             .agg(F.map_from_entries(F.filter(F.collect_list("e"), lambda x: x.isNotNull())).alias("m"),
-                  F.max("promo").alias("promo"), F.max("unav").alias("unav"),
-                  F.max("defp").alias("defp")))
+    kinds = {"ppl": "string", "aor": "double", "nr_orders_day_ppl": "long", "sum_regular_art_sales_ppl": "double", "line_price": "long", "promo": "int", "unav": "double"}
+
+    def fact(df: DataFrame, **own) -> DataFrame:
+        return df.select("key_article", "key_date", *[own.get(c, F.lit(None)).cast(t).alias(c) for c, t in kinds.items()])
+
+    own = {c: F.col(c) for c in ("ppl", "aor", "nr_orders_day_ppl", "sum_regular_art_sales_ppl")}
+    facts = (fact(a.withColumnRenamed("key_order_date", "key_date"), **own)
+             .unionByName(fact(lp, ppl=F.col("ppl"), line_price=F.col("price_in_cents")))
+             .unionByName(fact(promo, promo=F.lit(1)))
+             .unionByName(fact(unav, unav=F.col("unavailability_perc"))))
+    # one shuffle: both aggregates are satisfied by the partitioning on key_article
+    per_line = (facts.repartition(n, "key_article").groupBy("key_article", "key_date", "ppl")
+                .agg(*[F.max(c).alias(c) for c in kinds if c != "ppl"]))
+    line_entry = F.struct("ppl", F.struct("aor", "nr_orders_day_ppl", "sum_regular_art_sales_ppl", "line_price").alias("v"))
+    is_default = F.col("ppl") == F.lit(cfg.default_line)
+    facts = per_line.groupBy("key_article", "key_date").agg(
+        F.map_from_entries(F.collect_list(F.when(F.col("ppl").isNotNull() & ~is_default, line_entry))).alias("m"),
+        F.max("promo").alias("promo"), F.max("unav").alias("unav"),
+        F.max(F.when(is_default, F.col("line_price"))).alias("defp"))
 
     j = dense.join(facts.hint("shuffle_hash"), ["key_article", "key_date"], "left")
     ppl = F.explode(F.array(*[F.lit(x) for x in sell_lines])).alias("ppl")
@@ -414,12 +441,11 @@ def weekly(daily: DataFrame, cfg: PanelConfig | None = None, checkpoint: bool =
 
     The daily table comes partitioned by ``key_article``, so the roll-up needs
     no shuffle. With ``cfg`` the level-1 counts (one category: at most the
-    weeks of the period) are broadcast; the level-2 counts too when weeks x
-    level-2 categories (counted on the written weekly rows) is small, else AQE decides.
+    weeks of the period) are broadcast; AQE decides on the level-2 counts.
     The weekly aggregate feeds three consumers (rows and two counts); with
-    ``checkpoint`` it is written once to the shared checkpoint folder (this
-    also cuts the long panel lineage), else the daily side is recomputed per
-    consumer.
+    ``checkpoint`` it is written once, as a table in the shared checkpoint folder
+    (this also cuts the long panel lineage, and consumers read only their
+    columns), else the daily side is recomputed per consumer.
     """
     agg = daily.groupBy(*WEEKLY_KEYS, *WEEKLY_ATTRS).agg(
         F.sum("sum_regular_art_sales_ppl").alias("product_order_amt"),
@@ -432,9 +458,10 @@ def weekly(daily: DataFrame, cfg: PanelConfig | None = None, checkpoint: bool =
         F.min("date").alias("_d0"),
         F.count("price_in_cents").alias("_np"))
     if checkpoint:
-        from demandlab.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(agg.sparkSession)
-        agg = agg.checkpoint(eager=True)
+        from demandlab.session import scratch_table
+        path = scratch_table(agg.sparkSession, "weekly")
+        agg.write.parquet(path)
+        agg = agg.sparkSession.read.schema(agg.schema).parquet(path)
     # distinct priced articles per (week, category): counted on the weekly rows
     # (an article counts when any of its days that week has a price), so the
     # daily table is read once; the two counts reuse the weekly aggregate.
@@ -446,10 +473,6 @@ def weekly(daily: DataFrame, cfg: PanelConfig | None = None, checkpoint: bool =
     if cfg is not None:
         weeks = cfg.period_days // 7 + 2
         n1 = _bounded_broadcast(n1, weeks)
-        if checkpoint:
-            # level-2 categories: one distinct over the written weekly rows bounds n2
-            levels = agg.select("article_cat_2").distinct().limit(BROADCAST_ROW_LIMIT + 1).count()
-            n2 = _bounded_broadcast(n2, weeks * levels)
     ws = F.to_date(F.date_trunc("week", F.col("_d0")))
     out = (agg.join(n1, ["key_week", "article_cat_1"], "left")
               .join(n2, ["key_week", "article_cat_2"], "left"))
@@ -467,6 +490,6 @@ def weekly(daily: DataFrame, cfg: PanelConfig | None = None, checkpoint: bool =
 __all__ = [
     "assortment", "select_articles", "article_attributes", "period_dates", "price_lines",
     "skeleton", "orders_per_line", "aor", "latest_price_per_day", "prices", "default_prices",
-    "promo_days", "unavailability", "weather", "daily_features", "weekly", "DAILY_COLUMNS", "dense_partitions",
+    "price_spans", "promo_days", "promo_flags", "unavailability", "weather", "daily_features", "weekly", "DAILY_COLUMNS", "dense_partitions",
     "presence_flag", "key_of_date",
 ]

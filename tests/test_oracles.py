@@ -1,5 +1,6 @@
 """Every registered query with an oracle equals its DuckDB SQL on sf0.001."""
 import os
+import re
 
 import duckdb
 import pytest
@@ -33,7 +34,11 @@ def _canon(rows):
     return sorted((tuple(norm(v) for v in r) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+# the optional operator queries (op1_... and the pipeline) are tested in tests/llm
+OWN = sorted(n for n in E.oracle_sql() if n != "pipeline" and not re.match(r"op[0-9]+_", n))
+
+
+@pytest.mark.parametrize("name", OWN)
 def test_query_matches_oracle(spark, name):
     sf = SF_LEVELS if name in AT_SF001 else SF
     if name in AT_SF001 and os.environ.get("DEMANDLAB_FAST"):
@@ -52,4 +57,5 @@ def test_query_matches_oracle(spark, name):
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.limit(5).count() >= 0 and "product_order_amt" in df.columns
+    rows = df.select("product_order_amt", "key_article", "key_week", "ppl").limit(5).collect()
+    assert len(rows) == 5 and all(r.key_article is not None and r.ppl for r in rows)

@@ -126,3 +126,46 @@ def test_promo_days_fan_out_and_daily_dedupe(wh):
 def test_weekly_rollup(wh):
     w = P.weekly(P.daily_features(wh, CFG)).where("ppl = 'PPL1'").orderBy("key_week").collect()
     assert w[0].product_order_amt == 3.0 and w[0].promo_dummy == 1
+
+
+def _random_intervals(seed, n=400):
+    import random
+    from datetime import timedelta
+    r = random.Random(seed)
+    base = datetime(2020, 12, 28)
+    out = []
+    for _ in range(n):
+        s = base + timedelta(hours=r.randrange(24 * 14))
+        e = s + timedelta(hours=r.choice([-30, 0, 5, 24, 48, 100, 500]))
+        out.append((r.choice([1, 1, 1, 2]), r.choice(["PPL1", "PPL1", "default"]), "P", r.randrange(50, 60), s if r.random() > 0.03 else None, e if r.random() > 0.03 else None))
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_price_spans_match_brute_force(wh, spark, seed):
+    from datetime import timedelta
+    entries = _random_intervals(seed)
+    df = spark.createDataFrame(entries, wh.ft_price.schema).repartition(5)
+    want = {}
+    for a, line, _, c, s, e in entries:
+        if s is None or e is None:
+            continue
+        for i in range(7):
+            day = CFG.start + timedelta(days=i)
+            if s.date() <= day <= e.date():
+                want[a, line, day] = max(want.get((a, line, day), (datetime.min,)), (e, s, c))
+    spans = P.price_spans(df, CFG)
+    got = [((r.key_article, r.ppl, r.date), r.price_in_cents) for r in P.latest_price_per_day(df, CFG).collect()]
+    assert len(got) == len(want) and dict(got) == {k: v[2] for k, v in want.items()}
+    # the spans are the winners only: never more than the days of the period
+    assert spans.groupBy("key_article", "ppl").count().agg(F.max("count")).first()[0] <= CFG.period_days
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_promo_flags_match_brute_force(wh, spark, seed):
+    entries = [(7 + (i % 3), a, s, e, "no" if i % 9 else "yes") for i, (a, _, _, _, s, e) in enumerate(_random_intervals(seed, 120))]
+    df = spark.createDataFrame(entries, wh.ft_promotion_article_history.schema).repartition(4)
+    flags = P.promo_flags(df, wh.dm_promotion, wh.dm_article, wh.dm_date, CFG)
+    rows = [tuple(r) for r in flags.select("key_article", "key_date").collect()]
+    every = P.promo_days(df, wh.dm_promotion, wh.dm_article, wh.dm_date, CFG).select("key_article", "key_date").distinct().collect()
+    assert len(rows) == len(set(rows)) and set(rows) == {tuple(r) for r in every}

@@ -35,3 +35,12 @@ def test_skeleton_is_generated(wh):
     plan = _plan(P.skeleton(wh.dm_article, wh.dm_date, P.price_lines(wh.ft_price, CFG), CFG))
     assert "Generate explode" in plan
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_daily_reads_its_facts_once(spark, wh):
+    """Order lines feed the order rate's detail and its totals; every other fact is scanned once."""
+    plan = _plan(P.daily_features(wh, CFG))
+    scans = lambda cols: len([x for x in re.findall(r"ReadSchema: struct<([^>]*)>", plan) if all(c in x for c in cols)])
+    # prices, promotions and order lines come from line items with these columns
+    assert scans(["l_extendedprice", "l_shipdate"]) <= 1
+    assert plan.count("REPARTITION_BY_NUM") == 2
