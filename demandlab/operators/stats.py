@@ -2,15 +2,21 @@
 
 All are single aggregate passes (partial aggregation on the map side), grouped
 by an optional key; outputs are long tables, never driver-side loops over rows.
+Exact quantiles rank a range-sorted table, so groups may be any number and size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from demandlab.operators.gram import BUCKETS, HELD_BYTES, arrays, batch_groups, key_columns, key_types, matrix, numbers, with_types
+from demandlab.session import scratch_table, ship_package
+
 
 def _by(by) -> list[str]:
     if by is None:
@@ -33,7 +39,7 @@ def describe_by(df: DataFrame, cols: Sequence[str], by=None) -> DataFrame:
     and column (A11). Long output: (by..., column, statistic...).
 
     Moments come from one aggregate pass; the quartiles from ``exact_quantiles``
-    (bracketing rounds), so no group is ever gathered in one task.
+    (ranks in a range-sorted table), so no group is ever gathered in one task.
     """
     keys = _by(by)
     stacked = df.select(*keys, F.explode(F.array(*[
@@ -48,7 +54,8 @@ def describe_by(df: DataFrame, cols: Sequence[str], by=None) -> DataFrame:
     wide = qt.groupBy(*qk).agg(*[F.max(F.when(F.col("q") == q, F.col("value"))).alias(n)
                                  for q, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
     m = moments.select(*[F.col(k).cast("string").alias(k) for k in qk], "count", "mean", "std", "min", "max")
-    out = m.join(wide, qk, "left")
+    named = wide.select(*[F.col(k).alias(f"_w{i}") for i, k in enumerate(qk)], "p25", "p50", "p75")
+    out = m.join(named, _same(qk, [f"_w{i}" for i in range(len(qk))]), "left")
     return out.select(*qk, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
@@ -57,25 +64,104 @@ def non_finite(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.agg(*[F.count_if(F.isnan(c) | (F.abs(F.col(c)) == float("inf"))).alias(c) for c in cols])
 
 
+class PairCell:
+    """Of every pair (i, j), over the rows where both are present: n, mean of i, squares of i and products, both centred."""
+
+    def __init__(self, n: np.ndarray, a: np.ndarray, v: np.ndarray, c: np.ndarray):
+        self.n, self.a, self.v, self.c = n, a, v, c
+
+    @staticmethod
+    def of(X: np.ndarray) -> "PairCell":
+        M = np.isfinite(X)
+        shift = np.where(M, X, 0.0).sum(axis=0) / np.maximum(M.sum(axis=0), 1)
+        D, M = np.where(M, X - shift, 0.0), M.astype(float)
+        n, s = M.T @ M, D.T @ M
+        per = np.divide(1.0, n, out=np.zeros_like(n), where=n > 0)
+        return PairCell(n, s * per + shift[:, None], (D * D).T @ M - s * s * per, D.T @ D - s * s.T * per)
+
+    def __add__(self, other: "PairCell") -> "PairCell":
+        n = self.n + other.n
+        per = np.divide(1.0, n, out=np.zeros_like(n), where=n > 0)
+        d = np.where((self.n > 0) & (other.n > 0), other.a - self.a, 0.0)
+        w = self.n * other.n * per
+        mean = np.where(self.n > 0, self.a, other.a) + d * other.n * per
+        return PairCell(n, mean, self.v + other.v + d * d * w, self.c + other.c + d * d.T * w)
+
+    def corr(self) -> np.ndarray:
+        """NaN where a pair has no rows or a column doesn't vary in them."""
+        flat = self.v <= self.n * (1e-12 * np.abs(self.a)) ** 2
+        with np.errstate(divide="ignore", invalid="ignore"):
+            r = self.c / np.sqrt(self.v * self.v.T)
+        return np.where(flat | flat.T, np.nan, np.clip(r, -1.0, 1.0))
+
+    def parts(self) -> list[np.ndarray]:
+        return [x.ravel() for x in (self.n, self.a, self.v, self.c)]
+
+
 def corr_matrix(df: DataFrame, cols: Sequence[str], by=None) -> DataFrame:
     """Pairwise-complete Pearson correlation for every column pair.
 
-    One aggregate pass: each pair uses the rows where both are non-NULL.
-    Long output (by..., a, b, corr); the diagonal is 1 where defined.
+    Each pair uses the rows where both are present (NULL, NaN and infinite entries are
+    missing). A task turns its rows into masked matrix products for all pairs at
+    once; these cells merge exactly, in buckets first, and the result of a group is
+    written out by the task that merges its last cells. Long output (by..., a, b,
+    corr); the diagonal is 1 where defined.
     """
-    keys = _by(by)
-    aggs = []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            aggs.append(F.corr(a, b).alias(f"{i}|{cols.index(b)}"))
-    wide = df.groupBy(*keys).agg(*aggs)
-    pairs = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            lo, hi = min(i, j), max(i, j)
-            pairs.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                                  F.col(f"`{lo}|{hi}`").alias("corr")))
-    return wide.select(*keys, F.explode(F.array(*pairs)).alias("p")).select(*keys, "p.a", "p.b", "p.corr")
+    ship_package(df.sparkSession)
+    keys, k = _by(by), len(cols)
+    gcols = key_columns(keys)
+    schema = ", ".join([f"{g} string" for g in gcols] + ["n array<double>, a array<double>, v array<double>, c array<double>"])
+
+    def packed(acc: dict) -> pa.RecordBatch:
+        columns = [pa.array([g[i] for g in acc], pa.string()) for i in range(len(gcols))]
+        columns += [arrays([c.parts()[i] for c in acc.values()]) for i in range(4)]
+        return pa.RecordBatch.from_arrays(columns, names=[*gcols, "n", "a", "v", "c"])
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        acc: dict = {}
+        for batch in batches:
+            X = matrix(batch.column("_x"), k)
+            for g, idx in batch_groups(batch, gcols, np.ones(len(X), bool)):
+                cell = PairCell.of(X[idx])
+                acc[g] = acc[g] + cell if g in acc else cell
+            if len(acc) * 32 * k * k > HELD_BYTES:
+                yield packed(acc)
+                acc = {}
+        if acc:
+            yield packed(acc)
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, PairCell]]:
+        last, total = None, None
+        for batch in batches:
+            groups = batch.select(gcols).to_pylist() if gcols else [{}] * batch.num_rows
+            for i, r in enumerate(groups):
+                g = tuple(r[c] for c in gcols)
+                cell = PairCell(*(batch.column(c)[i].values.to_numpy().reshape(k, k) for c in ("n", "a", "v", "c")))
+                if g == last:
+                    total = total + cell
+                    continue
+                if last is not None:
+                    yield last, total
+                last, total = g, cell
+        if last is not None:
+            yield last, total
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g, cell in runs(batches):
+            yield packed({g: cell})
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g, cell in runs(batches):
+            r = cell.corr().ravel()
+            columns = [pa.array([v] * (k * k), pa.string()) for v in g] + [pa.array(np.repeat(list(cols), k).tolist()), pa.array(list(cols) * k), pa.array(r, mask=np.isnan(r))]
+            yield pa.RecordBatch.from_arrays(columns, names=[*gcols, "a", "b", "corr"])
+
+    data = df.select(*[F.col(c).cast("string").alias(g) for c, g in zip(keys, gcols, strict=True)], numbers(cols).alias("_x"))
+    part = data.mapInArrow(partial, schema).withColumn("_b", F.pmod(F.spark_partition_id(), F.lit(BUCKETS)))
+    some = part.repartition(*gcols, "_b").sortWithinPartitions(*gcols, "_b").drop("_b").mapInArrow(merge, schema)
+    whole = some.repartition(*gcols).sortWithinPartitions(*gcols) if gcols else some.repartition(1)
+    out = whole.mapInArrow(finish, ", ".join([f"{g} string" for g in gcols] + ["a string, b string, corr double"]))
+    return with_types(out, keys, key_types(df, keys))
 
 
 def pair_corr(df: DataFrame, a: str, b: str, by=None) -> DataFrame:
@@ -103,129 +189,73 @@ def column_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 # ---------------------------------------------------------------- exact quantiles
 
-MAX_GROUPS = 100_000
-CELL_BUDGET = 2_000_000   # sketch values / histogram cells brought to the driver per round
+def _same(left: Sequence[str], right: Sequence[str]) -> Column:
+    out = F.lit(True)
+    for x, y in zip(left, right, strict=True):
+        out = out & F.col(x).eqNullSafe(F.col(y))
+    return out
 
 
-def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], by=None, grid: int = 100,
-                    accuracy: int = 10_000, max_bracket: int = 20_000, max_rounds: int = 60) -> DataFrame:
+def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], by=None) -> DataFrame:
     """Exact quantiles with linear interpolation (the pandas / SQL ``quantile_cont``
-    rule, h = (n - 1) q) per group, without gathering a group in one task.
-
-    Each (group, q) keeps a value bracket that provably holds the order
-    statistics it needs (exact counts below / inside). A round sketches the
-    rows inside the brackets at a fixed probability grid (``percentile_approx``,
-    bounded memory), then counts the rows of every sub-bracket exactly and keeps
-    the sub-brackets holding the target ranks: each round shrinks a bracket by
-    about grid / 2, whatever the value distribution. When at most
-    ``max_bracket`` distinct values remain, the (value, count) pairs are ranked
-    in a window bounded by that size. Output: (by..., q, value).
+    rule, h = (n - 1) q) per group, for any number of groups of any size.
+
+    Distinct values with their counts are dealt by ranges of (group, value) and
+    sorted; each task adds up counts within its groups as the rows pass. A
+    group's rows before a range are the sum over the ranges before it (at most
+    one row for each range), so the range and the position of every wanted rank
+    are known, and one join fetches the values. Nothing passes through the driver
+    and no group is gathered. NULL and NaN values don't count. Output: (by..., q, value),
+    group columns as strings.
     """
-    keys = _by(by)
-    spark = df.sparkSession
-    base = (df.select(*keys, F.col(col).cast("double").alias("_v"))
-              .where(F.col("_v").isNotNull() & ~F.isnan("_v")))
-    gk = [F.col(k).cast("string").alias(f"_g{i}") for i, k in enumerate(keys)]
-    gcols = [f"_g{i}" for i in range(len(keys))]
-    base = base.select(*gk, "_v")
-    counts = base.groupBy(*gcols).agg(F.count(F.lit(1)).alias("n")).limit(MAX_GROUPS + 1).collect()
-    if len(counts) > MAX_GROUPS:
-        raise ValueError("too many groups")
-    # bracket state per (group, q): [a, b] inclusive, below = rows < a, inside = rows in [a, b]
-    state = {}
-    for r in counts:
-        g = tuple(r[c] for c in gcols)
-        for qi, q in enumerate(qs):
-            h = (r.n - 1) * q
-            lo = int(h // 1)
-            state[(g, qi)] = dict(a=float("-inf"), b=float("inf"), below=0, inside=r.n,
-                                  lo=lo, hi=min(lo + 1, r.n - 1) if h > lo else lo, frac=h - lo, n=r.n)
-    schema = ", ".join([f"{g} string" for g in gcols] + ["_q int", "_a double", "_b double"])
-    for _ in range(max_rounds):
-        open_ = {k: s for k, s in state.items() if s["inside"] > max_bracket}
-        if not open_:
-            break
-        # grid adapted so that (open brackets x grid) driver-side values stay within budget
-        g_eff = max(8, min(grid, CELL_BUDGET // len(open_)))
-        probs = [i / g_eff for i in range(g_eff + 1)]
-        br = spark.createDataFrame([(*g, qi, s["a"], s["b"]) for (g, qi), s in open_.items()], schema)
-        inside = _in_brackets(base, br, gcols)
-        sk = inside.groupBy(*gcols, "_q").agg(F.percentile_approx("_v", probs, accuracy).alias("_p")).collect()
-        cuts = {(tuple(r[c] for c in gcols), r["_q"]): sorted(set(r["_p"])) for r in sk}
-        # exact counts per sub-bracket: index = number of cuts strictly below the value
-        cut_rows = [(*g, qi, [float(x) for x in cuts.get((g, qi), [])]) for (g, qi) in open_]
-        cdf = spark.createDataFrame(cut_rows, ", ".join([f"{g} string" for g in gcols] + ["_q int", "_cuts array<double>"]))
-        sub = (inside.join(F.broadcast(cdf), gcols + ["_q"])
-               .select(*gcols, "_q", "_v", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))).alias("_i")))
-        hist = sub.groupBy(*gcols, "_q", "_i").agg(F.count(F.lit(1)).alias("c"), F.min("_v").alias("vmin"),
-                                                   F.max("_v").alias("vmax")).collect()
-        per = {}
-        for r in hist:
-            per.setdefault((tuple(r[c] for c in gcols), r["_q"]), []).append((r["_i"], r["c"], r["vmin"], r["vmax"]))
-        progressed = False
-        for k, s in open_.items():
-            parts = sorted(per.get(k, []))
-            run, pick = s["below"], []
-            for i, c, vmin, vmax in parts:
-                first, last = run, run + c - 1
-                if last >= s["lo"] and first <= s["hi"]:
-                    pick.append((i, c, vmin, vmax, first))
-                run += c
-            if not pick:
+    ship_package(df.sparkSession)
+    keys, spark = _by(by), df.sparkSession
+    gcols = key_columns(keys)
+    base = df.select(*[F.col(k).cast("string").alias(g) for k, g in zip(keys, gcols, strict=True)], F.col(col).cast("double").alias("v"))
+    base = base.where(F.col("v").isNotNull() & ~F.isnan("v"))
+    values = base.groupBy(*gcols, "v").agg(F.count(F.lit(1)).alias("c"))
+    dealt = values.repartitionByRange(*gcols, "v").sortWithinPartitions(*gcols, "v").select(*gcols, "v", "c", F.spark_partition_id().alias("part"))
+
+    def running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, had = None, 0
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
                 continue
-            new_inside = sum(p[1] for p in pick)
-            if new_inside < s["inside"]:
-                progressed = True
-            s.update(a=pick[0][2], b=pick[-1][3], below=pick[0][4], inside=new_inside)
-            if pick[0][2] == pick[-1][3]:
-                s["inside"] = 0   # one distinct value: done
-                s["value_lo"] = s["value_hi"] = pick[0][2]
-        if not progressed:
-            break
-    still = {k: s for k, s in state.items() if s["inside"] > max_bracket and "value_lo" not in s}
-    if still:
-        # many rows but few distinct values (heavy ties) is fine: the final step ranks
-        # (value, count) pairs; only many distinct values would make that window large
-        br = spark.createDataFrame([(*g, qi, s["a"], s["b"]) for (g, qi), s in still.items()], schema)
-        nd = (_in_brackets(base, br, gcols).groupBy(*gcols, "_q")
-              .agg(F.count_distinct("_v").alias("nd")).agg(F.max("nd")).first()[0])
-        if nd is not None and nd > max_bracket:
-            raise RuntimeError("quantile brackets did not narrow below max_bracket; raise max_rounds")
-    # final selection on (value, count) pairs inside each bracket, bounded window
-    todo = {k: s for k, s in state.items() if "value_lo" not in s}
-    out_rows = {k: (s["value_lo"], s["value_hi"]) for k, s in state.items() if "value_lo" in s}
-    if todo:
-        br = spark.createDataFrame([(*g, qi, s["a"], s["b"]) for (g, qi), s in todo.items()], schema)
-        pairs = _in_brackets(base, br, gcols).groupBy(*gcols, "_q", "_v").agg(F.count(F.lit(1)).alias("c"))
-        w = Window.partitionBy(*gcols, "_q").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-        ranked = pairs.withColumn("_cum", F.sum("c").over(w))
-        tgt = spark.createDataFrame([(*g, qi, int(s["below"]), int(s["lo"]), int(s["hi"])) for (g, qi), s in todo.items()],
-                                    ", ".join([f"{g} string" for g in gcols] + ["_q int", "_below long", "_lo long", "_hi long"]))
-        r = ranked.join(F.broadcast(tgt), gcols + ["_q"])
-        start = F.col("_below") + F.col("_cum") - F.col("c")          # rank of the first copy
-        end = F.col("_below") + F.col("_cum") - 1
-        sel = r.groupBy(*gcols, "_q").agg(
-            F.min(F.when((start <= F.col("_lo")) & (end >= F.col("_lo")), F.col("_v"))).alias("vlo"),
-            F.min(F.when((start <= F.col("_hi")) & (end >= F.col("_hi")), F.col("_v"))).alias("vhi")).collect()
-        for row in sel:
-            out_rows[(tuple(row[c] for c in gcols), row["_q"])] = (row["vlo"], row["vhi"])
-    res = []
-    for (g, qi), (vlo, vhi) in out_rows.items():
-        s = state[(g, qi)]
-        val = vlo if vhi is None or s["frac"] == 0 else vlo + s["frac"] * (vhi - vlo)
-        res.append((*g, float(qs[qi]), None if val is None else float(val)))
-    out = spark.createDataFrame(res, ", ".join([f"{g} string" for g in gcols] + ["q double", "value double"]))
-    return out.select(*[F.col(f"_g{i}").alias(k) for i, k in enumerate(keys)], "q", "value")
-
-
-def _in_brackets(base: DataFrame, br: DataFrame, gcols: list[str]) -> DataFrame:
-    """Rows of ``base`` inside their group's brackets, one row per (row, q) hit.
-    The bracket table holds one row per (group, q): bounded, broadcast."""
-    if not gcols:
-        # no groups: the few (q, a, b) brackets become literals, no join
-        lits = [F.struct(F.lit(r["_q"]).alias("_q"), F.lit(r["_a"]).alias("_a"), F.lit(r["_b"]).alias("_b"))
-                for r in br.collect()]
-        j = base.select("_v", F.explode(F.array(*lits)).alias("_br")).select("_v", "_br.*")
-    else:
-        j = base.join(F.broadcast(br), gcols)
-    return j.where((F.col("_v") >= F.col("_a")) & (F.col("_v") <= F.col("_b"))).select(*gcols, "_q", "_v")
+            c, new = batch.column("c").to_numpy(), np.zeros(n, bool)
+            for g in gcols:
+                code = batch.column(g).dictionary_encode(null_encoding="encode").indices.to_numpy()
+                new[1:] |= code[1:] != code[:-1]
+            first = tuple(batch.column(g)[0].as_py() for g in gcols)
+            if first != last:
+                had = 0
+            total = np.cumsum(c)
+            starts = np.flatnonzero(new)
+            before = np.zeros(n, np.int64)
+            if len(starts):
+                before[starts[0]:] = np.repeat(total[starts - 1], np.diff(np.append(starts, n)))
+                cum = total - before
+                cum[:starts[0]] += had
+            else:
+                cum = total + had
+            last, had = tuple(batch.column(g)[n - 1].as_py() for g in gcols), int(cum[-1])
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in (*gcols, "part", "v", "c")), pa.array(cum)], names=[*gcols, "part", "v", "c", "cum"])
+
+    path = scratch_table(spark, "ranks")
+    schema = ", ".join([f"{g} string" for g in gcols] + ["part int, v double, c long, cum long"])
+    dealt.mapInArrow(running, schema).write.parquet(path)
+    ranked = spark.read.schema(schema).parquet(path)
+    # one row for each (group, range): rows of the group before it, and in all
+    ranges = ranked.groupBy(*gcols, "part").agg(F.max("cum").alias("m"))
+    own = Window.partitionBy(*(gcols or [F.lit(0)]))
+    ranges = ranges.withColumns({"before": F.sum("m").over(own.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("m"), "n": F.sum("m").over(own)})
+    h = (F.col("n") - 1) * F.col("q")
+    wanted = ranges.withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs]))) \
+        .withColumns({"frac": h - F.floor(h), "side": F.explode(F.array(F.lit(0), F.lit(1)))}) \
+        .withColumn("rank", F.least(F.floor(h) + F.when(F.col("frac") > 0, F.col("side")).otherwise(0), F.col("n") - 1) - F.col("before")) \
+        .where((F.col("rank") >= 0) & (F.col("rank") < F.col("m")))
+    wanted = wanted.select(*[F.col(c).alias(f"_{c}") for c in (*gcols, "part")], "q", "side", "frac", "rank")
+    hit = ranked.join(wanted, _same([*gcols, "part"], [f"_{c}" for c in (*gcols, "part")]) & (F.col("cum") > F.col("rank")) & (F.col("cum") - F.col("c") <= F.col("rank")))
+    two = hit.groupBy(*gcols, "q").agg(F.max("frac").alias("frac"), *[F.max(F.when(F.col("side") == i, F.col("v"))).alias(n) for i, n in enumerate(("lo", "hi"))])
+    value = F.when((F.col("frac") == 0) | (F.col("lo") == F.col("hi")), F.col("lo")).otherwise(F.col("lo") + F.col("frac") * (F.col("hi") - F.col("lo")))
+    return two.select(*[F.col(g).alias(k) for g, k in zip(gcols, keys, strict=True)], "q", value.alias("value"))

@@ -65,8 +65,7 @@ def test_exact_quantiles_hot_group_ties_and_rounds(spark):
     v = np.concatenate([rng.lognormal(size=n // 2), np.round(rng.normal(size=n - n // 2), 1)])
     v[rng.random(n) < 0.01] = np.nan
     pdf = pd.DataFrame({"g": g, "v": v})
-    res = stats.exact_quantiles(spark.createDataFrame(pdf), "v", [0.0, 0.25, 0.5, 0.333, 1.0], by="g",
-                                max_bracket=50).collect()
+    res = stats.exact_quantiles(spark.createDataFrame(pdf), "v", [0.0, 0.25, 0.5, 0.333, 1.0], by="g").collect()
     assert len(res) == 15
     for r in res:
         ref = pdf[pdf.g == r.g].v.dropna().quantile(r.q)
@@ -79,7 +78,7 @@ def test_exact_quantiles_ungrouped_and_all_null_group(spark):
     rng = np.random.default_rng(5)
     v = np.round(rng.normal(size=5000), 2)
     df = spark.createDataFrame(pd.DataFrame({"v": v}))
-    res = {r.q: r.value for r in stats.exact_quantiles(df, "v", [0.1, 0.5, 0.9], max_bracket=30).collect()}
+    res = {r.q: r.value for r in stats.exact_quantiles(df, "v", [0.1, 0.5, 0.9]).collect()}
     for q, val in res.items():
         assert val == pytest.approx(pd.Series(v).quantile(q), rel=1e-12, abs=1e-12)
     g = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", None)], "g string, v double")
@@ -94,7 +93,7 @@ def test_exact_quantiles_heavy_ties(spark):
     v = np.where(rng.random(5000) < 0.5, 1.0, 2.0)
     v[:50] = rng.normal(size=50)
     pdf = pd.DataFrame({"v": v})
-    for r in stats.exact_quantiles(spark.createDataFrame(pdf), "v", [0.25, 0.4999, 0.75], max_bracket=20).collect():
+    for r in stats.exact_quantiles(spark.createDataFrame(pdf), "v", [0.25, 0.4999, 0.75]).collect():
         assert r.value == pytest.approx(pdf.v.quantile(r.q), rel=1e-12, abs=1e-12)
 
 
@@ -138,3 +137,47 @@ def test_checkpoint_folder_order(tmp_path, monkeypatch):
             ensure_checkpoint_dir(_Session(master=master))
     a, b = (scratch_table(_Session(held="/d/"), "t") for _ in range(2))
     assert a != b and a.startswith("/d/t-")
+
+
+def test_exact_quantiles_many_groups(spark):
+    """200,000 groups of three values each: no limit on groups, nothing through the driver."""
+    n = 200_000
+    df = spark.range(3 * n).select((F.col("id") % n).alias("g"), (F.floor(F.col("id") / n) * 10 + F.col("id") % n).cast("double").alias("v"))
+    got = stats.exact_quantiles(df, "v", [0.5, 0.75], by="g")
+    off = got.select(F.col("g").cast("long").alias("g"), "q", (F.col("value") - F.col("g").cast("long")).alias("x"))
+    assert {(r.q, r.x): r["count"] for r in off.groupBy("q", "x").count().collect()} == {(0.5, 10.0): n, (0.75, 15.0): n}
+
+
+def test_exact_quantiles_hot_and_null_groups(spark):
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({"g": np.where(rng.random(20_000) < 0.6, "hot", rng.integers(0, 50, 20_000).astype(str)), "v": rng.normal(size=20_000).round(3)})
+    pdf.loc[rng.random(20_000) < 0.02, "g"] = None
+    pdf.loc[rng.random(20_000) < 0.05, "v"] = None
+    got = {(r.g, r.q): r.value for r in stats.exact_quantiles(spark.createDataFrame(pdf).repartition(7), "v", [0, 0.1, 0.5, 0.99, 1], by="g").collect()}
+    for g, part in pdf.groupby("g", dropna=False).v:
+        for q in (0, 0.1, 0.5, 0.99, 1):
+            assert got[None if g != g or g is None else g, float(q)] == pytest.approx(part.quantile(q), rel=1e-12, abs=1e-15)
+
+
+@pytest.mark.parametrize("parts", [1, 6])
+def test_corr_matrix_wide_by_group(spark, parts):
+    import time
+
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(9)
+    k, n = 300, 1200
+    X = rng.normal(size=(n, k)) + rng.normal(size=(n, 1)) * rng.random(k) + 1e6 * (np.arange(k) == 4)
+    X[rng.random((n, k)) < 0.1] = np.nan
+    X[:, 7] = 3.0
+    pdf = pd.DataFrame(X, columns=[f"x{i}" for i in range(k)]).assign(g=rng.integers(0, 3, n))
+    pdf.loc[pdf.g == 2, "x9"] = np.nan
+    t0 = time.time()
+    got = stats.corr_matrix(spark.createDataFrame(pdf).repartition(parts), [f"x{i}" for i in range(k)], by="g").toPandas()
+    assert time.time() - t0 < 60
+    for g, part in pdf.groupby("g"):
+        want = part.drop(columns="g").corr().to_numpy()
+        have = got[got.g == g].pivot(index="a", columns="b", values="corr").loc[[f"x{i}" for i in range(k)], [f"x{i}" for i in range(k)]].to_numpy()
+        assert np.allclose(want, have, atol=1e-9, equal_nan=True)
