@@ -161,16 +161,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from demandlab.plans import registry_learners, registry_models
+    from demandlab.plans import registry_design, registry_learners, registry_models
     out = dict(QUERIES)
     out.update(registry_models.QUERIES)
     out.update(registry_learners.QUERIES)
+    out.update(registry_design.QUERIES)
     return out
 
 
 def oracle_sql() -> dict[str, str]:
-    from demandlab.plans import registry_models
+    from demandlab.plans import registry_design, registry_models
     out = {}
     out.update(_panel_sql())
     out.update(registry_models.oracle_sql())
+    out.update(registry_design.ORACLE_SQL)
     return {k: v for k, v in out.items() if k in queries()}

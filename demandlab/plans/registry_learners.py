@@ -132,44 +132,7 @@ def q_elasticity_design(spark, d):
                       lasso.LassoCV()).table
 
 
-def q_naive_models_design(spark, d):
-    """Naive OLS (unadjusted) and 2SLS (robust) of log demand on the design
-    covariates and log price, the instrument being log purchase price (M1, M2)."""
-    from demandlab.plans.estimate_plan import naive_models
-    mat, xs = _design(spark, d)
-    return naive_models(mat, xs)
-
-
-def q_holdout_design(spark, d):
-    """Out-of-time holdout on the design matrix (R3, E7): the encoder is fitted on
-    the training weeks and frozen; the holdout weeks are prepared with it and
-    aligned to the training columns; linear first stages fitted on the training
-    Gram are scored on the holdout. Errors per target (y, d)."""
-    from demandlab.config import PrepConfig
-    from demandlab.operators.panel import daily_features, weekly
-    from demandlab.plans.panel_plan import warehouse
-    from demandlab.plans.registry import CFG
-    prep = PrepConfig()
-    w = weekly(daily_features(warehouse(spark, d), CFG), CFG)
-    cut = F.lit(CFG.holdout_start)
-    hol = FE.holiday_weeks(range(CFG.start.year, CFG.end.year + 1))
-    train, enc = FE.prepare(w.where(F.col("week_start_date") < cut), prep, holidays=hol)
-    # the later set starts n_lags weeks early so its first weeks have lag history
-    from datetime import timedelta
-    history = F.lit(CFG.holdout_start - timedelta(weeks=prep.n_lags))
-    hold, _ = FE.prepare(w.where(F.col("week_start_date") >= history), prep, encoder=enc, holidays=hol)
-    hold = FE.align(hold.where(F.col("week_start_date") >= cut), train.columns)
-    from demandlab.plans.design_plan import design_covariates
-    xs = design_covariates(enc, prep)
-    lin = linear.LinearLearner()
-    slots = {f"_{t}": (t, lin) for t in ("l_product_order_amt", "l_avg_sell_price")}
-    scored = linear.apply_linear(hold, linear.coefficients(train, xs, slots), xs, list(slots))
-    return DG.first_stage_errors(scored, {t: (t, f"_{t}") for t, _ in slots.values()}).withColumnRenamed("slot", "target")
-
-
-QUERIES["holdout_design"] = q_holdout_design
 QUERIES["elasticity_design"] = q_elasticity_design
-QUERIES["naive_models_design"] = q_naive_models_design
 
 
 def q_dml_plr_forest_by_category(spark, d):

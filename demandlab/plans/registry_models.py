@@ -573,8 +573,9 @@ NONFINITE_SQL = _w("SELECT " + ", ".join(
     f"CAST(count_if(isnan({c}) OR isinf({c})) AS BIGINT) AS {c}" for c in _COLS) + " FROM reg")
 
 
-def _design_sql() -> str:
-    from demandlab.plans.registry import CFG, WEEKLY_SQL, with_panel
+def _design_body() -> tuple[str, list[str]]:
+    """The design matrix as a query over the panel's CTEs, and its double columns."""
+    from demandlab.plans.registry import CFG, WEEKLY_SQL
     holidays = ", ".join(f"DATE '{h}'" for h in FE.holiday_weeks(range(CFG.start.year, CFG.end.year + 1)))
     lines = sorted(["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"])
     tiers = sorted(["Good", "Better", "Best"])
@@ -616,7 +617,12 @@ SELECT {", ".join(DESIGN_COLS)}, {", ".join(FE.design_columns(PREP))},
     dbl = [c for c in DESIGN_COLS if c.startswith("l_")] + ["avg_unavailability_perc", "art_content_volume",
                                                             "week_nr", "const"] + \
         [c for c in FE.design_columns(PREP) if not c.startswith(("pre_", "post_"))]
-    return with_panel(_r(body, dbl))
+    return body, dbl
+
+
+def _design_sql() -> str:
+    from demandlab.plans.registry import with_panel
+    return with_panel(_r(*_design_body()))
 
 
 _PLANT = "((CAST(n_lines AS BIGINT) * 7 + fold) % 11)"

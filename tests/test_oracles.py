@@ -10,7 +10,7 @@ import __spark_entry__ as E
 SF = "/root/testdata/sf0.001"
 SF_LEVELS = "/root/testdata/sf0.01"   # every dummy level of the oracle exists from sf0.01 on
 TABLES = "region nation customer supplier part orders lineitem events".split()
-AT_SF001 = {"design_matrix"}
+AT_SF001 = {"design_matrix", "naive_models_design", "elasticity_design_linear", "holdout_design"}
 TYPES = {"LongType()": "BIGINT", "IntegerType()": "INTEGER", "DoubleType()": "DOUBLE",
          "StringType()": "VARCHAR", "DateType()": "DATE"}
 
