@@ -1,23 +1,23 @@
 """Training-order materialisation: token-ID shards in a permuted global order.
 
 Each text becomes token ids of a byte-level BPE plus an end id, cut into
-sequences of at most ``length`` tokens (the last one padded). Sequences are
-numbered densely: rows of a partition follow those of the partitions before it,
-as one counting pass over the same scan tells. A keyed Feistel network over the
-next even number of bits, walked until the value is below the number of
-sequences, maps each number to its global slot, so any position of any epoch
-can be computed without a shuffle or a stored permutation.
-
-Slots are dealt to shards of ``records`` slots each, sorted, and written by
-Spark's own committed writer as fixed-stride binary records: record k of a
-shard starts at byte k * stride, so a reader seeks to any slot and resumes
-there. A record is doc_id (8 bytes), piece number (4), number of tokens (4),
-the ids (2 bytes each, little-endian) and one line feed.
+sequences of at most ``length`` tokens, in one pass that writes the unpadded
+sequences as a table. There they have a place within their partition, and the
+partitions' counts number them densely. A keyed Feistel network over the next
+even number of bits, walked until the value is below the number of sequences,
+maps each number to its global slot, so any position of any epoch can be
+computed without a stored permutation.
+
+Slots are dealt by ranges, some shards of ``records`` slots to a task, sorted,
+padded and written by Spark's own committed writer as fixed-stride binary
+records: record k of a shard starts at byte k * stride, so a reader seeks to any
+slot and resumes there. A record is doc_id (8 bytes), piece number (4), number
+of tokens (2), flags (2; 1: no doc_id), the ids (2 bytes each, little-endian)
+and one line feed.
 
 Defined cases: NULL and empty texts have one sequence holding the end id only; a
-NULL doc_id is stored as -1; repeated rows get sequences each; empty tables give
-no shards; other columns are ignored. ``docs`` must be a scan that gives the same
-partitions twice; if the counts of the two passes differ, the job fails.
+NULL doc_id is stored as 0 with its flag; repeated rows get sequences each; empty
+tables give no shards; other columns are ignored. ``length`` is below 65,536.
 """
 
 from __future__ import annotations
@@ -29,11 +29,10 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlab.llm.textcols import U64, id_and_text, mix, small_batches, text_slices
+from demandlab.llm.textcols import U64, id_and_text, mix, text_slices
 from demandlab.llm.token_counts import BLANK, LETTER, OTHER, SAFE, KeyCache, _cls, strings_of, span_hashes
 from demandlab.session import scratch_table, ship_package
 
@@ -42,6 +41,7 @@ VOCABULARY, END_ID = 50_256, 50_256
 ROUNDS = 6
 HEADER = 16
 POOL = 1 << 24
+MOST_TASKS = 20_000  # of the writing stage; beyond that a task writes several shards
 
 
 # -- the permutation
@@ -105,8 +105,18 @@ class Ids:
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f)}
         self.enc = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.cache = KeyCache()
-        self.pool = np.empty(0, np.uint16)
+        self._clear()
+
+    def _clear(self) -> None:
+        self.cache, self.pool, self.used = KeyCache(), np.empty(1 << 16, np.uint16), 0
+
+    def _keep(self, ids: np.ndarray) -> int:
+        """Append to the pool, which doubles when it is full; returns the place."""
+        at, self.used = self.used, self.used + len(ids)
+        if self.used > len(self.pool):
+            self.pool = np.concatenate([self.pool[:at], np.empty(max(len(self.pool), len(ids)), np.uint16)])
+        self.pool[at:self.used] = ids
+        return at
 
     def _values(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Place and number of the ids of each piece of the safe rows, the pieces' ends by row, which rows are safe."""
@@ -119,29 +129,20 @@ class Ids:
             key, one, back = np.unique(h[miss], return_index=True, return_inverse=True)
             got = self.cache.get(key)
             new = np.flatnonzero(got < 0)
-            if len(new) and len(self.pool) and (self.cache.full(len(new)) or len(self.pool) > POOL):
-                self.cache, self.pool = KeyCache(), np.empty(0, np.uint16)
+            if len(new) and self.used and (self.cache.full(len(new)) or self.used > POOL):
+                self._clear()
                 return self._values(buf, offs)
             if len(new):
                 at = miss[one[new]]
                 ids = [self.enc.encode_ordinary(x) for x in strings_of(cp, s[at], e[at])]
                 sizes = np.array([len(x) for x in ids], np.int64)
-                got[new] = (len(self.pool) + np.cumsum(sizes) - sizes) << 24 | sizes
+                first = self._keep(np.array([i for x in ids for i in x], np.uint16))
+                got[new] = (first + np.cumsum(sizes) - sizes) << 24 | sizes
                 self.cache.put(key[new], got[new])
-                self.pool = np.concatenate([self.pool, np.array([i for x in ids for i in x], np.uint16)])
             self.cache.show(key, got)
             value[miss] = got[back]
         return value, np.searchsorted(s, coffs), safe
 
-    def sizes(self, buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
-        """Number of ids of each row, the end id included."""
-        value, ends, safe = self._values(buf, offs)
-        total = np.concatenate([[0], np.cumsum(value & 0xFFFFFF)])
-        count = total[ends[1:]] - total[ends[:-1]] + 1
-        for i in np.flatnonzero(~safe):
-            count[i] = len(self.enc.encode_ordinary(buf[offs[i]:offs[i + 1]].tobytes().decode())) + 1
-        return count
-
     def rows(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows, each closed by the end id, and the row offsets."""
         value, ends, safe = self._values(buf, offs)
@@ -186,22 +187,15 @@ def _encoder(path: str, pattern: str) -> Ids:
     return _ids[path]
 
 
-# -- the two passes
+# -- sequences, slots and shards
 
-def _count(path: str, pattern: str, length: int):
-    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, n = _encoder(path, pattern), 0
-        for _, buf, offs in text_slices(batches):
-            n += int((-(-enc.sizes(buf, offs) // length)).sum())
-        if n:
-            yield pa.record_batch([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([n], pa.int64())], ["part", "n"])
-    return kernel
+RECORD = np.dtype([("doc", "<i8"), ("piece", "<i4"), ("n", "<u2"), ("flags", "<u2")])
 
 
-def _emit(path: str, pattern: str, length: int, first: dict[int, int], total: int, key: int, records: int):
+def _sequences(path: str, pattern: str, length: int):
+    """Header and ids of every sequence, unpadded, as one binary value."""
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part = _encoder(path, pattern), TaskContext.get().partitionId()
-        at, stop = first.get(part, (0, 0))
+        enc = _encoder(path, pattern)
         for rows, buf, offs in text_slices(batches):
             ids, toffs = enc.rows(buf, offs)
             size = np.diff(toffs)
@@ -209,19 +203,25 @@ def _emit(path: str, pattern: str, length: int, first: dict[int, int], total: in
             doc = np.repeat(np.arange(len(size)), count)
             piece = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
             used = np.minimum(size[doc] - piece * length, length)
-            body = np.full((len(doc), length), END_ID, "<u2")
-            body[np.arange(length)[None, :] < used[:, None]] = ids
-            head = np.zeros(len(doc), [("doc", "<i8"), ("piece", "<i4"), ("n", "<i4")])
-            head["doc"] = rows.column("doc_id").fill_null(-1).to_numpy()[doc]
-            head["piece"], head["n"] = piece, used
-            raw = np.concatenate([head.view(np.uint8).reshape(len(doc), HEADER), body.view(np.uint8).reshape(len(doc), 2 * length)], axis=1)
-            slot = feistel(np.arange(at, at + len(doc)), total, key)
-            at += len(doc)
-            step = HEADER + 2 * length
-            yield pa.record_batch([pa.array(slot // records), pa.array(slot), pa.FixedSizeBinaryArray.from_buffers(pa.binary(step), len(doc), [None, pa.py_buffer(raw.tobytes())]).cast(pa.binary())],
-                                  ["shard", "slot", "record"])
-        if at != stop:
-            raise RuntimeError("the two passes saw different rows: docs must be a repeatable scan")
+            ident = rows.column("doc_id")
+            head = np.zeros(len(doc), RECORD)
+            head["doc"], head["piece"], head["n"] = ident.fill_null(0).to_numpy()[doc], piece, used
+            head["flags"] = ident.is_null().to_numpy(zero_copy_only=False)[doc]
+            # headers between the runs of ids, all in units of two bytes
+            stop = np.cumsum(used + HEADER // 2)
+            out = np.empty(int(stop[-1]) if len(stop) else 0, "<u2")
+            text = np.ones(len(out), bool)
+            text[((stop - used - HEADER // 2)[:, None] + np.arange(HEADER // 2)).ravel()] = False
+            out[text], out[~text] = ids, head.view("<u2")
+            at = np.concatenate([[0], 2 * stop]).astype(np.int32)
+            yield pa.record_batch([pa.BinaryArray.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(at.tobytes()), pa.py_buffer(out.tobytes())])], ["record"])
+    return kernel
+
+
+def _slots(total: int, key: int):
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.record_batch([pa.array(feistel(b.column("number").to_numpy(), total, key)), b.column("record")], ["slot", "record"])
     return kernel
 
 
@@ -230,17 +230,28 @@ def write_shards(docs: DataFrame, out: str, path: str, pattern: str, length: int
     """Write the shards under ``out`` (shard=K/part-...) and return the number of sequences."""
     spark = docs.sparkSession
     ship_package(spark)
-    small_batches(spark)
-    docs = id_and_text(docs, id_col, text_col)
-    counts = sorted((r["part"], r["n"]) for r in docs.select("text").mapInArrow(_count(path, pattern, length), "part int, n long").collect())
-    first, total = {}, 0
-    for part, n in counts:
-        first[part] = (total, total + n)
+    kept = scratch_table(spark, "sequences")
+    # an id is the partition and the place within it
+    id_and_text(docs, id_col, text_col).mapInArrow(_sequences(path, pattern, length), "record binary").withColumn("id", F.monotonically_increasing_id()) \
+        .write.option("compression", "zstd").parquet(kept)
+    seqs = spark.read.schema("record binary, id long").parquet(kept)
+    part = F.shiftright("id", 33).cast("int")
+    counts = sorted((r.part, r.n) for r in seqs.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())   # one for each partition
+    first, total = [], 0
+    for p, n in counts:
+        first.append((p, total))
         total += n
-    shards = total // records + 1
-    slots = docs.mapInArrow(_emit(path, pattern, length, first, max(total, 1), key, records), "shard long, slot long, record binary")
-    slots.repartition(shards, "shard").sortWithinPartitions("shard", "slot").select("shard", F.col("record").cast("string").alias("value")) \
-        .write.partitionBy("shard").text(out)
+    if not total:
+        return 0
+    numbered = seqs.withColumn("part", part).join(F.broadcast(spark.createDataFrame(first, "part int, first long")), "part")
+    number = F.col("first") + F.col("id").bitwiseAND((1 << 33) - 1)
+    slots = numbered.select(number.alias("number"), "record").mapInArrow(_slots(total, key), "slot long, record binary")
+    shards = -(-total // records)
+    each = -(-shards // MOST_TASKS)
+    shard = F.floor(F.col("slot") / records).cast("long")
+    padded = F.rpad("record", HEADER + 2 * length, F.lit(END_ID.to_bytes(2, "little")))
+    slots.withColumn("shard", shard).repartitionById(-(-shards // each), F.floor(F.col("shard") / each).cast("int")).sortWithinPartitions("shard", "slot") \
+        .select("shard", padded.cast("string").alias("value")).write.partitionBy("shard").text(out)
     return total
 
 
@@ -251,18 +262,17 @@ def _parse(length: int, records: int):
         for b in batches:
             for shard, content in zip(b.column("shard").to_pylist(), b.column("content"), strict=True):
                 raw = np.frombuffer(content.as_buffer(), np.uint8).reshape(-1, stride)
-                head = raw[:, :HEADER].copy().view([("doc", "<i8"), ("piece", "<i4"), ("n", "<i4")]).ravel()
+                head = raw[:, :HEADER].copy().view(RECORD).ravel()
                 k = np.arange(len(raw))
-                sha = [hashlib.sha256(r[HEADER:HEADER + 2 * n].tobytes()).hexdigest() for r, n in zip(raw, head["n"].tolist(), strict=True)]
-                doc = pa.array(head["doc"], mask=head["doc"] == -1)
-                yield pa.record_batch([pa.array(shard * records + k), pa.array(np.full(len(k), shard)), pa.array(k * stride), doc, pa.array(head["piece"]), pa.array(head["n"]), pa.array(sha, pa.string())],
+                sha = [hashlib.sha256(r[HEADER:HEADER + 2 * n]).hexdigest() for r, n in zip(raw, head["n"].tolist(), strict=True)]
+                doc = pa.array(head["doc"], mask=head["flags"] == 1)
+                yield pa.record_batch([pa.array(shard * records + k), pa.array(np.full(len(k), shard)), pa.array(k * stride), doc, pa.array(head["piece"]), pa.array(head["n"].astype(np.int32)), pa.array(sha, pa.string())],
                                       ["slot", "shard", "byte_offset", "doc_id", "piece", "n_tokens", "ids_sha256"])
     return kernel
 
 
 def read_shards(spark: SparkSession, out: str, length: int = 512, records: int = 16_384) -> DataFrame:
     """slot, shard, byte_offset, doc_id, piece, n_tokens, ids_sha256 of every record, read from the files."""
-    small_batches(spark, 8)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").schema(
         "path string, modificationTime timestamp, length long, content binary, shard long").load(out)
     return files.select("shard", "content").mapInArrow(

@@ -144,3 +144,29 @@ def test_shards_empty(empty):
 def test_word_count(spark):
     got = spark.createDataFrame([("a  b\n c",), ("",), (None,), (" \t",)], "t string").select(mx.word_count(F.col("t"))).collect()
     assert [r[0] for r in got] == [3, 0, 0, 0]
+
+
+def test_shards_of_odd_ids_and_long_texts(spark):
+    """A doc_id of -1 is not a missing one; texts over a slice (1 MB) are whole; the session's settings stay."""
+    long = "wörd and 42 more " * 90_000
+    df = spark.createDataFrame([(-1, "a b"), (None, "a b"), (0, ""), (2**62, long), (-1, "a b")], "doc_id long, text string").repartition(2)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    out = scratch_table(spark, "shards")
+    total = ts.write_shards(df, out, BPE, PATTERN, 512, 50)
+    got = ts.read_shards(spark, out, 512, 50).collect()
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+    enc = ts.Ids(BPE, PATTERN)
+    ids = [*enc.enc.encode_ordinary(long), ts.END_ID]
+    assert total == len(got) == 4 + -(-len(ids) // 512)
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in got if r.doc_id != 2**62) == [(False, -1), (False, -1), (False, 0), (True, 0)]
+    whole = {r.piece: r.ids_sha256 for r in got if r.doc_id == 2**62}
+    assert whole == {k: hashlib.sha256(np.array(ids[512 * k:512 * k + 512], "<u2").tobytes()).hexdigest() for k in range(-(-len(ids) // 512))}
+
+
+def test_the_pool_is_emptied_when_full(monkeypatch):
+    monkeypatch.setattr(ts, "POOL", 50)
+    enc = ts.Ids(BPE, PATTERN)
+    for k in range(30):
+        raw = f"word{k} other{k * 7} und noch ein Text {k}".encode()
+        ids, offs = enc.rows(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        assert ids.tolist() == [*enc.enc.encode_ordinary(raw.decode()), ts.END_ID]
