@@ -1,9 +1,10 @@
 """Training-order materialisation: token-ID shards in a permuted global order.
 
 Each text becomes token ids of a byte-level BPE plus an end id, cut into
-sequences of at most ``length`` tokens, in one pass that writes the unpadded
-sequences as a table. There they have a place within their partition, and the
-partitions' counts number them densely. A keyed Feistel network over the next
+sequences of at most ``length`` tokens. Sequences are numbered densely: rows of a
+partition follow those of the partitions before it, as one counting pass over
+the same scan tells (a second pass over the texts costs less than a table of all
+ids beside the shuffle and the shards). A keyed Feistel network over the next
 even number of bits, walked until the value is below the number of sequences,
 maps each number to its global slot, so any position of any epoch can be
 computed without a stored permutation.
@@ -18,6 +19,8 @@ and one line feed.
 Defined cases: NULL and empty texts have one sequence holding the end id only; a
 NULL doc_id is stored as 0 with its flag; repeated rows get sequences each; empty
 tables give no shards; other columns are ignored. ``length`` is below 65,536.
+``docs`` must be a scan that gives the same partitions twice; if the counts of the
+two passes differ, the job fails.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -143,6 +147,15 @@ class Ids:
             value[miss] = got[back]
         return value, np.searchsorted(s, coffs), safe
 
+    def sizes(self, buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
+        """Number of ids of each row, the end id included."""
+        value, ends, safe = self._values(buf, offs)
+        total = np.concatenate([[0], np.cumsum(value & 0xFFFFFF)])
+        count = total[ends[1:]] - total[ends[:-1]] + 1
+        for i in np.flatnonzero(~safe):
+            count[i] = len(self.enc.encode_ordinary(buf[offs[i]:offs[i + 1]].tobytes().decode())) + 1
+        return count
+
     def rows(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows, each closed by the end id, and the row offsets."""
         value, ends, safe = self._values(buf, offs)
@@ -192,10 +205,21 @@ def _encoder(path: str, pattern: str) -> Ids:
 RECORD = np.dtype([("doc", "<i8"), ("piece", "<i4"), ("n", "<u2"), ("flags", "<u2")])
 
 
-def _sequences(path: str, pattern: str, length: int):
-    """Header and ids of every sequence, unpadded, as one binary value."""
+def _count(path: str, pattern: str, length: int):
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc, n = _encoder(path, pattern), 0
+        for _, buf, offs in text_slices(batches):
+            n += int((-(-enc.sizes(buf, offs) // length)).sum())
+        if n:
+            yield pa.record_batch([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([n], pa.int64())], ["part", "n"])
+    return kernel
+
+
+def _emit(path: str, pattern: str, length: int, first: dict[int, tuple[int, int]], total: int, key: int):
+    """Slot, and header and ids as one unpadded binary value, of every sequence."""
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(path, pattern)
+        number, last = first.get(TaskContext.get().partitionId(), (0, 0))
         for rows, buf, offs in text_slices(batches):
             ids, toffs = enc.rows(buf, offs)
             size = np.diff(toffs)
@@ -214,14 +238,12 @@ def _sequences(path: str, pattern: str, length: int):
             text[((stop - used - HEADER // 2)[:, None] + np.arange(HEADER // 2)).ravel()] = False
             out[text], out[~text] = ids, head.view("<u2")
             at = np.concatenate([[0], 2 * stop]).astype(np.int32)
-            yield pa.record_batch([pa.BinaryArray.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(at.tobytes()), pa.py_buffer(out.tobytes())])], ["record"])
-    return kernel
-
-
-def _slots(total: int, key: int):
-    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.record_batch([pa.array(feistel(b.column("number").to_numpy(), total, key)), b.column("record")], ["slot", "record"])
+            slot = feistel(np.arange(number, number + len(doc)), total, key)
+            number += len(doc)
+            yield pa.record_batch([pa.array(slot), pa.BinaryArray.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(at.tobytes()), pa.py_buffer(out.tobytes())])],
+                                  ["slot", "record"])
+        if number != last:
+            raise RuntimeError("the two passes saw different rows: docs must be a repeatable scan")
     return kernel
 
 
@@ -230,28 +252,21 @@ def write_shards(docs: DataFrame, out: str, path: str, pattern: str, length: int
     """Write the shards under ``out`` (shard=K/part-...) and return the number of sequences."""
     spark = docs.sparkSession
     ship_package(spark)
-    kept = scratch_table(spark, "sequences")
-    # an id is the partition and the place within it
-    id_and_text(docs, id_col, text_col).mapInArrow(_sequences(path, pattern, length), "record binary").withColumn("id", F.monotonically_increasing_id()) \
-        .write.option("compression", "zstd").parquet(kept)
-    seqs = spark.read.schema("record binary, id long").parquet(kept)
-    part = F.shiftright("id", 33).cast("int")
-    counts = sorted((r.part, r.n) for r in seqs.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())   # one for each partition
-    first, total = [], 0
-    for p, n in counts:
-        first.append((p, total))
+    docs = id_and_text(docs, id_col, text_col)
+    counts = sorted((r.part, r.n) for r in docs.select("text").mapInArrow(_count(path, pattern, length), "part int, n long").collect())   # one for each partition
+    first, total = {}, 0
+    for part, n in counts:
+        first[part] = (total, total + n)
         total += n
     if not total:
         return 0
-    numbered = seqs.withColumn("part", part).join(F.broadcast(spark.createDataFrame(first, "part int, first long")), "part")
-    number = F.col("first") + F.col("id").bitwiseAND((1 << 33) - 1)
-    slots = numbered.select(number.alias("number"), "record").mapInArrow(_slots(total, key), "slot long, record binary")
+    slots = docs.mapInArrow(_emit(path, pattern, length, first, total, key), "slot long, record binary")
     shards = -(-total // records)
     each = -(-shards // MOST_TASKS)
-    shard = F.floor(F.col("slot") / records).cast("long")
     padded = F.rpad("record", HEADER + 2 * length, F.lit(END_ID.to_bytes(2, "little")))
-    slots.withColumn("shard", shard).repartitionById(-(-shards // each), F.floor(F.col("shard") / each).cast("int")).sortWithinPartitions("shard", "slot") \
-        .select("shard", padded.cast("string").alias("value")).write.partitionBy("shard").text(out)
+    dealt = slots.repartitionById(-(-shards // each), F.floor(F.col("slot") / (records * each)).cast("int"))
+    dealt.withColumn("shard", F.floor(F.col("slot") / records)).sortWithinPartitions("shard", "slot").select("shard", padded.cast("string").alias("value")) \
+        .write.partitionBy("shard").text(out)
     return total
 
 
