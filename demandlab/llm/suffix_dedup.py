@@ -23,8 +23,10 @@ a phrase; the text becomes a string of phrase names (hashes).
    class by the hash of their ``window`` bytes, equal neighbours being repeats.
 
 Sorted are distinct keys with their counts, so a phrase that a third of all
-rows share is one row of a sort. Tables are broadcast below checked sizes only,
-beyond them they are joined.
+rows share is one row of a sort. Which names occur twice, and which classes have
+open windows, is told to the tasks by bitmaps of a fixed size (8 MB): a bit set by
+another name costs work and changes nothing. Tables are broadcast below checked
+sizes only, beyond them they are joined.
 
 Defined cases: NULL and empty texts have no bytes; equal rows repeat each other;
 texts shorter than the window keep all bytes; NULL ids are returned; empty
@@ -154,22 +156,30 @@ def _triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                   ["id", "code", "i", "a", "b", "c"])
 
 
+def _lists(col: pa.ListArray) -> tuple[np.ndarray, pa.Array]:
+    """Lengths of a list column's rows (NULL: 0) and its entries, one after the other."""
+    return col.value_lengths().fill_null(0).to_numpy().astype(np.int64), col.flatten()
+
+
+def _placed(row: np.ndarray, at: np.ndarray, value: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows' arrays that hold ``value`` at place ``at`` and 0 elsewhere: their lengths (0 for rows without entries) and entries."""
+    size = np.zeros(n, np.int64)
+    np.maximum.at(size, row, at + 1)
+    out = np.zeros(int(size.sum()), np.int64)
+    out[(np.cumsum(size) - size)[row] + at] = value
+    return size, out
+
+
 def _next_level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Strings of names at positions 1 mod 3 and at positions 2 mod 3."""
     for b in batches:
-        ids, codes, out = [], [], []
-        for r in b.to_pylist():
-            at = np.array([x["i"] for x in r["named"]], np.int64)
-            rank = np.array([x["rank"] for x in r["named"]], np.int64)
-            for k in (1, 2):
-                here = at % 3 == k
-                if here.any():
-                    s = np.zeros(at[here].max() // 3 + 1, np.int64)
-                    s[at[here] // 3] = rank[here]
-                    ids.append(r["id"])
-                    codes.append(r["code"] * 3 + k)
-                    out.append(s)
-        yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(codes, pa.int64()), pa.array(out, pa.list_(pa.int64()))], ["id", "code", "s"])
+        count, named = _lists(b.column("named"))
+        row, at, rank = np.repeat(np.arange(b.num_rows), count), named.field("i").to_numpy().astype(np.int64), named.field("rank").to_numpy()
+        for k in (1, 2):
+            here = at % 3 == k
+            size, out = _placed(row[here], at[here] // 3, rank[here], b.num_rows)
+            has = pa.array(np.flatnonzero(size))
+            yield pa.record_batch([b.column("id").take(has), pa.array(b.column("code").take(has).to_numpy() * 3 + k), list_array(pa.array(out), size[size > 0])], ["id", "code", "s"])
 
 
 def _merge_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,35 +191,37 @@ def _merge_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     which of the smaller ones count for this suffix (1: a, 2: b, 3: both).
     """
     for batch in batches:
+        count, flat = _lists(batch.column("s"))
+        base = np.concatenate([[0], np.cumsum(count + 3)])   # each row followed by three terminators
+        row = np.repeat(np.arange(len(count)), count)
+        place = base[row] + np.arange(len(row)) - (np.cumsum(count) - count)[row]
+        s, rank = np.zeros(base[-1], np.int64), np.zeros(base[-1], np.int64)
+        s[place] = flat.to_numpy()
+        n_parts, parts = _lists(batch.column("parts"))
+        size, ranks = _lists(parts.field("rank"))
+        of, k = np.repeat(np.arange(len(n_parts)), n_parts), parts.field("code").to_numpy() % 3
+        step = np.arange(len(ranks)) - np.repeat(np.cumsum(size) - size, size)
+        rank[np.repeat(base[of] + k, size) + 3 * step] = ranks.to_numpy()
+        live = place[s[place] != 0]
+        row = row[s[place] != 0]
+        at = live - base[row]
         own, cols = [], []
-        for i, r in enumerate(batch.to_pylist()):
-            s = _padded(np.array(r["s"], np.int64))
-            n = len(s) - 3
-            rank = np.zeros(n + 3, np.int64)
-            for x in r["parts"] or []:
-                got = np.array(x["rank"], np.int64)
-                rank[3 * np.arange(len(got)) + x["code"] % 3] = got
-            p = np.flatnonzero(s[:n])
-            for k, order, want in ((0, 1, 3), (0, 2, 2), (1, 3, 2), (1, 1, 1), (2, 3, 2), (2, 2, 1)):
-                q = p[p % 3 == k]
-                key = {1: (s[q], rank[q + 1], 0 * q), 2: (s[q], s[q + 1], rank[q + 2]), 3: (rank[q], 0 * q, 0 * q)}[order]
-                own.append(np.full(len(q), i))
-                cols.append(np.stack([q, np.full(len(q), order), *key, np.full(len(q), want), np.full(len(q), int(k == 0)), np.full(len(q), int(k > 0))], 1))
-        if own:
-            own, cols = pa.array(np.concatenate(own)), np.concatenate(cols)
-            yield pa.record_batch([batch.column("id").take(own), batch.column("code").take(own), *(pa.array(np.ascontiguousarray(cols[:, k])) for k in range(8))],
-                                  ["id", "code", "i", "o", "k1", "k2", "k3", "want", "a", "b"])
+        for k, order, want in ((0, 1, 3), (0, 2, 2), (1, 3, 2), (1, 1, 1), (2, 3, 2), (2, 2, 1)):
+            here = at % 3 == k
+            q = live[here]
+            key = {1: (s[q], rank[q + 1], 0 * q), 2: (s[q], s[q + 1], rank[q + 2]), 3: (rank[q], 0 * q, 0 * q)}[order]
+            own.append(row[here])
+            cols.append((at[here], np.full(len(q), order), *key, np.full(len(q), want), np.full(len(q), int(k == 0)), np.full(len(q), int(k > 0))))
+        own = pa.array(np.concatenate(own))
+        yield pa.record_batch([batch.column("id").take(own), batch.column("code").take(own), *(pa.array(np.concatenate(c)) for c in zip(*cols, strict=True))],
+                              ["id", "code", "i", "o", "k1", "k2", "k3", "want", "a", "b"])
 
 
 def _filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        out = []
-        for pairs in b.column("pairs").to_pylist():
-            at = np.array([x["i"] for x in pairs], np.int64)
-            s = np.zeros(at.max() + 1, np.int64)
-            s[at] = [x["rank"] for x in pairs]
-            out.append(s)
-        yield pa.record_batch([b.column("id"), b.column("code"), pa.array(out, pa.list_(pa.int64()))], ["id", "code", "rank"])
+        count, pairs = _lists(b.column("pairs"))
+        size, out = _placed(np.repeat(np.arange(b.num_rows), count), pairs.field("i").to_numpy().astype(np.int64), pairs.field("rank").to_numpy(), b.num_rows)
+        yield pa.record_batch([b.column("id"), b.column("code"), list_array(pa.array(out), size)], ["id", "code", "rank"])
 
 
 def _save(df: DataFrame, name: str) -> DataFrame:
@@ -247,22 +259,21 @@ def _suffix_rows(window: int):
     """Per ranked suffix: its next names as far as a window can reach, and their lengths."""
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            own, at, ranks, names, sizes = [], [], [], [], []
-            for k, r in enumerate(b.to_pylist()):
-                s, size, rank = np.array(r["s"], np.int64), np.array(r["sizes"], np.int64), np.array(r["rank"], np.int64)
-                total = np.concatenate([[0], np.cumsum(size)])
-                zero = np.append(np.flatnonzero(s == 0), len(s))
-                p = np.flatnonzero(rank)
-                stop = np.minimum(np.searchsorted(total, total[p + 1] + window - 1, "left"), zero[np.searchsorted(zero, p)])
-                for i, e in zip(p.tolist(), stop.tolist(), strict=True):
-                    names.append(s[i:e])
-                    sizes.append(size[i:e].astype(np.int32))
-                own.append(np.full(len(p), k))
-                at.append(p)
-                ranks.append(rank[p])
-            if own:
-                yield pa.record_batch([b.column("id").take(pa.array(np.concatenate(own))), pa.array(np.concatenate(at).astype(np.int32)), pa.array(np.concatenate(ranks)),
-                                       pa.array(names, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int32()))], ["id", "i", "rank", "names", "sizes"])
+            count, names = _lists(b.column("s"))
+            s, size = names.to_numpy(), b.column("sizes").flatten().to_numpy().astype(np.int32)
+            given, ranks = _lists(b.column("rank"))   # may end before its string does
+            first = np.cumsum(count) - count
+            rank = np.zeros(len(s), np.int64)
+            rank[np.repeat(first, given) + np.arange(len(ranks)) - np.repeat(np.cumsum(given) - given, given)] = ranks.to_numpy()
+            total = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+            ends = np.union1d(np.flatnonzero(s == 0), np.append(first, len(s)))
+            p = np.flatnonzero(rank)
+            stop = np.minimum(np.searchsorted(total, total[p + 1] + window - 1, "left"), ends[np.searchsorted(ends, p, "right")])
+            row = np.searchsorted(first, p, "right") - 1
+            n = stop - p
+            take = np.repeat(p - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            yield pa.record_batch([b.column("id").take(pa.array(row)), pa.array((p - first[row]).astype(np.int32)), pa.array(rank[p]),
+                                   list_array(pa.array(s[take]), n), list_array(pa.array(size[take]), n)], ["id", "i", "rank", "names", "sizes"])
     return kernel
 
 
@@ -377,6 +388,25 @@ def _cell(name: np.ndarray) -> np.ndarray:
     return (mix(name.view(U64)) >> U64(64 - CELL_BITS)).astype(np.int64)
 
 
+def _cells_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        yield pa.record_batch([pa.array(np.unique(_cell(b.column("name").to_numpy())))], ["cell"])
+
+
+def bitmap(cells: DataFrame) -> np.ndarray:
+    """2 ** CELL_BITS bits as longs, those of the given cells set: as large for any number of cells."""
+    words = cells.groupBy(F.shiftright("cell", 6).alias("w")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("cell").bitwiseAND(63).cast("int"))).alias("bits")).toArrow()
+    out = np.zeros(1 << CELL_BITS - 6, np.int64)
+    out[words["w"].to_numpy()] = words["bits"].to_numpy()
+    return out
+
+
+def in_bitmap(bits: np.ndarray, name: np.ndarray) -> np.ndarray:
+    cell = _cell(name)
+    return (bits[cell >> 6] >> (cell & 63)) & 1 > 0
+
+
 def _open_cells(window: int):
     """Cells of the inner phrases of open windows."""
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -400,16 +430,15 @@ def _plan(window: int, cells):
     names = ["tid", "lead", "whole", "sure_a", "sure_b", "hash_a", "hash_b", "open_a", "open_b"]
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = None if cells is None else cells.value
+        wanted = cells.value
         for b in batches:
             out = []
             for r in b.to_pylist():
                 sure, open_, skip, key = settle(*_reach_of(r), window)
-                if wanted is None or not len(key):
-                    need = np.ones(len(key), bool)
+                if not len(key):
+                    need = np.ones(0, bool)
                 else:
-                    has = in_sorted(wanted, _cell(np.array(r["names"], np.int64))) >= 0
-                    need = (key < 0) | has[np.maximum(key, 0)]
+                    need = (key < 0) | in_bitmap(wanted, np.array(r["names"], np.int64))[np.maximum(key, 0)]
                 emit = (sure & ~skip | open_) & need if r["whole"] else open_ | (sure & ~skip & need)
                 if r["whole"]:
                     sure, open_ = np.ones(len(sure), bool), np.zeros(len(sure), bool)
@@ -497,34 +526,36 @@ def useful(again: np.ndarray, sizes: np.ndarray, window: int) -> np.ndarray:
 def _mark(names, window: int):
     """Strings with terminators for phrases that lie in no repeat; texts without other phrases drop out."""
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = names.value
+        bits = names.value
         for b in batches:
-            flat = b.column("names").flatten().to_numpy()
-            count = b.column("names").value_lengths().to_numpy()
+            count, flat = _lists(b.column("names"))
+            flat = flat.to_numpy()
             sizes, ends = b.column("sizes").flatten().to_numpy(), np.cumsum(count)
-            again = in_sorted(table, flat) >= 0
-            keep = np.concatenate([np.zeros(0, bool), *(useful(again[e - c:e], sizes[e - c:e], window) for e, c in zip(ends, count, strict=True))])
-            flat = np.where(keep, flat, 0)
+            again = in_bitmap(bits, flat)
             row = np.repeat(np.arange(len(count)), count)
+            keep = np.zeros(len(flat), bool)
+            for i in np.flatnonzero(np.bincount(row, again, len(count))).tolist():
+                at = slice(ends[i] - count[i], ends[i])
+                keep[at] = useful(again[at], sizes[at], window)
+            flat = np.where(keep, flat, 0)
             out = pa.record_batch([b.column("id"), list_array(pa.array(flat), count), b.column("sizes")], ["id", "s", "sizes"])
             yield out.filter(pa.array(np.bincount(row, flat != 0, len(count)) > 0))
     return kernel
 
 
-def _strings_of(one: DataFrame, window: int, names_most: int) -> DataFrame:
-    """id, s, sizes of the texts with repeated phrases."""
-    spark = one.sparkSession
-    name = _save(one.select(F.explode("names").alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("name"), "names")
-    if name.count() <= names_most:
-        table = spark.sparkContext.broadcast(np.sort(name.toPandas()["name"].to_numpy(np.int64)))
-        return one.select("id", "names", "sizes").mapInArrow(_mark(table, window), "id long, s array<long>, sizes array<int>")
-    flat = one.select("id", F.posexplode("names").alias("i", "name")).join(name.withColumn("twice", F.lit(True)), "name", "left")
-    s = flat.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("i", F.when(F.col("twice"), F.col("name")).otherwise(0).alias("v")))).alias("x"), F.max("twice").alias("any"))
-    return s.where("any").select("id", F.col("x.v").alias("s")).join(one.select("id", "sizes"), "id")
+def _strings_of(one: DataFrame, window: int) -> DataFrame:
+    """id, s, sizes of the texts with repeated phrases.
+
+    Repeated names set bits of a bitmap of fixed size; a phrase that occurs once
+    and meets such a bit stays in its string, where it equals nothing.
+    """
+    again = one.select(F.explode("names").alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("name")
+    bits = one.sparkSession.sparkContext.broadcast(bitmap(again.mapInArrow(_cells_of, "cell long")))
+    return one.select("id", "names", "sizes").mapInArrow(_mark(bits, window), "id long, s array<long>, sizes array<int>")
 
 
 def suffix_dedup(docs: DataFrame, window: int = 400, id_col: str = "doc_id", text_col: str = "text",
-                 names_most: int = 4_000_000, broadcast_most: int = 1_000_000) -> DataFrame:
+                 broadcast_most: int = 1_000_000) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
     spark = docs.sparkSession
     ship_package(spark)
@@ -542,11 +573,13 @@ def suffix_dedup(docs: DataFrame, window: int = 400, id_col: str = "doc_id", tex
     one = table.join(small(twice, broadcast_most), "tid", "left").where("first is null or id = first") \
         .select("id", "tid", F.col("doc_id").alias("lead"), F.col("first").isNotNull().alias("whole"), "names", "sizes")
 
-    strings = _save(_strings_of(one, window, names_most), "strings")
+    strings = _save(_strings_of(one, window), "strings")
     found = reaches(strings, window, depth).groupBy("id").agg(F.collect_list(F.struct("i", "reach", "skip")).alias("found"))
     known = _save(one.join(found, "id", "left"), "reaches")
-    cells = _save(known.where("not whole").select("names", "sizes", "found").mapInArrow(_open_cells(window), "cell long").distinct(), "cells")
-    wanted = spark.sparkContext.broadcast(np.sort(cells.toPandas()["cell"].to_numpy(np.int64))) if cells.count() <= names_most else None
+    # a text of short phrases, none of them found twice, has an inner phrase in every window: nothing is repeated or open
+    known = known.where(F.col("whole") | F.col("found").isNotNull() | (F.array_max("sizes") > (window - BEFORE - AFTER) // 2))
+    cells = known.where("not whole").select("names", "sizes", "found").mapInArrow(_open_cells(window), "cell long")
+    wanted = spark.sparkContext.broadcast(bitmap(cells))
     plan = _save(known.mapInArrow(_plan(window, wanted), "tid binary, lead long, whole boolean, sure_a array<int>, sure_b array<int>, "
                                   "hash_a array<int>, hash_b array<int>, open_a array<int>, open_b array<int>")
                  .withColumn("t", F.monotonically_increasing_id()), "plan")

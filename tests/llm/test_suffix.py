@@ -70,9 +70,11 @@ def test_equal_windows_share_chosen_positions():
     assert np.diff(qa).min() > sd.NEAR
 
 
-@pytest.mark.parametrize("names_most,broadcast_most", [(10**6, 10**6), (0, 0)])
-def test_suffix_dedup(docs, rows, names_most, broadcast_most):
-    assert _got(sd.suffix_dedup(docs, names_most=names_most, broadcast_most=broadcast_most)) == _brute(rows, 400)
+@pytest.mark.parametrize("bits,broadcast_most", [(26, 10**6), (8, 0)])
+def test_suffix_dedup(docs, rows, monkeypatch, bits, broadcast_most):
+    """With bitmaps that are nearly full (256 bits), too, and joins instead of broadcasts."""
+    monkeypatch.setattr(sd, "_cell", lambda name: (sd.mix(name.view(sd.U64)) >> sd.U64(64 - bits)).astype(np.int64))
+    assert _got(sd.suffix_dedup(docs, broadcast_most=broadcast_most)) == _brute(rows, 400)
 
 
 @pytest.mark.parametrize("seed", range(4))
