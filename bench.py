@@ -46,21 +46,29 @@ def main() -> None:
     from demandlab.plans.panel_plan import warehouse
     warehouse(spark, sf_dir).dm_article.count()
     only = [q for q in os.environ.get("BENCH_ONLY", "").split(",") if q]
-    times = {}
-    for name, q, act in plan:
-        if only and name not in only:
-            continue
-        t0 = time.time()
-        act(q(spark, sf_dir))
-        times[name] = round(time.time() - t0, 3)
-        print(f"{name}: {times[name]}s", file=sys.stderr, flush=True)
     sf_txt = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     try:
         sf = float(sf_txt)
     except ValueError:
         sf = sf_txt
-    print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf}))
+    times, failed = {}, {}
+
+    def line() -> str:
+        out = {"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times, "sf": sf}
+        return json.dumps(out | ({"failed": failed} if failed else {}))
+
+    for name, q, act in plan:
+        if only and name not in only:
+            continue
+        t0 = time.time()
+        try:
+            act(q(spark, sf_dir))
+            times[name] = round(time.time() - t0, 3)
+        except Exception as e:  # noqa: BLE001 - the other queries still count
+            failed[name] = f"{type(e).__name__}: {str(e)[:200]}"
+        # what is known so far, should the run be stopped
+        print(line(), file=sys.stderr, flush=True)
+    print(line())
 
 
 if __name__ == "__main__":

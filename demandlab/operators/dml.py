@@ -24,6 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from demandlab.functions.scalar import finite_or_null
 from demandlab.operators.gram import _by, _none
@@ -42,12 +43,11 @@ def _learner_name(lr) -> str:
     return getattr(lr, "name", None) or type(lr).__name__
 
 
-def _written(df: DataFrame, name: str, fold: str | None = None) -> DataFrame:
-    """The frame as a written table in the shared folder, by fold if given."""
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a written table in the shared folder."""
     path = scratch_table(df.sparkSession, name)
-    w = df.write.partitionBy(fold) if fold else df.write
-    w.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def out_of_fold(df: DataFrame, x: Sequence[str], targets: dict, fold: str = "fold", by=None,
@@ -69,43 +69,69 @@ def out_of_fold(df: DataFrame, x: Sequence[str], targets: dict, fold: str = "fol
 
 
 ML_PARALLELISM = 4   # concurrent Spark ML fits (each fit is itself distributed)
+ML_ATTEMPTS = 3      # of one fit; its output replaces that of an attempt that broke off
 MAX_REFITS = 10_000  # documented bound: Spark ML has no grouped fit, each (group, fold) is a job of its own
 
 
 def _ml_out_of_fold(df: DataFrame, x, slots: dict, fold, keys, parallelism: int = ML_PARALLELISM) -> DataFrame:
     """Refit Spark ML regressors per fold (and group) and predict the held-out fold.
 
-    The input is written once, by fold, so a refit reads its own folds only;
-    the (group, fold) fits are submitted from a bounded thread pool and all
-    slots of a fold are predicted together.
+    The input is assembled and written once, by group and fold, so a refit reads
+    its own folders only. Fits are submitted from a bounded thread pool; each
+    writes its predictions into a folder of its own and is tried again by itself
+    when it fails, so nothing that is done is lost. The result is one scan of
+    these folders, however many fits there are. Rows whose fold has no training
+    rows of their group (or no fold) get NULL predictions.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     from pyspark.ml.feature import VectorAssembler
 
-    va = VectorAssembler(inputCols=list(x), outputCol="_features", handleInvalid="keep")
-    base = _written(va.transform(df), "folds", fold)
-    parts_of = [tuple(r) for r in base.select(*keys, fold).distinct().limit(MAX_REFITS + 1).collect()]
-    if len(parts_of) > MAX_REFITS:
+    spark = df.sparkSession
+    found = df.select(*keys).distinct().limit(MAX_REFITS + 1).collect() if keys else [()]
+    if len(found) > MAX_REFITS:
+        raise ValueError(f"more than {MAX_REFITS} groups to refit")
+    if keys:
+        named = StructType([*[StructField(f"_n{i}", df.schema[k].dataType) for i, k in enumerate(keys)], StructField("_group", IntegerType())])
+        index = spark.createDataFrame([(*r, i) for i, r in enumerate(found)], named)
+        df2 = df.join(F.broadcast(index), _same(keys, [f"_n{i}" for i in range(len(keys))])).drop(*[f"_n{i}" for i in range(len(keys))])
+    else:
+        df2 = df.withColumn("_group", F.lit(0))
+    table = VectorAssembler(inputCols=list(x), outputCol="_features", handleInvalid="keep").transform(df2.withColumn("_part", F.col(fold).cast("int")))
+    path, out = scratch_table(spark, "folds"), scratch_table(spark, "predictions")
+    table.write.partitionBy("_group", "_part").parquet(path)
+    base = spark.read.schema(table.schema).parquet(path)
+    counts = base.groupBy("_group", "_part").agg(*[F.count(t).alias(o) for o, (t, _) in slots.items()]).collect()
+    if len(counts) > MAX_REFITS:
         raise ValueError(f"more than {MAX_REFITS} (group, fold) refits")
 
-    def fit_one(part):
-        *g, f = part
-        cond = F.lit(True)
-        for k, v in zip(keys, g, strict=True):
-            cond = cond & F.col(k).eqNullSafe(F.lit(v))
-        out = base.where(cond & F.col(fold).eqNullSafe(F.lit(f)))
+    def fit_one(job):
+        n, row = job
+        own = base.where(F.col("_group") == row["_group"])
+        part = own.where(F.col("_part").eqNullSafe(F.lit(row["_part"])))
         for o, (t, estimator) in slots.items():
-            train = base.where(cond & (F.col(fold) != f) & F.col(t).isNotNull())
-            out = estimator.copy().setFeaturesCol("_features").setLabelCol(t).setPredictionCol(o).fit(train).transform(out)
-        return out.drop("_features")
+            rest = sum(r[o] for r in counts if r["_group"] == row["_group"] and r["_part"] is not None and r["_part"] != row["_part"])
+            if row["_part"] is None or not rest:
+                part = part.withColumn(o, F.lit(None).cast("double"))
+                continue
+            train = own.where((F.col("_part") != row["_part"]) & F.col(t).isNotNull())
+            part = estimator.copy().setFeaturesCol("_features").setLabelCol(t).setPredictionCol(o).fit(train).transform(part)
+        part.select(*df.columns, *slots).write.mode("overwrite").parquet(f"{out}/_fit={n}")
+
+    def with_attempts(job):
+        for left in reversed(range(ML_ATTEMPTS)):
+            try:
+                return fit_one(job)
+            except Exception:
+                if not left:
+                    raise
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        parts = list(pool.map(fit_one, sorted(parts_of, key=str)))
-    res = parts[0]
-    for p in parts[1:]:
-        res = res.unionByName(p)
-    return res
+        list(pool.map(with_attempts, enumerate(sorted(counts, key=str))))
+    schema = StructType([*[StructField(f.name, f.dataType) for f in df.schema.fields], *[StructField(o, DoubleType()) for o in slots]])
+    if not counts:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{out}/_fit={n}" for n in range(len(counts))])
 
 
 @dataclass

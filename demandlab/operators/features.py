@@ -13,7 +13,7 @@ import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass, field, replace, replace
+from dataclasses import dataclass, field, replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
@@ -231,14 +231,6 @@ def align(df: DataFrame, columns: Sequence[str], fill: float = 0.0) -> DataFrame
     return df.withColumns(missing).select(*columns) if missing else df.select(*columns)
 
 
-# fixed values: holiday week starts listed for the 2020-2022 study period
-STUDY_HOLIDAY_WEEKS = (
-    "2020-12-28", "2021-01-04", "2021-03-29", "2021-05-03", "2021-07-26", "2021-08-02",
-    "2021-08-09", "2021-08-16", "2021-12-27", "2022-01-03", "2022-04-11", "2022-05-02",
-    "2022-07-25", "2022-08-01", "2022-08-08", "2022-08-15", "2022-12-26",
-)
-
-
 def easter_sunday(y: int) -> date:
     """Gregorian Easter Sunday (anonymous Gregorian algorithm)."""
     a, b, c = y % 19, y // 100, y % 100
@@ -258,7 +250,7 @@ def holiday_weeks(years: Iterable[int]) -> list[date]:
     """Holiday week starts (Mondays) by rule for any years: the week before Easter,
     the first week of May, four summer weeks from the last Monday of July, and two
     Christmas weeks from the first Monday on or after Dec 26. For 2020-2022 this
-    gives ``STUDY_HOLIDAY_WEEKS`` inside the study period."""
+    gives the weeks listed in ``tests/test_features.py`` inside the study period."""
     from datetime import timedelta
     out = set()
     for y in years:

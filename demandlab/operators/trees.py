@@ -13,7 +13,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -64,6 +64,30 @@ def grid_search(df: DataFrame, estimator, features: Sequence[str], label: str, g
     return model.bestModel, table
 
 
+def tuned_against_default(train: DataFrame, test: DataFrame, estimator, features: Sequence[str], label: str, grid: dict,
+                          fold: str = "fold", k: int = 5) -> DataFrame:
+    """(model, params, cv_mse, test_mse) of the estimator as given and of the grid's best point,
+    both fitted on all of ``train`` and scored on ``test`` (M7)."""
+    best, points = grid_search(train, estimator, features, label, grid, fold, k)
+    rows = points.orderBy("mse", "params").limit(1).collect()   # one point
+    fit = assemble(train.where(F.col(label).isNotNull()), features)
+    default = estimator.copy().setFeaturesCol("features").setLabelCol(label).fit(fit)
+    score = RegressionEvaluator(labelCol=label, metricName="mse")
+    held = assemble(test.where(F.col(label).isNotNull()), features)
+    out = [("default", None, None, score.evaluate(default.transform(held))),
+           ("tuned", rows[0].params, rows[0].mse, score.evaluate(best.transform(held)))]
+    return train.sparkSession.createDataFrame(out, "model string, params string, cv_mse double, test_mse double")
+
+
+def coefficient_shares(coefs: DataFrame, by=(), term: str = "term", coef: str = "coef", leave_out: Sequence[str] = ("const", "intercept")) -> DataFrame:
+    """by..., feature, value = |coefficient|, share of their sum, from any table of coefficients
+    (``linear.ols``, ``lasso.lasso_cv``) without collecting it (M17, F13)."""
+    keys = [by] if isinstance(by, str) else list(by)
+    own = coefs.where(~F.col(term).isin(*leave_out)).select(*keys, F.col(term).alias("feature"), F.abs(coef).alias("value"))
+    total = F.sum("value").over(Window.partitionBy(*(keys or [F.lit(0)])))
+    return own.withColumn("share", F.try_divide("value", total))
+
+
 def importance(spark: SparkSession, model, features: Sequence[str], learner: str, target: str) -> DataFrame:
     """Feature importance: tree importances or |coefficients|, raw and normalised
     to sum 1 (M17, F13). Output (target, learner, feature, value, share)."""

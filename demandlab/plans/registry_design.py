@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 from demandlab.config import PrepConfig
 from demandlab.operators import diagnostics as DG
 from demandlab.operators import features as FE
-from demandlab.operators import linear, store
+from demandlab.operators import linear, store, trees
 from demandlab.operators.panel import daily_features, weekly
 from demandlab.plans import sql_linear as S
 from demandlab.plans.design_plan import build_design, design_covariates
 from demandlab.plans.estimate_plan import D, Y, Z, elasticity, naive_models
 from demandlab.plans.panel_plan import warehouse
 from demandlab.plans.registry import CFG, with_panel
-from demandlab.plans.registry_models import _design_body, _reg, _round, _w
+from demandlab.plans.registry_models import _design_body, _reg, _round, _w, oracle_sql
 from demandlab.session import scratch_table
 from demandlab.sources.versions import read_periods, replace_periods
 
@@ -83,7 +83,20 @@ def q_replace_period(spark, d):
     return _round(read_periods(spark, path, schema))
 
 
-QUERIES = {"naive_models_design": q_naive_models_design, "elasticity_design_linear": q_elasticity_design_linear,
+def q_importance_linear(spark, d):
+    """Shares of the absolute coefficients of a linear model per category."""
+    fit = linear.ols(_reg(spark, d), "y", ["const", "d", "x"], by="p_type")
+    shares = trees.coefficient_shares(fit, "p_type")
+    return shares.select("p_type", "feature", F.round("value", 6).alias("value"), F.round("share", 4).alias("share"))
+
+
+def q_left_out_levels(spark, d):
+    """The level of each encoded column that has no dummy (L4)."""
+    enc = FE.FrozenDummies.fit(_reg(spark, d), ["p_brand", "p_type", "ppl"])
+    return spark.createDataFrame(list(enc.defaults.items()), "name string, level string")
+
+
+QUERIES = {"importance_linear": q_importance_linear, "left_out_levels": q_left_out_levels, "naive_models_design": q_naive_models_design, "elasticity_design_linear": q_elasticity_design_linear,
            "holdout_design": q_holdout_design, "replace_period": q_replace_period}
 
 
@@ -161,4 +174,9 @@ SELECT target, n, round(mse, 6) AS mse, round(rmse, 6) AS rmse, round(rel_rmse,
 REPLACE_SQL = _w(f"""SELECT p_brand, p_type, week, ppl, round(CASE WHEN year(week) = {RERUN} THEN y + 1 ELSE y END, 6) AS y, CAST(year(week) AS INTEGER) AS year
 FROM reg WHERE year(week) <> {RERUN} OR ppl <> '{CFG.default_line}'""")
 
-ORACLE_SQL = {"naive_models_design": _naive_sql(), "elasticity_design_linear": _elasticity_sql(), "holdout_design": _holdout_sql(), "replace_period": REPLACE_SQL}
+SHARES_SQL = f"""SELECT p_type, term AS feature, round(abs(coef), 6) AS value, round(abs(coef) / sum(abs(coef)) OVER (PARTITION BY p_type), 4) AS share
+FROM ({oracle_sql()["ols_multi"]}) WHERE term <> 'const'"""
+
+LEVELS_SQL = _w("\nUNION ALL\n".join(f"SELECT '{c}' AS name, min({c}) AS level FROM reg" for c in ("p_brand", "p_type", "ppl")))
+
+ORACLE_SQL = {"importance_linear": SHARES_SQL, "left_out_levels": LEVELS_SQL, "naive_models_design": _naive_sql(), "elasticity_design_linear": _elasticity_sql(), "holdout_design": _holdout_sql(), "replace_period": REPLACE_SQL}

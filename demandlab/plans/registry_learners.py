@@ -70,6 +70,19 @@ def q_grid_search(spark, d):
     return table
 
 
+def q_grid_search_test(spark, d):
+    """Tuned against default boosting on test rows (M7): five parameters, two of them varied."""
+    p = _panel(spark, d)
+    base = trees.gbt(rounds=5, depth=3)
+    grid = {"stepSize": [0.1, 0.2], "maxDepth": [2, 3], "minInfoGain": [0.0], "subsamplingRate": [1.0], "maxIter": [5]}
+    return trees.tuned_against_default(p.where("is_test = 0"), p.where("is_test = 1"), base, XT, "y", grid)
+
+
+def q_importance_lasso_cv(spark, d):
+    """Shares of the coefficients of the cross-validated Lasso, per category and target."""
+    return trees.coefficient_shares(q_lasso_cv(spark, d), [BY, "target"])
+
+
 def q_importance(spark, d):
     from pyspark.ml.regression import LinearRegression
     p = trees.assemble(_panel(spark, d).where(F.col("y").isNotNull()), XT)
@@ -109,6 +122,8 @@ QUERIES = {
     "bootstrap": q_bootstrap,
     "grid_search": q_grid_search,
     "importance": q_importance,
+    "importance_lasso_cv": q_importance_lasso_cv,
+    "grid_search_test": q_grid_search_test,
     "residual_histogram": q_residual_histogram,
     "holdout_scores": q_holdout_scores,
 }

@@ -71,3 +71,35 @@ def test_estimate_plan_helpers(small):
     assert plr.table.first().learner.startswith("plr[")
     nm = {r.model: r.coef for r in EP.naive_models(small, ["x1", "x2"], y="y", d="d", z="z").collect()}
     assert set(nm) == {"ols", "2sls"} and abs(nm["2sls"] + 1.0) < 0.3
+
+
+def test_a_refit_that_breaks_off_is_tried_again_alone(small, monkeypatch):
+    """Each fit writes its own folder; a failed one is repeated, the others are not; rows without training rows stay."""
+    from pyspark.ml.regression import RandomForestRegressor
+
+    df = small.withColumns({"g": F.when(F.col("k") % 2 == 0, "a").when(F.col("k") < 30, "lonely"),
+                            "fold": F.when((F.col("k") % 2 == 1) & (F.col("k") < 30), 0).otherwise(F.col("fold"))})
+    fits, real = [], RandomForestRegressor.fit
+
+    def flaky(self, data, params=None):
+        fits.append(1)
+        if len(fits) == 2:
+            raise RuntimeError("executor lost")
+        return real(self, data, params)
+    monkeypatch.setattr(RandomForestRegressor, "fit", flaky)
+    rf = trees.rf(trees=3, max_depth=3)
+    out = dml._ml_out_of_fold(df, ["x1", "x2"], {"_p": ("y", rf)}, "fold", ["g"], parallelism=1)
+    assert out.columns == [*df.columns, "_p"] and out.count() == df.count()
+    assert len(fits) == 5 + 5 + 1                                   # two groups of five folds, one fit twice; "lonely" has one fold only
+    none = {r.g: r["n"] for r in out.where("_p is null").groupBy("g").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert none == {"lonely": 15}
+    assert out.select("k").distinct().count() == 600
+
+
+def test_tuned_against_default_and_shares(spark, small):
+    got = {r.model: r for r in trees.tuned_against_default(small.where("k < 450"), small.where("k >= 450"), trees.gbt(rounds=2, depth=2), ["x1", "x2"], "y",
+                                                           {"stepSize": [0.2, 0.9]}, fold="fold").collect()}
+    assert set(got) == {"default", "tuned"} and got["tuned"].test_mse > 0 and got["default"].cv_mse is None and "stepSize" in got["tuned"].params
+    coefs = spark.createDataFrame([("a", "const", 9.0), ("a", "x", -3.0), ("a", "z", 1.0), ("b", "x", 0.0), ("b", "z", None)], "g string, term string, coef double")
+    shares = {(r.g, r.feature): (r.value, r.share) for r in trees.coefficient_shares(coefs, "g").collect()}
+    assert shares == {("a", "x"): (3.0, 0.75), ("a", "z"): (1.0, 0.25), ("b", "x"): (0.0, None), ("b", "z"): (None, None)}
