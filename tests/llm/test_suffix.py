@@ -70,10 +70,11 @@ def test_equal_windows_share_chosen_positions():
     assert np.diff(qa).min() > sd.NEAR
 
 
-@pytest.mark.parametrize("bits,broadcast_most", [(26, 10**6), (8, 0)])
-def test_suffix_dedup(docs, rows, monkeypatch, bits, broadcast_most):
-    """With bitmaps that are nearly full (256 bits), too, and joins instead of broadcasts."""
-    monkeypatch.setattr(sd, "_cell", lambda name: (sd.mix(name.view(sd.U64)) >> sd.U64(64 - bits)).astype(np.int64))
+@pytest.mark.parametrize("full,broadcast_most", [(False, 10**6), (True, 0)])
+def test_suffix_dedup(docs, rows, monkeypatch, full, broadcast_most):
+    """With bitmaps whose every bit is set, too, and joins instead of broadcasts."""
+    if full:
+        monkeypatch.setattr(sd, "bitmap", lambda cells: np.full(1 << sd.CELL_BITS - 6, -1, np.int64))
     assert _got(sd.suffix_dedup(docs, broadcast_most=broadcast_most)) == _brute(rows, 400)
 
 
