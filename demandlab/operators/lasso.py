@@ -113,14 +113,47 @@ def lasso_fit(cell: Cell, ix: Sequence[int], iy: int, alpha: float) -> tuple[np.
 
 
 def lasso_path(cell: Cell, ix: Sequence[int], iy: int, grid: Sequence[float]) -> tuple[np.ndarray, list[int]]:
-    """[b_0, b...] and rounds for each penalty, from the largest on, each fit starting at the one before."""
+    """[b_0, b...] and rounds for each penalty, from the largest on.
+
+    While no column enters or leaves, the solution is linear in the penalty: the
+    signs found settle all following penalties for which the optimality
+    conditions hold, and descent is needed only where they change.
+    """
     Sxx, Sxy = _moments(cell, ix, iy)
-    b, out, its = np.zeros(len(ix)), [], []
-    for a in grid:
-        b, it = _cd(Sxx, Sxy, a, b, _syy(cell, iy))
-        out.append(np.concatenate([[cell.mean[iy] - cell.mean[list(ix)] @ b], b]))
-        its.append(it)
-    return np.array(out).reshape(len(out), len(ix) + 1), its
+    grid, syy = np.asarray(grid, float), _syy(cell, iy)
+    B, its = np.zeros((len(grid), len(ix))), []
+    b = np.zeros(len(ix))
+    while len(its) < len(grid):
+        i = len(its)
+        found = _same_signs(Sxx, Sxy, grid[i:], b)
+        if len(found):
+            B[i:i + len(found)] = found
+            its += [1] * len(found)
+        else:
+            B[i], it = _cd(Sxx, Sxy, grid[i], b, syy)
+            its.append(it)
+        b = B[len(its) - 1]
+    return np.column_stack([cell.mean[iy] - B @ cell.mean[list(ix)], B]), its
+
+
+def _same_signs(Sxx: np.ndarray, Sxy: np.ndarray, grid: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Solutions, one row each, for the leading penalties of ``grid`` at which the columns and signs of b remain those of the optimum."""
+    at = np.flatnonzero(b)
+    sign = np.sign(b[at])
+    try:
+        u, w = np.linalg.solve(Sxx[np.ix_(at, at)], np.stack([Sxy[at], sign], axis=1)).T
+    except np.linalg.LinAlgError:
+        return np.empty((0, len(b)))
+    own = u - grid[:, None] * w
+    q = Sxy - own @ Sxx[at]
+    ok = np.isfinite(own).all(axis=1) & (np.sign(own) == sign).all(axis=1)
+    ok &= (np.abs(q[:, at] - grid[:, None] * sign) <= 1e-9 * grid[:, None]).all(axis=1)
+    q[:, at] = 0.0
+    ok &= (np.abs(q) <= grid[:, None] * (1 + 1e-12)).all(axis=1)
+    n = len(ok) if ok.all() else int(np.argmin(ok))
+    out = np.zeros((n, len(b)))
+    out[:, at] = own[:n]
+    return out
 
 
 def heldout_sse(cell: Cell, ix: Sequence[int], iy: int, coefs: np.ndarray) -> np.ndarray:
