@@ -212,7 +212,7 @@ def cross_validated(table: DataFrame, ix: Sequence[int], slots: Sequence[tuple[i
     """_g..., _fold (left out; -1 without), slot, coef, alpha, n_iter from a written table of cells.
 
     The cells of the other folds are merged by inner fold first. A unit of work
-    is one (group, left-out fold) or, while there are fewer of these than
+    is one (group, left-out fold) or, while these fill less than half the
     partitions, one path: (group, left-out fold, inner fold held out or none),
     for all slots. The errors of the paths are added up where the whole path is.
     """
@@ -232,7 +232,7 @@ def cross_validated(table: DataFrame, ix: Sequence[int], slots: Sequence[tuple[i
     inner = [r[0] for r in others.select("_inner").distinct().orderBy("_inner").collect()]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     units = others.select(*gcols, "_fold").distinct().limit(parts + 1).count()
-    jobs = [-1, *inner] if units <= parts else [-2]   # -1: the path on all rows; -2: everything
+    jobs = [-1, *inner] if 2 * units <= parts else [-2]   # -1: the path on all rows; -2: everything
     keys = [*gcols, "_fold", "_job"]
     schema = ", ".join([f"{g} string" for g in gcols] + ["_fold int, slot int, error array<double>, alpha array<double>, path array<double>, n_iter array<int>"])
     names = [x.split()[0] for x in schema.split(", ")]
@@ -267,7 +267,7 @@ def cross_validated(table: DataFrame, ix: Sequence[int], slots: Sequence[tuple[i
         if last is not None:
             yield _rows(list(work(last, own)), names, schema)
 
-    dealt = others.select("*", F.explode(F.array(*[F.lit(j) for j in jobs])).alias("_job")).repartition(max(parts, 4 * units * len(jobs) if len(jobs) > 1 else 0), *keys)
+    dealt = others.select("*", F.explode(F.array(*[F.lit(j) for j in jobs])).alias("_job")).repartition(max(parts, min(units * len(jobs), 4 * parts)), *keys)
     path = scratch_table(spark, "paths")
     dealt.sortWithinPartitions(*keys).mapInArrow(search, schema).write.parquet(path)
     found = spark.read.parquet(path)

@@ -114,7 +114,12 @@ def test_lasso_search_is_the_same_spread_over_tasks_or_not(spark):
     pdf = pd.DataFrame(X, columns=xs).assign(y=y, d=d, fold=np.arange(len(X)) % 3, cv=np.arange(len(X)) // 3 % 4)
     df = spark.createDataFrame(pdf)
     slots = {"_l": ("y", lasso.LassoCV(n_alphas=20)), "_m": ("d", lasso.LassoCV(n_alphas=20)), "_p": ("y", linear.LinearLearner())}
-    got = {r._fold: r for r in linear.coefficients(df, xs, slots, fold="fold", inner="cv").collect()}
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")   # three units, eight partitions: one path to a task
+        got = {r._fold: r for r in linear.coefficients(df, xs, slots, fold="fold", inner="cv").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
     assert set(got) == {0, 1, 2}
     for f in range(3):
         for o, t in (("_l", "y"), ("_m", "d")):
@@ -122,7 +127,6 @@ def test_lasso_search_is_the_same_spread_over_tasks_or_not(spark):
             cells = [gram.Cell.of(rest[rest.cv == i][[*xs, t]].to_numpy(float)) for i in range(4)]
             want = lasso.LassoCV(n_alphas=20).fit(cells, list(range(len(xs))), len(xs)).coef
             assert np.allclose(got[f][o], want, atol=1e-6)
-    old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         spark.conf.set("spark.sql.shuffle.partitions", "2")   # three units, two partitions: nothing is spread
         again = {r._fold: r for r in linear.coefficients(df, xs, slots, fold="fold", inner="cv").collect()}
