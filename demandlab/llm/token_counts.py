@@ -7,10 +7,11 @@ misses with the tokenizer itself. Pre-tokens are never shuffled: the frequent
 ones come from summaries of bounded size, the heaviest of each task's tables.
 
 The vectorised splitter knows the pattern of the lower-casing word BPE
-(contractions, letter runs, single digits, runs of other signs) over code
-points below U+0180. A text with any other code point, or with the string
-``<|``, which may start a special token, is given to the library whole, so
-every count is the library's own.
+(contractions, letter runs, single digits, runs of other signs) over all code
+points that the library's normaliser leaves alone but for their case. A stretch
+between blanks that holds another one (a combining mark, say) or one of the
+file's special strings is a piece of its own: the library counts it in whole, and
+its count is cached like any other, so every count is the library's own.
 
 Defined cases: NULL counts as empty (0 tokens); NULL ids are returned;
 repeated rows count each; empty tables give no rows; other columns are ignored.
@@ -19,7 +20,7 @@ repeated rows count each; empty tables give no rows; other columns are ignored.
 from __future__ import annotations
 
 import os
-import unicodedata
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,26 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from demandlab.llm.codepoints import BLANK, DIGIT, LETTER, OTHER, code_points, holds, inside_stretches, tables
 from demandlab.llm.textcols import SLICE_BYTES, U64, id_and_text, in_sorted, mix, small_batches, text_slices
 from demandlab.session import ship_package
 
-SAFE = 0x180
-LETTER, DIGIT, BLANK, OTHER = 1, 2, 0, 3
 RESULT = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 CACHE = 2_000_000
 FRONT = 20  # bits of the front table
 
-_cls = np.full(SAFE, OTHER, np.uint8)
-_low = np.arange(SAFE, dtype=np.uint32)
-for _c in range(SAFE):
-    _kind = unicodedata.category(chr(_c))
-    _cls[_c] = LETTER if _kind[0] == "L" else DIGIT if _kind[0] == "N" else OTHER
-    if len(chr(_c).lower()) == 1 and ord(chr(_c).lower()) < SAFE:
-        _low[_c] = ord(chr(_c).lower())
-_cls[[9, 10, 11, 12, 13, 0x20, 0x85, 0xA0]] = BLANK
-#: U+0130 becomes two code points in lower case.
-_unsafe = {0x130}
-_symbol = np.random.default_rng(7).integers(1, 2**63, SAFE, dtype=np.int64).astype(U64)
 _mult = 0x9E3779B97F4A7C15
 _table: dict[str, np.ndarray] = {}
 
@@ -60,12 +49,18 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _table["pw"], _table["inv"]
 
 
-def pre_tokens(cp: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the pre-tokens of lower-cased safe code points; rows end at ``offs``."""
+def pre_tokens(cp: np.ndarray, offs: np.ndarray, wild: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the pre-tokens of lower-cased code points; rows end at ``offs``.
+
+    A stretch between blanks with a ``wild`` code point is one piece.
+    """
     n = len(cp)
     if n == 0:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    cls = _cls[cp]
+    cls = tables().kind[cp]
+    any_wild = wild.any()
+    if any_wild:
+        cls[wild] = OTHER
     first = np.zeros(n + 1, bool)
     first[offs[:-1][offs[:-1] < n]] = True
     first[0] = first[n] = True
@@ -87,6 +82,8 @@ def pre_tokens(cp: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
             first[at + 1] = False
             end = np.minimum(at + k, n)
             first[end] = True
+    if any_wild:
+        first[:n] &= ~inside_stretches(cls != BLANK, wild, offs)
     at = np.flatnonzero(first)
     starts, ends = at[:-1], at[1:]
     keep = cls[starts] != BLANK
@@ -96,30 +93,47 @@ def pre_tokens(cp: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def span_hashes(cp: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     pw, inv = _powers(len(cp) + 1)
     prefix = np.zeros(len(cp) + 1, U64)
-    np.cumsum(_symbol[cp] * pw[:len(cp)], out=prefix[1:])
+    np.cumsum(tables().symbol[cp] * pw[:len(cp)], out=prefix[1:])
     return mix((prefix[ends] - prefix[starts]) * inv[starts] ^ ((ends - starts).astype(U64) * U64(0xA24BAED4963EE407)))
 
 
-def split_rows(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Lower-cased code points of the safe rows, their offsets (unsafe rows are empty), and which rows are safe."""
-    raw = buf.tobytes()
-    cp = np.frombuffer(raw.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
-    lead = np.flatnonzero((buf & 0xC0) != 0x80)
-    coffs = np.searchsorted(lead, offs)
-    if len(lead) != len(cp):
-        raise ValueError("text is not UTF-8")
-    bad = cp >= SAFE
-    for c in _unsafe:
-        bad |= cp == c
-    if len(cp) > 1:
-        bad[:-1] |= (cp[:-1] == ord("<")) & (cp[1:] == ord("|"))
-    count = np.concatenate([[0], np.cumsum(bad)])
-    safe = count[coffs[1:]] == count[coffs[:-1]]
-    if not safe.all():
-        sizes = np.diff(coffs)
-        cp = cp[np.repeat(safe, sizes)]
-        coffs = np.concatenate([[0], np.cumsum(np.where(safe, sizes, 0))])
-    return _low[cp], coffs, safe
+def split_rows(buf: np.ndarray, offs: np.ndarray, special: Special) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Code points, row offsets, starts and ends of the pieces, and which pieces only the library may judge.
+
+    Code points are lower-cased, but as given in pieces of the last kind.
+    """
+    raw, coffs = code_points(buf, offs)
+    t = tables()
+    wild = t.wild[raw]
+    for a, b in special.spans(raw):
+        wild[a:b] = True
+    cp = t.low[raw]
+    s, e = pre_tokens(cp, coffs, wild)
+    own = holds(wild, s, e)
+    if own.any():
+        step = np.zeros(len(cp) + 1, np.int8)
+        step[s[own]] += 1
+        step[e[own]] -= 1
+        given = np.cumsum(step[:-1], dtype=np.int8) > 0
+        cp[given] = raw[given]
+    return cp, coffs, s, e, own
+
+
+class Special:
+    """The strings that the tokenizer file gives tokens of their own."""
+
+    def __init__(self, tok):
+        added = [t for t in tok.get_added_tokens_decoder().values() if t.content]
+        names = "|".join(re.escape(t.content) for t in sorted(added, key=lambda t: -len(t.content)))
+        flags = re.IGNORECASE if any(t.normalized for t in added) else 0
+        self.one, self.every = (re.compile(x, flags) for x in (names, f"(?=({names}))")) if names else (None, None)
+
+    def spans(self, cp: np.ndarray) -> list[tuple[int, int]]:
+        """Where they are, overlapping ones too."""
+        if self.one is None:
+            return []
+        text = cp.tobytes().decode("utf-32-le")
+        return [m.span(1) for m in self.every.finditer(text)] if self.one.search(text) else []
 
 
 class KeyCache:
@@ -180,11 +194,16 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
+        self.special = Special(self.tok)
         self.cache = KeyCache()
 
     def text(self, text: str) -> int:
         return len(self.tok.encode(text, add_special_tokens=False).ids)
 
+    def texts(self, texts: list[str]) -> np.ndarray:
+        """Tokens of each text."""
+        return np.array([len(e.ids) for e in self.tok.encode_batch(texts, add_special_tokens=False)], np.int32)
+
     def pieces(self, pieces: list[str]) -> np.ndarray:
         """Tokens of each pre-token: encoded together with blanks between, told apart by word number."""
         out = np.zeros(len(pieces), np.int32)
@@ -193,7 +212,7 @@ class Encoder:
             ids = self.tok.encode(" ".join(part), add_special_tokens=False).word_ids
             n = np.bincount(np.array(ids, np.int64), minlength=len(part)) if ids else np.zeros(0, np.int64)
             if len(n) != len(part) or (n == 0).any():
-                n = [len(e.ids) for e in self.tok.encode_batch(part, add_special_tokens=False)]
+                n = self.texts(part)
             out[i:i + len(part)] = n
         return out
 
@@ -212,14 +231,16 @@ def strings_of(cp: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[str
     return [text[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
 
 
-def _heavy(top: int):
+def _heavy(path: str, top: int):
     """Each task's heaviest pre-tokens: a table of bounded size, thinned when it doubles."""
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count: dict[int, int] = {}
         name: dict[int, str] = {}
+        special = encoder(path).special
         for _, buf, offs in text_slices(batches):
-            cp, coffs, _safe = split_rows(buf, offs)
-            s, e = pre_tokens(cp, coffs)
+            cp, _, s, e, own = split_rows(buf, offs, special)
+            if own.any():
+                s, e = s[~own], e[~own]
             key, at, n = np.unique(span_hashes(cp, s, e), return_index=True, return_counts=True)
             best = np.argsort(-n, kind="stable")[:top]
             known = [(k, c, i) for k, c, i in zip(key[best].tolist(), n[best].tolist(), at[best].tolist(), strict=True)]
@@ -238,7 +259,7 @@ def _heavy(top: int):
 
 def frequent_lengths(docs: DataFrame, path: str, entries: int = 65_536, per_task: int = 8_192) -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashes and token counts of at most ``entries`` frequent pre-tokens."""
-    heavy = docs.select("text").mapInArrow(_heavy(per_task), "key long, piece string, n long")
+    heavy = docs.select("text").mapInArrow(_heavy(path, per_task), "key long, piece string, n long")
     rows = heavy.groupBy("key").agg(F.sum("n").alias("n"), F.min("piece").alias("piece")) \
         .orderBy(F.desc("n"), "key").limit(entries).select("key", "piece").collect()
     keys = np.array([r["key"] for r in rows], np.int64).view(U64)
@@ -252,8 +273,7 @@ def _count(path: str, table, limit: int):
         keys, sizes = table.value
         enc = encoder(path)
         for rows, buf, offs in text_slices(batches):
-            cp, coffs, safe = split_rows(buf, offs)
-            s, e = pre_tokens(cp, coffs)
+            cp, coffs, s, e, own = split_rows(buf, offs, enc.special)
             h = span_hashes(cp, s, e)
             n = enc.cache.quick(h)
             miss = np.flatnonzero(n < 0)
@@ -266,7 +286,9 @@ def _count(path: str, table, limit: int):
                 new = np.flatnonzero(size < 0)
                 if len(new):
                     i = miss[one[new]]
-                    size[new] = enc.pieces(strings_of(cp, s[i], e[i]))
+                    for kind, tokens_of in ((own[i], enc.texts), (~own[i], enc.pieces)):
+                        if kind.any():
+                            size[new[kind]] = tokens_of(strings_of(cp, s[i[kind]], e[i[kind]]))
                     if enc.cache.full(len(new)):
                         enc.cache = KeyCache()
                     enc.cache.put(key[new], size[new])
@@ -275,8 +297,6 @@ def _count(path: str, table, limit: int):
             total = np.concatenate([[0], np.cumsum(n)])
             ends = np.searchsorted(s, coffs)
             tokens = total[ends[1:]] - total[ends[:-1]]
-            for i in np.flatnonzero(~safe):
-                tokens[i] = enc.text(buf[offs[i]:offs[i + 1]].tobytes().decode())
             yield pa.record_batch([rows.column("doc_id"), pa.array(np.diff(offs)), pa.array(tokens), pa.array(tokens > limit)],
                                   ["doc_id", "n_bytes", "n_tokens", "over_limit"])
     return kernel

@@ -28,7 +28,6 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
-from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +35,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from demandlab.llm.codepoints import BLANK, LETTER, OTHER, code_points, inside_stretches, tables
 from demandlab.llm.textcols import U64, id_and_text, mix, text_slices
-from demandlab.llm.token_counts import BLANK, LETTER, OTHER, SAFE, KeyCache, _cls, strings_of, span_hashes
+from demandlab.llm.token_counts import KeyCache, span_hashes, strings_of
 from demandlab.session import scratch_table, ship_package
 
 #: Fixed values of the byte-level vocabulary.
@@ -69,11 +69,14 @@ def feistel(index: np.ndarray, n: int, key: int) -> np.ndarray:
 # -- tokens
 
 def gpt_pieces(cp: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the byte-level BPE's pre-tokens over safe code points."""
+    """Starts and ends of the byte-level BPE's pre-tokens.
+
+    A stretch between blanks with an unassigned code point is one piece (with the space before it).
+    """
     n = len(cp)
     if n == 0:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    cls = _cls[cp]
+    cls = tables().kind[cp]
     first = np.zeros(n + 1, bool)
     first[0] = first[n] = True
     edge = np.zeros(n + 1, bool)
@@ -96,6 +99,9 @@ def gpt_pieces(cp: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
         for hit, k in ((one, 2), (two & ~one, 3)):
             first[q[hit] + 1] = False
             first[np.minimum(q[hit] + k, n)] = True
+    wild = tables().unassigned[cp]
+    if wild.any():
+        first[:n] &= ~inside_stretches(cls != BLANK, wild, offs)
     at = np.flatnonzero(first)
     return at[:-1], at[1:]
 
@@ -122,9 +128,9 @@ class Ids:
         self.pool[at:self.used] = ids
         return at
 
-    def _values(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Place and number of the ids of each piece of the safe rows, the pieces' ends by row, which rows are safe."""
-        cp, coffs, safe = code_points(buf, offs)
+    def _values(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place and number of the ids of each piece, and the pieces' ends by row."""
+        cp, coffs = code_points(buf, offs)
         s, e = gpt_pieces(cp, coffs)
         h = span_hashes(cp, s, e)
         value = self.cache.quick(h)
@@ -145,50 +151,26 @@ class Ids:
                 self.cache.put(key[new], got[new])
             self.cache.show(key, got)
             value[miss] = got[back]
-        return value, np.searchsorted(s, coffs), safe
+        return value, np.searchsorted(s, coffs)
 
     def sizes(self, buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
         """Number of ids of each row, the end id included."""
-        value, ends, safe = self._values(buf, offs)
+        value, ends = self._values(buf, offs)
         total = np.concatenate([[0], np.cumsum(value & 0xFFFFFF)])
-        count = total[ends[1:]] - total[ends[:-1]] + 1
-        for i in np.flatnonzero(~safe):
-            count[i] = len(self.enc.encode_ordinary(buf[offs[i]:offs[i + 1]].tobytes().decode())) + 1
-        return count
+        return total[ends[1:]] - total[ends[:-1]] + 1
 
     def rows(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows, each closed by the end id, and the row offsets."""
-        value, ends, safe = self._values(buf, offs)
+        value, ends = self._values(buf, offs)
         place, sizes = value >> 24, value & 0xFFFFFF
         total = np.concatenate([[0], np.cumsum(sizes)])
         ids = self.pool[np.repeat(place - total[:-1], sizes) + np.arange(total[-1])]
-        at = total[ends]
-        if safe.all():
-            out = np.empty(len(ids) + len(safe), np.uint16)
-            stops = at[1:] + np.arange(len(safe))
-            text = np.ones(len(out), bool)
-            text[stops] = False
-            out[text], out[stops] = ids, END_ID
-            return out, np.concatenate([[0], stops + 1])
-        parts, count = [], np.zeros(len(safe), np.int64)
-        for i, (a, b) in enumerate(pairwise(at.tolist())):
-            own = ids[a:b] if safe[i] else np.array(self.enc.encode_ordinary(buf[offs[i]:offs[i + 1]].tobytes().decode()), np.uint16)
-            parts += [own, np.array([END_ID], np.uint16)]
-            count[i] = len(own) + 1
-        return np.concatenate(parts), np.concatenate([[0], np.cumsum(count)])
-
-
-def code_points(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Code points of rows that hold safe ones only (others are left empty)."""
-    cp = np.frombuffer(buf.tobytes().decode().encode("utf-32-le"), np.uint32)
-    coffs = np.searchsorted(np.flatnonzero((buf & 0xC0) != 0x80), offs)
-    bad = np.concatenate([[0], np.cumsum(cp >= SAFE)])
-    safe = bad[coffs[1:]] == bad[coffs[:-1]]
-    if not safe.all():
-        sizes = np.diff(coffs)
-        cp = cp[np.repeat(safe, sizes)]
-        coffs = np.concatenate([[0], np.cumsum(np.where(safe, sizes, 0))])
-    return cp, coffs, safe
+        stops = total[ends[1:]] + np.arange(len(ends) - 1)
+        out = np.empty(len(ids) + len(stops), np.uint16)
+        text = np.ones(len(out), bool)
+        text[stops] = False
+        out[text], out[stops] = ids, END_ID
+        return out, np.concatenate([[0], stops + 1])
 
 
 _ids: dict[str, Ids] = {}

@@ -1,6 +1,7 @@
 """Operators 3 and 8 against brute force and exact round trips."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -103,7 +104,6 @@ def test_feistel_is_a_permutation(n):
 
 
 def test_ids_agree_with_the_library():
-    import random
     r = random.Random(6)
     signs = "aBc'stdrevlm  \n\t.,!0129éÉßÿœŒ'ŉ \u0085|<>-_'re'll'S'T'ſ²½ª\x1c\x1f\x00ıİ日本"
     many = ["".join(r.choice(signs) for _ in range(r.randint(0, 40))) for _ in range(4000)] + ["'s it's  we'll\n\n they're x''s 's '", "", "  ", " \n a"]
@@ -115,6 +115,29 @@ def test_ids_agree_with_the_library():
         assert ids[toffs[i]:toffs[i + 1]].tolist() == [*enc.enc.encode_ordinary(t), ts.END_ID], t
 
 
+def _ids_of(enc, many):
+    raw = [t.encode() for t in many]
+    return enc.rows(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in raw])]))
+
+
+def test_ids_of_any_script():
+    enc, r = ts.Ids(BPE, PATTERN), random.Random(8)
+    signs = "aZ's 't  \n\t.—“”’…€ПриветЁжΣςعربيةहिन्दी한국어ㄱ日本語。、ｶ１２Ⅻ٣🙂👩‍👩‍👧e\u0301\u2003\u3000\u00a0\u2028\u0378\U0001f8ff\U000e0041\U0010ffff\u1161"
+    many = ["".join(r.choice(signs) for _ in range(r.randint(0, 60))) for _ in range(4000)]
+    ids, toffs = _ids_of(enc, many)
+    for i, t in enumerate(many):
+        assert ids[toffs[i]:toffs[i + 1]].tolist() == [*enc.enc.encode_ordinary(t), ts.END_ID], t
+
+
+def test_ids_of_every_code_point():
+    enc = ts.Ids(BPE, PATTERN)
+    many = [f"a{c}{c}A1 {c}'s {c}{c} b" for c in map(chr, [*range(0xD800), *range(0xE000, 0x32000), *range(0xE0000, 0xE0200), 0xF0000, 0x10FFFF])]
+    for i in range(0, len(many), 20_000):
+        part = many[i:i + 20_000]
+        ids, toffs = _ids_of(enc, part)
+        assert [t for k, t in enumerate(part) if ids[toffs[k]:toffs[k + 1]].tolist() != [*enc.enc.encode_ordinary(t), ts.END_ID]] == []
+
+
 @pytest.mark.parametrize("length,records", [(8, 100), (64, 7), (512, 10**6)])
 def test_shards_round_trip(spark, docs, rows, length, records):
     out = scratch_table(spark, "shards")
