@@ -4,16 +4,18 @@ The rolling hash of the last 32 bytes places the cuts, so a cut depends on
 nearby bytes only and an insertion moves chunks without changing them. After a
 cut the next ``MIN`` bytes hold none, and a chunk never exceeds ``MAX`` bytes.
 Chunks are deduplicated by a 128-bit digest over the whole corpus: the first
-occurrence (smallest id, then text hash, then position) stays. A repeated
-chunk is removed where it lies in a run of repeated chunks of at least
-``min_run`` bytes, so that short common phrases stay in place.
+occurrence (smallest id, then text hash, then position) stays. The others go
+where they lie in a run of repeated chunks (first occurrences count in it) of at
+least ``min_run`` bytes, so that short common phrases stay in place; a text made
+of repeated chunks only is one run, however short.
 
-Digests are summed before they are shuffled and joined back with the chunks, so
-a chunk that a third of all rows share is split by the adaptive skew join.
+Digests are summed before they are shuffled. Those with at least
+1 / ``HOT_DIGESTS`` of all chunks, at most ``HOT_DIGESTS``, are broadcast and
+their chunks marked where they are; only the others are dealt by digest.
 
 Defined cases: NULL and empty texts have no chunks; rows that agree in id and
-text are one row that occurs several times: all but one are removed, and which
-one stays is not told apart (all carry the same figures); empty tables give no
+text are one row that occurs several times: one stays, as far as others don't
+hold its chunks first, and the rest are removed in whole; empty tables give no
 rows; other columns are ignored.
 """
 
@@ -24,15 +26,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandlab.llm.textcols import id_and_text, list_array, runs, small_batches, text_slices
+from demandlab.llm.textcols import id_and_text, list_array, small_batches, text_slices
 from demandlab.session import scratch_table, ship_package
 
 MIN, MAX, CUT_BITS = 32, 512, 5
 GEAR = np.random.default_rng(17).integers(0, 2**32, 256, dtype=np.uint32)
-RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+HOT_DIGESTS, HOT_CHUNKS = 100_000, 10_000
+COPIES = 100_000  # equal rows listed at once
+KEY = ["none", "d", "row"]
+RESULT = "none boolean, d long, row long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
 def gear_cuts(buf: np.ndarray, start: int, end: int, hits: np.ndarray) -> list[int]:
@@ -84,60 +90,99 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
         raw = buf.tobytes()
         digest = pa.array([hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(first.tolist(), ends.tolist(), strict=True)], pa.binary())
-        yield pa.record_batch([rows.column("doc_id"), rows.column("row"), list_array(digest, count), list_array(pa.array((ends - first).astype(np.int32)), count)],
-                              ["doc_id", "row", "digests", "sizes"])
-
-
-def _remove(min_run: int):
+        yield pa.record_batch([*(rows.column(c) for c in KEY), list_array(digest, count), list_array(pa.array((ends - first).astype(np.int32)), count)],
+                              [*KEY, "digests", "sizes"])
+
+
+def removed_spans(marks: np.ndarray, sizes: np.ndarray, min_run: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the bytes to remove from a text: ``marks`` are 2 * chunk number, one more for first occurrences."""
+    at = np.concatenate([[0], np.cumsum(sizes)])
+    marks = np.sort(marks)
+    chunk, first = marks >> 1, (marks & 1).astype(bool)
+    new = np.concatenate([[True], np.diff(chunk) > 1])
+    run = np.cumsum(new) - 1
+    begin = np.flatnonzero(new)
+    length = at[chunk[np.append(begin[1:], len(chunk)) - 1] + 1] - at[chunk[begin]]
+    go = chunk[~first & ((length >= min_run)[run] | (len(chunk) == len(sizes)))]
+    if len(go) == 0:
+        return go, go
+    gap = np.diff(go) > 1
+    return at[go[np.concatenate([[True], gap])]], at[go[np.concatenate([gap, [True]])] + 1]
+
+
+def _spans(min_run: int):
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, buf, offs in text_slices(batches):
-            n = rows.num_rows
-            gone = np.zeros(len(buf), bool)
-            starts, sizes = rows.column("starts"), rows.column("sizes")
-            for i in np.flatnonzero(starts.is_valid().to_numpy(zero_copy_only=False)):
-                for a, m in zip(starts[i].as_py(), sizes[i].as_py(), strict=True):
-                    gone[offs[i] + a:offs[i] + a + m] = True
-            a, b = runs(gone, offs)
-            short = (b - a) < min_run
-            for x, y in zip(a[short], b[short], strict=True):
-                gone[x:y] = False
-            a, b = a[~short], b[~short]
-            total = np.concatenate([[0], np.cumsum(gone)])
-            spans = np.searchsorted(a, offs)
-            kept = [hashlib.sha256(buf[x:y][~gone[x:y]].tobytes()).hexdigest() for x, y in zip(offs[:-1], offs[1:], strict=True)]
-            yield pa.record_batch([rows.column("doc_id"), pa.array(np.diff(offs)), pa.array(total[offs[1:]] - total[offs[:-1]]), pa.array(np.diff(spans)), pa.array(kept, pa.string())],
-                                  ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+        for b in batches:
+            starts, stops = [], []
+            for marks, sizes in zip(b.column("marks"), b.column("sizes"), strict=True):
+                x, y = removed_spans(marks.values.to_numpy(), sizes.values.to_numpy(), min_run)
+                starts.append(x.astype(np.int32))
+                stops.append(y.astype(np.int32))
+            kind = pa.list_(pa.int32())
+            yield pa.record_batch([*(b.column(c) for c in KEY), b.column("rid"), pa.array(starts, kind), pa.array(stops, kind)], [*KEY, "rid", "starts", "stops"])
     return kernel
 
 
+def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows, buf, offs in text_slices(batches):
+        starts, stops = rows.column("starts"), rows.column("stops")
+        spans = pc.fill_null(pc.list_value_length(starts), 0).to_numpy().astype(np.int64)
+        base = np.repeat(offs[:-1], spans)
+        step = np.zeros(len(buf) + 1, np.int8)
+        step[base + starts.flatten().to_numpy()] += 1
+        step[base + stops.flatten().to_numpy()] -= 1
+        keep = np.cumsum(step[:-1], dtype=np.int8) == 0
+        at = np.concatenate([[0], np.cumsum(keep)])[offs]
+        raw = buf[keep].tobytes()
+        kept = [hashlib.sha256(raw[x:y]).hexdigest() for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+        yield pa.record_batch([*(rows.column(c) for c in KEY), pa.array(np.diff(offs)), pa.array(np.diff(offs) - np.diff(at)), pa.array(spans), pa.array(kept, pa.string())],
+                              [*KEY, "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+
+def _repeats(cut: DataFrame) -> DataFrame:
+    """rid and mark of every chunk whose digest occurs more than once: 2 * its number, one more at the first occurrence."""
+    spark = cut.sparkSession
+    one = cut.select("rid", *KEY, F.posexplode("digests").alias("i", "digest"))
+    path = scratch_table(spark, "repeated")
+    one.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*KEY, "i", "rid")).alias("lead")).where("n > 1") \
+        .select("digest", "n", F.col("lead.rid").alias("lead_rid"), F.col("lead.i").alias("lead_i")).write.parquet(path)
+    again = spark.read.parquet(path)
+    chunks_in_all = cut.agg(F.sum(F.size("digests"))).first()[0] or 0
+    hot = max(HOT_CHUNKS, -(-chunks_in_all // HOT_DIGESTS))
+    most = F.broadcast(again.where(F.col("n") >= hot).drop("n"))   # at most HOT_DIGESTS rows
+    one = one.select("rid", "i", "digest")
+    others = one.join(most.select("digest"), "digest", "left_anti").join(again.where(F.col("n") < hot).drop("n"), "digest")
+    first = (F.col("rid") == F.col("lead_rid")) & (F.col("i") == F.col("lead_i"))
+    return one.join(most, "digest").unionByName(others).select("rid", (F.col("i") * 2 + first.cast("int")).alias("mark"))
+
+
+def _listed(rows: DataFrame) -> DataFrame:
+    """The rows again from their numbers ``m``: the first one as it is, the others removed in whole."""
+    block, k = F.col("block") * COPIES, F.col("k")
+    rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("m") - 1) / COPIES))))
+    rows = rows.withColumn("k", F.explode(F.sequence(block, F.least(F.col("m"), block + COPIES) - 1)))
+
+    def of(kept: str, gone: Column) -> Column:
+        return F.when(k == 0, F.col(kept)).otherwise(gone).alias(kept)
+    return rows.select(F.when(~F.col("none"), F.col("d")).alias("doc_id"), "n_bytes", of("n_removed", F.col("n_bytes")),
+                       of("n_spans", (F.col("n_bytes") > 0).cast("long")), of("kept_sha256", F.sha2(F.lit("").cast("binary"), 256)))
+
+
 def chunk_dedup(docs: DataFrame, min_run: int = 96, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row."""
     spark = docs.sparkSession
     ship_package(spark)
     small_batches(spark)
-    docs = id_and_text(docs, id_col, text_col).withColumn("row", F.xxhash64("text"))
+    docs = id_and_text(docs, id_col, text_col).select(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("d"),
+                                                      F.xxhash64("text").alias("row"), "text")
     path = scratch_table(spark, "chunks")
-    docs.mapInArrow(_cut, "doc_id long, row long, digests array<binary>, sizes array<int>").write.parquet(path)
+    docs.mapInArrow(_cut, "none boolean, d long, row long, digests array<binary>, sizes array<int>") \
+        .withColumn("rid", F.monotonically_increasing_id()).write.parquet(path)
     cut = spark.read.parquet(path)
-    one = cut.select("doc_id", "row", F.posexplode("digests").alias("i", "digest"))
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "i")
-    again = one.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("lead")).where("n > 1").select("digest", "lead")
-    dup = one.join(again, "digest").where(~(F.col("doc_id").eqNullSafe(F.col("lead.doc_id")) & (F.col("row") == F.col("lead.row")) & (F.col("i") == F.col("lead.i"))))
-    marked = dup.select("doc_id", "row", "i").distinct().groupBy("doc_id", "row").agg(F.collect_set("i").alias("dups"))
-    sizes = cut.select("doc_id", "row", "sizes").dropDuplicates(["doc_id", "row"])
-    placed = marked.join(sizes, (marked["row"] == sizes["row"]) & marked["doc_id"].eqNullSafe(sizes["doc_id"])) \
-        .select(marked["doc_id"].alias("d"), marked["row"].alias("r"), "dups", "sizes").mapInArrow(_positions, "d long, r long, starts array<int>, sizes array<int>")
-    wide = docs.join(placed, (F.col("row") == F.col("r")) & F.col("doc_id").eqNullSafe(F.col("d")), "left").select("doc_id", "text", "starts", "sizes")
-    return wide.mapInArrow(_remove(min_run), RESULT)
-
-
-def _positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Byte positions of the repeated chunks of each row."""
-    for b in batches:
-        starts, sizes = [], []
-        for dups, own in zip(b.column("dups").to_pylist(), b.column("sizes").to_pylist(), strict=True):
-            at = np.concatenate([[0], np.cumsum(own)])
-            dups = np.sort(np.array(dups, np.int64))
-            starts.append(at[dups].astype(np.int32))
-            sizes.append(np.array(own, np.int32)[dups])
-        yield pa.record_batch([b.column("d"), b.column("r"), pa.array(starts, pa.list_(pa.int32())), pa.array(sizes, pa.list_(pa.int32()))], ["d", "r", "starts", "sizes"])
+    marked = _repeats(cut).groupBy("rid").agg(F.collect_list("mark").alias("marks"))
+    placed = cut.select("rid", *KEY, "sizes").join(marked, "rid").mapInArrow(
+        _spans(min_run), "none boolean, d long, row long, rid long, starts array<int>, stops array<int>")
+    # of equal rows the first one tells what goes
+    placed = placed.groupBy(*KEY).agg(F.min_by(F.struct("starts", "stops"), "rid").alias("spans")).select(*KEY, "spans.starts", "spans.stops")
+    got = docs.join(placed, KEY, "left").mapInArrow(_remove, RESULT)
+    return _listed(got.groupBy(*got.columns).agg(F.count(F.lit(1)).alias("m")))

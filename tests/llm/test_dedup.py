@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import xxhash
 import pytest
 
 from demandlab.llm import chunk_dedup as cd
@@ -144,16 +145,46 @@ def test_components_of_a_long_chain(spark):
 
 # -- content-defined chunks
 
+def _cut_brute(raw):
+    """One byte after the other: a 32-bit gear hash, a cut where its five top bits are 0, chunks of 32 to 512 bytes."""
+    out, last, h = [], 0, 0
+    for p, byte in enumerate(raw, 1):
+        h = (2 * h + int(cd.GEAR[byte])) % 2**32
+        if (p - last >= 32 and h < 2**27) or p - last == 512 or p == len(raw):
+            out.append((last, p))
+            last = p
+    return out
+
+
 def _chunk_brute(rows, min_run=96):
-    seen, out = {}, Counter()
-    order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0))
-    cut = []
-    for _, t in rows:
-        raw = np.frombuffer((t or "").encode(), np.uint8)
-        ends, _ = cd.chunks(raw, np.array([0, len(raw)]))
-        cut.append([(a, b, raw[a:b].tobytes()) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)] if len(raw) else [])
-    del order
-    return cut, seen, out
+    """Rows by id, text hash and place in the list; each chunk seen before goes if its run is long or the whole text."""
+    texts = [(i, (t or "").encode()) for i, t in rows]
+    texts.sort(key=lambda x: (x[0] is None, x[0] or 0, int(np.array(xxhash.xxh64_intdigest(x[1], 42), np.uint64).view(np.int64))))
+    total = Counter(raw[a:b] for _, raw in texts for a, b in _cut_brute(raw))
+    seen, want = set(), Counter()
+    for i, raw in texts:
+        cuts = _cut_brute(raw)
+        kept, removed, spans, open_ = b"", 0, 0, False
+        j = 0
+        while j < len(cuts):
+            k = j
+            while k < len(cuts) and total[raw[slice(*cuts[k])]] > 1:
+                k += 1
+            long = k > j and (cuts[k - 1][1] - cuts[j][0] >= min_run or (j == 0 and k == len(cuts)))
+            for a, b in cuts[j:max(k, j + 1)]:
+                gone = long and raw[a:b] in seen
+                seen.add(raw[a:b])
+                spans += gone and not open_
+                open_ = gone
+                removed += (b - a) * gone
+                kept += b"" if gone else raw[a:b]
+            j = max(k, j + 1)
+        want[i, len(raw), removed, spans, hashlib.sha256(kept).hexdigest()] += 1
+    return want
+
+
+def _chunk_result(df):
+    return Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in df.collect())
 
 
 def test_chunks_depend_on_nearby_bytes_only():
@@ -173,34 +204,28 @@ def test_chunks_depend_on_nearby_bytes_only():
     assert (alone == ends[:count[0]]).all()
 
 
-def test_chunk_dedup(docs, rows):
-    got = cd.chunk_dedup(docs).toPandas()
-    cut, _, _ = _chunk_brute(rows)
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    hashes = [r[0] for r in spark.createDataFrame([(t or "",) for _, t in rows], "t string").selectExpr("xxhash64(t)").collect()]
-    lead = {}
-    for k, (i, _) in enumerate(rows):
-        for j, (_, _, c) in enumerate(cut[k]):
-            here = (i is None, i or 0, hashes[k], j)
-            lead[c] = min(lead.get(c, here), here)
-    total = Counter(c for x in cut for _, _, c in x)
-    want = Counter()
-    for k, (i, t) in enumerate(rows):
-        raw = (t or "").encode()
-        gone = np.zeros(len(raw), bool)
-        for j, (a, b, c) in enumerate(cut[k]):
-            if total[c] > 1 and (i is None, i or 0, hashes[k], j) != lead[c]:
-                gone[a:b] = True
-        edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(int), [0]])))
-        spans = [(x, y) for x, y in zip(edges[::2], edges[1::2], strict=True) if y - x >= 96]
-        kept, at = b"", 0
-        for x, y in spans:
-            kept, at = kept + raw[at:x], y
-        want[i, len(raw), sum(y - x for x, y in spans), len(spans), hashlib.sha256(kept + raw[at:]).hexdigest()] += 1
-    have = Counter((None if i != i else int(i), *r) for i, *r in got.itertuples(index=False))
-    assert have == want
-    assert (got.n_removed > 0).any()
+@pytest.mark.parametrize("min_run", [1, 96, 400])
+def test_chunk_dedup(docs, rows, min_run):
+    got = _chunk_result(cd.chunk_dedup(docs, min_run))
+    assert got == _chunk_brute(rows, min_run)
+    assert any(x[2] > 0 for x in got)
+
+
+@pytest.mark.parametrize("hot", [10_000, 2])
+def test_chunk_dedup_equal_rows_short_copies_and_hot_digests(spark, monkeypatch, hot):
+    monkeypatch.setattr(cd, "HOT_CHUNKS", hot)
+    monkeypatch.setattr(cd, "COPIES", 3)
+    r = random.Random(12)
+    body = "".join(r.choice("abcdefgh ") for _ in range(3000))
+    rows = [(7, body)] * 9 + [(None, body)] * 4 + [(7, body[:900]), (7, ""), (7, ""), (8, None)]
+    rows += [(20 + k, "a short text") for k in range(5)] + [(20, "a short text")] * 2 + [(None, "alone")] * 3
+    rows += [(40 + k, "".join(r.choice("xyz ") for _ in range(60 * k)) + body[500:500 + 130 * k] + str(k) * 40) for k in range(12)]
+    rows += [(60, "ab" * 2000), (61, "ab" * 700 + body[:333])]
+    rows += [(70, "".join(r.choice("klmn ") for _ in range(1_100_000)) + body)]   # longer than a slice
+    got = _chunk_result(cd.chunk_dedup(frame(spark, rows).repartition(5)))
+    assert got == _chunk_brute(rows)
+    empty = hashlib.sha256(b"").hexdigest()
+    assert got[7, 3000, 3000, 1, empty] == 8 and got[7, 3000, 0, 0, hashlib.sha256(body.encode()).hexdigest()] <= 1
 
 
 def test_chunk_dedup_empty(empty):
