@@ -53,39 +53,51 @@ GRAM, NEAR = 16, 24
 #: Bytes before and after a position that decide whether it is chosen.
 BEFORE, AFTER = NEAR, NEAR + GRAM
 CELL_BITS = 26
+#: Bytes a kernel works on at a time: its arrays stay in the processor's cache.
+PIECE = 1 << 18
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
 # -- phrases
 
-def chosen(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
+def _gram_hashes(spans: SpanHash) -> np.ndarray:
+    """32 bits of a hash of the GRAM bytes from every position that has as many."""
+    at = spans.prefix
+    h = at[GRAM:] - at[:-GRAM]
+    h *= spans.inv[:len(h)]
+    h ^= h >> U64(32)
+    h *= U64(0xBF58476D1CE4E5B9)
+    return (h >> U64(32)).astype(np.uint32)
+
+
+def chosen(buf: np.ndarray, offs: np.ndarray, spans: SpanHash | None = None) -> np.ndarray:
     """Positions whose gram hash is the least within NEAR positions on both sides, inside one row."""
     m = len(buf) - GRAM + 1
     if m < 2 * NEAR + 1:
         return np.empty(0, np.int64)
-    at = np.arange(m)
-    g = (SpanHash(buf)(at, at + GRAM) >> U64(32)).astype(np.uint32)
+    g = _gram_hashes(spans or SpanHash(buf))
     low, width = g, 1
     while 2 * width <= NEAR:
         low, width = np.minimum(low[:-width], low[width:]), 2 * width
     low = np.minimum(low[:m - NEAR + 1], low[NEAR - width:NEAR - width + m - NEAR + 1])
-    q = np.arange(NEAR, m - NEAR)
-    q = q[(g[q] < low[q - NEAR]) & (g[q] <= low[q + 1])]
+    # q from NEAR on: less than all NEAR hashes before it, not more than the NEAR from it on
+    q = np.flatnonzero((g[NEAR:m - NEAR] < low[:m - 2 * NEAR]) & (g[NEAR:m - NEAR] <= low[NEAR + 1:m - NEAR + 1])) + NEAR
     row = row_of(offs, q)
     return q[(q - NEAR >= offs[row]) & (q + AFTER <= offs[row + 1])]
 
 
 def phrases(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Names and lengths of all phrases of a slice, and the number of them in each row."""
-    starts = np.union1d(offs[:-1][np.diff(offs) > 0], chosen(buf, offs))
+    spans = SpanHash(buf)
+    starts = np.union1d(offs[:-1][np.diff(offs) > 0], chosen(buf, offs, spans))
     ends = np.append(starts[1:], len(buf)) if len(starts) else starts
-    name = SpanHash(buf)(starts, ends) >> U64(1)  # positive: the terminator 0 is the least symbol
+    name = spans(starts, ends) >> U64(1)  # positive: the terminator 0 is the least symbol
     name[name == 0] = 1
     return name, (ends - starts).astype(np.int32), np.diff(np.searchsorted(starts, offs))
 
 
 def _phrase_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows, buf, offs in text_slices(batches):
+    for rows, buf, offs in text_slices(batches, most=PIECE):
         name, size, count = phrases(buf, offs)
         yield pa.record_batch([rows.column("doc_id"), rows.column("tid"), list_array(as_long(name), count), list_array(pa.array(size), count)], ["doc_id", "tid", "names", "sizes"])
 
@@ -351,37 +363,58 @@ def reaches(strings: DataFrame, window: int, depth: int) -> DataFrame:
             fixed[k][2], fixed[k + 1][2] = max(fixed[k][2], both), max(fixed[k + 1][2], both)
             fixed[k + 1][3] = fixed[k + 1][3] or both >= y["sizes"][0] + window - 1
     cols = ["id", "i", "reach", "skip"]
-    return got.where("edge = 0").select(*cols).union(spark.createDataFrame([tuple(x) for x in fixed], "id long, i int, reach long, skip boolean"))
+    return got.where("edge = 0").select(*cols).union(spark.createDataFrame(pa.table(
+        [pa.array([x[k] for x in fixed], kind) for k, kind in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.bool_()))], cols)))
 
 
 # -- windows
 
-def settle(sizes: np.ndarray, reach: np.ndarray, skip: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Per window start of one text: repeated for sure, open, left to an equal suffix sorted before, first inner phrase or -1."""
-    at = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-    m = int(at[-1]) - window + 1
-    if m <= 0:
-        none = np.zeros(0, bool)
-        return none, none, none, np.zeros(0, np.int64)
-    p = np.arange(m)
-    phrase = np.searchsorted(at, p, "right") - 1
-    repeated = p + window <= np.maximum.accumulate(at[:-1] + reach)[phrase]
-    inner = at[1:-1]
-    lo = np.searchsorted(inner, p + BEFORE) + 1
-    hi = np.searchsorted(inner, p + window - AFTER, "right")
-    has = hi > lo
-    key = np.where(has, lo, -1)
-    some = np.where(has, lo, 0)
-    unlike = has & (reach[some] < at[np.where(has, hi, 0)] - at[some])
-    return repeated, ~repeated & ~unlike, skip[phrase], key
-
-
-def _reach_of(r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    sizes = np.array(r["sizes"], np.int64)
-    reach, skip = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), bool)
-    for x in r["found"] or []:
-        reach[x["i"]], skip[x["i"]] = x["reach"], x["skip"]
-    return sizes, reach, skip
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of the batches with at most PIECE bytes of text in all, or one longer row alone."""
+    for b in batches:
+        count, sizes = _lists(b.column("sizes"))
+        ends = np.concatenate([[0], np.cumsum(sizes.to_numpy(), dtype=np.int64)])[np.cumsum(count)]
+        i = done = 0
+        while i < b.num_rows:
+            j = max(i + 1, int(np.searchsorted(ends, done + PIECE, "right")))
+            yield b.slice(i, j - i)
+            i, done = j, int(ends[j - 1])
+
+
+class Windows:
+    """Window starts of the texts of a piece, one text after the other.
+
+    ``offs``: where each text's starts begin; for each start: ``sure`` (repeated),
+    ``open``, ``skip`` (left to an equal suffix sorted before), ``key`` (first
+    inner phrase, counted over the piece, or -1). ``names`` are the piece's phrases.
+    """
+
+    def __init__(self, b: pa.RecordBatch, window: int):
+        count, sizes = _lists(b.column("sizes"))
+        self.names = b.column("names").flatten().to_numpy()
+        sizes, first = sizes.to_numpy().astype(np.int64), np.cumsum(count) - count
+        reach, skip = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), bool)
+        n_found, found = _lists(b.column("found"))
+        place = np.repeat(first, n_found) + found.field("i").to_numpy()
+        reach[place], skip[place] = found.field("reach").to_numpy(), found.field("skip").to_numpy(zero_copy_only=False)
+        at = np.concatenate([[0], np.cumsum(sizes)])
+        end = at[np.cumsum(count)]
+        begin = np.concatenate([[0], end])[:-1]
+        n = np.maximum(end - begin - window + 1, 0)
+        self.offs = np.concatenate([[0], np.cumsum(n)])
+        p = np.repeat(begin - self.offs[:-1], n) + np.arange(self.offs[-1])
+        phrase = np.repeat(np.arange(len(sizes)), sizes)   # of every byte
+        own = phrase[p]
+        # a text's reaches end inside it, so those of the texts before don't count
+        self.sure = p + window <= np.maximum.accumulate(at[:-1] + reach)[own] if len(p) else np.zeros(0, bool)
+        lo, hi = phrase[p + BEFORE - 1] + 1, phrase[p + window - AFTER]
+        has = hi > lo
+        self.key = np.where(has, lo, -1)
+        lo = np.where(has, lo, 0)
+        self.open = ~self.sure
+        if len(p):
+            self.open &= ~(has & (reach[lo] < at[np.where(has, hi, 0)] - at[lo]))
+        self.skip = skip[own]
 
 
 def _cell(name: np.ndarray) -> np.ndarray:
@@ -410,19 +443,20 @@ def in_bitmap(bits: np.ndarray, name: np.ndarray) -> np.ndarray:
 def _open_cells(window: int):
     """Cells of the inner phrases of open windows."""
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            cells = [np.empty(0, np.int64)]
-            for r in b.to_pylist():
-                _, open_, _, key = settle(*_reach_of(r), window)
-                at = np.unique(key[open_])
-                cells.append(_cell(np.array(r["names"], np.int64)[at[at >= 0]]))
-            yield pa.record_batch([pa.array(np.unique(np.concatenate(cells)))], ["cell"])
+        for b in _pieces(batches):
+            w = Windows(b, window)
+            wanted = np.zeros(len(w.names), bool)
+            wanted[w.key[w.open & (w.key >= 0)]] = True
+            yield pa.record_batch([pa.array(np.unique(_cell(w.names[wanted])))], ["cell"])
     return kernel
 
 
-def _ranges(mask: np.ndarray) -> tuple[list[int], list[int]]:
-    a, b = runs(mask, np.array([0, len(mask)]))
-    return a.tolist(), b.tolist()
+def _ranges(mask: np.ndarray, offs: np.ndarray) -> list[pa.ListArray]:
+    """Starts and ends of the runs of each text, counted from its begin."""
+    a, b = runs(mask, offs)
+    count = np.diff(np.searchsorted(a, offs))
+    base = np.repeat(offs[:-1], count)
+    return [list_array(pa.array((x - base).astype(np.int32)), count) for x in (a, b)]
 
 
 def _plan(window: int, cells):
@@ -431,22 +465,16 @@ def _plan(window: int, cells):
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = cells.value
-        for b in batches:
-            out = []
-            for r in b.to_pylist():
-                sure, open_, skip, key = settle(*_reach_of(r), window)
-                if not len(key):
-                    need = np.ones(0, bool)
-                else:
-                    need = (key < 0) | in_bitmap(wanted, np.array(r["names"], np.int64))[np.maximum(key, 0)]
-                emit = (sure & ~skip | open_) & need if r["whole"] else open_ | (sure & ~skip & need)
-                if r["whole"]:
-                    sure, open_ = np.ones(len(sure), bool), np.zeros(len(sure), bool)
-                if sure.any() or emit.any():
-                    out.append([r["tid"], r["lead"], r["whole"], *_ranges(sure), *_ranges(emit), *_ranges(open_)])
-            if out:
-                cols = list(zip(*out, strict=True))
-                yield pa.record_batch([pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.bool_()), *(pa.array(c, pa.list_(pa.int32())) for c in cols[3:])], names)
+        for b in _pieces(batches):
+            w = Windows(b, window)
+            whole = np.repeat(b.column("whole").to_numpy(zero_copy_only=False), np.diff(w.offs))
+            need = w.key < 0
+            need[~need] = in_bitmap(wanted, w.names)[w.key[~need]]
+            open_ = w.open & ~whole
+            emit = open_ | (w.sure & ~w.skip | w.open) & need
+            out = pa.record_batch([b.column("tid"), b.column("lead"), b.column("whole"), *_ranges(w.sure | whole, w.offs), *_ranges(emit, w.offs), *_ranges(open_, w.offs)], names)
+            size = [out.column(k).value_lengths().to_numpy() for k in ("sure_a", "hash_a")]
+            yield out.filter(pa.array(size[0] + size[1] > 0))
     return kernel
 
 
@@ -464,7 +492,7 @@ def _within(a: pa.ListArray, b: pa.ListArray, offs: np.ndarray) -> tuple[np.ndar
 def _hashes(window: int):
     """Hashes of the windows to be compared, with how often they start here."""
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, buf, offs in text_slices(batches):
+        for rows, buf, offs in text_slices(batches, most=PIECE):
             at, row = _within(rows.column("hash_a"), rows.column("hash_b"), offs)
             whole = rows.column("whole").to_numpy(zero_copy_only=False)
             h, back = np.unique(SpanHash(buf)(at, at + window), return_inverse=True)
@@ -474,7 +502,7 @@ def _hashes(window: int):
 
 def _open(window: int):
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, buf, offs in text_slices(batches):
+        for rows, buf, offs in text_slices(batches, most=PIECE):
             at, row = _within(rows.column("open_a"), rows.column("open_b"), offs)
             yield pa.record_batch([rows.column("t").take(pa.array(row)), pa.array((at - offs[row]).astype(np.int32)), as_long(SpanHash(buf)(at, at + window))], ["t", "p", "h"])
     return kernel
@@ -482,7 +510,7 @@ def _open(window: int):
 
 def _result(window: int):
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, buf, offs in text_slices(batches):
+        for rows, buf, offs in text_slices(batches, most=PIECE):
             edge = np.zeros(len(buf) + 1, np.int64)
             for a, b in (("sure_a", "sure_b"),):
                 count = rows.column(a).value_lengths().fill_null(0).to_numpy()
@@ -504,17 +532,20 @@ def _result(window: int):
 
 # -- the operator
 
-def useful(again: np.ndarray, sizes: np.ndarray, window: int) -> np.ndarray:
-    """Which phrases of one text lie, with only repeated ones, inside some window; no other can lie in a repeat."""
-    at = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-    inner, last = at[1:-1], int(at[-1]) - window
-    if last < 0 or len(inner) < 2:
-        return np.zeros(len(sizes), bool)
+def useful(again: np.ndarray, sizes: np.ndarray, count: np.ndarray, window: int) -> np.ndarray:
+    """Which phrases lie, with only repeated ones, inside some window of their text (``count`` phrases each); no other can lie in a repeat."""
+    at = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    end = at[np.cumsum(count)]
+    begin = np.concatenate([[0], end])[:-1]
+    text = np.repeat(np.arange(len(count)), count)
+    inner = at[:-1][at[:-1] > begin[text]]
+    of = text[at[:-1] > begin[text]]
     # the inner phrases of a window change only where a boundary comes in or goes out
-    p = np.concatenate([[0, last], inner - BEFORE, inner - BEFORE + 1, inner + AFTER - window, inner + AFTER - window - 1])
-    p = np.unique(p[(p >= 0) & (p <= last)])
-    lo = np.searchsorted(inner, p + BEFORE) + 1
-    hi = np.searchsorted(inner, p + window - AFTER, "right")
+    p = np.concatenate([begin, end - window, *(inner + d for d in (-BEFORE, 1 - BEFORE, AFTER - window, AFTER - window - 1))])
+    of = np.concatenate([np.arange(len(count)), np.arange(len(count)), of, of, of, of])
+    p = p[(p >= begin[of]) & (p + window <= end[of])]
+    lo = np.searchsorted(at, p + BEFORE - 1, "right")
+    hi = np.searchsorted(at, p + window - AFTER, "right") - 1
     seen = np.concatenate([[0], np.cumsum(again)])
     good = (hi > lo) & (seen[np.maximum(hi, lo)] - seen[lo] == np.maximum(hi, lo) - lo)
     edge = np.zeros(len(sizes) + 1, np.int64)
@@ -530,16 +561,10 @@ def _mark(names, window: int):
         for b in batches:
             count, flat = _lists(b.column("names"))
             flat = flat.to_numpy()
-            sizes, ends = b.column("sizes").flatten().to_numpy(), np.cumsum(count)
-            again = in_bitmap(bits, flat)
-            row = np.repeat(np.arange(len(count)), count)
-            keep = np.zeros(len(flat), bool)
-            for i in np.flatnonzero(np.bincount(row, again, len(count))).tolist():
-                at = slice(ends[i] - count[i], ends[i])
-                keep[at] = useful(again[at], sizes[at], window)
+            keep = useful(in_bitmap(bits, flat), b.column("sizes").flatten().to_numpy(), count, window)
             flat = np.where(keep, flat, 0)
             out = pa.record_batch([b.column("id"), list_array(pa.array(flat), count), b.column("sizes")], ["id", "s", "sizes"])
-            yield out.filter(pa.array(np.bincount(row, flat != 0, len(count)) > 0))
+            yield out.filter(pa.array(np.bincount(np.repeat(np.arange(len(count)), count), flat != 0, len(count)) > 0))
     return kernel
 
 
