@@ -55,6 +55,8 @@ BEFORE, AFTER = NEAR, NEAR + GRAM
 CELL_BITS = 26
 #: Bytes a kernel works on at a time: its arrays stay in the processor's cache.
 PIECE = 1 << 18
+#: At most so many window hashes count as hot: those with that share of all, at least HOT_WINDOWS times.
+HOT_HASHES, HOT_WINDOWS = 100_000, 10_000
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -579,6 +581,19 @@ def _strings_of(one: DataFrame, window: int) -> DataFrame:
     return one.select("id", "names", "sizes").mapInArrow(_mark(bits, window), "id long, s array<long>, sizes array<int>")
 
 
+def _repeated(open_: DataFrame, again: DataFrame) -> DataFrame:
+    """t, p of the open windows whose hash occurs again.
+
+    A hash that periodic text has at every byte is found by broadcast (at most
+    HOT_HASHES of them); its rows are dealt out evenly instead of joined by it.
+    """
+    hot = max(HOT_WINDOWS, -(-(again.agg(F.sum("c")).first()[0] or 0) // HOT_HASHES))
+    most = again.where(F.col("c") >= hot).select("h", F.lit(True).alias("hot"))
+    rest = again.where(F.col("c") < hot).select(F.col("h").alias("key"), F.lit(True).alias("cold"))
+    rows = open_.join(F.broadcast(most), "h", "left").select("t", "p", "hot", F.when(F.col("hot"), F.xxhash64("t", "p")).otherwise(F.col("h")).alias("key"))
+    return rows.join(rest, "key", "left").where("hot or cold").select("t", "p")
+
+
 def suffix_dedup(docs: DataFrame, window: int = 400, id_col: str = "doc_id", text_col: str = "text",
                  broadcast_most: int = 1_000_000) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
@@ -612,10 +627,10 @@ def suffix_dedup(docs: DataFrame, window: int = 400, id_col: str = "doc_id", tex
     ranges = plan.where("size(hash_a) > 0").select("tid", "lead", "whole", "t", "hash_a", "hash_b", "open_a", "open_b")
     ranges = small(ranges, broadcast_most, "size(hash_a) + size(open_a)")
     texts = docs.join(ranges, "tid").where(F.col("doc_id").eqNullSafe(F.col("lead")))
-    again = texts.select("text", "whole", "hash_a", "hash_b").mapInArrow(_hashes(window), "h long, c long") \
-        .groupBy("h").agg(F.sum("c").alias("c")).where("c > 1").select("h")
+    again = _save(texts.select("text", "whole", "hash_a", "hash_b").mapInArrow(_hashes(window), "h long, c long")
+                  .groupBy("h").agg(F.sum("c").alias("c")).where("c > 1"), "again")
     open_ = texts.where("size(open_a) > 0").select("text", "t", "open_a", "open_b").mapInArrow(_open(window), "t long, p int, h long")
-    more = open_.join(again, "h").groupBy("t").agg(F.collect_list("p").alias("more"))
+    more = _repeated(open_, again).groupBy("t").agg(F.collect_list("p").alias("more"))
     cover = _save(plan.select("tid", "t", "sure_a", "sure_b").join(more, "t", "left").where("size(sure_a) > 0 or more is not null")
                   .select("tid", "sure_a", "sure_b", F.coalesce("more", F.array().cast("array<int>")).alias("more")), "cover")
     cover = small(cover, broadcast_most, "size(sure_a) + size(more)")
