@@ -105,6 +105,13 @@ def test_passages_and_edits(spark, seed):
     assert _got(sd.suffix_dedup(frame(spark, out).repartition(3))) == _brute(out, 400)
 
 
+@pytest.mark.parametrize("hot", [2, 6])
+def test_hot_window_hashes(docs, rows, monkeypatch, hot):
+    """Hashes that count as hot are found by broadcast: the same rows, with all of them hot or some."""
+    monkeypatch.setattr(sd, "HOT_WINDOWS", hot)
+    assert _got(sd.suffix_dedup(docs)) == _brute(rows, 400)
+
+
 def test_empty(spark, empty):
     assert sd.suffix_dedup(empty).count() == 0
     got = sd.suffix_dedup(frame(spark, [(1, "a"), (2, None), (3, "b" * 300)])).toPandas()
