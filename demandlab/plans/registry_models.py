@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from demandlab.config import PrepConfig
 from demandlab.functions.scalar import finite_or_null
-from demandlab.functions.scalar import finite_or_null
 from demandlab.operators import diagnostics as DG
 from demandlab.operators import dml, features as FE, lasso, linear, sampling, stats
 from demandlab.operators.panel import daily_features, weekly
 from demandlab.plans.oracle_fixtures import regression_cte
+from demandlab.plans.sql_linear import normal_p
 from demandlab.sources.fixtures import regression_panel
 from demandlab.sources.io import Tables
 
@@ -55,9 +55,13 @@ def q_iv2sls(spark, d):
     return _round(r.drop("p", "status"))
 
 
+def _estimates(table: DataFrame) -> DataFrame:
+    """All columns of an estimate, p to three digits (the oracle's erfc is an approximation)."""
+    return _round(table.withColumn("p", F.round("p", 3)))
+
+
 def q_dml_plr(spark, d):
-    res = dml.dml_plr(_reg(spark, d), "y", "d", X, fold="fold", by=BY)
-    return _round(res.table.drop("p", "status"))
+    return _estimates(dml.dml_plr(_reg(spark, d), "y", "d", X, fold="fold", by=BY).table)
 
 
 X2 = ["x", "n_lines"]
@@ -85,8 +89,7 @@ def q_holdout_errors(spark, d):
 
 
 def q_dml_pliv(spark, d):
-    res = dml.dml_pliv(_reg(spark, d), "y", "d", "z", X, fold="fold", by=BY)
-    return _round(res.table.drop("p", "status"))
+    return _estimates(dml.dml_pliv(_reg(spark, d), "y", "d", "z", X, fold="fold", by=BY).table)
 
 
 def _pliv_resid(spark, d):
@@ -396,7 +399,7 @@ def _dml_sql(iv: bool) -> str:
     name = "pliv[linear,linear,linear]" if iv else "plr[linear,linear]"
     body = f"""SELECT * FROM (WITH {_dml_chain(iv)}
 SELECT p_type, '{name}' AS learner, theta, se, theta/se AS t, theta - {dml.Z975}*se AS ci_lo,
-       theta + {dml.Z975}*se AS ci_hi, n FROM th) q0"""
+       theta + {dml.Z975}*se AS ci_hi, n, round({normal_p("(theta/se)")}, 3) AS p, CASE WHEN theta IS NOT NULL THEN 'ok' END AS status FROM th) q0"""
     return _w(_r(body, ["theta", "se", "t", "ci_lo", "ci_hi"]))
 
 
