@@ -33,31 +33,31 @@ def q_regression_panel(spark, d):
     return _round(_reg(spark, d))
 
 
+def _estimates(table: DataFrame) -> DataFrame:
+    """All columns of an estimate, p to three digits (the oracle's erfc is an approximation)."""
+    return _round(table.withColumn("p", F.round("p", 3)))
+
+
 def q_ols(spark, d):
     r = linear.ols(_reg(spark, d), "y", ["const", "d"], by=BY, cov="unadjusted")
-    return _round(r.drop("p", "status"))
+    return _estimates(r)
 
 
 def q_ols_multi(spark, d):
     """OLS with two regressors and a constant, per category (M1, k = 3)."""
     r = linear.ols(_reg(spark, d), "y", ["const", "d", "x"], by=BY, cov="unadjusted")
-    return _round(r.drop("p", "status"))
+    return _estimates(r)
 
 
 def q_iv2sls_multi(spark, d):
     """2SLS with an exogenous covariate besides the constant (M2, k = 3), price term."""
     r = linear.iv2sls(_reg(spark, d), "y", ["const", "x"], ["d"], ["z"], by=BY, cov="unadjusted")
-    return _round(r.where(F.col("term") == "d").drop("p", "status"))
+    return _estimates(r.where(F.col("term") == "d"))
 
 
 def q_iv2sls(spark, d):
     r = linear.iv2sls(_reg(spark, d), "y", ["const"], ["d"], ["z"], by=BY, cov="robust")
-    return _round(r.drop("p", "status"))
-
-
-def _estimates(table: DataFrame) -> DataFrame:
-    """All columns of an estimate, p to three digits (the oracle's erfc is an approximation)."""
-    return _round(table.withColumn("p", F.round("p", 3)))
+    return _estimates(r)
 
 
 def q_dml_plr(spark, d):
@@ -786,13 +786,18 @@ QUERIES = {
 }
 
 
+def _tested(sql: str) -> str:
+    """An estimate's rows with p-value and status."""
+    return f"SELECT *, round({normal_p('t')}, 3) AS p, 'ok' AS status FROM ({sql}) q_t"
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "regression_panel": _w(_r("SELECT * FROM reg", ["y", "d", "z", "x", "const", "n_lines"])),
-        "ols": OLS_SQL,
-        "iv2sls": IV_SQL,
-        "ols_multi": OLS_MULTI_SQL,
-        "iv2sls_multi": IV_MULTI_SQL,
+        "ols": _tested(OLS_SQL),
+        "iv2sls": _tested(IV_SQL),
+        "ols_multi": _tested(OLS_MULTI_SQL),
+        "iv2sls_multi": _tested(IV_MULTI_SQL),
         "dml_plr_multi": _dml2_sql(),
         "holdout_errors": _holdout_sql(),
         "unique_values": _w("SELECT DISTINCT ppl FROM reg"),
