@@ -1,6 +1,7 @@
 """Texts longer than one slice (1 MB) against brute force, and the features and fit of operator 7."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -9,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from demandlab.llm import bloom_lm as lm
 from demandlab.llm import chunk_dedup as cd
 from demandlab.llm import decontaminate as dc
 from demandlab.llm import exact_dedup as ed
@@ -20,7 +22,7 @@ from demandlab.llm.textcols import SLICE_BYTES
 from .conftest import frame
 from .test_dedup import _chunk_brute, _chunk_result, _components
 from .test_dedup import _got as _joined
-from .test_models import _junk
+from .test_models import _held, _junk, _tokens
 
 
 @pytest.fixture(scope="module")
@@ -96,6 +98,17 @@ def test_chunk_dedup(spark, long_rows):
     assert _chunk_result(cd.chunk_dedup(frame(spark, long_rows))) == _chunk_brute(long_rows)
 
 
+def test_base_score(spark, long_rows):
+    got = lm.lm_scores(frame(spark, long_rows), F.crc32(F.col("doc_id").cast("string")) % 7 == 2).toPandas().set_index("doc_id")
+    count = Counter(w for i, t in long_rows if not _held(i) for w in _tokens(t))
+    n, v = sum(count.values()), len(count)
+    for i, t in long_rows:
+        w, g = _tokens(t), got.loc[i]
+        assert (g.held_out, g.n_tokens, g.n_known, g.train_tokens) == (_held(i), len(w), sum(x in count for x in w), n)
+        assert g.base_score == pytest.approx(sum(math.log10((count[x] + 1) / (n + v + 1)) for x in w), rel=1e-9)
+        assert np.isfinite(g.score) and g.score < 0
+
+
 def _features(text):
     """The features of one text, byte by byte and line by line."""
     raw = (text or "").encode()
