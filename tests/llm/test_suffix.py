@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from demandlab.llm import suffix_dedup as sd
@@ -112,6 +113,44 @@ def test_hot_window_hashes(docs, rows, monkeypatch, hot):
     assert _got(sd.suffix_dedup(docs)) == _brute(rows, 400)
 
 
+def test_texts_without_repeats_stay(spark, monkeypatch, tmp_path):
+    """Phrases and texts of documents without repeats are neither written again nor shuffled."""
+    r = random.Random(3)
+    text = lambda n: " ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    shared = text(100)
+    rows = [(k, text(300)) for k in range(100)] + [(200 + k, text(50) + shared + text(50)) for k in range(3)]
+    monkeypatch.setattr(sd, "scratch_table", lambda s, name: f"{tmp_path}/{name}-{r.random()}")
+    joined = []
+    meeting = sd._meeting
+    monkeypatch.setattr(sd, "_meeting", lambda *a: joined.append(meeting(*a)) or joined[-1])
+    assert _got(sd.suffix_dedup(frame(spark, rows), broadcast_most=0)) == _brute(rows, 400)
+    written = next(p for p in tmp_path.iterdir() if p.name.startswith("reaches-"))
+    assert spark.read.parquet(str(written)).count() == 3
+    assert [(held.count(), rest.count()) for held, _, rest in joined] == [(3, 100), (3, 100)]
+
+
+def test_ranges_of_removed_bytes():
+    """Overlapping and touching runs of windows, texts without any, runs in any order."""
+    r = random.Random(5)
+    rows, masks = [], []
+    for k in range(50):
+        draw = lambda: [(a, a + r.randint(1, 9)) for a in (r.randint(0, 300) for _ in range(r.choice([0, 0, 1, 6])))]
+        sure, more = draw(), draw() or None
+        mask = np.zeros(400, bool)
+        for a, b in sure + (more or []):
+            mask[a:b + 19] = True
+        masks.append(mask)
+        rows.append({"tid": bytes([k]), "sure_a": [a for a, _ in sure], "sure_b": [b for _, b in sure], "more": more and [{"p": a, "n": b - a} for a, b in more]})
+    kind = pa.schema([("tid", pa.binary()), ("sure_a", pa.list_(pa.int32())), ("sure_b", pa.list_(pa.int32())), ("more", pa.list_(pa.struct([("p", pa.int32()), ("n", pa.int32())])))])
+    got = [x for b in sd._covers(20)(iter([pa.RecordBatch.from_pylist(rows, kind)])) for x in b.to_pylist()]
+    for g, mask in zip(got, masks, strict=True):
+        out = np.zeros(400, bool)
+        for a, b in zip(g["a"], g["b"], strict=True):
+            assert not out[a:b].any()
+            out[a:b] = True
+        assert (out == mask).all()
+
+
 def test_empty(spark, empty):
     assert sd.suffix_dedup(empty).count() == 0
     got = sd.suffix_dedup(frame(spark, [(1, "a"), (2, None), (3, "b" * 300)])).toPandas()
