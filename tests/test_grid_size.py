@@ -28,3 +28,11 @@ def test_grid_search_has_the_reference_size(spark, searched):
     (est, grid), = searched
     assert _sizes(est, grid, "maxIter") == [500] and _sizes(est, grid, "maxDepth") == [6]
     assert grid["stepSize"] == [0.15, 0.2]
+
+
+def test_grid_search_test_has_the_reference_size(spark, searched):
+    L.q_grid_search_test(spark, "")
+    (est, grid), = searched
+    assert (est.getMaxIter(), est.getMaxDepth()) == (500, 6)
+    assert _sizes(est, grid, "maxIter") == [500] and max(_sizes(est, grid, "maxDepth")) == 6
+    assert len(grid["stepSize"]) * len(grid["maxDepth"]) == 4
